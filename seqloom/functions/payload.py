@@ -50,20 +50,57 @@ def score_map(rows: Column) -> Column:
     return F.map_from_entries(F.transform(rows, lambda r: F.struct(r["go_term"], r["score"])))
 
 
-def _listed_score(term: Column, place: Column, scores: Column, ranked: Column) -> Column:
-    by_place = F.get(ranked, place)
-    return F.coalesce(F.try_element_at(scores, term), by_place, F.lit(0.0))
-
-
-def _term(term_id, name, ontology, score, definition, place) -> Column:
-    return F.struct(
-        (-score).alias("_desc"),
-        place.alias("_place"),
-        term_id.alias("term_id"),
-        name.cast("string").alias("term_name"),
-        ontology.cast("string").alias("ontology"),
-        score.alias("score"),
-        definition.cast("string").alias("definition"),
+ITEM_SCHEMA = ", ".join(
+    f"{k} STRING" for k in (*TERM_KEYS, *SCORE_KEYS, "term_name", "name", "ontology", "aspect", "definition")
+)
+
+
+def _filled(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
+def _scored_terms(p: Column) -> Column:
+    """Sorted term structs of one parsed payload."""
+    scores = F.coalesce(p["score_map"], F.create_map().cast("map<string,double>"))
+    ranked = F.coalesce(p["top_scores"], F.array().cast("array<double>"))
+    empty = F.array().cast("array<string>")
+
+    def parse(item: Column, place: Column) -> Column:
+        named = item.startswith("{")
+        fields = F.when(named, F.from_json(item, ITEM_SCHEMA))
+        return F.struct(fields.alias("f"), F.when(~named, item).alias("bare"), place.alias("place"))
+
+    def term(x: Column) -> Column:
+        f = x["f"]
+        name = F.trim(F.coalesce(*[_filled(f[k]) for k in TERM_KEYS], F.lit("")))
+        term_id = F.coalesce(x["bare"], name)
+        return F.struct(
+            term_id.alias("term_id"),
+            F.coalesce(
+                *[f[k].try_cast("double") for k in SCORE_KEYS],
+                F.try_element_at(scores, term_id),
+                F.get(ranked, x["place"]),
+                F.lit(0.0),
+            ).alias("score"),
+            x["place"].alias("place"),
+            F.coalesce(f["term_name"], f["name"]).alias("term_name"),
+            map_aspect(F.coalesce(_filled(f["ontology"]), f["aspect"])).alias("ontology"),
+            f["definition"].alias("definition"),
+        )
+
+    def listed(items: Column) -> Column:
+        # parsed in a pass of its own, so every item is parsed once
+        return F.filter(F.transform(F.transform(items, parse), term), lambda t: t["term_id"] != "")
+
+    main = listed(F.coalesce(p["top_terms"], p["predictions"], empty))
+    spare = listed(F.coalesce(p["predicted_terms"], empty))
+    chosen = F.when(F.size(main) > 0, main).otherwise(spare)
+    keyed = F.transform(chosen, lambda t: F.struct((-t["score"]).alias("k"), t["place"], t.alias("t")))
+    return F.transform(
+        F.array_sort(keyed),
+        lambda x: F.struct(
+            *[x["t"][c].alias(c) for c in ("term_id", "term_name", "ontology", "score", "definition")]
+        ),
     )
 
 
@@ -73,33 +110,9 @@ def terms_of(payload: Column) -> Column:
     Items may be objects or bare ids. A score comes from the object, else the score map, else the
     positional list. ``predicted_terms`` is used when the main list gives nothing.
     """
-    p = F.from_json(payload, PAYLOAD_SCHEMA)
-    scores = F.coalesce(p["score_map"], F.create_map().cast("map<string,double>"))
-    ranked = F.coalesce(p["top_scores"], F.array().cast("array<double>"))
-    none = F.lit(None)
-
-    def from_item(item: Column, place: Column) -> Column:
-        named = is_json_object(item)
-        term = F.when(named, term_of(item)).otherwise(item)
-        listed = _listed_score(term, place, scores, ranked)
-        name = F.when(named, F.coalesce(_field(item, "term_name"), _field(item, "name")))
-        code = F.when(named, F.coalesce(F.nullif(_field(item, "ontology"), F.lit("")), _field(item, "aspect")))
-        score = F.when(named, score_of(item, listed)).otherwise(listed)
-        text = F.when(named, _field(item, "definition"))
-        return _term(term, name, map_aspect(code), score, text, place)
-
-    def from_id(item: Column, place: Column) -> Column:
-        return _term(item, none, none, _listed_score(item, place, scores, ranked), none, place)
-
-    empty = F.array().cast("array<string>")
-    main = F.transform(F.coalesce(p["top_terms"], p["predictions"], empty), from_item)
-    main = F.filter(main, lambda t: t["term_id"] != "")
-    spare = F.transform(F.coalesce(p["predicted_terms"], empty), from_id)
-    chosen = F.array_sort(F.when(F.size(main) > 0, main).otherwise(spare))
-    return F.transform(
-        chosen,
-        lambda t: F.struct(t["term_id"], t["term_name"], t["ontology"], t["score"], t["definition"]),
-    )
+    parsed = F.from_json(payload, PAYLOAD_SCHEMA)
+    # a one-element list names the parsed payload, so it is parsed once
+    return F.get(F.transform(F.array(parsed), _scored_terms), F.lit(0))
 
 
 def dedupe_names(columns: Sequence[str]) -> list[str]:

@@ -24,6 +24,8 @@ UI_LETTERS = "Sequence can only contain standard amino acid symbols: ACDEFGHIKLM
 UI_SHORT = "Sequence is too short for a useful inference request."
 UI_LONG = "Sequence is too long for the current UI limit."
 APP_ZONE = "+07:00"
+# white space as the text rules mean it: every Unicode space, not only the ASCII ones
+WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
 ASPECT_CODES = {
     "F": "MF", "P": "BP", "C": "CC",
     "MF": "MF", "BP": "BP", "CC": "CC",
@@ -33,12 +35,12 @@ ASPECT_CODES = {
 
 def trimmed_id(c: Column) -> Column:
     """E-02: identifier without surrounding white space."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, f"^{WHITE}|{WHITE}$", "")
 
 
 def normalize_sequence(c: Column) -> Column:
     """E-03: all white space removed, upper case."""
-    return F.upper(F.regexp_replace(c, r"\s+", ""))
+    return F.upper(F.regexp_replace(c, WHITE, ""))
 
 
 def invalid_symbols(c: Column) -> Column:

@@ -170,9 +170,16 @@ def read_sequence_dir(
 
 
 def _unescape(c: Column) -> Column:
-    """E-26: text between the first pair of unescaped quotes, with backslash escapes removed."""
-    quoted = F.regexp_extract(c, r'"((?:[^"\\]|\\.)*)"', 1)
-    return F.regexp_replace(quoted, r"\\(.)", "$1")
+    """E-26: text between the first pair of unescaped quotes, with backslash escapes removed.
+
+    Escaped backslashes and quotes are set aside first, so plain substring search finds the end.
+    """
+    slash, quote = "\u0001", "\u0002"
+    text = F.replace(F.replace(c, F.lit("\\\\"), F.lit(slash)), F.lit('\\"'), F.lit(quote))
+    closed = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit(""))) >= 2
+    inner = F.substring_index(F.substring(text, F.instr(text, F.lit('"')) + 1, F.length(text)), '"', 1)
+    plain = F.regexp_replace(inner, r"\\(.)", "$1")
+    return F.when(closed, F.translate(plain, slash + quote, '\\"')).otherwise(F.lit(""))
 
 
 class Ontology(tuple):
