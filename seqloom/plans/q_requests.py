@@ -100,12 +100,30 @@ def _(d):
 # --- dedupe ------------------------------------------------------------------------------------
 
 
-@query("d01_dedupe_events")
+KEPT = """WITH RECURSIVE e AS (SELECT request_id AS rq, protein_id || '/' || checksum AS ck, min(position) AS o FROM inbound GROUP BY 1, 2),
+    step AS (
+      SELECT rq, ck, o, FALSE AS kept FROM e
+      UNION ALL
+      SELECT rq, ck, o, sure FROM (
+        SELECT *, bool_or(sure) OVER (PARTITION BY rq) OR bool_or(sure) OVER (PARTITION BY ck) AS touched FROM (
+          SELECT rq, ck, o, o = min(o) OVER (PARTITION BY rq) AND o = min(o) OVER (PARTITION BY ck) AS sure FROM step WHERE NOT kept))
+      WHERE sure OR NOT touched)"""
+
+
+@query(
+    "d01_dedupe_events",
+    f"""{KEPT} SELECT position, request_id, protein_id, checksum FROM inbound WHERE position IN (SELECT o FROM step WHERE kept)""",
+)
 def _(d):
     return dedupe.dedupe_events(d.inbound, ["position"]).select("position", "request_id", "protein_id", "checksum")
 
 
-@query("d02_mark_duplicates")
+@query(
+    "d02_mark_duplicates",
+    f"""{KEPT} SELECT request_id, protein_id, 'SKIPPED' AS current_status, 'spark_dedup' AS stage_name, 'DUPLICATE_EVENT' AS error_code,
+               'Duplicate request_id or protein checksum in micro-batch.' AS error_message
+        FROM inbound WHERE position NOT IN (SELECT o FROM step WHERE kept)""",
+)
 def _(d):
     return dedupe.mark_duplicates(d.inbound, ["position"])
 
