@@ -168,14 +168,15 @@ def bucket_quantile(log: DataFrame, q: float = 0.95, keys: Sequence[str] = ("pat
     return counted.select(*keys, F.when(F.col("_all") > 0, out).alias("quantile"))
 
 
-def scale_up(df: DataFrame, n: int, order: Sequence[str], key: str = "protein_id") -> DataFrame:
+def scale_up(df: DataFrame, n: int | Column, order: Sequence[str], key: str = "protein_id") -> DataFrame:
     """X-01: cycle through the base rows until there are ``n``; round r >= 2 gets suffix ``__r{r}``.
 
     Each base row works out its own copies, so nothing is joined or shuffled for them.
     """
     numbered = number_rows(df, order, name="_i").withColumn("_i", F.col("_i") - 1)
     size = df.agg(F.count(N)).scalar()
-    copies = F.floor((F.lit(n) - 1 - F.col("_i")) / size) + 1
+    wanted = n if isinstance(n, Column) else F.lit(n)
+    copies = F.floor((wanted - 1 - F.col("_i")) / size) + 1
     rounds = F.when(copies > 0, F.sequence(F.lit(1).cast("bigint"), copies)).otherwise(
         F.array().cast("array<bigint>")
     )

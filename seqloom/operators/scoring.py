@@ -30,9 +30,10 @@ def with_chunk_totals(chunked: DataFrame, keys: Sequence[str] = ()) -> DataFrame
     sizes = chunked.groupBy(*keys, "chunk_index").agg(F.count(F.lit(1)).alias("chunk_size"))
     top = sizes.groupBy(*keys).agg((F.max("chunk_index") + 1).alias("total_chunks"))
     totals = sizes.join(top, list(keys)) if keys else sizes.withColumn("total_chunks", top.scalar())
-    same = [chunked[k].eqNullSafe(totals[k]) for k in (*keys, "chunk_index")]
-    joined = chunked.join(totals, same)
-    return joined.select(*[chunked[c] for c in chunked.columns], totals["chunk_size"], totals["total_chunks"])
+    names = (*keys, "chunk_index")
+    side = totals.select(*[F.col(k).alias(f"_{k}") for k in names], "chunk_size", "total_chunks")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in names]
+    return chunked.join(side, same).select(*chunked.columns, "chunk_size", "total_chunks")
 
 
 def score(

@@ -246,9 +246,16 @@ def _(d):
     return graph.ancestors(d.edges)
 
 
-@query("g02_propagate_labels", "SELECT protein_id, term FROM graph_labels")
+@query(
+    "g02_propagate_labels",
+    """SELECT protein_id, count(*) AS n_labels, CAST(sum(term) AS BIGINT) AS term_sum, CAST(sum(term * term) AS BIGINT) AS square_sum
+       FROM graph_labels GROUP BY 1""",
+)
 def _(d):
-    return graph.propagate_labels(d.annotations, graph.ancestors(d.edges), prep.select_terms(d.annotations))
+    rows = graph.propagate_labels(d.annotations, graph.ancestors(d.edges), prep.select_terms(d.annotations))
+    return rows.groupBy("protein_id").agg(
+        F.count(F.lit(1)).alias("n_labels"), F.sum("term").alias("term_sum"), F.sum(F.col("term") * F.col("term")).alias("square_sum")
+    )
 
 
 PATHS = """inner_edges AS (SELECT child, parent FROM edges WHERE child IN (SELECT term FROM selected) AND parent IN (SELECT term FROM selected)),
@@ -257,11 +264,18 @@ PATHS = """inner_edges AS (SELECT child, parent FROM edges WHERE child IN (SELEC
     lifted AS (SELECT protein_id, target AS term, max(score) AS score FROM scores JOIN paths USING (term) GROUP BY 1, 2)"""
 
 
-@query("g03_propagate_scores", f"WITH RECURSIVE {PATHS} SELECT protein_id, term, round(score, 6) AS score FROM lifted")
+@query(
+    "g03_propagate_scores",
+    f"""WITH RECURSIVE {PATHS} SELECT protein_id, count(*) AS n_terms, CAST(sum(term) AS BIGINT) AS term_sum,
+        round(sum(score), 4) AS score_sum, round(sum(score * term), 2) AS weighted_sum FROM lifted GROUP BY 1""",
+)
 def _(d):
     paths = graph.score_paths(d.edges, prep.select_terms(d.annotations))
     rows = graph.propagate_scores(d.scores, paths)
-    return rows.select("protein_id", "term", r6("score").alias("score"))
+    return rows.groupBy("protein_id").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("term").alias("term_sum"), F.round(F.sum("score"), 4).alias("score_sum"),
+        F.round(F.sum(F.col("score") * F.col("term")), 2).alias("weighted_sum"),
+    )
 
 
 @query(
