@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from seqloom.operators.lineage import cut_lineage
 from seqloom.operators.ordering import keep_first, number_rows, running_totals
 
-N = F.lit(1)
 
 
 def value_counts(df: DataFrame, c: str, n: int | None = None) -> DataFrame:
     """A-01: counts and shares per value, most frequent first, ties by value."""
-    counts = df.groupBy(c).agg(F.count(N).alias("n"))
-    total = df.agg(F.count(N)).scalar()
+    counts = df.groupBy(c).agg(F.count("*").alias("n"))
+    total = df.agg(F.count("*")).scalar()
     shared = counts.withColumn("share", F.col("n").cast("double") / total.cast("double"))
     ordered = shared.orderBy(F.desc("n"), F.asc(c))
     return ordered if n is None else ordered.limit(n)
@@ -30,12 +29,12 @@ def nunique(df: DataFrame, c: str, keys: Sequence[str] = (), approximate: bool =
     """
     if approximate:
         return df.groupBy(*keys).agg(F.approx_count_distinct(c).alias("n_unique"))
-    return df.select(*keys, c).filter(F.col(c).isNotNull()).distinct().groupBy(*keys).agg(F.count(N).alias("n_unique"))
+    return df.select(*keys, c).filter(F.col(c).isNotNull()).distinct().groupBy(*keys).agg(F.count("*").alias("n_unique"))
 
 
 def group_size(df: DataFrame, *keys: str) -> DataFrame:
     """A-03."""
-    return df.groupBy(*keys).agg(F.count(N).alias("n"))
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
 def value_ranks(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -44,7 +43,7 @@ def value_ranks(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
     Equal values are folded before anything is ordered, so a value that fills a third of the rows
     is one row here.
     """
-    folded = cut_lineage(df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(N).alias("_n")))
+    folded = cut_lineage(df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count("*").alias("_n")))
     return running_totals(folded, [c], {"upto": F.col("_n")}, keys)
 
 
@@ -116,7 +115,7 @@ def histogram(df: DataFrame, c: str, bins: int, keys: Sequence[str] = ()) -> Dat
     low, high = F.when(flat, low0 - 0.5).otherwise(low0), F.when(flat, high0 + 0.5).otherwise(high0)
     width = (high - low) / F.lit(float(bins))
     index = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
-    counted = df.filter(value.isNotNull()).groupBy(*keys, index.alias("bin")).agg(F.count(N).alias("n"))
+    counted = df.filter(value.isNotNull()).groupBy(*keys, index.alias("bin")).agg(F.count("*").alias("n"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     if keys:
         grid = df.select(*keys).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
@@ -138,14 +137,14 @@ def histogram_edges(df: DataFrame, c: str, edges: Sequence[float | Column]) -> D
     for i in range(last + 1):
         inside = (value >= bounds[i]) & ((value <= bounds[i + 1]) if i == last else (value < bounds[i + 1]))
         case = F.when(inside, i) if case is None else case.when(inside, i)
-    counted = df.groupBy(case.alias("bin")).agg(F.count(N).alias("n")).filter("bin is not null")
+    counted = df.groupBy(case.alias("bin")).agg(F.count("*").alias("n")).filter("bin is not null")
     grid = df.sparkSession.range(last + 1).select(F.col("id").cast("int").alias("bin"))
     return grid.join(counted, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def mode_by(df: DataFrame, key: str, c: str) -> DataFrame:
     """A-07: most frequent value per group, smallest on a tie; folded before the second shuffle."""
-    votes = df.filter(F.col(c).isNotNull()).groupBy(key, c).agg(F.count(N).alias("_n"))
+    votes = df.filter(F.col(c).isNotNull()).groupBy(key, c).agg(F.count("*").alias("_n"))
     return votes.groupBy(key).agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))).alias("mode"))
 
 
@@ -161,7 +160,7 @@ def sets_by(df: DataFrame, key: str, c: str) -> DataFrame:
 
 def mean_ia_by_aspect(ann: DataFrame, ia: DataFrame) -> DataFrame:
     """A-10: mean information accretion per aspect; terms without a value are ignored."""
-    folded = ann.groupBy("aspect", "term").agg(F.count(N).alias("_n"))
+    folded = ann.groupBy("aspect", "term").agg(F.count("*").alias("_n"))
     joined = folded.join(ia, "term", "left").filter(F.col("ia").isNotNull())
     return joined.groupBy("aspect").agg(
         (F.sum(F.col("ia") * F.col("_n")) / F.sum("_n")).alias("mean_ia"), F.sum("_n").alias("n_rows")
@@ -171,19 +170,19 @@ def mean_ia_by_aspect(ann: DataFrame, ia: DataFrame) -> DataFrame:
 def letter_counts(df: DataFrame, c: str = "sequence") -> DataFrame:
     """A-12: occurrences of every character; tasks pre-aggregate, so few rows are shuffled."""
     letters = df.select(F.explode(F.split(c, "")).alias("letter")).filter("letter != ''")
-    return letters.groupBy("letter").agg(F.count(N).alias("n"))
+    return letters.groupBy("letter").agg(F.count("*").alias("n"))
 
 
 def kmers(df: DataFrame, key: str, c: str, k: int = 3) -> DataFrame:
     """E-22: k-mer counts per text."""
     from seqloom.functions.scalars import kmer_list
 
-    return df.select(key, F.explode(kmer_list(F.col(c), k)).alias("kmer")).groupBy(key, "kmer").agg(F.count(N).alias("n"))
+    return df.select(key, F.explode(kmer_list(F.col(c), k)).alias("kmer")).groupBy(key, "kmer").agg(F.count("*").alias("n"))
 
 
 def long_tail(df: DataFrame, c: str) -> DataFrame:
     """A-13: rank of every value by frequency, with log10(count + 1)."""
-    counts = cut_lineage(df.groupBy(c).agg(F.count(N).alias("n")))
+    counts = cut_lineage(df.groupBy(c).agg(F.count("*").alias("n")))
     ranked = number_rows(counts, [F.desc("n"), F.asc(c)], name="rank")
     return ranked.withColumn("log_count", F.log10(F.col("n") + 1))
 

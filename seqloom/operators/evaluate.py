@@ -83,7 +83,7 @@ def cafa_eval(
     keys = ["namespace", "protein_id"]
     true, w = F.col("is_true"), F.col("ia")
     folded = cells.groupBy(*keys, "level").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(true).alias("t"), F.sum(w).alias("wn"), F.sum(w * true).alias("wt")
+        F.count("*").alias("n"), F.sum(true).alias("t"), F.sum(w).alias("wn"), F.sum(w * true).alias("wt")
     )
     totals = folded.groupBy(*keys).agg(F.sum("t").alias("all_t"), F.sum("wt").alias("all_wt"))
     judged = totals.filter("all_t > 0")  # proteins with a known answer in the namespace
@@ -114,7 +114,7 @@ def cafa_eval(
     by_level = changes.groupBy("namespace", "level").agg(*[F.sum(c).alias(c) for c in values])
     n_levels = round(1 / opt.step) - 1
     base = judged.groupBy("namespace").agg(
-        F.count(F.lit(1)).cast("double").alias("n_gt"),
+        F.count("*").cast("double").alias("n_gt"),
         F.sum("all_t").cast("double").alias("sum_t"),
         F.sum("all_wt").alias("sum_wt"),
     )

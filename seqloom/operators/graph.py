@@ -83,8 +83,8 @@ def fill_scores(scores: DataFrame, paths: DataFrame, keys: tuple[str, ...] = ("p
 def degrees(edges: DataFrame, terms: DataFrame) -> DataFrame:
     """G-04: numbers of selected parents and children per selected term."""
     inner = selected_edges(edges, terms)
-    ups = inner.groupBy(F.col("child").alias("term")).agg(F.count(F.lit(1)).alias("n_parents"))
-    downs = inner.groupBy(F.col("parent").alias("term")).agg(F.count(F.lit(1)).alias("n_children"))
+    ups = inner.groupBy(F.col("child").alias("term")).agg(F.count("*").alias("n_parents"))
+    downs = inner.groupBy(F.col("parent").alias("term")).agg(F.count("*").alias("n_children"))
     return (
         terms.select("term")
         .join(ups, "term", "left")
@@ -113,8 +113,8 @@ def hierarchy_violations(scores: DataFrame, edges: DataFrame, proteins: DataFram
             F.coalesce(F.sum(F.greatest(gap, F.lit(0.0))), F.lit(0.0)).alias("_excess"),
         )
     )
-    n_proteins = proteins.select("protein_id").distinct().agg(F.count(F.lit(1))).scalar()
-    n_edges = edges.select("child", "parent").distinct().agg(F.count(F.lit(1))).scalar()
+    n_proteins = proteins.select("protein_id").distinct().agg(F.count("*")).scalar()
+    n_edges = edges.select("child", "parent").distinct().agg(F.count("*")).scalar()
     cells = (n_proteins * n_edges).cast("double")
     return found.select(
         "violations",
@@ -127,11 +127,11 @@ def hierarchy_violations(scores: DataFrame, edges: DataFrame, proteins: DataFram
 
 def label_stats(settings: dict[str, DataFrame], proteins: DataFrame) -> DataFrame:
     """G-06: total labels and mean per protein for each label setting, over all ``proteins``."""
-    n = proteins.select("protein_id").distinct().agg(F.count(F.lit(1))).scalar()
+    n = proteins.select("protein_id").distinct().agg(F.count("*")).scalar()
     out = None
     for name, labels in settings.items():
         kept = labels.join(proteins.select("protein_id"), "protein_id", "left_semi")
-        row = kept.agg(F.count(F.lit(1)).alias("positive_labels")).select(
+        row = kept.agg(F.count("*").alias("positive_labels")).select(
             F.lit(name).alias("setting"),
             "positive_labels",
             F.try_divide(F.col("positive_labels").cast("double"), n.cast("double")).alias("avg_labels_per_protein"),

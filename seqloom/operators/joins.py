@@ -40,8 +40,8 @@ def covered_share(df: DataFrame, terms: DataFrame) -> DataFrame:
     marked = df.join(terms.select("term").distinct().withColumn("_in", F.lit(1)), "term", "left")
     return marked.agg(
         F.count("_in").alias("covered_rows"),
-        F.count(F.lit(1)).alias("all_rows"),
-        F.try_divide(F.count("_in").cast("double"), F.count(F.lit(1)).cast("double")).alias("share"),
+        F.count("*").alias("all_rows"),
+        F.try_divide(F.count("_in").cast("double"), F.count("*").cast("double")).alias("share"),
     )
 
 
@@ -154,7 +154,7 @@ def reconcile_status(bucket_rows: DataFrame, latest: DataFrame) -> DataFrame:
 
 def count_in_minutes(df: DataFrame, minutes: DataFrame, ts: str = "created_at") -> DataFrame:
     """J-12: rows with ``start <= ts < start + 1 minute``, as an equi-join on the truncated minute."""
-    counts = df.groupBy(F.date_trunc("minute", ts).alias("window_start")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(F.date_trunc("minute", ts).alias("window_start")).agg(F.count("*").alias("_n"))
     return minutes.join(counts, "window_start", "left").select(
         "window_start", F.coalesce("_n", F.lit(0)).alias("metric_value")
     )

@@ -28,6 +28,11 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder name under the scratch root of this application."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -35,6 +40,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     are planned from real statistics. It outlives lost executors.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

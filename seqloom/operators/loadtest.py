@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from seqloom.operators.agg import nearest_ranks
 from seqloom.operators.ordering import number_rows, running_totals
 
-N = F.lit(1)
 
 # Histogram bucket bounds in seconds, rate window, failed examples kept.
 LATENCY_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0)
@@ -33,7 +32,7 @@ def bench_summary(results: DataFrame, planned_requests: int, planned_sequences:
     seconds = F.lit(max(float(elapsed), 0.001))
     failed = F.coalesce(F.col("error"), F.lit("")) != ""
     totals = results.agg(
-        F.count(N).alias("completed_requests"),
+        F.count("*").alias("completed_requests"),
         F.coalesce(F.sum("record_count"), F.lit(0)).alias("completed_sequences"),
         F.coalesce(F.sum(failed.cast("bigint")), F.lit(0)).alias("failure_count"),
         F.coalesce(F.avg("latency_ms"), F.lit(0.0)).alias("latency_avg"),
@@ -41,7 +40,7 @@ def bench_summary(results: DataFrame, planned_requests: int, planned_sequences:
         F.coalesce(F.max("latency_ms"), F.lit(0.0)).alias("latency_max"),
     )
     ranks = nearest_ranks(results, "latency_ms", {"latency_p50": 0.5, "latency_p95": 0.95, "latency_p99": 0.99})
-    per_status = results.groupBy("status").agg(F.count(N).alias("n"))
+    per_status = results.groupBy("status").agg(F.count("*").alias("n"))
     statuses = per_status.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))))
     first = results.filter(failed).orderBy(order).limit(FAILED_EXAMPLES)
     sample = F.transform(F.array_sort(F.collect_list(F.struct(order, "request_label", "error"))),
@@ -71,7 +70,7 @@ def bench_checkpoints(results: DataFrame, every: int, position: str = "seq", ela
     """
     failed = F.coalesce(F.col("error"), F.lit("")) != ""
     blocks = results.groupBy(F.ceil(F.col(position) / every).alias("block")).agg(
-        F.count(N).alias("_n"),
+        F.count("*").alias("_n"),
         F.sum("record_count").alias("_s"),
         F.sum(failed.cast("bigint")).alias("_f"),
         F.max_by(elapsed, position).alias("_t"),
@@ -129,7 +128,7 @@ def rate_by_path(log: DataFrame, ts: str = "ts") -> DataFrame:
 
     Rows are counted per minute before they are spread over the windows.
     """
-    counts = log.groupBy("path", F.date_trunc("minute", ts).alias("_minute")).agg(F.count(N).alias("_n"))
+    counts = log.groupBy("path", F.date_trunc("minute", ts).alias("_minute")).agg(F.count("*").alias("_n"))
     seconds = RATE_WINDOW_MINUTES * 60.0
     return _sliding(counts).groupBy("path", "window_start").agg((F.sum("_n") / seconds).alias("rate"))
 
@@ -137,7 +136,7 @@ def rate_by_path(log: DataFrame, ts: str = "ts") -> DataFrame:
 def error_ratio(log: DataFrame, ts: str = "ts") -> DataFrame:
     """A-40: share of 5xx responses per sliding window; the divisor is at least 0.001 per second."""
     bad = ((F.col("status") >= 500) & (F.col("status") < 600)).cast("bigint")
-    counts = log.groupBy(F.date_trunc("minute", ts).alias("_minute")).agg(F.count(N).alias("_n"), F.sum(bad).alias("_b"))
+    counts = log.groupBy(F.date_trunc("minute", ts).alias("_minute")).agg(F.count("*").alias("_n"), F.sum(bad).alias("_b"))
     seconds = RATE_WINDOW_MINUTES * 60.0
     sums = _sliding(counts).groupBy("window_start").agg(F.sum("_n").alias("_n"), F.sum("_b").alias("_b"))
     return sums.select(
@@ -174,7 +173,7 @@ def scale_up(df: DataFrame, n: int | Column, order: Sequence[str], key: str = "p
     Each base row works out its own copies, so nothing is joined or shuffled for them.
     """
     numbered = number_rows(df, order, name="_i").withColumn("_i", F.col("_i") - 1)
-    size = df.agg(F.count(N)).scalar()
+    size = df.agg(F.count("*")).scalar()
     wanted = n if isinstance(n, Column) else F.lit(n)
     copies = F.floor((wanted - 1 - F.col("_i")) / size) + 1
     rounds = F.when(copies > 0, F.sequence(F.lit(1).cast("bigint"), copies)).otherwise(

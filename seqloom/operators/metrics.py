@@ -45,7 +45,7 @@ def term_counts(pairs: DataFrame, grid: Sequence[float]) -> DataFrame:
     grid = sorted(grid)
     leveled = pairs.withColumn("_level", F.when(F.col("score").isNull(), 0).otherwise(_level(F.col("score"), grid)))
     folded = leveled.groupBy("term", "_level").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("label").alias("_t")
+        F.count("*").alias("_n"), F.sum("label").alias("_t")
     )
     spread = folded.groupBy("term").agg(
         F.sum("_t").alias("_truth"),
@@ -91,7 +91,7 @@ def basic_metrics(counts: DataFrame, n_proteins: Column, n_terms: Column, keys:
 
 def count_of(df: DataFrame, c: str) -> Column:
     """Number of distinct values as a scalar subquery."""
-    return df.select(c).distinct().agg(F.count(F.lit(1))).scalar()
+    return df.select(c).distinct().agg(F.count("*")).scalar()
 
 
 def weighted_micro(counts: DataFrame, weights: DataFrame) -> DataFrame:

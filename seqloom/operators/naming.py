@@ -81,7 +81,7 @@ def unique_ids(
     ranked = cut_lineage(number_rows(rows, ["_pos"], ["_base"], "_rn", bound))
     family = F.regexp_replace("_base", r"(_\d+)+$", "")
     families = ranked.groupBy(family.alias("_family")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("_rn").alias("_most"),
+        F.count("*").alias("_rows"), F.max("_rn").alias("_most"),
         (F.min("_base") != F.max("_base")).alias("_mixed"),
     )
     tangled = families.filter(F.col("_mixed") & (F.col("_most") > 1)).select("_family", "_rows")

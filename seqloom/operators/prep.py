@@ -10,7 +10,6 @@ from seqloom.operators.graph import degrees
 from seqloom.operators.lineage import cut_lineage
 from seqloom.operators.ordering import number_rows
 
-N = F.lit(1)
 
 # Fixed values of label selection, strata and weights.
 MIN_LABEL_FREQUENCY = 8
@@ -27,7 +26,7 @@ def select_terms(ann: DataFrame, min_frequency: int = MIN_LABEL_FREQUENCY, max_l
 
     The limit keeps ``max_labels`` rows, so numbering them in one window is bounded.
     """
-    counts = ann.groupBy("term").agg(F.count(N).alias("frequency")).filter(F.col("frequency") >= min_frequency)
+    counts = ann.groupBy("term").agg(F.count("*").alias("frequency")).filter(F.col("frequency") >= min_frequency)
     top = counts.orderBy(F.desc("frequency"), F.asc("term")).limit(max_labels)
     place = F.row_number().over(Window.orderBy(F.desc("frequency"), F.asc("term")))
     return top.select("term", "frequency", (place - 1).cast("bigint").alias("term_index"))
@@ -55,10 +54,10 @@ def strata(ann: DataFrame) -> DataFrame:
     band = F.when(n <= FEW, "few").when(n <= MID, "mid").otherwise("many")
     labelled = (
         pairs.groupBy("protein_id")
-        .agg(F.count(N).alias("n_terms"), *[F.max(a).alias(a) for a in ("MF", "BP", "CC")])
+        .agg(F.count("*").alias("n_terms"), *[F.max(a).alias(a) for a in ("MF", "BP", "CC")])
         .select("protein_id", F.concat_ws("_", F.coalesce(signature, F.lit("UNK")), band).alias("_stratum"))
     )
-    sizes = labelled.groupBy("_stratum").agg(F.count(N).alias("_size"))
+    sizes = labelled.groupBy("_stratum").agg(F.count("*").alias("_size"))
     return labelled.join(sizes, "_stratum").select(
         "protein_id",
         F.when(F.col("_size") >= RARE_STRATUM, F.col("_stratum")).otherwise("rare").alias("stratum"),
@@ -74,7 +73,7 @@ def split(df: DataFrame, valid: float = 0.15, test: float = 0.15, seed: int = 42
     mixed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col("protein_id").cast("string"))))
     options = {} if bound is None else {"bound": bound}
     numbered = number_rows(mixed, ["_hash", "protein_id"], ["stratum"], "_place", **options)
-    sizes = df.groupBy("stratum").agg(F.count(N).alias("_size"))
+    sizes = df.groupBy("stratum").agg(F.count("*").alias("_size"))
     n_test, n_valid = F.bround(F.col("_size") * F.lit(test)), F.bround(F.col("_size") * F.lit(valid))
     name = (
         F.when(F.col("_place") <= n_test, "test")
@@ -124,8 +123,8 @@ def ia_weight(terms: DataFrame, power: float = IA_POWER, clip: float = IA_WEIGHT
 def term_weights(terms: DataFrame, label_pairs: DataFrame, proteins: DataFrame, ia: DataFrame, edges: DataFrame,
                  ontology: DataFrame) -> DataFrame:
     """A-37: per-term training table: name, aspect, positives, weights, degrees."""
-    n = proteins.select("protein_id").distinct().agg(F.count(N)).scalar()
-    positives = label_pairs.groupBy("term_index").agg(F.count(N).alias("positives"))
+    n = proteins.select("protein_id").distinct().agg(F.count("*")).scalar()
+    positives = label_pairs.groupBy("term_index").agg(F.count("*").alias("positives"))
     base = (
         terms.join(positives, "term_index", "left")
         .withColumn("positives", F.coalesce("positives", F.lit(0)))
@@ -152,7 +151,7 @@ def split_summary(splits: DataFrame, ann: DataFrame, selected: DataFrame) -> Dat
         F.max("_sel").alias("_sel"), *[F.max((F.col("aspect") == a).cast("int")).alias(a) for a in ("MF", "BP", "CC")]
     )
     per_protein = per_pair.groupBy("protein_id").agg(
-        F.count(N).alias("n_full"),
+        F.count("*").alias("n_full"),
         F.count("_sel").alias("n_selected"),
         *[F.max(a).alias(a) for a in ("MF", "BP", "CC")],
     )
@@ -160,10 +159,10 @@ def split_summary(splits: DataFrame, ann: DataFrame, selected: DataFrame) -> Dat
         splits.select("protein_id", "split").join(per_protein, "protein_id", "left")
         .fillna(0, ["n_full", "n_selected", "MF", "BP", "CC"])
     )
-    total = joined.agg(F.count(N)).scalar()
+    total = joined.agg(F.count("*")).scalar()
     sums = joined.groupBy("split").agg(
-        F.count(N).alias("proteins"),
-        (F.count(N).cast("double") / total.cast("double")).alias("protein_ratio"),
+        F.count("*").alias("proteins"),
+        (F.count("*").cast("double") / total.cast("double")).alias("protein_ratio"),
         F.avg("n_full").alias("avg_full_terms"),
         F.avg("n_selected").alias("avg_selected_terms"),
         *[F.sum(a).cast("bigint").alias(f"proteins_with_{a}") for a in ("MF", "BP", "CC")],
@@ -174,11 +173,11 @@ def split_summary(splits: DataFrame, ann: DataFrame, selected: DataFrame) -> Dat
 
 def label_density(label_pairs: DataFrame, splits: DataFrame, terms: DataFrame) -> DataFrame:
     """A-15: positives, share of positive cells, and share of terms seen, per split."""
-    n_terms = terms.agg(F.count(N)).scalar()
-    sizes = splits.groupBy("split").agg(F.count(N).alias("n_proteins"))
+    n_terms = terms.agg(F.count("*")).scalar()
+    sizes = splits.groupBy("split").agg(F.count("*").alias("n_proteins"))
     tagged = label_pairs.join(splits.select("protein_id", "split"), "protein_id")
-    per_term = tagged.groupBy("split", "term_index").agg(F.count(N).alias("_n"))
-    found = per_term.groupBy("split").agg(F.sum("_n").alias("positive_labels"), F.count(N).alias("_terms"))
+    per_term = tagged.groupBy("split", "term_index").agg(F.count("*").alias("_n"))
+    found = per_term.groupBy("split").agg(F.sum("_n").alias("positive_labels"), F.count("*").alias("_terms"))
     cells = (F.col("n_proteins") * n_terms).cast("double")
     positives = F.coalesce("positive_labels", F.lit(0))
     return sizes.join(found, "split", "left").select(

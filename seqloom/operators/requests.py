@@ -13,7 +13,6 @@ from seqloom.operators.agg import nearest_ranks
 from seqloom.operators.dedupe import latest_requests
 from seqloom.operators.ordering import keep_first
 
-N = F.lit(1)
 
 # Status names, list sizes and the tables each event type is written to.
 KNOWN_STATUSES = ("pending", "processing", "completed", "failed", "retrying", "cancelled")
@@ -128,7 +127,7 @@ def page(df: DataFrame, page_number: int, size: int, order: Sequence[Column]) ->
     """W-03: one page and ``has_next``, decided by one row beyond it. ``order`` must be unique."""
     start = (page_number - 1) * size
     fetched = df.orderBy(*order).limit(start + size + 1)
-    more = fetched.agg(F.count(N) > start + size).scalar()
+    more = fetched.agg(F.count("*") > start + size).scalar()
     return fetched.orderBy(*order).offset(start).limit(size).withColumn("has_next", more)
 
 
@@ -162,7 +161,7 @@ def status_counts(latest: DataFrame) -> DataFrame:
     """A-16: requests per status; known statuses appear even at zero."""
     spark = latest.sparkSession
     zeros = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in KNOWN_STATUSES])).alias("current_status"))
-    counted = latest.groupBy("current_status").agg(F.count(N).alias("n"))
+    counted = latest.groupBy("current_status").agg(F.count("*").alias("n"))
     both = counted.unionByName(zeros.withColumn("n", F.lit(0).cast("bigint")))
     return both.groupBy("current_status").agg(F.sum("n").alias("n"))
 
@@ -171,7 +170,7 @@ def error_counts(latest: DataFrame, n: int = ERROR_ROWS) -> DataFrame:
     """A-17: most frequent error codes of failed requests."""
     code = F.coalesce(F.nullif("error_code", F.lit("")), F.lit("UNKNOWN")).alias("error_code")
     failed = latest.filter(F.col("current_status") == "failed")
-    return failed.groupBy(code).agg(F.count(N).alias("n")).orderBy(F.desc("n"), F.asc("error_code")).limit(n)
+    return failed.groupBy(code).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc("error_code")).limit(n)
 
 
 def error_rate(latest: DataFrame) -> DataFrame:
@@ -206,7 +205,7 @@ def throughput(df: DataFrame, now: datetime, minutes: int = THROUGHPUT_MINUTES,
     counts = (
         df.filter(_between(ts, (first, last + timedelta(minutes=1))))
         .groupBy(F.date_trunc("minute", ts).alias("window_start"))
-        .agg(F.count(N).alias("_n"))
+        .agg(F.count("*").alias("_n"))
     )
     stamp = lambda t: F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     grid = df.sparkSession.range(1).select(
@@ -240,24 +239,24 @@ def write_amplification(events: DataFrame) -> DataFrame:
     tables = F.when(F.col("event_type") == "request_status", F.array(*map(F.lit, STATUS_TABLES))).when(
         F.col("event_type") == "prediction_result", F.array(*map(F.lit, PREDICTION_TABLES))
     )
-    counts = events.groupBy("event_type").agg(F.count(N).alias("_n"))
+    counts = events.groupBy("event_type").agg(F.count("*").alias("_n"))
     return counts.select(F.explode(tables).alias("table_name"), "_n").groupBy("table_name").agg(F.sum("_n").alias("writes"))
 
 
 def total_today(latest: DataFrame, today: date, ts: str = "updated_at") -> DataFrame:
     """A-24: requests whose last change is on the local day."""
-    return latest.filter(_between(ts, day_range(today))).agg(F.count(N).alias("total_today"))
+    return latest.filter(_between(ts, day_range(today))).agg(F.count("*").alias("total_today"))
 
 
 def dashboard_counts(requests: DataFrame, links: DataFrame, predictions: DataFrame) -> DataFrame:
     """A-25: proteins of the visible requests (1 for a request without records) and their predictions."""
-    sizes = links.groupBy("request_id").agg(F.count(N).alias("_size"))
+    sizes = links.groupBy("request_id").agg(F.count("*").alias("_size"))
     proteins = (
         requests.join(sizes, "request_id", "left")
         .agg(F.coalesce(F.sum(F.coalesce("_size", F.lit(1))), F.lit(0)).alias("protein_count"))
     )
     distinct = predictions.join(requests, "request_id", "left_semi").select("request_id", "protein_id").distinct()
-    n = distinct.agg(F.count(N)).scalar()
+    n = distinct.agg(F.count("*")).scalar()
     return proteins.select("protein_count", n.alias("prediction_count"))
 
 
@@ -472,7 +471,7 @@ def check_requests(requests: DataFrame, records: DataFrame) -> DataFrame:
         seen.withColumn("_message", message)
         .groupBy("request_id")
         .agg(
-            F.count(N).alias("_records"),
+            F.count("*").alias("_records"),
             F.min(F.when(F.col("_message").isNotNull(), F.struct("position", "_message"))).alias("_worst"),
         )
     )

@@ -27,7 +27,7 @@ def chunk(df: DataFrame, n: int, order: Sequence[str | Column], keys: Sequence[s
 
 def with_chunk_totals(chunked: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """W-08: chunks per group and rows per chunk, from partially aggregated counts."""
-    sizes = chunked.groupBy(*keys, "chunk_index").agg(F.count(F.lit(1)).alias("chunk_size"))
+    sizes = chunked.groupBy(*keys, "chunk_index").agg(F.count("*").alias("chunk_size"))
     top = sizes.groupBy(*keys).agg((F.max("chunk_index") + 1).alias("total_chunks"))
     totals = sizes.join(top, list(keys)) if keys else sizes.withColumn("total_chunks", top.scalar())
     names = (*keys, "chunk_index")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import scalars as S
-from seqloom.session import configure
+from seqloom.session import configure, ship_package
 
 SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
@@ -41,6 +41,7 @@ class Domain:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
+        ship_package(spark)
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:

@@ -9,7 +9,6 @@ from seqloom.plans.domain import big, r4, r6, stamp
 from seqloom.plans.registry import query
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
-N = F.lit(1)
 
 
 @query(
@@ -261,7 +260,7 @@ def _(d):
 def _(d):
     failed = F.count("error").cast("double")
     summaries = d.load_results.groupBy("record_count").agg(
-        (F.count(N) / 120.0).alias("throughput_rps"), (failed / F.count(N)).alias("failure_rate"),
+        (F.count("*") / 120.0).alias("throughput_rps"), (failed / F.count("*")).alias("failure_rate"),
         F.max("latency_ms").alias("latency_p95"), F.min("latency_ms").alias("latency_p99"),
     )
     return loadtest.scale_table(summaries.withColumn("planned_total_requests", F.col("record_count") * 1000))
@@ -320,7 +319,7 @@ def _(d):
 )
 def _(d):
     base = d.table("documents").select(F.col("doc_id").cast("string").alias("protein_id"), "doc_id")
-    n = F.floor(base.agg(F.count(N)).scalar() * 5 / 2)
+    n = F.floor(base.agg(F.count("*")).scalar() * 5 / 2)
     return loadtest.scale_up(base, n, ["doc_id"]).select("sequence_index", "protein_id")
 
 

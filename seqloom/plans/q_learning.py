@@ -10,7 +10,6 @@ from seqloom.plans.domain import big, r4, r6
 from seqloom.plans.q_relations import PATHS
 from seqloom.plans.registry import query
 
-N = F.lit(1)
 GRID = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 WEIGHTS = {"esm_mlp": 0.5, "protcnn": 0.3, "bilstm": 0.2}
 
@@ -128,7 +127,7 @@ def _(d):
 )
 def _(d):
     n = metrics.count_of(d.annotations, "protein_id")
-    counts = prep.labels(d.annotations, prep.select_terms(d.annotations)).groupBy("term_index").agg(F.count(N).alias("positives"))
+    counts = prep.labels(d.annotations, prep.select_terms(d.annotations)).groupBy("term_index").agg(F.count("*").alias("positives"))
     return counts.withColumn("pos_weight", r6(prep.pos_weight(F.col("positives"), n)))
 
 

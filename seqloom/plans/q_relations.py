@@ -201,7 +201,7 @@ def _(d):
          (SELECT lower(protein_id) AS k, count(*) AS n FROM status_log GROUP BY 1) l ON l.k = lower(p.protein_id)""",
 )
 def _(d):
-    counts = d.status_log.groupBy("protein_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = d.status_log.groupBy("protein_id").agg(F.count("*").alias("n"))
     return joins.match_proteins(d.predictions, counts).select("seq", "protein_id", "n")
 
 
@@ -211,7 +211,7 @@ def _(d):
 )
 def _(d):
     rows = joins.per_threshold(d.scores, [0.1, 0.25, 0.5, 0.75, 0.9])
-    return rows.groupBy("threshold").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("threshold").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -254,7 +254,7 @@ def _(d):
 def _(d):
     rows = graph.propagate_labels(d.annotations, graph.ancestors(d.edges), prep.select_terms(d.annotations))
     return rows.groupBy("protein_id").agg(
-        F.count(F.lit(1)).alias("n_labels"), F.sum("term").alias("term_sum"), F.sum(F.col("term") * F.col("term")).alias("square_sum")
+        F.count("*").alias("n_labels"), F.sum("term").alias("term_sum"), F.sum(F.col("term") * F.col("term")).alias("square_sum")
     )
 
 
@@ -273,7 +273,7 @@ def _(d):
     paths = graph.score_paths(d.edges, prep.select_terms(d.annotations))
     rows = graph.propagate_scores(d.scores, paths)
     return rows.groupBy("protein_id").agg(
-        F.count(F.lit(1)).alias("n_terms"), F.sum("term").alias("term_sum"), F.round(F.sum("score"), 4).alias("score_sum"),
+        F.count("*").alias("n_terms"), F.sum("term").alias("term_sum"), F.round(F.sum("score"), 4).alias("score_sum"),
         F.round(F.sum(F.col("score") * F.col("term")), 2).alias("weighted_sum"),
     )
 

@@ -498,7 +498,7 @@ def _(d):
 def _(d):
     view = requests.raw_event_view(d.inbound.withColumnsRenamed({"ts": "event_time", "position": "seq"}))
     keys = [F.date_format("ingest_date", "yyyy-MM-dd").alias("ingest_date"), big("shard_id").alias("shard_id")]
-    return view.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return view.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -588,7 +588,7 @@ def _(d):
     }
     out = None
     for name, df in tables.delete_request(views, requests.visible_to(d.status_log, "u7")).items():
-        part = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n")).select("table_name", "n")
+        part = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n")).select("table_name", "n")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -107,7 +107,7 @@ def _(d):
          SELECT ('0x' || right(sha256(request_id), 8))::BIGINT % 32 AS shard FROM status_log) GROUP BY shard""",
 )
 def _(d):
-    return d.status_log.groupBy(big(S.shard(F.col("request_id"))).alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    return d.status_log.groupBy(big(S.shard(F.col("request_id"))).alias("shard")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -127,7 +127,7 @@ def _(d):
 )
 def _(d):
     rows = V.request_parameters(V.parse_events(d.messages).valid)
-    return rows.groupBy(big("top_k").alias("top_k")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(big("top_k").alias("top_k")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -136,7 +136,7 @@ def _(d):
 )
 def _(d):
     rows = V.request_parameters(V.parse_events(d.messages).valid)
-    return rows.groupBy("threshold").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("threshold").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -219,7 +219,7 @@ def _(d):
         .otherwise("other")
     )
     rows = d.ontology.select("namespace", S.map_aspect(given).alias("code"))
-    return rows.groupBy("namespace", "code", F.col("code").alias("mapped")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("namespace", "code", F.col("code").alias("mapped")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -259,7 +259,7 @@ def _(d):
        FROM request_records GROUP BY request_id""",
 )
 def _(d):
-    sizes = d.request_records.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"), F.max("protein_id").alias("one"))
+    sizes = d.request_records.groupBy("request_id").agg(F.count("*").alias("n"), F.max("protein_id").alias("one"))
     label = S.batch_label(F.col("n"), F.col("one"))
     return sizes.select("request_id", label.alias("label"), S.is_batch_label(label).alias("is_batch"))
 
@@ -455,7 +455,7 @@ def _(d):
     )
     found = P.resolve_columns(raw)
     return found.groupBy("method", "namespace").agg(
-        r6(F.max("f")).alias("f"), r6(F.max("f_w")).alias("f_w"), r6(F.min("s")).alias("s"), F.count(F.lit(1)).alias("n")
+        r6(F.max("f")).alias("f"), r6(F.max("f_w")).alias("f_w"), r6(F.min("s")).alias("s"), F.count("*").alias("n")
     )
 
 

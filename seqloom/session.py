@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings; safe to change on a running session.
@@ -24,6 +28,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for the few operators that
+    run Python there. Not needed where it is installed or passed with ``--py-files``.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="seqloom-ship-")) / package.name
+    archive = shutil.make_archive(str(base), "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A session for tests and benches on one machine."""
     builder = (

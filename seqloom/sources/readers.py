@@ -9,7 +9,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from seqloom.functions import payload as P
 from seqloom.functions import scalars as S
@@ -93,7 +92,7 @@ def check_fasta(records: DataFrame) -> DataFrame:
         F.concat(F.lit("FASTA record "), F.col("protein_id"), F.lit(" has an invalid protein sequence.")),
     )
     return records.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("records"), F.count(broken).alias("invalid_records"), F.min(broken).alias("error_message")
+        F.count("*").alias("records"), F.count(broken).alias("invalid_records"), F.min(broken).alias("error_message")
     )
 
 
@@ -252,13 +251,13 @@ def read_eval_results(spark: SparkSession, sets: Mapping[str, str], pattern: str
         tagged = table.select(
             *[F.col(f"`{c}`").alias(u) for c, u in zip(table.columns, P.dedupe_names(table.columns), strict=True)],
             F.lit(name).alias("_result_set"),
-            F.regexp_extract("_metadata.file_name", r"^evaluation_(?:best_)?(.*)\.tsv$", 1).alias("_metric"),
+            F.regexp_extract("_metadata.file_path", r"evaluation_(?:best_)?([^/]*)\.tsv", 1).alias("_metric"),
         )
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
     return out
 
 
-SUMMARY = T.StructType.fromDDL(
+SUMMARY = (
     "planned_total_requests BIGINT, planned_total_sequences BIGINT, completed_requests BIGINT, "
     "completed_sequences BIGINT, elapsed_seconds DOUBLE, throughput_rps DOUBLE, "
     "throughput_seq_per_sec DOUBLE, failure_count BIGINT, failure_rate DOUBLE, "

@@ -52,7 +52,6 @@ def read_events(
             "value",
             F.regexp_extract(path, r"topic=([^/]+)/", 1).alias("topic"),
             F.xxhash64(path).alias("part"),
-            F.monotonically_increasing_id().alias("position"),
         )
     return rows.withColumn("event_type", F.coalesce(F.try_element_at(kinds, F.col("topic")), F.lit(DEFAULT_EVENT_TYPE)))
 
@@ -121,7 +120,7 @@ def events_per_minute(stream: DataFrame, ts: str = "ts", delay: str = "10 minute
     ``numRowsDroppedByWatermark``.
     """
     counted = stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 minute").alias("_w"))
-    return counted.agg(F.count(F.lit(1)).alias("metric_value")).select(
+    return counted.agg(F.count("*").alias("metric_value")).select(
         F.col("_w.start").alias("window_start"),
         F.col("_w.end").alias("window_end"),
         F.lit("events_per_minute").alias("metric_name"),
@@ -204,7 +203,7 @@ def replay_counts(events: DataFrame) -> DataFrame:
     """ST-13: emitted, accepted and failed events of a campaign."""
     ok = F.col("accepted").cast("bigint")
     return events.agg(
-        F.count(F.lit(1)).alias("emitted"),
+        F.count("*").alias("emitted"),
         F.coalesce(F.sum(ok), F.lit(0)).alias("accepted"),
         F.coalesce(F.sum(1 - ok), F.lit(0)).alias("failed"),
     )
@@ -218,13 +217,13 @@ def complete_requests(chunks: DataFrame) -> DataFrame:
     """
     per_chunk = chunks.groupBy("request_id", "chunk_index").agg(
         F.max("latency_ms").alias("latency_ms"),
-        F.count(F.lit(1)).alias("n"),
+        F.count("*").alias("n"),
         F.max("model_version").alias("model_version"),
     )
     return per_chunk.groupBy("request_id").agg(
         F.max("latency_ms").alias("latency_ms"),
         F.sum("n").alias("protein_result_count"),
-        F.count(F.lit(1)).alias("modal_chunk_count"),
+        F.count("*").alias("modal_chunk_count"),
         F.max_by("model_version", "chunk_index").alias("model_version"),
         F.lit("completed").alias("current_status"),
         F.lit("prediction_written").alias("stage_name"),

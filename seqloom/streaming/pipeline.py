@@ -112,10 +112,13 @@ def _status(df: DataFrame, status: str, stage: str) -> DataFrame:
 def persist_batch(batch: DataFrame, batch_id: int, model: Model, sinks: BatchSinks, default_top_k: int = 20) -> None:
     """SNK-06: one micro-batch to all sinks. Only plans are built here; rows stay on executors.
 
-    ``batch``: value, part, position (arrival order). Parsed messages and scored chunks are written
-    once and read by every sink, so messages are parsed once and the model is called once.
+    ``batch``: value and part, and position (arrival order inside a part) where the source has one.
+    Parsed messages and scored chunks are written once and read by every sink, so messages are
+    parsed once and the model is called once.
     """
     order = ["part", "position"]
+    if "position" not in batch.columns:
+        batch = batch.withColumn("position", F.monotonically_increasing_id())
     messages = cut_lineage(read_messages(batch.select("value", *order)))
     good = messages.filter("error_message is null")
     flagged = cut_lineage(flag_duplicates(good, order))
