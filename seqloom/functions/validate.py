@@ -41,26 +41,34 @@ def read_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     One narrow pass; callers split it by ``error_message``. Missing request ids are derived from
     the message itself, so a replayed task gives the same id again.
     """
-    text = F.col(value).cast("string")
-    event = F.from_json(text, EVENT_SCHEMA)
-    readable = F.coalesce(F.ltrim(F.get_json_object(text, "$")).startswith("{"), F.lit(False))
-    wide = raw.withColumn("_text", text).withColumn("_event", event).withColumn("_readable", readable)
-    pid = S.trimmed_id(F.col("_event.protein_id"))
-    seq = S.normalize_sequence(F.col("_event.sequence"))
-    meta = F.col("_event.metadata")
     kept = [c for c in raw.columns if c != value]
-    return wide.select(
+    text = F.col(value).cast("string")
+    # each step is a projection of its own, so JSON is parsed and text normalised once per row
+    parsed = raw.select(*kept, text.alias("raw_value")).select(
+        *kept,
+        "raw_value",
+        F.from_json("raw_value", EVENT_SCHEMA).alias("_e"),
+        F.coalesce(F.ltrim(F.get_json_object("raw_value", "$")).startswith("{"), F.lit(False)).alias("_readable"),
+    )
+    clean = parsed.select(
         *kept,
-        F.coalesce(F.col("_event.request_id"), F.sha2(F.col("_text"), 256)).alias("request_id"),
-        pid.alias("protein_id"),
-        seq.alias("sequence"),
-        F.coalesce(F.col("_event.source"), F.lit("api")).alias("source"),
-        S.parse_ts(F.col("_event.event_time"), "+00:00").alias("event_time"),
-        F.coalesce(meta, F.lit("{}")).alias("metadata"),
-        S.checksum(seq, F.col("_event.checksum")).alias("checksum"),
-        F.col("_text").alias("raw_value"),
-        event_error(F.col("_readable"), pid, seq).alias("error_message"),
+        F.coalesce("_e.request_id", F.sha2("raw_value", 256)).alias("request_id"),
+        S.trimmed_id(F.col("_e.protein_id")).alias("protein_id"),
+        S.normalize_sequence(F.col("_e.sequence")).alias("sequence"),
+        F.coalesce("_e.source", F.lit("api")).alias("source"),
+        S.parse_ts(F.col("_e.event_time"), "+00:00").alias("event_time"),
+        F.coalesce("_e.metadata", F.lit("{}")).alias("metadata"),
+        F.col("_e.checksum").alias("_checksum"),
+        "raw_value",
+        "_readable",
     )
+    return clean.select(
+        *kept,
+        "request_id", "protein_id", "sequence", "source", "event_time", "metadata",
+        S.checksum(F.col("sequence"), F.col("_checksum")).alias("checksum"),
+        "raw_value",
+        event_error(F.col("_readable"), F.col("protein_id"), F.col("sequence")).alias("error_message"),
+    )
 
 
 def parse_events(raw: DataFrame, value: str = "value") -> Parsed:
@@ -88,7 +96,14 @@ def dead_letters(rows: DataFrame) -> DataFrame:
 
 def request_parameters(events: DataFrame, default_top_k: int = 20) -> DataFrame:
     """E-09, E-10: ``top_k`` and ``threshold`` columns from the metadata JSON."""
-    meta = F.col("metadata")
-    return events.withColumn(
-        "top_k", S.coerce_top_k(F.get_json_object(meta, "$.top_k"), default_top_k)
-    ).withColumn("threshold", S.coerce_threshold(F.get_json_object(meta, "$.threshold")))
+    kept = events.columns
+    read = events.select(
+        "*",
+        F.get_json_object("metadata", "$.top_k").alias("_k"),
+        F.get_json_object("metadata", "$.threshold").alias("_t"),
+    )
+    return read.select(
+        *kept,
+        S.coerce_top_k(F.col("_k"), default_top_k).alias("top_k"),
+        S.coerce_threshold(F.col("_t")).alias("threshold"),
+    )

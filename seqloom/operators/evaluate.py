@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators import graph
+from seqloom.operators.lineage import cut_lineage
 from seqloom.operators.ordering import keep_first
 
 NORMS = ("cafa", "pred", "gt")
@@ -27,30 +28,37 @@ def _ratio(a, b):
 
 
 def _prepare(pred, truth, edges, terms, toi, known, opt):
-    """(namespace, protein, term, level, is_true, ia) for every predicted or true cell."""
-    closure = graph.ancestors(edges)
-    own = terms.select("term", F.col("term").alias("target"))
-    paths = closure.withColumnRenamed("ancestor", "target").unionByName(own)
-    names = terms.select("term", "namespace", "ia")
+    """(namespace, protein, level, is_true, ia) for every predicted or true cell of judged proteins.
 
-    labels = truth.select("protein_id", "term").join(paths, "term").select("protein_id", F.col("target").alias("term"))
-    labels = labels.distinct().join(names.select("term"), "term", "left_semi")
+    Predictions and answers climb the ontology together: one join with the paths and one
+    aggregation. Paths are cut to the terms of interest before that join.
+    """
+    names = terms.select("term", "namespace", "ia")
     wanted = terms.select("term")
     if toi is not None:
         wanted = wanted.join(toi.select("term"), "term", "left_semi")
     if opt.no_orphans:
         wanted = wanted.join(edges.select(F.col("child").alias("term")), "term", "left_semi")
+    own = terms.select("term", F.col("term").alias("ancestor"))
+    paths = graph.ancestors(edges).unionByName(own).withColumnRenamed("ancestor", "target")
+    paths = paths.join(wanted.withColumnRenamed("term", "target"), "target", "left_semi")
 
-    raw = pred.filter(F.col("score") > 0).join(names.select("term", "namespace"), "term")
+    raw = pred.filter(F.col("score") > 0).join(truth.select("protein_id"), "protein_id", "left_semi")
+    raw = raw.join(names.select("term", "namespace"), "term")
     if opt.max_terms is not None:
         raw = keep_first(raw, ["protein_id", "namespace"], [F.desc("score"), F.asc("term")], opt.max_terms)
-    spread = (graph.fill_scores if opt.fill else graph.propagate_scores)(raw.select("protein_id", "term", "score"), paths)
-
-    cells = labels.withColumn("is_true", F.lit(1)).withColumn("score", F.lit(None).cast("double")).unionByName(
-        spread.withColumn("is_true", F.lit(0))
+    both = raw.select("protein_id", "term", "score", F.lit(0).alias("is_true")).unionByName(
+        truth.select("protein_id", "term", F.lit(None).cast("double").alias("score"), F.lit(1).alias("is_true"))
     )
-    cells = cells.groupBy("protein_id", "term").agg(F.max("score").alias("score"), F.max("is_true").alias("is_true"))
-    cells = cells.join(wanted, "term", "left_semi")
+    both = both.groupBy("protein_id", "term").agg(F.max("score").alias("score"), F.max("is_true").alias("is_true"))
+    spread = both.join(paths, "term").select(
+        "protein_id", F.col("target"), "score", "is_true",
+        F.when(F.col("term") == F.col("target"), F.col("score")).alias("_own"),
+    )
+    best = [F.max("score").alias("score"), F.max("is_true").alias("is_true")]
+    if opt.fill:
+        best[0] = F.coalesce(F.max("_own"), F.max("score")).alias("score")
+    cells = spread.groupBy("protein_id", F.col("target").alias("term")).agg(*best)
     if known is not None:
         cells = cells.join(known.select("protein_id", "term"), ["protein_id", "term"], "left_anti")
     steps = F.lit(round(1 / opt.step))
@@ -82,8 +90,11 @@ def cafa_eval(
     cells = _prepare(pred, truth, edges, terms, toi, known, opt)
     keys = ["namespace", "protein_id"]
     true, w = F.col("is_true"), F.col("ia")
-    folded = cells.groupBy(*keys, "level").agg(
-        F.count("*").alias("n"), F.sum(true).alias("t"), F.sum(w).alias("wn"), F.sum(w * true).alias("wt")
+    # read several times below, and far smaller than the cells
+    folded = cut_lineage(
+        cells.groupBy(*keys, "level").agg(
+            F.count("*").alias("n"), F.sum(true).alias("t"), F.sum(w).alias("wn"), F.sum(w * true).alias("wt")
+        )
     )
     totals = folded.groupBy(*keys).agg(F.sum("t").alias("all_t"), F.sum("wt").alias("all_wt"))
     judged = totals.filter("all_t > 0")  # proteins with a known answer in the namespace

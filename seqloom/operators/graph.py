@@ -12,27 +12,24 @@ from seqloom.operators.lineage import cut_lineage
 MAX_DOUBLINGS = 40
 
 
-def _compose(first: DataFrame, second: DataFrame) -> DataFrame:
-    left = first.select(F.col("term").alias("_from"), F.col("ancestor").alias("_mid"))
-    right = second.select(F.col("term").alias("_mid"), F.col("ancestor").alias("_to"))
-    return left.join(right, "_mid").select(F.col("_from").alias("term"), F.col("_to").alias("ancestor"))
-
-
 def ancestors(edges: DataFrame) -> DataFrame:
     """G-01: all (term, ancestor) pairs of an acyclic child-to-parent edge table.
 
-    Round k knows the pairs at distance 1..2^k and those at exactly 2^k; composing the two doubles
-    the reach, so a graph of depth d takes log2(d) rounds instead of d.
+    Round k holds the pairs at distance 1..2^k, flagged when one of their paths has exactly 2^k
+    steps. Joining flagged pairs with all pairs doubles the reach, and the flag of the second pair
+    tells which results are exact again, so one join and one aggregation per round suffice and a
+    graph of depth d takes log2(d) rounds.
     """
-    reach = cut_lineage(edges.select(F.col("child").alias("term"), F.col("parent").alias("ancestor")).distinct())
-    exact = reach
+    start = edges.select(F.col("child").alias("term"), F.col("parent").alias("ancestor")).distinct()
+    reach = cut_lineage(start.withColumn("_exact", F.lit(True)))
     for _ in range(MAX_DOUBLINGS):
+        exact = reach.filter("_exact").select(F.col("term").alias("_from"), F.col("ancestor").alias("_mid"))
         if exact.isEmpty():
-            return reach
-        reach, exact = (
-            cut_lineage(reach.unionByName(_compose(exact, reach)).distinct()),
-            cut_lineage(_compose(exact, exact).distinct()),
-        )
+            return reach.select("term", "ancestor")
+        onward = reach.select(F.col("term").alias("_mid"), "ancestor", "_exact")
+        longer = exact.join(onward, "_mid").select(F.col("_from").alias("term"), "ancestor", "_exact")
+        both = reach.withColumn("_exact", F.lit(False)).unionByName(longer)
+        reach = cut_lineage(both.groupBy("term", "ancestor").agg(F.max("_exact").alias("_exact")))
     raise ValueError("the edge table contains a cycle")
 
 

@@ -399,8 +399,8 @@ def _scored(d):
 @query(
     "st04_score_batches",
     f"""{SCORED}, c AS (SELECT *, sequence[3:3] AS letter, (row_number() OVER (PARTITION BY top_k, threshold ORDER BY position) - 1) // 64 AS ch FROM k WHERE top_k <> 500),
-        t AS (SELECT top_k, threshold, ch, protein_id, letter, min(position) AS at, (ord(letter) - 64) / 32.0 AS score FROM c GROUP BY ALL),
-        g AS (SELECT top_k, threshold, ch, protein_id, string_agg('GO:' || letter, ',' ORDER BY at) AS terms, max(score) AS max_score, count(*) AS n FROM t GROUP BY ALL)
+        t AS (SELECT top_k, threshold, ch, protein_id, letter, min(position) AS first_at, (ord(letter) - 64) / 32.0 AS score FROM c GROUP BY ALL),
+        g AS (SELECT top_k, threshold, ch, protein_id, string_agg('GO:' || letter, ',' ORDER BY first_at) AS terms, max(score) AS max_score, count(*) AS n FROM t GROUP BY ALL)
         SELECT c.request_id, c.protein_id, terms, max_score, printf('top_terms=%d;max_score=%.6f', n, max_score) AS confidence
         FROM c JOIN g USING (top_k, threshold, ch, protein_id)""",
 )
