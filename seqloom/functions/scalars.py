@@ -272,8 +272,8 @@ def preview(c: Column, n: int = 60) -> Column:
 
 
 def clip_score(c: Column) -> Column:
-    """E-31: score limited to [0, 1]."""
-    return F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
+    """E-31: score limited to [0, 1]; null stays null."""
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0)))
 
 
 def retryable(error_code: Column, stage_name: Column) -> Column:

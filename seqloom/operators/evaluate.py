@@ -62,7 +62,9 @@ def _prepare(pred, truth, edges, terms, toi, known, opt):
     if known is not None:
         cells = cells.join(known.select("protein_id", "term"), ["protein_id", "term"], "left_anti")
     steps = F.lit(round(1 / opt.step))
-    level = F.coalesce(F.least(F.floor(F.col("score") * steps + 1e-9), steps - 1), F.lit(0)).cast("int")
+    # least() skips nulls, so cells without a score are told apart first
+    reached = F.least(F.floor(F.col("score") * steps + 1e-9), steps - 1).cast("int")
+    level = F.when(F.col("score").isNull(), 0).otherwise(reached)
     return cells.join(names, "term").select(
         "namespace", "protein_id", level.alias("level"), "is_true", F.coalesce("ia", F.lit(1.0)).alias("ia")
     )

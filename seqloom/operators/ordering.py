@@ -46,33 +46,33 @@ def running_totals(
 
     spark = df.sparkSession
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = {n: f"_part_{n}" for n in totals}
+    parts = {n: f"_running_{n}" for n in totals}
     placed = cut_lineage(
         df.select("*", *[v.alias(parts[n]) for n, v in totals.items()])
         .repartitionByRange(slots, *[F.col(k) for k in keys], *order)
-        .withColumn("_slot", F.spark_partition_id())
+        .withColumn("_range", F.spark_partition_id())
     )
-    inner = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    inner = Window.partitionBy(*keys, "_range").orderBy(*order)
     inner = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = placed.select(
-        *df.columns, "_slot", *[F.sum(parts[n]).over(inner).alias(n) for n in totals]
+        *df.columns, "_range", *[F.sum(parts[n]).over(inner).alias(n) for n in totals]
     )
-    earlier = Window.partitionBy(*keys).orderBy("_slot")
+    earlier = Window.partitionBy(*keys).orderBy("_range")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        placed.groupBy(*keys, "_slot")
+        placed.groupBy(*keys, "_range")
         .agg(*[F.sum(p).alias(p) for p in parts.values()])
         .select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-            F.col("_slot").alias("_s"),
-            *[F.coalesce(F.sum(p).over(earlier), F.lit(0)).alias(f"_before{p}") for p in parts.values()],
+            *[F.col(k).alias(f"_group_key{i}") for i, k in enumerate(keys)],
+            F.col("_range").alias("_range_key"),
+            *[F.coalesce(F.sum(p).over(earlier), F.lit(0)).alias(f"_shift{p}") for p in parts.values()],
         )
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    same.append(F.col("_slot") == F.col("_s"))
+    same = [F.col(k).eqNullSafe(F.col(f"_group_key{i}")) for i, k in enumerate(keys)]
+    same.append(F.col("_range") == F.col("_range_key"))
     joined = within.join(shifts, reduce(lambda a, b: a & b, same))
     return joined.select(
-        *df.columns, *[(F.col(n) + F.col(f"_before{parts[n]}")).alias(n) for n in totals]
+        *df.columns, *[(F.col(n) + F.col(f"_shift{parts[n]}")).alias(n) for n in totals]
     )
 
 

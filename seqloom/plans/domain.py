@@ -312,7 +312,7 @@ CTES: dict[str, str] = {
     "pairs": """
         SELECT coalesce(t.protein_id, s.protein_id) AS protein_id, coalesce(t.term, s.term) AS term, s.score,
                CASE WHEN t.term IS NULL THEN 0 ELSE 1 END AS label
-        FROM truth t FULL OUTER JOIN scores s ON t.protein_id = s.protein_id AND t.term = s.term""",
+        FROM truth t FULL OUTER JOIN (SELECT * FROM scores WHERE score > 0.15) s ON t.protein_id = s.protein_id AND t.term = s.term""",
     "request_records": """
         SELECT l_orderkey AS request_id, 'P' || l_partkey AS protein_id, l_linenumber AS position,
                CAST(l_quantity AS INT) AS sequence_length, l_extendedprice AS price, l_suppkey AS supplier FROM lineitem""",

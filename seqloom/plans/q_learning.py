@@ -248,7 +248,7 @@ def _rounded():
 
 @query("m09_basic_metrics", f"WITH {_metric_sql([0.5])} SELECT threshold, {ROUNDED} FROM met")
 def _(d):
-    counts = metrics.term_counts(metrics.pair_table(d.truth, d.scores), [0.5])
+    counts = metrics.term_counts(metrics.pair_table(d.truth, d.scores.filter("score > 0.15")), [0.5])
     n, t = metrics.count_of(d.scored_proteins, "protein_id"), metrics.count_of(d.scored_terms, "term")
     return metrics.basic_metrics(counts, n, t).select("threshold", *_rounded())
 
@@ -261,7 +261,7 @@ def _(d):
               round(sum(hits / greatest(n, 1)) / (SELECT count(*) FROM scored_proteins), 6) AS recall_at_k FROM h JOIN t USING (protein_id)""",
 )
 def _(d):
-    rows = metrics.pr_at_k(metrics.pair_table(d.truth, d.scores), 3, d.scored_proteins, d.scored_terms)
+    rows = metrics.pr_at_k(metrics.pair_table(d.truth, d.scores.filter("score > 0.15")), 3, d.scored_proteins, d.scored_terms)
     return rows.select(big("k").alias("k"), r6("precision_at_k").alias("precision_at_k"), r6("recall_at_k").alias("recall_at_k"))
 
 
@@ -270,7 +270,7 @@ def _(d):
     f"""WITH {_metric_sql(GRID)} SELECT threshold, {ROUNDED}, threshold = (SELECT arg_min(threshold, (-micro_f1, threshold)) FROM met) AS is_best FROM met""",
 )
 def _(d):
-    rows = metrics.tune(metrics.pair_table(d.truth, d.scores), GRID, d.scored_proteins, d.scored_terms)
+    rows = metrics.tune(metrics.pair_table(d.truth, d.scores.filter("score > 0.15")), GRID, d.scored_proteins, d.scored_terms)
     return rows.select("threshold", *_rounded(), "is_best")
 
 
@@ -285,7 +285,7 @@ WEIGHTED = """wm AS (SELECT threshold, tp / greatest(tp + fp, 1e-12) AS p, tp /
         round(2 * p * r / greatest(p + r, 1e-12), 6) AS weighted_micro_f1 FROM wm""",
 )
 def _(d):
-    counts = metrics.term_counts(metrics.pair_table(d.truth, d.scores), GRID)
+    counts = metrics.term_counts(metrics.pair_table(d.truth, d.scores.filter("score > 0.15")), GRID)
     rows = metrics.weighted_micro(counts, d.ia.withColumnRenamed("ia", "weight"))
     return rows.select("threshold", *[r6(c).alias(c) for c in rows.columns if c != "threshold"])
 
@@ -295,7 +295,7 @@ def _(d):
     f"""WITH {_metric_sql([0.5], aspects=True)} SELECT aspect, threshold, (SELECT count(*) FROM ontology o WHERE o.aspect = met.aspect) AS num_terms, {ROUNDED} FROM met""",
 )
 def _(d):
-    rows = metrics.aspect_metrics(metrics.pair_table(d.truth, d.scores), 0.5, d.scored_proteins, d.ontology)
+    rows = metrics.aspect_metrics(metrics.pair_table(d.truth, d.scores.filter("score > 0.15")), 0.5, d.scored_proteins, d.ontology)
     return rows.select("aspect", "threshold", "num_terms", *_rounded())
 
 
@@ -355,7 +355,7 @@ def _(d):
 EVAL = """w AS (SELECT o.term, o.aspect AS namespace, coalesce(ia.ia, 1.0) AS ia FROM ontology o LEFT JOIN ia ON ia.term = o.term),
     full_paths AS (SELECT term, ancestor AS target FROM closure UNION ALL SELECT term, term FROM ontology),
     lab AS (SELECT DISTINCT protein_id, target AS term FROM truth JOIN full_paths USING (term)),
-    prd AS (SELECT protein_id, target AS term, max(score) AS score FROM scores JOIN full_paths USING (term) GROUP BY 1, 2),
+    prd AS (SELECT protein_id, target AS term, max(score) AS score FROM scores JOIN full_paths USING (term) WHERE score > 0.3 GROUP BY 1, 2),
     cell AS (SELECT w.namespace, coalesce(l.protein_id, p.protein_id) AS protein_id, coalesce(p.score, 0) AS score, (l.term IS NOT NULL)::INT AS y, w.ia
              FROM lab l FULL OUTER JOIN prd p ON l.protein_id = p.protein_id AND l.term = p.term JOIN w ON w.term = coalesce(l.term, p.term)),
     tot AS (SELECT namespace, protein_id, sum(y) AS nt, sum(y * ia) AS wt FROM cell GROUP BY 1, 2 HAVING sum(y) > 0),
@@ -390,6 +390,6 @@ def _(d):
 
 def _evaluation(d):
     terms = joins.with_ia(d.ontology.select("term", F.col("aspect").alias("namespace")), d.ia)
-    return evaluate.cafa_eval(d.scores, d.truth, d.edges, terms, options=evaluate.EvalOptions(step=0.1))
+    return evaluate.cafa_eval(d.scores.filter("score > 0.3"), d.truth, d.edges, terms, options=evaluate.EvalOptions(step=0.1))
 
 
