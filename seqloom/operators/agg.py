@@ -154,8 +154,12 @@ def first_by(df: DataFrame, key: str, c: str, position: str) -> DataFrame:
 
 
 def sets_by(df: DataFrame, key: str, c: str) -> DataFrame:
-    """A-09: sorted set of values per group; pairs are made distinct in their own shuffle first."""
-    return df.select(key, c).distinct().groupBy(key).agg(F.array_sort(F.collect_list(c)).alias("members"))
+    """A-09: set of values per group, one row per member.
+
+    Kept long on purpose: a group holding most of the rows stays spread over tasks, and set
+    operations on such tables are plain intersect, union and except.
+    """
+    return df.select(key, F.col(c).alias("member")).distinct()
 
 
 def mean_ia_by_aspect(ann: DataFrame, ia: DataFrame) -> DataFrame:

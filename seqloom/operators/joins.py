@@ -206,8 +206,17 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def set_tables(left: DataFrame, right: DataFrame) -> dict[str, DataFrame]:
+    """U-03 to U-05 on long set tables (group, member)."""
+    return {
+        "both": left.intersect(right),
+        "either": left.unionByName(right).distinct(),
+        "only_left": left.subtract(right),
+    }
+
+
 def set_columns(left: Column, right: Column) -> dict[str, Column]:
-    """U-03 to U-05 on array columns, sorted."""
+    """U-03 to U-05 on array columns of bounded size, sorted."""
     return {
         "both": F.array_sort(F.array_intersect(left, right)),
         "either": F.array_sort(F.array_union(left, right)),

@@ -89,13 +89,9 @@ def _(d):
     return agg.first_by(d.inbound, "protein_id", "checksum", "position")
 
 
-@query(
-    "a09_sets_by",
-    "SELECT protein_id, array_to_string(list_sort(list_distinct(list(term))), ',') AS terms FROM annotations GROUP BY 1",
-)
+@query("a09_sets_by", "SELECT DISTINCT protein_id, term AS member FROM annotations")
 def _(d):
-    rows = agg.sets_by(d.annotations, "protein_id", "term")
-    return rows.select("protein_id", F.array_join(F.col("members").cast("array<string>"), ",").alias("terms"))
+    return agg.sets_by(d.annotations, "protein_id", "term")
 
 
 @query(

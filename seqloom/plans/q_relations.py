@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seqloom.operators import dedupe, graph, joins, prep
+from seqloom.operators import agg, dedupe, graph, joins, prep, scoring
+from seqloom.operators.ordering import keep_first
 from seqloom.plans.domain import big, r6, stamp
 from seqloom.plans.registry import query
 
@@ -96,16 +97,16 @@ def _(d):
     "j07_attach_results",
     """SELECT i.position, coalesce(p.n, 0) AS n_terms, round(coalesce(p.best, 0.0), 6) AS max_score, p.first_term
        FROM inbound i LEFT JOIN (SELECT 'P' || protein_id AS pid, count(*) AS n, max(score) AS best,
-         arg_min(CAST(term AS VARCHAR), (-score, term)) AS first_term FROM scores GROUP BY 1) p ON p.pid = i.protein_id""",
+         arg_min(CAST(term AS VARCHAR), (-score, term)) AS first_term
+         FROM (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY protein_id ORDER BY score DESC, term) <= 500) GROUP BY 1) p ON p.pid = i.protein_id""",
 )
 def _(d):
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("protein_id").orderBy(F.desc("score"), F.asc("term")))
     none = F.lit(None).cast("string")
-    predictions = d.scores.select(
+    # a model returns at most 500 terms per protein
+    predictions = scoring.top_k(d.scores, 500).select(
         F.concat(F.lit("P"), "protein_id").alias("protein_id"), F.lit("ensemble").alias("model"),
-        F.col("term").cast("string").alias("go_term"), "score", none.alias("aspect"), none.alias("name"), rank.alias("rank"),
+        F.col("term").cast("string").alias("go_term"), "score", none.alias("aspect"), none.alias("name"),
+        F.struct(-F.col("score"), F.col("term")).alias("rank"),
     )
     rows = joins.attach_results(d.inbound, predictions)
     best = F.coalesce(F.array_max(F.transform("predictions", lambda p: p["score"])), F.lit(0.0))
@@ -144,7 +145,8 @@ def _(d):
 @query(
     "j10_request_protein_links",
     """SELECT o_orderkey AS request_id, 'P' || l_partkey AS protein_id, CAST(l_quantity AS BIGINT) AS sequence_length
-       FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+       FROM orders JOIN (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice) <= 400)
+         ON l_orderkey = o_orderkey
        UNION ALL SELECT o_orderkey, 'single' || o_custkey, 7 FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 )
 def _(d):
@@ -152,7 +154,9 @@ def _(d):
         F.concat(F.lit(" P"), "l_partkey").alias("protein_id"), F.lit(None).cast("string").alias("sequence"),
         F.col("l_quantity").cast("int").alias("sequence_length"), F.lit(None).cast("string").alias("description"),
     )
-    lists = d.table("lineitem").groupBy(F.col("l_orderkey").alias("request_id")).agg(F.collect_list(record).alias("input_records"))
+    # a request holds at most 400 records
+    admitted = keep_first(d.table("lineitem"), ["l_orderkey"], [F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_extendedprice")], 400)
+    lists = admitted.groupBy(F.col("l_orderkey").alias("request_id")).agg(F.collect_list(record).alias("input_records"))
     events = (
         d.table("orders")
         .select(
@@ -355,27 +359,27 @@ def _(d):
 
 
 def _member_sets(d):
-    pair = lambda flag: F.array_distinct(F.filter(F.collect_list(F.when(F.col("l_returnflag") == flag, F.col("l_partkey"))), lambda x: x.isNotNull()))
-    rows = d.table("lineitem").groupBy(F.col("l_orderkey").alias("protein_id")).agg(pair("R").alias("x"), pair("N").alias("y"))
-    return rows.select("protein_id", *[c.alias(n) for n, c in joins.set_columns(F.col("x"), F.col("y")).items()])
+    members = lambda flag: agg.sets_by(
+        d.table("lineitem").filter(F.col("l_returnflag") == flag).withColumnRenamed("l_orderkey", "protein_id"), "protein_id", "l_partkey"
+    )
+    return joins.set_tables(members("R"), members("N"))
 
 
-def _sets_sql(expr: str) -> str:
-    return f"""SELECT protein_id, array_to_string(list_sort(list_distinct({expr})), ',') AS terms FROM (
-        SELECT l_orderkey AS protein_id, coalesce(list(l_partkey) FILTER (WHERE l_returnflag = 'R'), []) AS x,
-               coalesce(list(l_partkey) FILTER (WHERE l_returnflag = 'N'), []) AS y FROM lineitem GROUP BY 1)"""
+def _sets_sql(word: str) -> str:
+    side = "SELECT DISTINCT l_orderkey AS protein_id, l_partkey AS member FROM lineitem WHERE l_returnflag = "
+    return f"{side}'R' {word} {side}'N'"
 
 
-@query("u03_intersection", _sets_sql("list_intersect(x, y)"))
+@query("u03_intersection", _sets_sql("INTERSECT"))
 def _(d):
-    return _member_sets(d).select("protein_id", F.array_join(F.col("both").cast("array<string>"), ",").alias("terms"))
+    return _member_sets(d)["both"]
 
 
-@query("u04_union_of_sets", _sets_sql("list_concat(x, y)"))
+@query("u04_union_of_sets", _sets_sql("UNION"))
 def _(d):
-    return _member_sets(d).select("protein_id", F.array_join(F.col("either").cast("array<string>"), ",").alias("terms"))
+    return _member_sets(d)["either"]
 
 
-@query("u05_difference", _sets_sql("list_filter(x, lambda v: NOT list_contains(y, v))"))
+@query("u05_difference", _sets_sql("EXCEPT"))
 def _(d):
-    return _member_sets(d).select("protein_id", F.array_join(F.col("only_left").cast("array<string>"), ",").alias("terms"))
+    return _member_sets(d)["only_left"]

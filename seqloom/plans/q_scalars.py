@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from seqloom.functions import payload as P
 from seqloom.functions import scalars as S
 from seqloom.functions import validate as V
-from seqloom.operators import agg, naming, requests
+from seqloom.operators import agg, naming, requests, scoring
+from seqloom.operators.ordering import keep_first
 from seqloom.plans.domain import big, r6, stamp
 from seqloom.plans.registry import query
 
@@ -225,10 +226,10 @@ def _(d):
 @query(
     "e16_confidence_summary",
     """SELECT protein_id, printf('top_terms=%d;max_score=%.6f', count(*), max(score)) AS summary
-       FROM scores GROUP BY protein_id""",
+       FROM (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY protein_id ORDER BY score DESC, term) <= 500) GROUP BY protein_id""",
 )
 def _(d):
-    maps = d.scores.groupBy("protein_id").agg(
+    maps = scoring.top_k(d.scores, 500).groupBy("protein_id").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "score"))).alias("score_map")
     )
     return maps.select("protein_id", S.confidence_summary(F.col("score_map")).alias("summary"))
@@ -289,9 +290,8 @@ def _(d):
        FROM orders o LEFT JOIN per p ON o.o_orderkey = p.request_id""",
 )
 def _(d):
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy("request_id").orderBy("position", "protein_id", "price", "supplier"))
+    # any sortable value can be a position, so rows need not be numbered
+    place = F.struct("position", "protein_id", "price", "supplier")
     records = d.request_records.select(
         "request_id", place.alias("position"), F.col("protein_id").alias("id"),
         F.when(F.col("sequence_length") == 13, "mkb").otherwise("mk l").alias("sequence"),
@@ -392,12 +392,13 @@ def _(d):
 @query(
     "e27_decode_rows",
     """SELECT protein_id, count(*) FILTER (WHERE term % 7 <> 0) AS n_rows,
-              round(max(score) FILTER (WHERE term % 7 <> 0), 6) AS best FROM scores GROUP BY protein_id""",
+              round(max(score) FILTER (WHERE term % 7 <> 0), 6) AS best
+       FROM (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY protein_id ORDER BY score DESC, term) <= 500) GROUP BY protein_id""",
 )
 def _(d):
     row = F.to_json(F.struct(F.col("term").cast("string").alias("go_term"), "score"))
     text = F.when(F.col("term") % 7 == 0, F.concat(F.lit("{"), row)).otherwise(row)
-    lists = d.scores.groupBy("protein_id").agg(F.collect_list(text).alias("rows"))
+    lists = scoring.top_k(d.scores, 500).groupBy("protein_id").agg(F.collect_list(text).alias("rows"))
     parsed = lists.withColumn("rows", P.decode_rows(F.col("rows")))
     best = F.array_max(F.transform("rows", lambda r: r["score"]))
     return parsed.select("protein_id", big(F.size("rows")).alias("n_rows"), r6(best).alias("best"))
@@ -406,7 +407,7 @@ def _(d):
 @query(
     "e28_terms_of",
     """SELECT protein_id, string_agg(term || '=' || printf('%.2f', score), ',' ORDER BY score DESC, term) AS terms
-       FROM scores GROUP BY protein_id""",
+       FROM (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY protein_id ORDER BY score DESC, term) <= 500) GROUP BY protein_id""",
 )
 def _(d):
     # even terms come as objects with a score, odd ones as bare ids scored by the map
@@ -415,7 +416,7 @@ def _(d):
         F.concat(F.lit('"'), name, F.lit('"'))
     )
     entry = F.struct(F.col("term"), item.alias("item"), F.concat(F.lit('"'), name, F.lit('":'), F.col("score")).alias("pair"))
-    lists = d.scores.groupBy("protein_id").agg(F.array_sort(F.collect_list(entry)).alias("x"))
+    lists = scoring.top_k(d.scores, 500).groupBy("protein_id").agg(F.array_sort(F.collect_list(entry)).alias("x"))
     join = lambda f: F.array_join(F.transform("x", lambda e: e[f]), ",")
     text = F.concat(F.lit('{"top_terms":['), join("item"), F.lit('],"score_map":{'), join("pair"), F.lit("}}"))
     terms = lists.select("protein_id", P.terms_of(text).alias("t"))
@@ -426,7 +427,7 @@ def _(d):
 @query(
     "e29_score_map",
     """WITH rows AS (SELECT l_orderkey AS protein_id, l_partkey % 5 AS term, l_quantity / 50 AS score,
-                 row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_suppkey) AS rn FROM lineitem),
+                 row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_suppkey) AS rn FROM lineitem QUALIFY rn <= 500),
        per AS (SELECT protein_id, term, min(rn) AS first_rn, arg_max(score, rn) AS score FROM rows GROUP BY 1, 2)
        SELECT protein_id, string_agg(term || '=' || printf('%.2f', score), ',' ORDER BY first_rn) AS terms FROM per GROUP BY 1""",
 )
@@ -435,7 +436,8 @@ def _(d):
         "l_linenumber", "l_partkey", "l_extendedprice", "l_suppkey",
         (F.col("l_partkey") % 5).cast("string").alias("go_term"), (F.col("l_quantity") / 50).alias("score"),
     )
-    lists = d.table("lineitem").groupBy(F.col("l_orderkey").alias("protein_id")).agg(
+    order = [F.asc(c) for c in ("l_linenumber", "l_partkey", "l_extendedprice", "l_suppkey")]
+    lists = keep_first(d.table("lineitem"), ["l_orderkey"], order, 500).groupBy(F.col("l_orderkey").alias("protein_id")).agg(
         F.array_sort(F.collect_list(entry)).alias("rows")
     )
     maps = lists.select("protein_id", P.score_map(F.col("rows")).alias("m"))
