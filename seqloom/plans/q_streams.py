@@ -341,7 +341,7 @@ GOOD = """good AS (SELECT *, CASE WHEN regexp_full_match(trim(raw_k), '[+-]?\\d+
 
 
 @query(
-    "st01_pipeline_status",
+    "st01_stream_job_status",
     f"""WITH {GOOD} SELECT 'VALIDATED' AS current_status, 'spark_validation' AS stage_name, (SELECT count(*) FROM good) AS n
         UNION ALL SELECT 'SKIPPED', 'spark_dedup', (SELECT count(*) FROM good) - (SELECT n FROM uniq)
         UNION ALL SELECT 'PROCESSING', 'spark_modal_inference', (SELECT n FROM uniq)
@@ -356,7 +356,7 @@ def _(d):
 
 
 @query(
-    "snk06_pipeline_dead_letters",
+    "snk06_stream_job_dead_letters",
     """SELECT error_code, error_message, count(*) AS n FROM (
          SELECT CASE WHEN error_message = 'malformed JSON' THEN 'JSONDecodeError' ELSE 'ValidationError' END AS error_code, error_message
          FROM parsed WHERE error_message IS NOT NULL) GROUP BY 1, 2""",
