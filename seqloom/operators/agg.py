@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.lineage import cut_lineage
-from seqloom.operators.ordering import keep_first, number_rows, running_totals
+from seqloom.operators.ordering import join_same, keep_first, number_rows, running_totals
 
 
 
@@ -55,7 +55,7 @@ def quantiles(df: DataFrame, c: str, ratios: dict[str, float], keys: Sequence[st
     """Exact interpolated quantiles per group."""
     ranks = value_ranks(df, c, keys)
     sizes = ranks.groupBy(*keys).agg(F.max("upto").alias("_size"))
-    ranked = ranks.join(sizes, list(keys)) if keys else ranks.withColumn("_size", sizes.select("_size").scalar())
+    ranked = join_same(ranks, sizes, keys)
     value = F.col(c).cast("double")
     parts = []
     for name, ratio in ratios.items():
@@ -79,7 +79,7 @@ def nearest_ranks(df: DataFrame, c: str, ratios: dict[str, float], keys: Sequenc
     """Value at sorted position ``round((n - 1) * ratio)``, halves to even."""
     ranks = value_ranks(df, c, keys)
     sizes = ranks.groupBy(*keys).agg(F.max("upto").alias("_size"))
-    ranked = ranks.join(sizes, list(keys)) if keys else ranks.withColumn("_size", sizes.select("_size").scalar())
+    ranked = join_same(ranks, sizes, keys)
     place = lambda r: F.bround((F.col("_size") - 1) * F.lit(float(r)))
     return ranked.groupBy(*keys).agg(*[_at_rank(F.col(c), place(r)).alias(n) for n, r in ratios.items()])
 
@@ -95,7 +95,7 @@ def describe(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
         F.max(value).alias("max"),
     )
     quarts = quantiles(df, c, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, keys)
-    return basic.join(quarts, list(keys)) if keys else basic.join(quarts)
+    return join_same(basic, quarts, keys)
 
 
 def median_of(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:

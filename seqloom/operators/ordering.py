@@ -18,6 +18,16 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; one-row ``right`` without keys."""
+    if not keys:
+        return left.join(right)
+    names = {k: f"_same_{k}" for k in keys}
+    side = right.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(side, same).drop(*names.values())
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     if not keys:
         return df.count()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seqloom.functions import scalars as S
 from seqloom.operators.agg import nearest_ranks
 from seqloom.operators.dedupe import latest_requests
+from seqloom.operators.lineage import cut_lineage
 from seqloom.operators.ordering import keep_first
 
 
@@ -266,7 +267,7 @@ def dashboard_summary(status_log: DataFrame, user: str, admin: bool, day: date,
     The day range reaches the scan; everything after it works on one row per request.
     """
     rows = visible_to(last_days(status_log, 1, day), user, admin)
-    latest = latest_requests(rows).persist()
+    latest = cut_lineage(latest_requests(rows))  # read by every section below
     item = lambda df, section, name, value: df.select(
         F.lit(section).alias("section"), name.alias("item"), value.cast("double").alias("value")
     )

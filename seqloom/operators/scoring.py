@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions import scalars as S
-from seqloom.operators.ordering import keep_first, number_rows
+from seqloom.operators.ordering import join_same, keep_first, number_rows
 
 SCORING_BATCH = 64
 
@@ -29,11 +29,8 @@ def with_chunk_totals(chunked: DataFrame, keys: Sequence[str] = ()) -> DataFrame
     """W-08: chunks per group and rows per chunk, from partially aggregated counts."""
     sizes = chunked.groupBy(*keys, "chunk_index").agg(F.count("*").alias("chunk_size"))
     top = sizes.groupBy(*keys).agg((F.max("chunk_index") + 1).alias("total_chunks"))
-    totals = sizes.join(top, list(keys)) if keys else sizes.withColumn("total_chunks", top.scalar())
-    names = (*keys, "chunk_index")
-    side = totals.select(*[F.col(k).alias(f"_{k}") for k in names], "chunk_size", "total_chunks")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in names]
-    return chunked.join(side, same).select(*chunked.columns, "chunk_size", "total_chunks")
+    totals = join_same(sizes, top, keys)
+    return join_same(chunked, totals, [*keys, "chunk_index"])
 
 
 def score(

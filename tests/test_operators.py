@@ -184,6 +184,13 @@ def test_quantiles_and_ranks_match_numpy(spark):
         assert near[g] == v[min(len(v) - 1, round((len(v) - 1) * 0.95))]
 
 
+def test_null_groups_are_kept(spark):
+    df = spark.createDataFrame([(None, 1), (None, 3), ("a", 5)], "g string, v int")
+    assert {r.g: r.p50 for r in agg.describe(df, "v", ["g"]).collect()} == {None: 2.0, "a": 5.0}
+    chunks = scoring.with_chunk_totals(scoring.chunk(df, 2, ["v"], ["g"]), ["g"]).collect()
+    assert sorted((str(r.g), r.chunk_size, r.total_chunks) for r in chunks) == [("None", 2, 1), ("None", 2, 1), ("a", 1, 1)]
+
+
 def test_histograms_match_numpy(spark):
     values = [float(x) for x in (0, 1, 1, 2, 5, 9, 10, 10)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
