@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.agg import nearest_ranks
-from seqloom.operators.ordering import number_rows, running_totals
+from seqloom.operators.ordering import join_same, number_rows, running_totals
 
 
 # Histogram bucket bounds in seconds, rate window, failed examples kept.
@@ -46,7 +46,7 @@ def bench_summary(results: DataFrame, planned_requests: int, planned_sequences:
     sample = F.transform(F.array_sort(F.collect_list(F.struct(order, "request_label", "error"))),
                          lambda e: F.struct(e["request_label"], e["error"]))
     examples = first.agg(sample)
-    return totals.join(ranks).select(
+    return join_same(totals, ranks, ()).select(
         F.lit(planned_requests).cast("bigint").alias("planned_total_requests"),
         F.lit(planned_sequences).cast("bigint").alias("planned_total_sequences"),
         "completed_requests",

@@ -19,9 +19,11 @@ def _col(c: str | Column) -> Column:
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where null equals null; one-row ``right`` without keys."""
+    """Inner join on ``keys`` where null equals null. Without keys ``right`` is one row, whose values
+    are added as scalar subqueries.
+    """
     if not keys:
-        return left.join(right)
+        return left.withColumns({c: right.select(c).scalar() for c in right.columns})
     names = {k: f"_same_{k}" for k in keys}
     side = right.withColumnsRenamed(names)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
