@@ -38,3 +38,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
     )
+
+
+@query("op10_near_groups")
+def op10_near_groups(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.odd_sketch import near_groups
+
+    return near_groups(table(spark, folder, "documents"))
