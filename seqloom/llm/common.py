@@ -79,3 +79,13 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+@contextmanager
+def pruned_by_bloom(spark: SparkSession) -> Iterator[None]:
+    """Let Spark prune the large side of a selective join with a Bloom filter of the other side's
+    keys before it is dealt out, at every size of input. Holds for joins on one key whose other side
+    is a filtered table.
+    """
+    with setting(spark, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0"):
+        yield

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import bytewords as bw
-from seqloom.llm.common import Scratch, ready_for_python
+from seqloom.llm.common import Scratch, pruned_by_bloom, ready_for_python
 from seqloom.llm.components import components
 
 BANDS, ROWS_PER_BAND, SKETCH_BITS = 32, 4, 256
@@ -150,9 +150,11 @@ def estimate(x: Column, y: Column) -> Column:
 
 def confirm(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of class ids whose full shingle sets meet the threshold."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
-    sets = scratch.cut(texts.mapInArrow(_list_sets, "node long, items array<long>"))
+    nodes = pairs.select(F.col("a").alias("node"), "alike").union(pairs.select("b", "alike"))
+    wanted = scratch.cut(nodes.groupBy("node").agg(F.max("alike").alias("alike"))).filter(F.col("alike") >= LEAST_ESTIMATE)
+    with pruned_by_bloom(docs.sparkSession):
+        texts = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
+        sets = scratch.cut(texts.mapInArrow(_list_sets, "node long, items array<long>"))
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     met = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
@@ -194,7 +196,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .agg(F.max(F.struct("alike", "a")).alias("m"))
         .select(F.col("m.a").alias("a"), F.col("node").alias("b"), "m.alike")
     )
-    first = scratch.cut(best.filter(F.col("alike") >= LEAST_ESTIMATE).select("a", "b"))
+    first = scratch.cut(best.filter(F.col("alike") >= LEAST_ESTIMATE).select("a", "b", "alike"))
     links = confirm(scratch, slim, first)
     groups = scratch.cut(components(scratch, links))
 
@@ -209,8 +211,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     scratch.drop(buckets)
     small = placed.filter("group <> top").select("band", "key", F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("group").alias("ga"))
     apart = (F.col("ga") != F.col("group")) & ((F.col("group") == F.col("top")) | (F.col("a") < F.col("node")))
-    rest = placed.join(small, ["band", "key"]).filter(apart & (estimate(F.col("sa"), F.col("sketch")) >= LEAST_ESTIMATE))
-    rest = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    rest = placed.join(small, ["band", "key"]).filter(apart).withColumn("alike", estimate(F.col("sa"), F.col("sketch")))
+    rest = rest.filter(F.col("alike") >= LEAST_ESTIMATE)
+    rest = rest.groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).agg(F.max("alike").alias("alike"))
     rest = scratch.cut(rest.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.union(confirm(scratch, slim, rest))

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import Scratch, setting, whole_text
+from seqloom.llm.common import Scratch, pruned_by_bloom, setting, whole_text
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Files of arrivals a micro-batch takes; more batches mean less rework after a failure.
@@ -62,13 +62,14 @@ def run_state(stream: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def arrivals(docs: DataFrame, digest=sha256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def arrivals(docs: DataFrame, digest=sha256, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
     """Identifier, digest and content locator of every row of a table of files."""
     return docs.select(
         F.col(id_col).alias("id"),
         digest(whole_text(text_col)).alias("digest"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"),
+        *more,
     )
 
 
@@ -106,9 +107,8 @@ def exact_dedup(
         run_state(stream, changes, checkpoint)
     rows = spark.read.schema(fed.schema).parquet(log)
     entry = "digest string, held struct<id: %s, file: string, row: bigint>, n bigint" % fed.schema["id"].dataType.simpleString()
-    state = latest_state(spark, changes, entry)
-    grouped = scratch.cut(rows.join(state, "digest"))
-    return settle(scratch, docs, grouped, id_col, text_col)
+    state = scratch.cut(latest_state(spark, changes, entry))
+    return settle(scratch, docs, rows, state, digest, id_col, text_col)
 
 
 def latest_state(spark: SparkSession, changes: str, schema: str) -> DataFrame:
@@ -117,25 +117,18 @@ def latest_state(spark: SparkSession, changes: str, schema: str) -> DataFrame:
     return found.groupBy("digest").agg(F.max(F.struct("n", "held")).alias("s")).select("digest", "s.n", "s.held")
 
 
-def settle(scratch: Scratch, docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def settle(scratch: Scratch, docs: DataFrame, rows: DataFrame, state: DataFrame, digest, id_col: str, text_col: str) -> DataFrame:
     """Check hits by their full bytes, and split the digests that stand for several texts."""
-    spark = docs.sparkSession
     is_held = (F.col("file") == F.col("held.file")) & (F.col("row") == F.col("held.row"))
-    multiple = grouped.filter(F.col("n") > 1)
-    located = docs.select(
-        whole_text(text_col).alias("text"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-    )
-    # Spark prunes the text side with a Bloom filter of the hits before it is dealt out
-    with setting(spark, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0"):
-        texts = located.join(multiple.select("digest", "id", "file", "row", "held"), ["file", "row"])
+    located = arrivals(docs, digest, id_col, text_col, whole_text(text_col).alias("text"))
+    with pruned_by_bloom(docs.sparkSession):
+        texts = located.join(state.filter("n > 1"), "digest")
         texts = scratch.cut(texts.withColumn("is_held", is_held))
     held = texts.filter("is_held").select("digest", F.col("text").alias("held_text"))
     hits = texts.filter(~F.col("is_held"))
     differ = hits.join(held, "digest").filter(F.col("text") != F.col("held_text")).select("digest").distinct()
     differ = scratch.cut(differ)
-    sound = grouped.select(
+    sound = rows.join(state, "digest").select(
         "id", F.col("held.id").alias("keep_id"), F.col("n").alias("group_size"), is_held.alias("kept"), "digest", "file", "row"
     )
     if differ.isEmpty():
