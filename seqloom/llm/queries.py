@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import table
@@ -45,3 +45,36 @@ def op10_near_groups(spark: SparkSession, folder: str) -> DataFrame:
     from seqloom.llm.odd_sketch import near_groups
 
     return near_groups(table(spark, folder, "documents"))
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.packing import pack_documents
+
+    return pack_documents(table(spark, folder, "documents"))
+
+
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo ``divisor``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+def toxicity_model(spark: SparkSession, folder: str):
+    """Fitted on a bounded sample of the labelled rows that are not held out."""
+    from seqloom.llm import toxicity as tox
+
+    texts, toxic, share = tox.training_rows(table(spark, folder, "documents"), table(spark, folder, "labels"), remainder(5) != 0)
+    return tox.fit(texts, toxic, share)
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.toxicity import score_documents
+
+    scored = score_documents(table(spark, folder, "documents"), toxicity_model(spark, folder), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
