@@ -4,12 +4,15 @@
    time and returns 128 MinHash samples folded two ways: 32 band keys of 4 samples, and an odd
    sketch, a bitmap of 256 parities whose exclusive-or counts the samples in which two sets differ.
 2. Rows of equal sets are one class, kept by its smallest id; everything below sees classes.
-3. Each band bucket compares its members with one pivot. Odd sketches pick, for each member, the
-   pivot most like it; those pairs are confirmed on the full sets, and linked classes are joined.
-4. Of the other pairs that share a bucket only those in different groups can still matter. In each
-   bucket the members outside its largest group meet all members of other groups, pairs whose
-   sketches rule out the threshold go, and the rest is confirmed on the full sets. So a bucket of
-   copies costs rows in proportion to its members, and no link between groups is left unseen.
+3. In rounds, each band bucket compares its members with one pivot. Odd sketches pick, for each
+   member, the pivot most like it; those pairs are confirmed on the full sets, and linked classes
+   are joined. Later rounds look only at buckets that hold several groups.
+4. Of the other pairs that share a bucket only those in different groups can still matter, and of
+   those only the ones outside the bucket's largest group against all. Buckets with few of them
+   are joined to pairs; the others are cut into blocks of a bounded number of shingles, and a task
+   compares two blocks at a time: sketches rule pairs out, full sets confirm the rest, and only
+   links leave the task. So a group of copies costs rows in proportion to its members, and no link
+   between groups is left unseen.
 
 A pair at the threshold shares no bucket with a chance of (1 - 0.75**4)**32 = 5e-6, and is ruled out
 by its sketches, whose estimate must fall a quarter short of it, with one of about 1e-7.
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import bytewords as bw
-from seqloom.llm.common import Scratch, pruned_by_bloom, ready_for_python
+from seqloom.llm.common import Scratch, pruned_by_bloom, ready_for_python, setting
 from seqloom.llm.components import components
 
 BANDS, ROWS_PER_BAND, SKETCH_BITS = 32, 4, 256
@@ -34,6 +37,11 @@ SAMPLES = BANDS * ROWS_PER_BAND
 THRESHOLD = 75
 #: Pairs whose sketches estimate less than this similarity are not confirmed.
 LEAST_ESTIMATE = 0.5
+ROUNDS = 2
+#: Buckets with at most so many pairs per member are joined to pairs.
+PAIRS_PER_MEMBER = 2
+#: Shingles of the texts in a block, about; a longer text is a block of its own.
+BLOCK_SHINGLES = 50_000
 
 _U, _W = np.uint64, np.uint32
 _rng = np.random.default_rng(7)
@@ -133,14 +141,50 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         xs, ys = batch.column(2), batch.column(3)
         good = np.zeros(batch.num_rows, bool)
         for k in range(batch.num_rows):
-            x, y = xs[k].values.to_numpy(zero_copy_only=False), ys[k].values.to_numpy(zero_copy_only=False)
-            both = np.concatenate((x, y))
-            both.sort(kind="stable")
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            good[k] = 100 * shared >= THRESHOLD * (len(both) - shared)
+            good[k] = _linked(xs[k].values.to_numpy(zero_copy_only=False), ys[k].values.to_numpy(zero_copy_only=False))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
 
+def _members(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Nodes, groups, bands, sketches and sorted sets of the members of a block."""
+    flat = lambda name: block.field(name)
+    wide = lambda name: flat(name).flatten().to_numpy(zero_copy_only=False).reshape(len(block), -1)
+    lists = flat("items")
+    at, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    sets = [values[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
+    return flat("node").to_numpy(), flat("group").to_numpy(), wide("bands"), wide("sketch"), sets
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= THRESHOLD * (len(both) - shared)
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the members of two blocks, or inside one, found at the first band they share."""
+    most = int((1 - np.exp((LEAST_ESTIMATE - 1) * 4 * SAMPLES / SKETCH_BITS)) * SKETCH_BITS / 2)
+    for batch in batches:
+        found: tuple[list, list] = ([], [])
+        for k in range(batch.num_rows):
+            band, xs = batch.column(0)[k].as_py(), _members(batch.column(1)[k].values)
+            alone = not batch.column(2)[k].is_valid
+            ys = xs if alone else _members(batch.column(2)[k].values)
+            for i in range(len(xs[0])):
+                open_ = ys[1] != xs[1][i]
+                if alone:
+                    open_[: i + 1] = False
+                at = np.flatnonzero(open_)
+                at = at[np.bitwise_count(ys[3][at] ^ xs[3][i]).sum(1) <= most]
+                if band:
+                    at = at[~(ys[2][at, :band] == xs[2][i, :band]).any(1)]
+                for j in at[[_linked(xs[4][i], ys[4][j]) for j in at]] if len(at) else ():
+                    found[0].append(int(xs[0][i]))
+                    found[1].append(int(ys[0][j]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+
+
 def estimate(x: Column, y: Column) -> Column:
     """Similarity that the exclusive-or of two odd sketches tells."""
     ones = sum((F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(1, SKETCH_BITS // 64)), F.bit_count(x[0].bitwiseXOR(y[0])))
@@ -163,6 +207,75 @@ def confirm(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return links
 
 
+def mixed_buckets(buckets: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Rows of the buckets that hold several groups, with their group and the bucket's largest one."""
+    if groups is None:
+        placed = buckets.withColumn("group", F.col("node"))
+    else:
+        placed = buckets.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+    parts = placed.groupBy("band", "key", "group").agg(F.count(F.lit(1)).alias("size"))
+    largest = parts.groupBy("band", "key").agg(
+        F.max(F.struct("size", F.xxhash64("group", "band").alias("by"), "group")).alias("t"),
+        F.count(F.lit(1)).alias("parts"),
+        F.sum("size").alias("size"),
+    )
+    mixed = largest.filter("parts > 1").select(
+        "band", "key", F.col("t.group").alias("top"), "size", (F.col("size") - F.col("t.size")).alias("outside")
+    )
+    return placed.join(mixed, ["band", "key"])
+
+
+def best_pivots(placed: DataFrame, number: int) -> DataFrame:
+    """(a, b, alike): for each member outside a bucket's largest group the pivot most like it.
+
+    The pivot of a bucket is drawn from its largest group, another one in each round.
+    """
+    drawn = F.struct(F.xxhash64("node", "band", F.lit(number)).alias("by"), "node", "sketch")
+    pivots = placed.filter("group = top").groupBy("band", "key").agg(F.min(drawn).alias("p"))
+    pivots = pivots.select("band", "key", F.col("p.node").alias("a"), F.col("p.sketch").alias("sa"))
+    met = placed.filter("group <> top").join(pivots, ["band", "key"]).withColumn("alike", estimate(F.col("sa"), F.col("sketch")))
+    best = met.groupBy("node").agg(F.max(F.struct("alike", "a")).alias("m"))
+    return best.select(F.col("m.a").alias("a"), F.col("node").alias("b"), "m.alike").filter(F.col("alike") >= LEAST_ESTIMATE)
+
+
+def split_by_pairs(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    linear = F.col("outside") * F.col("size") <= PAIRS_PER_MEMBER * F.col("size")
+    return placed.filter(linear), placed.filter(~linear)
+
+
+def pairs_in_buckets(placed: DataFrame) -> DataFrame:
+    """(a, b, alike) of different groups that share a bucket and whose sketches do not rule a link out."""
+    one = placed.filter("group <> top").select("band", "key", F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("group").alias("ga"))
+    apart = (F.col("ga") != F.col("group")) & ((F.col("group") == F.col("top")) | (F.col("a") < F.col("node")))
+    met = placed.join(one, ["band", "key"]).filter(apart).withColumn("alike", estimate(F.col("sa"), F.col("sketch")))
+    met = met.filter(F.col("alike") >= LEAST_ESTIMATE)
+    return met.groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).agg(F.max("alike").alias("alike"))
+
+
+def confirm_in_blocks(scratch: Scratch, docs: DataFrame, member: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (a, b) between different groups of the buckets of ``placed``."""
+    spark = docs.sparkSession
+    nodes = scratch.cut(placed.groupBy("node").agg(F.lit(1.0).alias("alike"))).filter(F.col("alike") >= LEAST_ESTIMATE)
+    with pruned_by_bloom(spark):
+        texts = docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi")
+        sets = scratch.cut(texts.mapInArrow(_list_sets, "node long, items array<long>"))
+    top = F.col("group") == F.col("top")
+    shares = placed.groupBy("band", "key", top.alias("is_top")).agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    cut = placed.withColumn("is_top", top).join(shares, ["band", "key", "is_top"])
+    cut = cut.select("band", "key", "is_top", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "node", "group")
+    full = cut.join(member.select("node", "bands", "sketch").dropDuplicates(["node"]), "node").join(sets.dropDuplicates(["node"]), "node")
+    listed = full.groupBy("band", "key", "is_top", "block").agg(
+        F.collect_list(F.struct("node", "group", "bands", "sketch", "items")).alias("x")
+    )
+    listed = scratch.cut(listed)
+    other = listed.select("band", "key", F.col("is_top").alias("top_y"), F.col("block").alias("block_y"), F.col("x").alias("y"))
+    later = (~F.col("is_top")) & (F.col("top_y") | (F.col("block") < F.col("block_y")))
+    two = listed.join(other, ["band", "key"]).filter(later).select("band", "x", "y")
+    alone = listed.filter(~F.col("is_top")).select("band", "x", F.lit(None).cast(listed.schema["x"].dataType).alias("y"))
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "8"):
+        return scratch.cut(alone.unionByName(two).mapInArrow(_compare_blocks, "a long, b long"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -181,43 +294,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = scratch.cut(classes)
     member = classes.join(usable.withColumnRenamed("doc_id", "node"), ["node", "n", "d1", "d2"]).dropDuplicates(["node", "n", "d1", "d2"])
     member = scratch.cut(member.select("node", "n", "bands", "sketch"))
-    banded = member.select("node", "sketch", F.posexplode("bands").alias("band", "key"))
-
-    # buckets of two classes at least, each with its pivot
-    pivots = banded.groupBy("band", "key").agg(
-        F.min(F.struct(F.xxhash64("node", "band").alias("by"), "node", "sketch")).alias("pivot"), F.count(F.lit(1)).alias("size")
-    )
-    pivots = pivots.filter("size > 1").select("band", "key", F.col("pivot.node").alias("a"), F.col("pivot.sketch").alias("sa"))
-    buckets = scratch.cut(banded.join(pivots, ["band", "key"]))
-    best = (
-        buckets.filter("node <> a")
-        .withColumn("alike", estimate(F.col("sa"), F.col("sketch")))
-        .groupBy("node")
-        .agg(F.max(F.struct("alike", "a")).alias("m"))
-        .select(F.col("m.a").alias("a"), F.col("node").alias("b"), "m.alike")
-    )
-    first = scratch.cut(best.filter(F.col("alike") >= LEAST_ESTIMATE).select("a", "b", "alike"))
-    links = confirm(scratch, slim, first)
-    groups = scratch.cut(components(scratch, links))
-
-    # members outside the largest group of a bucket against the members of its other groups
-    placed = buckets.join(groups, "node", "left").select(
-        "band", "key", "node", "sketch", F.coalesce("component", "node").alias("group")
-    )
-    parts = placed.groupBy("band", "key", "group").agg(F.count(F.lit(1)).alias("size"))
-    largest = parts.groupBy("band", "key").agg(F.max(F.struct("size", "group")).alias("top"), F.count(F.lit(1)).alias("groups"))
-    mixed = largest.filter("groups > 1").select("band", "key", F.col("top.group").alias("top"))
-    placed = scratch.cut(placed.join(mixed, ["band", "key"]))
-    scratch.drop(buckets)
-    small = placed.filter("group <> top").select("band", "key", F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("group").alias("ga"))
-    apart = (F.col("ga") != F.col("group")) & ((F.col("group") == F.col("top")) | (F.col("a") < F.col("node")))
-    rest = placed.join(small, ["band", "key"]).filter(apart).withColumn("alike", estimate(F.col("sa"), F.col("sketch")))
-    rest = rest.filter(F.col("alike") >= LEAST_ESTIMATE)
-    rest = rest.groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).agg(F.max("alike").alias("alike"))
-    rest = scratch.cut(rest.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.union(confirm(scratch, slim, rest))
+    banded = member.select("node", "n", "sketch", F.posexplode("bands").alias("band", "key"))
+
+    buckets = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
+    buckets = scratch.cut(banded.join(buckets, ["band", "key"]))
+    groups, links = None, None
+    for number in range(ROUNDS):
+        placed = scratch.cut(mixed_buckets(buckets, groups))
+        stars = scratch.cut(best_pivots(placed, number))
+        made = confirm(scratch, slim, stars)
+        links = made if links is None else links.unionByName(made)
         groups = scratch.cut(components(scratch, links))
+    placed = scratch.cut(mixed_buckets(buckets, groups))
+    few, many = split_by_pairs(placed)
+    rest = scratch.cut(pairs_in_buckets(few))
+    made = confirm(scratch, slim, rest).unionByName(confirm_in_blocks(scratch, slim, member, many))
+    made = scratch.cut(made)
+    if not made.isEmpty():
+        groups = scratch.cut(components(scratch, links.unionByName(made)))
 
     # classes of one id are one document, so a class takes the smallest label of its node
     labels = classes.join(groups, "node", "left").select("n", "d1", "d2", F.coalesce("component", "node").alias("component"))

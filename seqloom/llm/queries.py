@@ -78,3 +78,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_score").alias("score"),
         (F.col("_score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.decontaminate import find_leaks
+
+    leaks = find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return leaks.select(F.when(F.col("key") >= 0, F.col("key")).alias("doc_id"), "item_id", "start", "m", "similarity")
