@@ -28,6 +28,15 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with computed columns that later steps read and never work out again.
+
+    Columns of a generator are not replaced by their expressions, which Spark would otherwise copy
+    into every filter and lambda function that names them.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def ready_for_python(spark: SparkSession) -> None:
     """Ship this package to the workers and bound the batches they get."""
     ship_package(spark)

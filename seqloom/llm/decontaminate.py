@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import Scratch, pruned_by_bloom, whole_text
+from seqloom.llm.common import Scratch, pruned_by_bloom, settled, whole_text
 
 WIDTH = 5
 SIMILARITY = 0.75
@@ -85,8 +85,8 @@ def _leaks(scratch: Scratch, docs: DataFrame, items: DataFrame, width: int) -> D
     items = items.withColumnsRenamed({"elements": "item_elements", "print": "item_print"})
     occurs = scratch.cut(items.select("item_id", "m", F.posexplode("hashes").alias("q", "h")))
     known = scratch.cut(occurs.select("h").distinct())
-    texts = docs.select(_key().alias("key"), words_of(whole_text()).alias("words"))
-    hashed = texts.select("key", shingle_hashes(width).alias("hashes"))
+    texts = settled(docs.select(_key().alias("key"), whole_text().alias("text")), words=words_of(F.col("text"))).drop("text")
+    hashed = settled(texts, hashes=shingle_hashes(width)).drop("words")
     placed = hashed.select("key", F.size("hashes").alias("size"), F.posexplode("hashes").alias("pos", "h"))
     hits = scratch.cut(placed.join(known, "h", "left_semi"))
 

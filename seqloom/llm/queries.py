@@ -86,3 +86,37 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
     leaks = find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return leaks.select(F.when(F.col("key") >= 0, F.col("key")).alias("doc_id"), "item_id", "start", "m", "similarity")
+
+
+@query(
+    "op4_url_rules",
+    r"""
+    WITH rules(rule, rule_verdict) AS (VALUES ('org/', 'allow'), ('example.org/es/', 'block'),
+      ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')),
+    parts AS (SELECT page_id, url, regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', ['host', 'path'], 's') AS p FROM pages),
+    split AS (SELECT page_id, translate(p.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, p.path AS path FROM parts),
+    keyed AS (SELECT row_number() OVER () AS k, * FROM split),
+    fits AS (SELECT k, max(length(rule)) AS longest FROM keyed, rules
+      WHERE ('.' || host) LIKE ('%.' || split_part(rule, '/', 1))
+        AND starts_with(path, substr(rule, length(split_part(rule, '/', 1)) + 1)) GROUP BY k)
+    SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
+    FROM keyed LEFT JOIN fits USING (k) LEFT JOIN rules ON length(rule) = longest
+      AND ('.' || host) LIKE ('%.' || split_part(rule, '/', 1))
+      AND starts_with(path, substr(rule, length(split_part(rule, '/', 1)) + 1))
+    """,
+)
+def op4_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.url_rules import judge, rule_table
+
+    judged = judge(table(spark, folder, "pages").select("page_id", "url"), rule_table(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm import language
+
+    docs = table(spark, folder, "documents")
+    model = language.fit(*language.training_rows(docs, F.col("doc_id").isNotNull() & (remainder(4) != 2)))
+    found = language.identify(docs, model, keep=["doc_id"])
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", F.col("_score").alias("score"))
