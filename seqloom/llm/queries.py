@@ -120,3 +120,30 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(*language.training_rows(docs, F.col("doc_id").isNotNull() & (remainder(4) != 2)))
     found = language.identify(docs, model, keep=["doc_id"])
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", F.col("_score").alias("score"))
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.pii import BASE, scan
+
+    found = scan(table(spark, folder, "documents"), keep=["doc_id"])
+    joined = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    base = f"filter(_spans, s -> s.kind IN {BASE})"
+    counts = [F.expr(f"CAST(size(filter(_spans, s -> s.kind = '{k}')) AS long)").alias(f"n_{k}") for k in BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(F.expr(joined.format(base)), 256).alias("base_sha256"), F.expr(joined.format("_spans")).alias("spans")
+    )
+
+
+@query("op1_licences")
+def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.licences import corpus_files, scan
+
+    return scan(corpus_files(table(spark, folder, "documents"), table(spark, folder, "pages")))
+
+
+@query("op8_token_rollup")
+def op8_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.token_rollup import corpus_rollup
+
+    return corpus_rollup(table(spark, folder, "documents"))
