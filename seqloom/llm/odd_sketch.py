@@ -37,7 +37,7 @@ SAMPLES = BANDS * ROWS_PER_BAND
 THRESHOLD = 75
 #: Pairs whose sketches estimate less than this similarity are not confirmed.
 LEAST_ESTIMATE = 0.5
-ROUNDS = 2
+ROUNDS = 1
 #: Buckets with at most so many pairs per member are joined to pairs.
 PAIRS_PER_MEMBER = 2
 #: Shingles of the texts in a block, about; a longer text is a block of its own.
@@ -238,6 +238,17 @@ def best_pivots(placed: DataFrame, number: int) -> DataFrame:
     return best.select(F.col("m.a").alias("a"), F.col("node").alias("b"), "m.alike").filter(F.col("alike") >= LEAST_ESTIMATE)
 
 
+def merge_groups(scratch: Scratch, groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links; only the groups that they join are worked on."""
+    one = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    two = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    known = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = scratch.cut(components(scratch, known))
+    old = groups.join(joined.select(F.col("node").alias("component"), F.col("component").alias("label")), "component", "left")
+    old = old.select("node", F.coalesce("label", "component").alias("component"))
+    return old.unionByName(joined.join(groups.select("node"), "node", "left_anti"))
+
+
 def split_by_pairs(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     linear = F.col("outside") * F.col("size") <= PAIRS_PER_MEMBER * F.col("size")
     return placed.filter(linear), placed.filter(~linear)
@@ -309,9 +320,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     few, many = split_by_pairs(placed)
     rest = scratch.cut(pairs_in_buckets(few))
     made = confirm(scratch, slim, rest).unionByName(confirm_in_blocks(scratch, slim, member, many))
-    made = scratch.cut(made)
-    if not made.isEmpty():
-        groups = scratch.cut(components(scratch, links.unionByName(made)))
+    groups = scratch.cut(merge_groups(scratch, groups, made))
 
     # classes of one id are one document, so a class takes the smallest label of its node
     labels = classes.join(groups, "node", "left").select("n", "d1", "d2", F.coalesce("component", "node").alias("component"))
