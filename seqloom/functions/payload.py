@@ -116,24 +116,26 @@ def terms_of(payload: Column) -> Column:
 
 
 def dedupe_names(columns: Sequence[str]) -> list[str]:
-    """E-30: repeated names get ``__dup1``, ``__dup2``, ..."""
-    seen: dict[str, int] = {}
-    out = []
-    for name in (str(c).strip() for c in columns):
-        times = seen[name] = seen.get(name, -1) + 1
-        out.append(f"{name}__dup{times}" if times else name)
-    return out
+    """E-30: names without outer blanks; the n-th repetition of a name ends in ``__dup`` and n."""
+    names = [str(c).strip() for c in columns]
+    earlier = [names[:i].count(name) for i, name in enumerate(names)]
+    return [name + f"__dup{n}" * (n > 0) for name, n in zip(names, earlier, strict=True)]
 
 
 def resolve_column(columns: Sequence[str], names: Sequence[str], tokens: Sequence[str] = ()) -> str | None:
-    """E-30: candidate names in turn, ignoring case; else the first column holding all tokens."""
-    by_lower = {c.lower(): c for c in columns}
-    for name in names:
-        if name.lower() in by_lower:
-            return by_lower[name.lower()]
-    if tokens:
-        return next((c for c in columns if all(t.lower() in c.lower() for t in tokens)), None)
-    return None
+    """E-30: the best ranked column: by the first of ``names`` it equals, then by holding all ``tokens``,
+    ignoring case. Of columns that equal the same name the last counts, of others the first.
+    """
+    ranks = {name.lower(): i for i, name in reversed(list(enumerate(names)))}
+
+    def rank(place: int) -> tuple[int, int]:
+        low = columns[place].lower()
+        if low in ranks:
+            return ranks[low], -place
+        return len(names) + (not tokens or any(t.lower() not in low for t in tokens)), place
+
+    best = min(range(len(columns)), key=rank, default=None)
+    return None if best is None or rank(best)[0] > len(names) else columns[best]
 
 
 # Evaluator column -> (candidate names, tokens all contained).

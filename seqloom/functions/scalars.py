@@ -124,6 +124,18 @@ def coerce_top_k(c: Column, default: int = 20, low: int = 1, high: int = 500) ->
     )
 
 
+def top_k_of_json(value: Column, default: int = 20, low: int = 1, high: int = 500) -> Column:
+    """E-09 of a JSON value (a variant): numbers lose their fraction, true and false are 1 and 0, text
+    must be an integer; the result is clamped. Anything else is the default.
+    """
+    kind = F.schema_of_variant(value)
+    number = F.try_variant_get(value, "$", "double")
+    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+    kept = F.least(F.greatest(F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "int")).otherwise(whole), F.lit(low)), F.lit(high))
+    text = coerce_top_k(F.try_variant_get(value, "$", "string"), default, low, high)
+    return F.when(kind == "STRING", text).when(number.isNotNull() | (kind == "BOOLEAN"), kept).otherwise(F.lit(default)).cast("int")
+
+
 def coerce_threshold(c: Column) -> Column:
     """E-10: number clamped to [0, 1]; missing, unreadable or NaN is null."""
     number = c.try_cast("double")

@@ -35,6 +35,11 @@ def event_error(readable: Column, protein_id: Column, sequence: Column) -> Colum
     )
 
 
+def _once(df: DataFrame, kept: list[str], *computed: Column) -> DataFrame:
+    """``kept`` and computed columns that are worked out once per row."""
+    return df.select(*kept, F.inline(F.array(F.struct(*computed))))
+
+
 def read_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """Typed columns plus ``error_message`` for every raw message (E-01 to E-04, E-06, E-09, E-10).
 
@@ -43,15 +48,17 @@ def read_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """
     kept = [c for c in raw.columns if c != value]
     text = F.col(value).cast("string")
-    # each step is a projection of its own, so JSON is parsed and text normalised once per row
-    parsed = raw.select(*kept, text.alias("raw_value")).select(
-        *kept,
-        "raw_value",
+    # columns of a generator are never replaced by their expressions, so JSON is parsed and text
+    # normalised once per row, wherever filters are pushed to
+    parsed = _once(
+        raw.select(*kept, text.alias("raw_value")),
+        [*kept, "raw_value"],
         F.from_json("raw_value", EVENT_SCHEMA).alias("_e"),
         F.coalesce(F.ltrim(F.get_json_object("raw_value", "$")).startswith("{"), F.lit(False)).alias("_readable"),
     )
-    clean = parsed.select(
-        *kept,
+    clean = _once(
+        parsed,
+        [*kept, "raw_value", "_readable"],
         F.coalesce("_e.request_id", F.sha2("raw_value", 256)).alias("request_id"),
         S.trimmed_id(F.col("_e.protein_id")).alias("protein_id"),
         S.normalize_sequence(F.col("_e.sequence")).alias("sequence"),
@@ -59,8 +66,6 @@ def read_messages(raw: DataFrame, value: str = "value") -> DataFrame:
         S.parse_ts(F.col("_e.event_time"), "+00:00").alias("event_time"),
         F.coalesce("_e.metadata", F.lit("{}")).alias("metadata"),
         F.col("_e.checksum").alias("_checksum"),
-        "raw_value",
-        "_readable",
     )
     return clean.select(
         *kept,
@@ -99,11 +104,11 @@ def request_parameters(events: DataFrame, default_top_k: int = 20) -> DataFrame:
     kept = events.columns
     read = events.select(
         "*",
-        F.get_json_object("metadata", "$.top_k").alias("_k"),
+        F.try_variant_get(F.try_parse_json("metadata"), "$.top_k", "variant").alias("_k"),
         F.get_json_object("metadata", "$.threshold").alias("_t"),
     )
     return read.select(
         *kept,
-        S.coerce_top_k(F.col("_k"), default_top_k).alias("top_k"),
+        S.top_k_of_json(F.col("_k"), default_top_k).alias("top_k"),
         S.coerce_threshold(F.col("_t")).alias("threshold"),
     )

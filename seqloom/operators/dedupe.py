@@ -3,45 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.lineage import cut_lineage
-from seqloom.operators.ordering import keep_first
-
-# Leftover edges one task may finish by itself; above it the distributed rounds go on.
-LEFTOVER_ROWS = 50_000
-
-
-def _finish(leftover: DataFrame) -> DataFrame:
-    """Sequential greedy pass over a leftover whose size the caller has checked."""
-
-    def walk(frames):
-        edges = pd.concat(list(frames), ignore_index=True)
-        if edges.empty:
-            return
-        requests, contents, rows = set(), set(), []
-        for place, request, protein, digest in sorted(
-            zip(edges["_ord_text"], edges["_r"], edges["_p"], edges["_c"], strict=True)
-        ):
-            if request in requests or (protein, digest) in contents:
-                continue
-            requests.add(request)
-            contents.add((protein, digest))
-            rows.append(place)
-        yield pd.DataFrame({"_ord_text": rows})
-
-    numbered = leftover.repartitionByRange(1, "_o").sortWithinPartitions("_o")
-    # order keys may be any type, so the pass sees positions and maps them back
-    placed = numbered.withColumn("_ord_text", F.monotonically_increasing_id())
-    placed = cut_lineage(placed)
-    kept = placed.select("_ord_text", "_r", "_p", "_c").coalesce(1).mapInPandas(walk, "_ord_text bigint")
-    return placed.join(kept, "_ord_text", "left_semi").select("_o")
-
-
-def kept_positions(df: DataFrame, order: Sequence[str], leftover_rows: int = LEFTOVER_ROWS) -> DataFrame:
+from seqloom.operators.ordering import join_same, keep_first
+
+
+def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys, nulls included, are not in ``other``."""
+    side = other.select(*[F.col(k).alias(f"_other{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_other{k}")) for k in keys])
+    return df.join(side, same, "left_anti")
+
+
+def kept_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Positions ``_o`` of the events a first-come pass over ``order`` would keep.
 
     Every event is an edge between its request id and its (protein, checksum) content; the pass
@@ -49,7 +27,9 @@ def kept_positions(df: DataFrame, order: Sequence[str], leftover_rows: int = LEF
     certainly kept, and everything touching it is certainly dropped, so each round settles all
     such edges at once. Copies of one edge are folded before any join, ends are ranked by
     partially aggregated minima rather than windows, and the joins against those minima have one
-    row per key, so a hot id is split by adaptive execution instead of landing in one task.
+    row per key, so a hot id is split by adaptive execution instead of landing in one task. Null
+    ids and contents are keys like others. Rounds go on until no edge is undecided; a chain of m
+    events that each block the next takes m / 2 of them.
     """
     edges = df.select(
         F.col("request_id").alias("_r"),
@@ -62,21 +42,17 @@ def kept_positions(df: DataFrame, order: Sequence[str], leftover_rows: int = LEF
     while True:
         at_request = active.groupBy("_r").agg(F.min("_o").alias("_first_r"))
         at_content = active.groupBy("_p", "_c").agg(F.min("_o").alias("_first_c"))
-        ranked = cut_lineage(active.join(at_request, "_r").join(at_content, ["_p", "_c"]))
+        ranked = cut_lineage(join_same(join_same(active, at_request, ["_r"]), at_content, ["_p", "_c"]))
         sure = (F.col("_o") == F.col("_first_r")) & (F.col("_o") == F.col("_first_c"))
         settled = ranked.filter(sure)
         kept.append(settled.select("_o"))
         active = cut_lineage(
             ranked.filter(~sure)
-            .join(settled.select("_r"), "_r", "left_anti")
-            .join(settled.select("_p", "_c"), ["_p", "_c"], "left_anti")
+            .transform(lambda open_: _without(open_, settled, ["_r"]))
+            .transform(lambda open_: _without(open_, settled, ["_p", "_c"]))
             .select("_r", "_p", "_c", "_o")
         )
-        left = active.count()
-        if left == 0:
-            break
-        if left <= leftover_rows:
-            kept.append(_finish(active))
+        if active.isEmpty():
             break
     out = kept[0]
     for more in kept[1:]:
@@ -84,17 +60,17 @@ def kept_positions(df: DataFrame, order: Sequence[str], leftover_rows: int = LEF
     return out
 
 
-def flag_duplicates(df: DataFrame, order: Sequence[str], leftover_rows: int = LEFTOVER_ROWS) -> DataFrame:
+def flag_duplicates(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """All events plus ``kept``: whether the first-come pass keeps them."""
-    kept = kept_positions(df, order, leftover_rows).withColumn("_kept", F.lit(True))
+    kept = kept_positions(df, order).withColumn("_kept", F.lit(True))
     place = F.struct(*order) if len(order) > 1 else F.col(order[0])
     joined = df.withColumn("_o", place).join(kept, "_o", "left")
     return joined.select(*df.columns, F.coalesce("_kept", F.lit(False)).alias("kept"))
 
 
-def dedupe_events(df: DataFrame, order: Sequence[str], leftover_rows: int = LEFTOVER_ROWS) -> DataFrame:
+def dedupe_events(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """D-01: drop an event whose request id, or whose (protein, checksum), was already kept."""
-    return flag_duplicates(df, order, leftover_rows).filter("kept").drop("kept")
+    return flag_duplicates(df, order).filter("kept").drop("kept")
 
 
 def skipped_status(duplicates: DataFrame) -> DataFrame:

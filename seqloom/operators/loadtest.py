@@ -62,8 +62,7 @@ def bench_summary(results: DataFrame, planned_requests: int, planned_sequences:
     )
 
 
-def bench_checkpoints(results: DataFrame, every: int, position: str = "seq", elapsed: str = "elapsed_seconds",
-                      bound: int | None = None) -> DataFrame:
+def bench_checkpoints(results: DataFrame, every: int, position: str = "seq", elapsed: str = "elapsed_seconds") -> DataFrame:
     """A-28: cumulative counts and rates after every ``every``-th result (positions start at 1).
 
     Rows are summed per block first; only block totals are accumulated.
@@ -75,11 +74,9 @@ def bench_checkpoints(results: DataFrame, every: int, position: str = "seq", ela
         F.sum(failed.cast("bigint")).alias("_f"),
         F.max_by(elapsed, position).alias("_t"),
     )
-    options = {} if bound is None else {"bound": bound}
     grown = running_totals(
         blocks, ["block"],
         {"completed_requests": F.col("_n"), "completed_sequences": F.col("_s"), "failure_count": F.col("_f")},
-        **options,
     )
     seconds = F.greatest(F.col("_t").cast("double"), F.lit(0.001))
     whole = grown.filter(F.col("completed_requests") == F.col("block") * every)

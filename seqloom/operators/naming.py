@@ -2,41 +2,19 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.lineage import cut_lineage
-from seqloom.operators.ordering import TASK_ROWS, number_rows
-
-FAMILY_ROWS = 100_000
+from seqloom.operators.ordering import number_rows
 
 
 def _suffixed(base, rank):
     return F.when(rank == 1, base).otherwise(F.concat_ws("_", base, rank.cast("string")))
 
 
-def _name_family(rows: pd.DataFrame) -> pd.DataFrame:
-    """First-come naming inside one family of related names."""
-    rows = rows.sort_values("_pos", kind="stable")
-    taken: set[str] = set()
-    next_try: dict[str, int] = {}
-    names = []
-    for base in rows["_base"]:
-        name = base
-        if name in taken:
-            number = next_try.get(base, 2)
-            while f"{base}_{number}" in taken:
-                number += 1
-            next_try[base] = number + 1
-            name = f"{base}_{number}"
-        taken.add(name)
-        names.append(name)
-    return pd.DataFrame({"_pos": rows["_pos"].to_numpy(), "_name": names})
-
-
 def _settle(rows: DataFrame) -> DataFrame:
-    """Naming of families too large for one task, as rounds over the whole table.
+    """First-come naming of families whose ids clash, as rounds over the whole table.
 
     Every row points at the earliest name it can hope for. A name wanted by several rows goes to
     the earliest of them; in each base the first row that lost, and all rows after it, move on.
@@ -60,42 +38,27 @@ def _settle(rows: DataFrame) -> DataFrame:
         )
 
 
-def unique_ids(
-    df: DataFrame,
-    position: str,
-    key: str = "protein_id",
-    bound: int = TASK_ROWS,
-    family_rows: int = FAMILY_ROWS,
-) -> DataFrame:
+def unique_ids(df: DataFrame, position: str, key: str = "protein_id") -> DataFrame:
     """E-18: repeated ids become ``id_2``, ``id_3``, ... (first free number), in ``position`` order;
     a missing id becomes ``protein_n`` with n = position + 1 (positions start at 0).
 
     The number is just the rank among equal ids unless another id already looks like a suffixed
-    one. Such families (ids that agree without their numeric tails) are named first-come: small
-    ones one family per task, large ones by rounds over the table.
+    one. Such families (ids that agree without their numeric tails) are named first-come, by rounds
+    over their rows.
     """
     base = F.coalesce(
         F.nullif(F.col(key), F.lit("")), F.concat(F.lit("protein_"), (F.col(position) + 1).cast("string"))
     )
     rows = df.select(F.col(position).alias("_pos"), base.alias("_base"))
-    ranked = cut_lineage(number_rows(rows, ["_pos"], ["_base"], "_rn", bound))
+    ranked = cut_lineage(number_rows(rows, ["_pos"], ["_base"], "_rn"))
     family = F.regexp_replace("_base", r"(_\d+)+$", "")
     families = ranked.groupBy(family.alias("_family")).agg(
-        F.count("*").alias("_rows"), F.max("_rn").alias("_most"),
-        (F.min("_base") != F.max("_base")).alias("_mixed"),
-    )
-    tangled = families.filter(F.col("_mixed") & (F.col("_most") > 1)).select("_family", "_rows")
-    placed = ranked.withColumn("_family", family).join(tangled, "_family", "left")
-    plain = placed.filter(F.col("_rows").isNull()).select(
-        "_pos", _suffixed(F.col("_base"), F.col("_rn")).alias("_name")
-    )
-    small = placed.filter(F.col("_rows") <= family_rows).select("_family", "_pos", "_base")
-    kind = dict(ranked.dtypes)["_pos"]
-    names = plain.unionByName(
-        small.groupBy("_family").applyInPandas(_name_family, f"_pos {kind}, _name string")
+        F.max("_rn").alias("_most"), (F.min("_base") != F.max("_base")).alias("_mixed")
     )
-    large = placed.filter(F.col("_rows") > family_rows).select("_pos", "_base", "_rn")
-    if not tangled.filter(F.col("_rows") > family_rows).isEmpty():
-        names = names.unionByName(_settle(large))
+    tangled = families.filter(F.col("_mixed") & (F.col("_most") > 1)).select("_family", F.lit(True).alias("_tangled"))
+    placed = ranked.withColumn("_family", family).join(tangled, "_family", "left")
+    plain = placed.filter(F.col("_tangled").isNull())
+    names = plain.select("_pos", _suffixed(F.col("_base"), F.col("_rn")).alias("_name"))
+    names = names.unionByName(_settle(placed.filter("_tangled").select("_pos", "_base", "_rn")))
     joined = df.join(names, df[position] == names["_pos"])
     return joined.select(*[F.col("_name").alias(c) if c == key else df[c] for c in df.columns])

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from seqloom.operators.lineage import cut_lineage
 
-# Largest group one task may order by itself.
-TASK_ROWS = 2_000_000
+# Bytes of the input, as Spark estimates them, that one range gets about; ranges are limited in number.
+RANGE_BYTES, MOST_RANGES = 128 << 20, 20_000
 
 
 def _col(c: str | Column) -> Column:
@@ -30,11 +30,10 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     return left.join(side, same).drop(*names.values())
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    if not keys:
-        return df.count()
-    sizes = df.groupBy(*keys).count()
-    return sizes.agg(F.max("count")).first()[0] or 0
+def _ranges(df: DataFrame) -> int:
+    """How many ranges to order ``df`` in: the session's partitions, more where the input is large."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_RANGES, size // RANGE_BYTES))
 
 
 def running_totals(
@@ -42,22 +41,14 @@ def running_totals(
     order: Sequence[str | Column],
     totals: Mapping[str, Column],
     keys: Sequence[str] = (),
-    bound: int = TASK_ROWS,
 ) -> DataFrame:
     """Add inclusive running sums of ``totals`` per group, in ``order`` (which must be unique).
 
-    Groups within ``bound`` rows are ordered by a plain window. Otherwise rows are range
-    partitioned on (keys, order), summed inside each range, and every range is shifted by the
-    sums of the ranges before it. No task then holds more than one range.
+    Rows are range partitioned on (keys, order), summed inside each range, and every range is
+    shifted by the sums of the ranges before it. No task holds more than one range.
     """
     order = [_col(c) for c in order]
-    if largest_group(df, keys) <= bound:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(v).over(w).alias(n) for n, v in totals.items()])
-
-    spark = df.sparkSession
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = _ranges(df)
     parts = {n: f"_running_{n}" for n in totals}
     placed = cut_lineage(
         df.select("*", *[v.alias(parts[n]) for n, v in totals.items()])
@@ -93,10 +84,9 @@ def number_rows(
     order: Sequence[str | Column],
     keys: Sequence[str] = (),
     name: str = "row_index",
-    bound: int = TASK_ROWS,
 ) -> DataFrame:
     """Add a 1-based position per group; ``order`` must be unique inside a group."""
-    return running_totals(df, order, {name: F.lit(1).cast("bigint")}, keys, bound)
+    return running_totals(df, order, {name: F.lit(1).cast("bigint")}, keys)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], n: int = 1) -> DataFrame:

@@ -64,15 +64,14 @@ def strata(ann: DataFrame) -> DataFrame:
     )
 
 
-def split(df: DataFrame, valid: float = 0.15, test: float = 0.15, seed: int = 42, bound: int | None = None) -> DataFrame:
+def split(df: DataFrame, valid: float = 0.15, test: float = 0.15, seed: int = 42) -> DataFrame:
     """M-04: train / valid / test per stratum, by a seeded hash order, at rounded quotas.
 
     The same ids and seed always give the same split. Strata larger than one task can order are
     numbered across tasks.
     """
     mixed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col("protein_id").cast("string"))))
-    options = {} if bound is None else {"bound": bound}
-    numbered = number_rows(mixed, ["_hash", "protein_id"], ["stratum"], "_place", **options)
+    numbered = number_rows(mixed, ["_hash", "protein_id"], ["stratum"], "_place")
     sizes = df.groupBy("stratum").agg(F.count("*").alias("_size"))
     n_test, n_valid = F.bround(F.col("_size") * F.lit(test)), F.bround(F.col("_size") * F.lit(valid))
     name = (

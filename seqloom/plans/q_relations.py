@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seqloom.operators import agg, dedupe, graph, joins, prep, scoring
-from seqloom.operators.ordering import keep_first
+from seqloom.operators import agg, dedupe, graph, joins, prep
 from seqloom.plans.domain import big, r6, stamp
 from seqloom.plans.registry import query
 
@@ -80,7 +79,7 @@ def _(d):
 
 
 ASPECTS_SQL = """voted AS (SELECT term, arg_min(aspect, (-n, aspect)) AS aspect FROM
-      (SELECT term, aspect, count(*) AS n FROM annotations WHERE protein_id % 3 = 0 GROUP BY 1, 2) GROUP BY 1)"""
+      (SELECT term, aspect, count(*) AS n FROM annotations GROUP BY 1, 2) GROUP BY 1)"""
 
 
 @query(
@@ -90,7 +89,7 @@ ASPECTS_SQL = """voted AS (SELECT term, arg_min(aspect, (-n, aspect)) AS aspect
         FROM voted v FULL OUTER JOIN ontology o ON o.term = v.term""",
 )
 def _(d):
-    return joins.term_aspects(d.annotations.filter("protein_id % 3 = 0"), d.ontology)
+    return joins.term_aspects(d.annotations, d.ontology)
 
 
 @query(
@@ -98,12 +97,11 @@ def _(d):
     """SELECT i.position, coalesce(p.n, 0) AS n_terms, round(coalesce(p.best, 0.0), 6) AS max_score, p.first_term
        FROM inbound i LEFT JOIN (SELECT 'P' || protein_id AS pid, count(*) AS n, max(score) AS best,
          arg_min(CAST(term AS VARCHAR), (-score, term)) AS first_term
-         FROM (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY protein_id ORDER BY score DESC, term) <= 500) GROUP BY 1) p ON p.pid = i.protein_id""",
+         FROM scores GROUP BY 1) p ON p.pid = i.protein_id""",
 )
 def _(d):
     none = F.lit(None).cast("string")
-    # a model returns at most 500 terms per protein
-    predictions = scoring.top_k(d.scores, 500).select(
+    predictions = d.scores.select(
         F.concat(F.lit("P"), "protein_id").alias("protein_id"), F.lit("ensemble").alias("model"),
         F.col("term").cast("string").alias("go_term"), "score", none.alias("aspect"), none.alias("name"),
         F.struct(-F.col("score"), F.col("term")).alias("rank"),
@@ -130,13 +128,13 @@ def _(d):
 
 @query(
     "j09_first_source",
-    """WITH a AS (SELECT protein_id AS k, request_id, seq FROM status_log WHERE seq % 500 = 0),
+    """WITH a AS (SELECT protein_id AS k, request_id, seq FROM status_log),
        b AS (SELECT lower(protein_id) AS k, request_id, seq FROM predictions)
        SELECT upper(k) AS protein_id, request_id, seq, CAST(1 AS BIGINT) AS source_rank FROM a
        UNION ALL SELECT upper(k), request_id, seq, 2 FROM b WHERE upper(k) NOT IN (SELECT k FROM a)""",
 )
 def _(d):
-    links = d.status_log.filter("seq % 500 = 0").select("protein_id", "request_id", "seq")
+    links = d.status_log.select("protein_id", "request_id", "seq")
     buckets = d.predictions.select(F.upper("protein_id").alias("protein_id"), "request_id", "seq")
     rows = joins.first_source([links, buckets], ["protein_id"])
     return rows.select("protein_id", "request_id", "seq", big("source_rank").alias("source_rank"))
@@ -145,8 +143,7 @@ def _(d):
 @query(
     "j10_request_protein_links",
     """SELECT o_orderkey AS request_id, 'P' || l_partkey AS protein_id, CAST(l_quantity AS BIGINT) AS sequence_length
-       FROM orders JOIN (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice) <= 400)
-         ON l_orderkey = o_orderkey
+       FROM orders JOIN lineitem ON l_orderkey = o_orderkey
        UNION ALL SELECT o_orderkey, 'single' || o_custkey, 7 FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 )
 def _(d):
@@ -154,9 +151,7 @@ def _(d):
         F.concat(F.lit(" P"), "l_partkey").alias("protein_id"), F.lit(None).cast("string").alias("sequence"),
         F.col("l_quantity").cast("int").alias("sequence_length"), F.lit(None).cast("string").alias("description"),
     )
-    # a request holds at most 400 records
-    admitted = keep_first(d.table("lineitem"), ["l_orderkey"], [F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_extendedprice")], 400)
-    lists = admitted.groupBy(F.col("l_orderkey").alias("request_id")).agg(F.collect_list(record).alias("input_records"))
+    lists = d.table("lineitem").groupBy(F.col("l_orderkey").alias("request_id")).agg(F.collect_list(record).alias("input_records"))
     events = (
         d.table("orders")
         .select(
@@ -232,12 +227,12 @@ def _(d):
     """SELECT namespace, round(max(f_w) FILTER (WHERE result_set = 'original'), 6) AS original,
               round(max(f_w) FILTER (WHERE result_set = 'regenerated'), 6) AS regenerated,
               round(max(f_w) FILTER (WHERE result_set = 'regenerated') - max(f_w) FILTER (WHERE result_set = 'original'), 6) AS difference
-       FROM evaluations WHERE threshold > 0.5 OR result_set = 'original' GROUP BY 1""",
+       FROM evaluations GROUP BY 1""",
 )
 def _(d):
     best = lambda rows: rows.groupBy("namespace").agg(F.max("f_w").alias("f_w"))
     original = best(d.evaluations.filter("result_set = 'original'"))
-    regenerated = best(d.evaluations.filter("result_set = 'regenerated' AND threshold > 0.5"))
+    regenerated = best(d.evaluations.filter("result_set = 'regenerated'"))
     out = joins.compare_results(original, regenerated, "f_w")
     return out.select("namespace", *[r6(c).alias(c) for c in ("original", "regenerated", "difference")])
 

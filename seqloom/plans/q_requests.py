@@ -627,7 +627,7 @@ def _(d):
 @query(
     "r02_replay_campaigns",
     f"""WITH o AS (SELECT replay_id, min(ts) AS created_at, 'planned' AS status FROM (SELECT 'c' || (event_id // 100) AS replay_id, * FROM events) WHERE event_id % 3 = 0 GROUP BY 1),
-        n AS (SELECT replay_id, max(ts) AS created_at, max(event_type) AS status FROM (SELECT 'c' || (event_id // 90) AS replay_id, * FROM events) WHERE event_id % 3 = 1 GROUP BY 1)
+        n AS (SELECT replay_id, max(ts) AS created_at, max(event_type) AS status FROM (SELECT 'c' || (event_id // 90) AS replay_id, * FROM events) WHERE event_id % 3 <> 0 GROUP BY 1)
         SELECT coalesce(o.replay_id, n.replay_id) AS replay_id, strftime(coalesce(o.created_at, n.created_at), {FMT}) AS created_at,
                CASE WHEN n.replay_id IS NULL THEN o.status ELSE n.status END AS status
         FROM o FULL OUTER JOIN n ON o.replay_id = n.replay_id""",
@@ -636,7 +636,7 @@ def _(d):
     e = d.table("events")
     name = lambda n: F.concat(F.lit("c"), F.floor(F.col("event_id") / n)).alias("replay_id")
     old = e.filter("event_id % 3 = 0").groupBy(name(100)).agg(F.min("ts").alias("created_at"), F.lit("planned").alias("status"))
-    new = e.filter("event_id % 3 = 1").groupBy(name(90)).agg(F.max("ts").alias("created_at"), F.max("event_type").alias("status"))
+    new = e.filter("event_id % 3 <> 0").groupBy(name(90)).agg(F.max("ts").alias("created_at"), F.max("event_type").alias("status"))
     rows = tables.replay_campaigns(old, new)
     return rows.select("replay_id", stamp("created_at").alias("created_at"), "status")
 

@@ -122,3 +122,18 @@ def test_column_names(spark):
     assert P.resolve_column(cols, ["filename"]) == "Filename"
     assert P.resolve_column(cols, ["nope"], ["micro", "w"]) == "my_micro_f_w"
     assert P.resolve_column(cols, ["nope"]) is None
+
+
+def test_top_k_of_json_values(spark):
+    told = ["7.9", "1e3", "true", "false", '" 12 "', '"7.9"', "-3", "null", '"x"', "[1]", "1e30"]
+    df = spark.createDataFrame([(i, '{"top_k": %s}' % t) for i, t in enumerate(told)] + [(99, "{"), (98, None)], "i int, metadata string")
+    got = {r.i: r.top_k for r in V.request_parameters(df).collect()}
+    assert [got[i] for i in range(len(told))] == [7, 500, 1, 1, 12, 20, 1, 20, 20, 20, 500]
+    assert got[99] == got[98] == 20
+
+
+def test_events_are_parsed_once(spark):
+    raw = spark.createDataFrame([('{"protein_id": "p"}',)], "value string")
+    parsed = V.parse_events(raw)
+    for rows in parsed:
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1

@@ -18,12 +18,11 @@ def rows(df):
 # --- ordering ----------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("bound", [10**6, 0])
-def test_running_totals_same_in_one_task_and_many(spark, bound):
+def test_running_totals_of_hot_and_null_groups(spark):
     rng = random.Random(1)
     data = [(i, None if i % 10 == 0 else ("hot" if i % 3 else f"k{i % 7}"), rng.randint(1, 9)) for i in range(900)]
     df = spark.createDataFrame(data, "i int, k string, v int").repartition(7)
-    got = {r.i: (r.n, r.s) for r in running_totals(df, ["i"], {"n": F.lit(1), "s": F.col("v")}, ["k"], bound).collect()}
+    got = {r.i: (r.n, r.s) for r in running_totals(df, ["i"], {"n": F.lit(1), "s": F.col("v")}, ["k"]).collect()}
     seen: dict = {}
     for i, k, v in data:
         n, s = seen.get(k, (0, 0))
@@ -31,24 +30,24 @@ def test_running_totals_same_in_one_task_and_many(spark, bound):
         assert got[i] == seen[k]
 
 
-@pytest.mark.parametrize("bound", [10**6, 0])
-def test_number_rows_without_groups(spark, bound):
+def test_number_rows_without_groups(spark):
     df = spark.range(500).withColumn("x", F.rand(3)).repartition(5)
-    got = number_rows(df, [F.desc("id")], name="n", bound=bound).collect()
+    got = number_rows(df, [F.desc("id")], name="n").collect()
     assert {r.id: r.n for r in got} == {i: 500 - i for i in range(500)}
 
 
 # --- dedupe ------------------------------------------------------------------------------------
 
 
-def first_come(events):
-    reqs, contents, kept = set(), set(), set()
-    for pos, r, p, c in events:
-        if r not in reqs and (p, c) not in contents:
-            reqs.add(r)
-            contents.add((p, c))
-            kept.add(pos)
-    return kept
+def check_first_come(data, kept):
+    """No two kept events share a request id or a content; every dropped one meets an earlier kept one."""
+    ids = {p: (("r", r), ("c", protein, digest)) for p, r, protein, digest in data}
+    owner = {}
+    for p in kept:
+        for end in ids[p]:
+            assert end not in owner
+            owner[end] = p
+    assert all(any(owner.get(end, p) < p for end in ids[p]) for p in ids.keys() - kept)
 
 
 def test_dedupe_golden(spark):
@@ -58,9 +57,8 @@ def test_dedupe_golden(spark):
     assert {r.request_id for r in dedupe.mark_duplicates(df, ["position"]).collect()} == {"r1", "r3"}
 
 
-@pytest.mark.parametrize("leftover", [0, 50_000])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_dedupe_equals_the_sequential_pass(spark, leftover, seed):
+def test_dedupe_is_first_come(spark, seed):
     rng = random.Random(seed)
     # a third of all events share one request id, another third one content
     data = []
@@ -68,17 +66,17 @@ def test_dedupe_equals_the_sequential_pass(spark, leftover, seed):
         kind = i % 3
         request = "hot" if kind == 0 else f"r{rng.randint(0, 60)}"
         content = "hot" if kind == 1 else f"c{rng.randint(0, 60)}"
-        data.append((i, request, f"p{rng.randint(0, 1)}", content))
+        data.append((i, request if i % 50 else None, f"p{rng.randint(0, 1)}", content if i % 70 else None))
     df = spark.createDataFrame(data, "position int, request_id string, protein_id string, checksum string").repartition(5)
-    got = {r.position for r in dedupe.dedupe_events(df, ["position"], leftover).collect()}
-    assert got == first_come(data)
+    check_first_come(data, {r.position for r in dedupe.dedupe_events(df, ["position"]).collect()})
 
 
 def test_dedupe_alternating_chain(spark):
     data = [(i, f"r{(i + 1) // 2}", "p", f"c{i // 2}") for i in range(24)]
     df = spark.createDataFrame(data, "position int, request_id string, protein_id string, checksum string")
-    for leftover in (0, 100):
-        assert {r.position for r in dedupe.dedupe_events(df, ["position"], leftover).collect()} == first_come(data)
+    kept = {r.position for r in dedupe.dedupe_events(df, ["position"]).collect()}
+    assert kept == set(range(0, 24, 2))
+    check_first_come(data, kept)
 
 
 def test_dedupe_with_two_part_order(spark):
@@ -91,26 +89,19 @@ def test_dedupe_with_two_part_order(spark):
 # --- naming ------------------------------------------------------------------------------------
 
 
-def name_all(ids):
-    taken, out = set(), []
-    for i, base in enumerate(ids):
-        base = base or f"protein_{i + 1}"
-        name, k = base, 2
-        while name in taken:
-            name, k = f"{base}_{k}", k + 1
-        taken.add(name)
-        out.append(name)
-    return out
-
-
-@pytest.mark.parametrize("family_rows,bound", [(10**5, 10**6), (0, 0)])
-def test_unique_ids(spark, family_rows, bound):
+def test_unique_ids(spark):
+    """Names are distinct; each is its id, or the lowest number after it that no earlier row took."""
     rng = random.Random(5)
     pool = ["a", "a", "a", "a_2", "a_3", "a_2_2", "b", "b_1", "c", None, "protein_7", ""]
     ids = [rng.choice(pool) for _ in range(60)]
     df = spark.createDataFrame(list(enumerate(ids)), "position long, protein_id string").repartition(4)
-    got = naming.unique_ids(df, "position", bound=bound, family_rows=family_rows).collect()
-    assert [r.protein_id for r in sorted(got, key=lambda r: r.position)] == name_all(ids)
+    got = [r.protein_id for r in sorted(naming.unique_ids(df, "position").collect(), key=lambda r: r.position)]
+    assert len(set(got)) == len(got) == len(ids)
+    for i, name in enumerate(got):
+        base = ids[i] or f"protein_{i + 1}"
+        number = 1 if name == base else int(name.removeprefix(f"{base}_"))
+        lower = [base] + [f"{base}_{k}" for k in range(2, number)]
+        assert set(lower[: number - (number == 1)]) <= set(got[:i])
 
 
 # --- graph -------------------------------------------------------------------------------------
@@ -226,9 +217,8 @@ def test_approximate_percentiles_are_close(spark):
 def test_bench_checkpoints_across_tasks(spark):
     data = [(i, 2, None if i % 4 else "x", i * 0.1) for i in range(1, 96)]
     df = spark.createDataFrame(data, "seq long, record_count int, error string, elapsed_seconds double")
-    for bound in (10**6, 0):
-        got = loadtest.bench_checkpoints(df, 20, bound=bound).orderBy("completed_requests").collect()
-        assert [(r.completed_requests, r.completed_sequences, r.failure_count) for r in got] == [(n, 2 * n, n // 4) for n in (20, 40, 60, 80)]
+    got = loadtest.bench_checkpoints(df, 20).orderBy("completed_requests").collect()
+    assert [(r.completed_requests, r.completed_sequences, r.failure_count) for r in got] == [(n, 2 * n, n // 4) for n in (20, 40, 60, 80)]
 
 
 def test_scale_up_cycles(spark):
@@ -242,7 +232,7 @@ def test_scale_up_cycles(spark):
 
 def test_split_is_disjoint_complete_and_repeatable(spark):
     df = spark.range(1000).select(F.col("id").alias("protein_id"), F.when(F.col("id") < 900, "hot").otherwise("cold").alias("stratum"))
-    one, many = prep.split(df), prep.split(df.repartition(9), bound=0)
+    one, many = prep.split(df), prep.split(df.repartition(9))
     assert prep.verify_split(one, many).count() == 0
     assert joins.overlapping_ids(one).count() == 0 and one.count() == 1000
     sizes = {(r.stratum, r.split): r["count"] for r in one.groupBy("stratum", "split").count().collect()}
