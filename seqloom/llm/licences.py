@@ -113,17 +113,19 @@ def declared(scratch: Scratch, files: DataFrame, templates=TEMPLATES, similarity
     paragraph = F.transform(F.split("text", r"\n[ \t\r]*\n"), lambda x: F.struct(F.lit("header").alias("kind"), x.alias("unit")))
     whole = F.array(F.struct(F.lit("file").alias("kind"), F.col("text").alias("unit")))
     units = found.select("path", F.explode(F.array_union(F.array_union(line, paragraph), whole)).alias("u")).select("path", "u.kind", "u.unit")
-    units = units.filter(F.col("unit").rlike(pattern)).withColumn("digest", F.xxhash64("unit"))
-    terms = settled(units, word_list=words_of(F.col("unit"))).select("path", "kind", "digest", F.explode("word_list").alias("word"))
-    counted = terms.groupBy("path", "kind", "digest", "word").agg(F.count(F.lit(1)).alias("tf"))
+    units = scratch.cut(units.filter(F.col("unit").rlike(pattern)).withColumn("digest", F.sha2("unit", 256)))
+    # each distinct unit is compared once, however many files have it
+    texts = units.select("digest", "unit").distinct()
+    terms = settled(texts, word_list=words_of(F.col("unit"))).select("digest", F.explode("word_list").alias("word"))
+    counted = terms.groupBy("digest", "word").agg(F.count(F.lit(1)).alias("tf"))
     weight = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
     counted = counted.join(F.broadcast(weight), "word", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(other)))
     sides = spark.createDataFrame(vectors(templates), "template int, licence string, word string, w double")
-    per_unit = ["path", "kind", "digest"]
-    norms = counted.groupBy(*per_unit).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = counted.join(F.broadcast(sides), "word").groupBy(*per_unit, "template", "licence").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-    near = dots.join(norms, per_unit).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("similarity") >= similarity)
-    best = near.groupBy("path", "kind").agg(F.max(F.struct("similarity", "licence")).alias("b"))
+    norms = counted.groupBy("digest").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = counted.join(F.broadcast(sides), "word").groupBy("digest", "template", "licence").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    near = dots.join(norms, "digest").withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("similarity") >= similarity)
+    alike = near.groupBy("digest").agg(F.max(F.struct("similarity", "licence")).alias("b"))
+    best = units.select("path", "kind", "digest").join(alike, "digest").groupBy("path", "kind").agg(F.max("b").alias("b"))
     return scratch.cut(best.select("path", "kind", "b.licence", "b.similarity"))
 
 

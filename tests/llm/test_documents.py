@@ -325,7 +325,7 @@ def test_licences(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [
         ("a/LICENSE", mit), ("a/b/x", "words here"), ("a/c/y", f"code\n{gpl}\nmore code follows in this file"), ("d/z", "nothing"),
-        (None, f"a\n{mit}"), (None, None), ("a/b/LICENSE", gpl), ("a/b/e", ""), ("q", "license to be free"),
+        (None, f"one two three four five six seven\n{mit}"), (None, None), ("a/b/LICENSE", gpl), ("a/b/e", ""), ("q", "license to be free"),
     ]
     files = spark.createDataFrame([(*r, 1) for r in rows], "path string, text string, licence int")
     got = Counter((r.path, r.licence, r.origin, r.declared_in) for r in licences.scan(files).collect())
