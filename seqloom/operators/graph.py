@@ -97,8 +97,10 @@ def degrees(edges: DataFrame, terms: DataFrame) -> DataFrame:
 def hierarchy_violations(scores: DataFrame, edges: DataFrame, proteins: DataFrame) -> DataFrame:
     """G-05: share of (protein, edge) where the child exceeds its parent, and the mean excess.
 
-    Only scored children can exceed, so nothing dense is built; the divisor counts all cells.
+    Only scored children can exceed, so nothing dense is built; the divisor counts all cells. The
+    scores are read twice, so they are written first: they are often the result of a propagation.
     """
+    scores = cut_lineage(scores.select("protein_id", "term", "score"))
     child = scores.select("protein_id", F.col("term").alias("child"), F.col("score").alias("_child"))
     parent = scores.select("protein_id", F.col("term").alias("parent"), F.col("score").alias("_parent"))
     gap = F.col("_child") - F.coalesce("_parent", F.lit(0.0))

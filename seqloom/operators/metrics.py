@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.graph import hierarchy_violations
+from seqloom.operators.lineage import cut_lineage
 from seqloom.operators.ordering import keep_first
 
 
@@ -152,10 +153,13 @@ def metric_grid(labels: dict[str, DataFrame], scores: dict[str, DataFrame], vari
                 edges: DataFrame) -> DataFrame:
     """M-14: basic, weighted and hierarchy metrics for (name, label set, score set) variants."""
     n_proteins, n_terms = count_of(proteins, "protein_id"), count_of(terms, "term")
+    labels = {k: cut_lineage(v) for k, v in labels.items()}
+    scores = {k: cut_lineage(v) for k, v in scores.items()}
+    per_scores = {k: hierarchy_violations(scores[k], edges, proteins) for k in dict.fromkeys(v[2] for v in variants)}
     out = None
     for name, which_labels, which_scores in variants:
         counts = term_counts(pair_table(labels[which_labels], scores[which_scores]), grid)
-        broken = hierarchy_violations(scores[which_scores], edges, proteins)
+        broken = per_scores[which_scores]
         rows = (
             basic_metrics(counts, n_proteins, n_terms)
             .join(weighted_micro(counts, weights), "threshold")

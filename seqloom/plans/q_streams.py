@@ -467,15 +467,12 @@ def _(d):
 
 @query(
     "st09_live_status",
-    """SELECT current_status, count(*) AS n FROM (SELECT current_status FROM
-         (SELECT *, min(created_at) OVER (PARTITION BY request_id) AS first_at FROM status_log)
-         QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY updated_at DESC, seq DESC) = 1) GROUP BY 1""",
+    """SELECT request_id, current_status, seq FROM status_log
+         QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY updated_at DESC, seq DESC) = 1""",
 )
 def _(d):
-    firsts = d.status_log.groupBy("request_id").agg(F.min("created_at").alias("created_at"))
-    rows = d.status_log.drop("created_at").join(firsts, "request_id")
-    live = drain(E.live_status(stream_table(rows)), "update", ["request_id"])
-    return live.groupBy("current_status").agg(F.count("*").alias("n"))
+    live = drain(E.live_status(stream_table(d.status_log.repartition(4, "seq"), 2)), "update", ["request_id"])
+    return live.select("request_id", "current_status", "seq")
 
 
 @query(

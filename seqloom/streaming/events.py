@@ -97,21 +97,17 @@ def route_events(events: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def live_status(stream: DataFrame, ttl: str = "7 days") -> DataFrame:
+def live_status(stream: DataFrame) -> DataFrame:
     """ST-09: latest status per request, for update mode.
 
-    Spark combines rows per request before the state lookup. State is keyed by the day a request
-    was created, so it is dropped once the watermark is ``ttl`` past that day.
+    Spark combines rows per request before the state lookup. State is one small row per request and
+    is kept, because later statuses of a request may carry any ``created_at``; use the RocksDB state
+    store for large streams.
     """
-    dated = stream.withWatermark("created_at", ttl)
-    return (
-        dated.groupBy(F.window("created_at", "1 day").alias("_day"), "request_id")
-        .agg(
-            F.max_by(F.lower("current_status"), F.struct("updated_at", "seq")).alias("current_status"),
-            F.max("updated_at").alias("updated_at"),
-            F.max("seq").alias("seq"),
-        )
-        .select("request_id", "current_status", "updated_at", "seq")
+    return stream.groupBy("request_id").agg(
+        F.max_by(F.lower("current_status"), F.struct("updated_at", "seq")).alias("current_status"),
+        F.max("updated_at").alias("updated_at"),
+        F.max_by("seq", F.struct("updated_at", "seq")).alias("seq"),
     )
 
 
