@@ -94,7 +94,8 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 def pruned_by_bloom(spark: SparkSession) -> Iterator[None]:
     """Let Spark prune the large side of a selective join with a Bloom filter of the other side's
     keys before it is dealt out, at every size of input. Holds for joins on one key whose other side
-    is a filtered table.
+    is a filtered table. The size of the filter is bounded by the session's ``maxNumBits``.
     """
-    with setting(spark, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0"):
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    with setting(spark, f"{prefix}.applicationSideScanSizeThreshold", "0"), setting(spark, f"{prefix}.creationSideThreshold", "1g"):
         yield

@@ -203,7 +203,7 @@ def confirm(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     met = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
     links = scratch.cut(met.mapInArrow(_compare, "a long, b long"))
-    scratch.drop(sets)
+    scratch.drop(sets, wanted)
     return links
 
 
@@ -284,7 +284,9 @@ def confirm_in_blocks(scratch: Scratch, docs: DataFrame, member: DataFrame, plac
     two = listed.join(other, ["band", "key"]).filter(later).select("band", "x", "y")
     alone = listed.filter(~F.col("is_top")).select("band", "x", F.lit(None).cast(listed.schema["x"].dataType).alias("y"))
     with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "8"):
-        return scratch.cut(alone.unionByName(two).mapInArrow(_compare_blocks, "a long, b long"))
+        links = scratch.cut(alone.unionByName(two).mapInArrow(_compare_blocks, "a long, b long"))
+    scratch.drop(listed, sets, nodes)
+    return links
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -316,11 +318,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         made = confirm(scratch, slim, stars)
         links = made if links is None else links.unionByName(made)
         groups = scratch.cut(components(scratch, links))
+        scratch.drop(placed, stars)
     placed = scratch.cut(mixed_buckets(buckets, groups))
     few, many = split_by_pairs(placed)
     rest = scratch.cut(pairs_in_buckets(few))
+    scratch.drop(buckets)
     made = confirm(scratch, slim, rest).unionByName(confirm_in_blocks(scratch, slim, member, many))
     groups = scratch.cut(merge_groups(scratch, groups, made))
+    scratch.drop(placed, rest, member, links, made)
 
     # classes of one id are one document, so a class takes the smallest label of its node
     labels = classes.join(groups, "node", "left").select("n", "d1", "d2", F.coalesce("component", "node").alias("component"))

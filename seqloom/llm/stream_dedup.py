@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import Scratch, pruned_by_bloom, setting, whole_text
+from seqloom.llm.common import Scratch, drop_path, pruned_by_bloom, setting, whole_text
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Files of arrivals a micro-batch takes; more batches mean less rework after a failure.
@@ -108,6 +108,8 @@ def exact_dedup(
     rows = spark.read.schema(fed.schema).parquet(log)
     entry = "digest string, held struct<id: %s, file: string, row: bigint>, n bigint" % fed.schema["id"].dataType.simpleString()
     state = scratch.cut(latest_state(spark, changes, entry))
+    for used in (changes, checkpoint):  # the stream has ended and its last entries are written
+        drop_path(spark, used)
     return settle(scratch, docs, rows, state, digest, id_col, text_col)
 
 
@@ -121,8 +123,9 @@ def settle(scratch: Scratch, docs: DataFrame, rows: DataFrame, state: DataFrame,
     """Check hits by their full bytes, and split the digests that stand for several texts."""
     is_held = (F.col("file") == F.col("held.file")) & (F.col("row") == F.col("held.row"))
     located = arrivals(docs, digest, id_col, text_col, whole_text(text_col).alias("text"))
+    multiple = scratch.cut(state.filter("n > 1"))
     with pruned_by_bloom(docs.sparkSession):
-        texts = located.join(state.filter("n > 1"), "digest")
+        texts = located.join(multiple.filter("n > 1"), "digest")
         texts = scratch.cut(texts.withColumn("is_held", is_held))
     held = texts.filter("is_held").select("digest", F.col("text").alias("held_text"))
     hits = texts.filter(~F.col("is_held"))
@@ -132,6 +135,7 @@ def settle(scratch: Scratch, docs: DataFrame, rows: DataFrame, state: DataFrame,
         "id", F.col("held.id").alias("keep_id"), F.col("n").alias("group_size"), is_held.alias("kept"), "digest", "file", "row"
     )
     if differ.isEmpty():
+        scratch.drop(texts, multiple)
         return sound
     apart = texts.join(differ, "digest", "left_semi")
     by_text = apart.groupBy("digest", "text").agg(
