@@ -103,6 +103,8 @@ def exact_dedup(
         setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB),
         setting(spark, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"),
         setting(spark, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true"),
+        # many small stores: no disk is set aside for their logs in advance
+        setting(spark, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false"),
     ):
         run_state(stream, changes, checkpoint)
     rows = spark.read.schema(fed.schema).parquet(log)
