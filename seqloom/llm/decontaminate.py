@@ -1,13 +1,15 @@
 """Passages of benchmark items in documents: SimHash of item-sized windows and Hamming blocks.
 
-A window of a document has as many 5-word shingles as an item. Windows that share no shingle with
-the item have similarity nought, so windows are laid only where a shingle of the item stands, at the
-place that lines it up with the item and at all places between two such places that lie within the
-shift which similar passages can have. Each window and item gets a 64-bit SimHash of its weighted
-shingles. The fingerprints are cut into 8 blocks; of two within 23 bits of each other some block
-differs in 2 bits at most, so items are listed under all values that near for each block, and an
-equi-join finds every pair within the radius. Pairs are then verified by the exact weighted Jaccard
-similarity of their shingles. Everything is DataFrame operations.
+A window of a document has as many 5-word shingles as an item. Two of n and m shingles that share s
+have similarity s / (n + m - s), so a window must hold a number of the item's shingles that follows
+from ``SIMILARITY``, six sevenths of them at 0.75, wherever they stand. Running counts find all such
+windows that begin at a shingle of the item or end with the document. Others need not be tried: from
+a start at another shingle the next of the item's, or the last start, gives a window with the same
+and perhaps more of them. Each window and item gets a 64-bit SimHash of its weighted shingles. The
+fingerprints are cut into 8 blocks; of two within 23 bits of each other some block differs in 2 bits
+at most, so items are listed under all values that near for each block, and an equi-join finds every
+pair within the radius. Pairs are then verified by the exact weighted Jaccard similarity of their
+shingles. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -83,19 +85,22 @@ def _leaks(scratch: Scratch, docs: DataFrame, items: DataFrame, width: int) -> D
     spark = docs.sparkSession
     items = with_prints(scratch, items.select("item_id", F.size("hashes").alias("m"), "hashes", F.col("hashes").alias("own")))
     items = items.withColumnsRenamed({"elements": "item_elements", "print": "item_print"})
-    occurs = scratch.cut(items.select("item_id", "m", F.posexplode("hashes").alias("q", "h")))
+    occurs = scratch.cut(items.select("item_id", "m", F.explode("hashes").alias("h")).distinct())
     known = scratch.cut(occurs.select("h").distinct())
     texts = settled(docs.select(_key().alias("key"), whole_text().alias("text")), words=words_of(F.col("text"))).drop("text")
     hashed = settled(texts, hashes=shingle_hashes(width)).drop("words")
     placed = hashed.select("key", F.size("hashes").alias("size"), F.posexplode("hashes").alias("pos", "h"))
     hits = scratch.cut(placed.join(known, "h", "left_semi"))
 
-    # starts that line a shared shingle up with the item, and those between two of them
-    lined = hits.join(occurs, "h").select("key", "item_id", "m", "size", (F.col("pos") - F.col("q")).alias("at")).distinct()
-    lead = F.expr("lead(at) OVER (PARTITION BY key, item_id, size ORDER BY at)")
-    reach = F.ceil(F.col("m") / 7) + WIDTH - 1
-    until = F.when(F.col("next") - F.col("at") <= reach, F.col("next") - 1).otherwise(F.col("at"))
-    starts = lined.withColumn("next", lead).withColumn("start", F.explode(F.sequence("at", until.cast("int"))))
+    # starts at a shared shingle from which a window holds enough of the item's, in whatever order
+    shared_at = hits.join(occurs, "h").select("key", "item_id", "m", "size", "pos").distinct()
+    same = "PARTITION BY key, item_id, m, size"
+    ranked = shared_at.withColumn("nth", F.expr(f"row_number() OVER ({same} ORDER BY pos)"))
+    ends = ranked.select("*", F.expr("inline(array(struct(pos AS at, 0 AS probe), struct(pos + m - 1 AS at, 1 AS probe)))"))
+    upto = F.expr(f"sum(1 - probe) OVER ({same} ORDER BY at, probe ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    held = ends.withColumn("held", upto - F.col("nth") + 1).filter("probe = 1")
+    enough = F.col("held") * (1 + SIMILARITY) >= (F.least("size", "m") + F.col("m")) * SIMILARITY
+    starts = held.filter(enough).withColumnRenamed("pos", "start")
     last = F.greatest(F.col("size") - F.col("m"), F.lit(0))
     windows = scratch.cut(starts.select("key", "m", F.greatest(F.lit(0), F.least("start", last)).alias("start")).distinct())
 

@@ -191,6 +191,22 @@ def test_leaks(spark):
     assert decontaminate.drop_leaks(docs, none).count() == len(leak_corpus())
 
 
+def test_leaks_of_reordered_passages(spark):
+    halves = [" ".join(f"{x}{k}" for k in range(20)) for x in "ab"]
+    thirds = [" ".join(f"{x}{k}" for k in range(40)) for x in "cde"]
+    filler = " ".join(f"f{k}" for k in range(100))
+    items = [(1, " ".join(halves)), (2, " ".join(thirds)), (3, " ".join(halves[:1] * 2 + thirds[:1]))]
+    turned = [" ".join(halves[::-1]), " ".join(thirds[::-1]), " ".join(thirds[:1] + halves[:1] * 2)]
+    rows = [(k, f"{filler} {t} {filler}") for k, t in enumerate(turned)]
+    rows += [(10, turned[0]), (11, f"{turned[1]} {filler}"), (12, f"{filler} {turned[2]}"), (13, f"{filler} {halves[1]} {filler} {halves[0]}")]
+    rows += [(14, " ".join(turned[0].split()[2:])), (15, f"{filler} {' '.join(turned[1].split()[:50])} x y {' '.join(turned[1].split()[50:])}")]
+    docs, asked = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.key, r.item_id): r.similarity for r in decontaminate.find_leaks(docs, asked).collect()}
+    want = brute_leaks(rows, items)
+    assert {(0, 1), (1, 2), (2, 3), (10, 1), (11, 2), (12, 3)} <= want.keys() and 13 not in {k for k, _ in want}
+    assert got == pytest.approx(want)
+
+
 def test_leak_plan_runs_no_python(spark):
     docs = spark.createDataFrame(leak_corpus(), "doc_id bigint, text string")
     items = spark.createDataFrame(BENCHMARK, "item_id bigint, text string")
