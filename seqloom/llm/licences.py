@@ -1,10 +1,15 @@
 """Licences of files: sparse TF-IDF cosine to templates, and inheritance from directories.
 
 Each line, each paragraph and the whole text of a file is a sparse vector of word counts times
-inverse template frequencies. Its cosine to every licence template is a join on words. A unit whose
-cosine reaches ``SIMILARITY`` declares the licence; a file whose whole text does is a licence file
-and speaks for its directory. Files without a declaration take that of the nearest directory above
-them that has one, by a join on path prefixes.
+inverse template frequencies, compared to every licence template by its cosine. A unit whose cosine
+reaches ``SIMILARITY`` declares the licence; a file whose whole text does is a licence file and
+speaks for its directory. Files without a declaration take that of the nearest directory above them
+that has one, by a join on path prefixes.
+
+Notices inside longer text are found by windows: of as many words as a notice, at every place of a
+text where one holds an anchor word. Whole texts are besides compared to whole licences, as vectors
+of word pairs, if they have at least half the words; pairs, as single words of long English texts
+are all alike.
 
 Only units with an anchor word are turned into vectors: words outside the anchors carry less than
 ``SIMILARITY`` of any template's length, so a unit without an anchor cannot reach it.
@@ -15,11 +20,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import Scratch, settled
+from seqloom.llm.common import Scratch, ready_for_python
 
 SIMILARITY = 0.7
 
@@ -66,10 +75,6 @@ def words(text: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
 
 
-def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
-
-
 def idf_table(templates=TEMPLATES) -> tuple[dict[str, float], float]:
     """Inverse template frequency of each word, and that of a word in no template."""
     held = Counter(w for _, t in templates for w in set(words(t)))
@@ -103,29 +108,144 @@ def anchors(templates=TEMPLATES, similarity: float = SIMILARITY) -> list[str]:
     return sorted(chosen)
 
 
-def declared(scratch: Scratch, files: DataFrame, templates=TEMPLATES, similarity: float = SIMILARITY) -> DataFrame:
+def pairs(own: list[str]) -> Counter:
+    return Counter(zip(own, own[1:], strict=False))
+
+
+@cache
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """(licence, whole text) of the folder ``texts``; there is none of the Creative Commons licences."""
+    return tuple((f.stem, f.read_text("utf-8")) for f in sorted((Path(__file__).parent / "texts").glob("*.txt")))
+
+
+def pair_vectors(texts) -> tuple[dict, float, list[tuple[str, int, dict]]]:
+    """Weights of word pairs, that of a pair in no text, and (licence, words, unit vector) of each text."""
+    counts = [pairs(words(t)) for _, t in texts]
+    held = Counter(p for c in counts for p in c)
+    idf = {p: math.log((1 + len(texts)) / (1 + n)) + 1 for p, n in held.items()}
+    sides = []
+    for (licence, text), count in zip(texts, counts, strict=True):
+        norm = math.sqrt(sum((n * idf[p]) ** 2 for p, n in count.items()))
+        sides.append((licence, len(words(text)), {p: n * idf[p] / norm for p, n in count.items()}))
+    return idf, math.log(1 + len(texts)) + 1, sides
+
+
+def pair_anchors(sides, similarity: float) -> list[str]:
+    """Words of which a whole text must have one to reach the similarity to a whole licence."""
+    chosen: set[str] = set()
+    for _, _, vector in sides:
+        left = {p: x for p, x in vector.items() if not chosen & set(p)}
+        while math.sqrt(sum(x * x for x in left.values())) >= similarity - 1e-9:
+            gains: Counter = Counter()
+            for p, x in left.items():
+                for w in set(p):
+                    gains[w] += x * x
+            best = max(gains, key=lambda w: (w not in COMMON, gains[w], w))
+            chosen.add(best)
+            left = {p: x for p, x in left.items() if best not in p}
+    return sorted(chosen)
+
+
+def best_whole(own: list[str], idf: dict, other: float, sides, similarity: float) -> tuple[float, str] | None:
+    """The whole licence most like a whole text."""
+    fit = [s for s in sides if 2 * len(own) >= s[1]]
+    if not fit:
+        return None
+    count = pairs(own)
+    norm = math.sqrt(sum((n * idf.get(p, other)) ** 2 for p, n in count.items())) or 1.0
+    near = [(round(sum(n * idf[p] * v[p] for p, n in count.items() if p in v) / norm, 9), licence) for licence, _, v in fit]
+    return max((x for x in near if x[0] >= similarity), default=None)
+
+
+def notices(templates, similarity: float) -> list[tuple[str, int, dict, set]]:
+    """(licence, words, unit vector, anchors) of each template."""
+    chosen, rows = set(anchors(templates, similarity)), vectors(templates)
+    own = [{w: x for t, _, w, x in rows if t == k} for k in range(len(templates))]
+    return [(licence, len(words(text)), v, chosen & v.keys()) for (licence, text), v in zip(templates, own, strict=True)]
+
+
+def best_window(own: list[str], idf: dict, other: float, sides, similarity: float) -> tuple[float, str] | None:
+    """The notice most like any run of as many words."""
+    best = None
+    marks = {w for s in sides for w in s[3]}
+    at = [(i, w) for i, w in enumerate(own) if w in marks]
+    for licence, n, vector, wanted in sides:
+        spans: list[list[int]] = []  # first and last starts of windows with an anchor
+        for i, w in at:
+            if w in wanted:
+                lo, hi = max(0, i - n + 1), min(i, len(own) - n)
+                if spans and lo <= spans[-1][1] + 1:
+                    spans[-1][1] = max(hi, spans[-1][1])
+                elif lo <= hi:
+                    spans.append([lo, hi])
+        for lo, hi in spans:
+            count: Counter = Counter()
+            dot = square = 0.0
+            for i in range(lo, hi + n):
+                w = own[i]
+                x = idf.get(w, other)
+                square += x * x * (2 * count[w] + 1)
+                dot += x * vector.get(w, 0.0)
+                count[w] += 1
+                if i - n >= lo:
+                    w = own[i - n]
+                    x = idf.get(w, other)
+                    count[w] -= 1
+                    square -= x * x * (2 * count[w] + 1)
+                    dot -= x * vector.get(w, 0.0)
+                if i - lo + 1 >= n:
+                    found = (round(dot / math.sqrt(square), 9), licence)
+                    if found[0] >= similarity and (best is None or found > best):
+                        best = found
+    return best
+
+
+def best_unit(own: list[str], idf: dict, other: float, sides, similarity: float) -> tuple[float, str] | None:
+    """The notice most like a unit as a whole."""
+    count = Counter(own)
+    norm = math.sqrt(sum((n * idf.get(w, other)) ** 2 for w, n in count.items())) or 1.0
+    known = {w: n * idf[w] for w, n in count.items() if w in idf}
+    near = [(round(sum(x * v[w] for w, x in known.items() if w in v) / norm, 9), licence) for licence, _, v, _ in sides]
+    return max((x for x in near if x[0] >= similarity), default=None)
+
+
+def declared(scratch: Scratch, files: DataFrame, templates=TEMPLATES, similarity: float = SIMILARITY, full=None) -> DataFrame:
     """(path, kind, licence, similarity): the best unit of each kind, ``file`` or ``header``."""
-    spark = files.sparkSession
+    ready_for_python(files.sparkSession)
     idf, other = idf_table(templates)
-    pattern = r"(?i)(?<![a-z0-9])(" + "|".join(anchors(templates, similarity)) + r")(?![a-z0-9])"
+    pair_idf, pair_other, sides = pair_vectors(full_texts() if full is None else full)
+    chosen = anchors(templates, similarity)
+    shared = files.sparkSession.sparkContext.broadcast(((idf, other, notices(templates, similarity)), (pair_idf, pair_other, sides)))
+    pattern = r"(?i)(?<![a-z0-9])(" + "|".join(sorted({*chosen, *pair_anchors(sides, similarity)})) + r")(?![a-z0-9])"
+
+    def judged(text: str, notice, whole) -> Iterator[tuple[str, tuple[float, str] | None]]:
+        own, marks = words(text), set(chosen)
+        yield "file", best_whole(own, *whole, similarity)
+        if marks.isdisjoint(own):
+            return
+        yield "file", best_unit(own, *notice, similarity)
+        yield "header", best_window(own, *notice, similarity)
+        for unit in {*text.split("\n"), *re.split(r"\n[ \t\r]*\n", text)}:
+            part = own if unit == text else words(unit)
+            if not marks.isdisjoint(part):
+                yield "header", best_unit(part, *notice, similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                best: dict[str, tuple[float, str]] = {}
+                for kind, found in judged(text, *shared.value):
+                    if found:
+                        best[kind] = max(found, best.get(kind, found))
+                rows += [(path, kind, *found) for kind, found in best.items()]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["path", "kind", "similarity", "licence"])
+
     found = files.filter(F.col("text").rlike(pattern)).select("path", "text")
-    line = F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit("header").alias("kind"), x.alias("unit")))
-    paragraph = F.transform(F.split("text", r"\n[ \t\r]*\n"), lambda x: F.struct(F.lit("header").alias("kind"), x.alias("unit")))
-    whole = F.array(F.struct(F.lit("file").alias("kind"), F.col("text").alias("unit")))
-    units = found.select("path", F.explode(F.array_union(F.array_union(line, paragraph), whole)).alias("u")).select("path", "u.kind", "u.unit")
-    units = scratch.cut(units.filter(F.col("unit").rlike(pattern)).withColumn("digest", F.sha2("unit", 256)))
-    # each distinct unit is compared once, however many files have it
-    texts = units.select("digest", "unit").distinct()
-    terms = settled(texts, word_list=words_of(F.col("unit"))).select("digest", F.explode("word_list").alias("word"))
-    counted = terms.groupBy("digest", "word").agg(F.count(F.lit(1)).alias("tf"))
-    weight = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
-    counted = counted.join(F.broadcast(weight), "word", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    sides = spark.createDataFrame(vectors(templates), "template int, licence string, word string, w double")
-    norms = counted.groupBy("digest").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = counted.join(F.broadcast(sides), "word").groupBy("digest", "template", "licence").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-    near = dots.join(norms, "digest").withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("similarity") >= similarity)
-    alike = near.groupBy("digest").agg(F.max(F.struct("similarity", "licence")).alias("b"))
-    best = units.select("path", "kind", "digest").join(alike, "digest").groupBy("path", "kind").agg(F.max("b").alias("b"))
+    found = found.mapInArrow(run, "path string, kind string, similarity double, licence string")
+    best = found.groupBy("path", "kind").agg(F.max(F.struct("similarity", "licence")).alias("b"))
     return scratch.cut(best.select("path", "kind", "b.licence", "b.similarity"))
 
 

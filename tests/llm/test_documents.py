@@ -364,6 +364,20 @@ def test_licence_anchors_lose_nothing(spark):
     assert got == {str(k) for k, t in enumerate(lines) if cosine(t)[0] >= licences.SIMILARITY}
 
 
+def test_whole_licences_and_notices_in_long_lines(spark):
+    texts = dict(licences.full_texts())
+    rows = [(f"{x}/LICENSE", f"Copyright 2020 Somebody Else\n\n{t}") for x, t in texts.items()] + [(f"{x}/src/code", "words here") for x in texts]
+    filler = " ".join(f"f{k}" for k in range(20))
+    rows += [(f"long/{k}", f"{filler} {t} {filler}") for k, (_, t) in enumerate(licences.TEMPLATES)]
+    rows += [("wrapped/x", "# Released under\n# the MIT\n# License.\n" + filler), ("none/LICENSE", f"{filler} a license of the software " * 40)]
+    files = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: (r.licence, r.origin) for r in licences.scan(files).collect()}
+    want = {f"{x}/LICENSE": (x, "file") for x in texts} | {f"{x}/src/code": (x, "inherited") for x in texts}
+    want |= {f"long/{k}": (x, "header") for k, (x, _) in enumerate(licences.TEMPLATES)}
+    assert set(texts) >= {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "MPL-2.0"}
+    assert got == want | {"wrapped/x": ("MIT", "header"), "none/LICENSE": (None, None)}
+
+
 def test_rollup(spark, tmp_path):
     def batch(*rows):
         return spark.createDataFrame(rows, "doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint, live boolean")
