@@ -17,12 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import bytewords as bw
-from seqloom.llm.common import ready_for_python
+from seqloom.llm.common import ready_for_python, setting
 
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 12
-#: Bounds of the labelled rows a model is fitted on, and of the windows a step sees.
+#: Labelled rows a model is fitted on (one of each language at least), windows and number of steps.
 TRAINING_ROWS, WINDOWS_PER_STEP, STEPS, RATE = 2000, 128, 400, 0.02
+#: Steps go on until every language was drawn as often.
+LEAST_DRAWS = 40
 WINDOWS_AT_ONCE = 1024
 UNDETERMINED = "und"
 
@@ -79,15 +81,22 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Model:
     made = [cut_windows(raw, bounds) + (first,) for first, raw, bounds in bw.blocks(pa.array(texts, pa.large_string()))]
     windows = np.concatenate([m[0] for m in made]) if made else np.zeros((0, WINDOW), np.uint8)
     rows = np.concatenate([m[2] + m[3] for m in made]) if made else np.zeros(0, int)
-    label = np.array([languages.index(x) for x in langs], int)[rows] if len(rows) else rows
+    number = {x: k for k, x in enumerate(languages)}
+    label = np.array([number[x] for x in langs], int)[rows] if len(rows) else rows
     if len(languages) < 2 or not len(windows):
         return Model(languages, weights)
     # every language alike: windows are drawn per language
     members = [np.flatnonzero(label == k) for k in range(len(languages))]
     members = [m for m in members if len(m)]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in weights.items()}
-    for step in range(1, STEPS + 1):
-        chosen = np.concatenate([rng.choice(m, WINDOWS_PER_STEP // len(members)) for m in members])
+    steps, turns = max(STEPS, -(-LEAST_DRAWS * len(members) // WINDOWS_PER_STEP)), np.zeros(0, int)
+    for step in range(1, steps + 1):
+        drawn = members
+        if len(members) > WINDOWS_PER_STEP:  # more than a step has windows: they take turns
+            if len(turns) < WINDOWS_PER_STEP:
+                turns = np.concatenate((turns, rng.permutation(len(members))))
+            drawn, turns = [members[k] for k in turns[:WINDOWS_PER_STEP]], turns[WINDOWS_PER_STEP:]
+        chosen = np.concatenate([rng.choice(m, WINDOWS_PER_STEP // len(drawn)) for m in drawn])
         batch, target = windows[chosen], label[chosen]
         log_p, features, places = forward(weights, batch)
         dlogits = np.exp(log_p)
@@ -103,7 +112,7 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Model:
                 byte = np.take_along_axis(batch, places[:, own] + k, 1)
                 np.add.at(g[k], (byte, np.arange(FILTERS)), dfeatures[:, own])
             grads[f"f{width}"] = g
-        rate = RATE * (1 - 0.9 * step / STEPS)
+        rate = RATE * (1 - 0.9 * step / steps)
         for k, g in grads.items():
             m, v = moments[k]
             m += 0.1 * (g - m)
@@ -130,17 +139,17 @@ def predict(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def training_rows(docs: DataFrame, usable: Column, most: int = TRAINING_ROWS) -> tuple[list[str], list[str]]:
-    """A bounded sample of labelled texts, alike for every language, in the order of a hash of the id."""
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable)
-    langs = [r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most // 10).collect()]
-    chosen = None
-    for lang in langs:
-        own = labelled.filter(F.col("lang") == lang).select("doc_id", "lang")
-        own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max(1, most // len(langs)))
-        chosen = own if chosen is None else chosen.union(own)
-    if chosen is None:
-        return [], []
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "lang").collect()
+    """A sample of labelled texts, alike for every language, in the order of a hash of the id.
+
+    Every language has ``most`` divided by their number, and one row at least.
+    """
+    labelled = docs.filter(F.col("lang").isNotNull() & (F.col("text") != "") & usable)
+    each = max(1, most // max(1, labelled.select("lang").distinct().count()))
+    nth = F.expr("row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id), doc_id)")
+    chosen = labelled.select("doc_id", "lang").withColumn("nth", nth).filter(F.col("nth") <= each).drop("nth")
+    # tasks keep the first rows of each language before they are dealt out
+    with setting(docs.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold", str(most)):
+        found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "lang").collect()
     rows = sorted((r.lang, r.text) for r in found if r.text)
     return [t for _, t in rows], [x for x, _ in rows]
 

@@ -378,6 +378,20 @@ def test_whole_licences_and_notices_in_long_lines(spark):
     assert got == want | {"wrapped/x": ("MIT", "header"), "none/LICENSE": (None, None)}
 
 
+def test_language_of_many_labels(spark):
+    names = [f"l{k:03}" for k in range(230)]
+    rows = [(3 * k + n, f"{x} {x} {x}", x) for k, x in enumerate(names) for n in range(3)] + [(9000 + k, "l000 l000 again", "l000") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    texts, langs = language.training_rows(docs, F.lit(True))
+    assert set(langs) == set(names)
+    alphabet = [chr(0x4E00 + 7 * k) for k in range(230)]
+    before = language.fit([], []).weights["f2"]
+    model = language.fit([f"{c}{c}{c}{c}" for c in alphabet], names)
+    assert model.languages == names and not np.array_equal(model.weights["f2"], before)
+    found, _ = language.predict(model, pa.array([f"{c}{c}{c}{c}" for c in alphabet]))
+    assert (found == np.arange(230)).mean() > 0.5
+
+
 def test_rollup(spark, tmp_path):
     def batch(*rows):
         return spark.createDataFrame(rows, "doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint, live boolean")
