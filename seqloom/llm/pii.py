@@ -33,6 +33,8 @@ _USERINFO = _ALPHA | _DIGITS | frozenset("-._~!$&'()*+,;=:%")
 _SCHEMES = ("http://", "https://", "ftp://", "ssh://", "mailto:", "tel:")
 _CUES = ("account no", "account number", "acct no", "konto", "kontonummer", "numéro de compte", "número de cuenta", "cuenta no")
 _IBAN_LAND = "IBAN"
+#: Lower case of letters one by one, so that places stay: A-Z and the accented letters of the cues.
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZÉÚ", "abcdefghijklmnopqrstuvwxyzéú")
 
 
 def automaton():
@@ -46,10 +48,8 @@ def automaton():
     for word in _SCHEMES:
         made.add_word(word, ("scheme", len(word)))
     for word in _CUES:
-        for form in {word, word.capitalize(), word.upper()}:
-            made.add_word(form, ("cue", len(form)))
-    for word in (_IBAN_LAND, _IBAN_LAND.lower()):
-        made.add_word(word, ("iban", len(word)))
+        made.add_word(word.translate(_LOWER), ("cue", len(word)))
+    made.add_word(_IBAN_LAND.translate(_LOWER), ("iban", len(_IBAN_LAND)))
     made.make_automaton()
     return made
 
@@ -179,7 +179,8 @@ def find_spans(text: str, machine) -> list[tuple[str, int, int]]:
     """
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     free = dict.fromkeys(KINDS, 0)
-    for last, (what, size) in machine.iter(text):
+    lower = text.translate(_LOWER)
+    for last, (what, size) in machine.iter(lower):
         at = last + 1 - size
         if what == "digit":
             if at and text[at - 1] in _DIGITS and free["ip"] < at and free["card"] < at:
@@ -211,7 +212,7 @@ def find_spans(text: str, machine) -> list[tuple[str, int, int]]:
         else:
             kind = {"scheme": "url", "cue": "account", "iban": "iban"}[what]
             if at >= free[kind]:
-                span = url_at(text, at, last + 1) if kind == "url" else iban_at(text, last + 1) if kind == "iban" else account_at(text, last + 1)
+                span = url_at(lower, at, last + 1) if kind == "url" else iban_at(text, last + 1) if kind == "iban" else account_at(text, last + 1)
                 if span:
                     free[kind] = span[1]
                     found[kind].append(span)

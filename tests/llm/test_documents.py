@@ -309,6 +309,16 @@ def test_personal_data_added_by_anchors(spark):
     assert {("url", "https://bob:pw@host.example"), ("url", "mailto:a@b.co"), ("iban", "DE89 3704 0044 0532 0130 00"), ("account", "12345678")} <= set(got[1])
 
 
+def test_personal_data_cues_in_any_case():
+    machine = pii.automaton()
+    for cue in ("Account No: ", "Account Number ", "ACCT No. ", "NÚMERO De Cuenta ", "Numéro de Compte "):
+        text = f"İé {cue}12345678"
+        assert [(k, text[a:b]) for k, a, b in pii.find_spans(text, machine) if k == "account"] == [("account", "12345678")]
+    for url in ("HTTPS://Bob:pw@Host.example", "Mailto:A@b.co", "TEL:+49 170 1234567"):
+        assert ("url", 3, 3 + len(url)) in pii.find_spans(f"at {url}", machine)
+    assert ("iban", 5, 32) in pii.find_spans("Iban DE89 3704 0044 0532 0130 00", machine)
+
+
 def test_url_rules(spark):
     urls = [
         (1, "http://a.example.org/es/1"), (2, "https://EXAMPLE.org/en/12?x"), (3, "http://x.org"), (4, None), (5, "no scheme/org/"),
