@@ -147,3 +147,45 @@ def op8_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     from seqloom.llm.token_rollup import corpus_rollup
 
     return corpus_rollup(table(spark, folder, "documents"))
+
+
+@query("op11_bpe_trie")
+def op11_bpe_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.bpe_trie import encode_documents
+
+    coded = encode_documents(table(spark, folder, "documents"), keep=["doc_id"])
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH r AS (SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.uid AS anchor, a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, r.uid, list_inner_product(a.v, r.v)::BIGINT AS score
+      FROM r AS a, r WHERE a.vec_id % 100 = 0 AND a.uid <> r.uid),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+      row_number() OVER (PARTITION BY p.anchor, p.uid ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+      s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor, p.uid ORDER BY s.score DESC, s.vec_id) <= 10
+    """,
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.hard_negatives import mine
+
+    return mine(table(spark, folder, "embeddings"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from seqloom.llm.spelling import group_variants, word_counts
+
+    return group_variants(word_counts(table(spark, folder, "documents")))
