@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -84,8 +85,8 @@ def parse_events(raw: DataFrame, value: str = "value") -> Parsed:
     return Parsed(valid, dead_letters(rows.filter(bad)))
 
 
-def dead_letters(rows: DataFrame) -> DataFrame:
-    """ST-02: dead-letter form of rejected messages."""
+def dead_letters(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """ST-02: dead-letter form of rejected messages; columns ``keep`` go along."""
     malformed = F.col("error_message") == "malformed JSON"
     return rows.select(
         F.lit("unknown").alias("request_id"),
@@ -96,6 +97,7 @@ def dead_letters(rows: DataFrame) -> DataFrame:
         "error_message",
         F.lit(False).alias("retryable"),
         F.to_json(F.struct("raw_value")).alias("payload"),
+        *keep,
     )
 
 

@@ -73,8 +73,8 @@ def dedupe_events(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return flag_duplicates(df, order).filter("kept").drop("kept")
 
 
-def skipped_status(duplicates: DataFrame) -> DataFrame:
-    """D-02: status rows for dropped events."""
+def skipped_status(duplicates: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """D-02: status rows for dropped events; columns ``keep`` go along."""
     return duplicates.select(
         "request_id",
         "protein_id",
@@ -82,6 +82,7 @@ def skipped_status(duplicates: DataFrame) -> DataFrame:
         F.lit("spark_dedup").alias("stage_name"),
         F.lit("DUPLICATE_EVENT").alias("error_code"),
         F.lit("Duplicate request_id or protein checksum in micro-batch.").alias("error_message"),
+        *keep,
     )
 
 

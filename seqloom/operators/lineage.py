@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -41,5 +45,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark)
+    for made in getattr(_scopes, "open", []):
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def cuts_dropped(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that :func:`cut_lineage` writes inside this block when it ends, well or not.
+
+    For jobs that go on: what a batch cut is of no use once the batch is written.
+    """
+    made: list[str] = []
+    scopes = _scopes.__dict__.setdefault("open", [])
+    scopes.append(made)
+    try:
+        yield made
+    finally:
+        scopes[:] = [s for s in scopes if s is not made]
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)

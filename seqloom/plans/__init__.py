@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("q_scalars", "q_requests", "q_relations", "q_aggregates", "q_learning", "q_streams")
+FAMILIES = ("q_scalars", "q_requests", "q_relations", "q_aggregates", "q_learning", "q_streams", "q_jobs")
 
 
 def _load() -> None:

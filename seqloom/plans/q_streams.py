@@ -172,7 +172,7 @@ def _(d):
     return readers.read_term_list(d.spark, path).select(big("term_index").alias("term_index"), "term")
 
 
-def _message_files(d, topics: bool = False) -> str:
+def message_files(d, topics: bool = False) -> str:
     path = scratch_path(d.spark)
     topic = F.lit("raw")
     if topics:
@@ -188,7 +188,7 @@ def _message_files(d, topics: bool = False) -> str:
 )
 def _(d):
     kinds = {"request_status": "status", "prediction_result": "prediction"}
-    stream = E.read_events(d.spark, _message_files(d, True), kinds)
+    stream = E.read_events(d.spark, message_files(d, True), kinds)
     return drain(stream).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
@@ -314,24 +314,19 @@ def _(d):
     return out
 
 
-# --- the micro-batch job -----------------------------------------------------------------------
+# --- validation, scoring and event operators ---------------------------------------------------
 
 
-def _model(frame: pd.DataFrame, top_k: int, threshold: float | None) -> pd.DataFrame:
+def model(frame: pd.DataFrame, top_k: int, threshold: float | None) -> pd.DataFrame:
     """Fixed scorer: one term per protein from its third letter; fails for the largest top_k."""
     if top_k == 500:
         raise RuntimeError("model is out of memory")
     letter = frame["sequence"].str[2]
-    return pd.DataFrame(
+    answer = pd.DataFrame(
         {"protein_id": frame["protein_id"], "go_term": "GO:" + letter, "score": letter.map(lambda c: (ord(c) - 64) / 32)}
     )
-
-
-def _run_job(d) -> P.BatchSinks:
-    stream = E.read_events(d.spark, _message_files(d), {"raw": "raw_input"})
-    sinks = P.BatchSinks(scratch_path(d.spark))
-    P.run_pipeline(stream, _model, sinks, scratch_path(d.spark), once=True).awaitTermination()
-    return sinks
+    answer.attrs = {"name": "fixed", "threshold": threshold}
+    return answer
 
 
 GOOD = """good AS (SELECT *, CASE WHEN regexp_full_match(trim(raw_k), '[+-]?\\d+') THEN least(greatest(CAST(raw_k AS BIGINT), 1), 500) ELSE 20 END AS top_k,
@@ -340,39 +335,13 @@ GOOD = """good AS (SELECT *, CASE WHEN regexp_full_match(trim(raw_k), '[+-]?\\d+
     uniq AS (SELECT count(DISTINCT (protein_id, sequence)) AS n FROM good)"""
 
 
-@query(
-    "st01_stream_job_status",
-    f"""WITH {GOOD} SELECT 'VALIDATED' AS current_status, 'spark_validation' AS stage_name, (SELECT count(*) FROM good) AS n
-        UNION ALL SELECT 'SKIPPED', 'spark_dedup', (SELECT count(*) FROM good) - (SELECT n FROM uniq)
-        UNION ALL SELECT 'PROCESSING', 'spark_modal_inference', (SELECT n FROM uniq)
-        UNION ALL SELECT 'DONE', 'all', (SELECT n FROM uniq)""",
-)
-def _(d):
-    rows = P.read_sink(d.spark, _run_job(d), "request_status")
-    done = F.col("current_status").isin("SUCCEEDED", "FAILED")
-    status = F.when(done, "DONE").otherwise(F.col("current_status")).alias("current_status")
-    stage = F.when(done, "all").otherwise(F.col("stage_name")).alias("stage_name")
-    return rows.groupBy(status, stage).agg(F.count("*").alias("n"))
-
-
-@query(
-    "snk06_stream_job_dead_letters",
-    """SELECT error_code, error_message, count(*) AS n FROM (
-         SELECT CASE WHEN error_message = 'malformed JSON' THEN 'JSONDecodeError' ELSE 'ValidationError' END AS error_code, error_message
-         FROM parsed WHERE error_message IS NOT NULL) GROUP BY 1, 2""",
-)
-def _(d):
-    rows = P.read_sink(d.spark, _run_job(d), "dead_letters").filter("stage_name = 'spark_validation'")
-    return rows.groupBy("error_code", "error_message").agg(F.count("*").alias("n"))
-
-
 @query(
     "st02_validated_stream",
     """SELECT 'valid' AS side, count(*) AS n FROM parsed WHERE error_message IS NULL
        UNION ALL SELECT 'dead', count(*) FROM parsed WHERE error_message IS NOT NULL""",
 )
 def _(d):
-    stream = E.read_events(d.spark, _message_files(d), {"raw": "raw_input"})
+    stream = E.read_events(d.spark, message_files(d), {"raw": "raw_input"})
     parts = E.validated(stream)
     out = None
     for side, part in (("valid", parts.valid.select("request_id")), ("dead", parts.dead.select("request_id"))):
@@ -393,7 +362,7 @@ SCORED = f"""WITH {GOOD}, k AS (SELECT * FROM good QUALIFY row_number() OVER (PA
 def _scored(d):
     valid = parse_events(d.messages).valid
     kept = request_parameters(dedupe.dedupe_events(valid, ["position"]))
-    return P.score_batches(kept, _model, ["position"])
+    return P.score_batches(kept, model, ["position"])
 
 
 @query(

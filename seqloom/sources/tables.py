@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +55,20 @@ def expire(df: DataFrame, ts: str, days: int, now: datetime) -> DataFrame:
     return df.filter(F.col(ts) > limit)
 
 
+def drop_days(spark: SparkSession, path: str, days: int, now: datetime) -> list[str]:
+    """SNK-09: drop the ``day=`` folders of a table of :func:`write_by_day` that lie wholly more than
+    ``days`` back. Folders go by name; no row is read. Returns their names in order."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    first_kept = f"day={(now - timedelta(days=days)).date().isoformat()}"
+    names = sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
+    gone = [n for n in names if n.startswith("day=") and n[4:].replace("-", "").isdigit() and n < first_kept]
+    for name in gone:
+        files.delete(jvm.org.apache.hadoop.fs.Path(path, name), True)
+    return gone
+
+
 def delete_request(tables: Mapping[str, DataFrame], requests: DataFrame) -> dict[str, DataFrame]:
     """SNK-10: every table without the given requests (column request_id).
 

@@ -39,12 +39,16 @@ def event_messages(df: DataFrame, key: str, topic: str) -> DataFrame:
     )
 
 
-def write_events(df: DataFrame, key: str, topic: str, path: str | None = None, servers: str | None = None) -> None:
-    """SNK-05: keyed JSON messages to Kafka, or to JSON files per topic when ``path`` is given."""
-    messages = event_messages(df, key, topic)
+def send_messages(messages: DataFrame, path: str | None = None, servers: str | None = None) -> None:
+    """SNK-05: (key, topic, value) to Kafka, or to JSON files per topic when ``path`` is given."""
     if path is not None:
         messages.write.mode("append").partitionBy("topic").json(path)
     elif servers is not None:
         messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     else:
         raise ValueError("give a path or Kafka servers")
+
+
+def write_events(df: DataFrame, key: str, topic: str, path: str | None = None, servers: str | None = None) -> None:
+    """SNK-05: every row as a keyed JSON message."""
+    send_messages(event_messages(df, key, topic), path, servers)

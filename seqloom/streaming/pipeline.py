@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from datetime import UTC, datetime, timedelta
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,29 +16,34 @@ from seqloom.functions import payload as P
 from seqloom.functions import scalars as S
 from seqloom.functions.validate import dead_letters, read_messages, request_parameters
 from seqloom.operators.dedupe import flag_duplicates, skipped_status
-from seqloom.operators.lineage import cut_lineage
-from seqloom.operators.requests import batch_metrics
+from seqloom.operators.lineage import cut_lineage, cuts_dropped
 from seqloom.operators.scoring import SCORING_BATCH, chunk
+from seqloom.sources.store import Store
+from seqloom.sources.writers import event_messages, send_messages
 from seqloom.streaming.events import feature_snapshots
+from seqloom.streaming.fanout import fan_out, read_view, view_store
 
 Model = Callable[[pd.DataFrame, int, float | None], pd.DataFrame]
 
 ROWS = f"array<struct<{P.ROW_SCHEMA.replace(' STRING', ':string').replace(' DOUBLE', ':double')}>>"
 SCORED = (
     f"request_id string, protein_id string, predictions {ROWS}, latency_ms int, "
-    "error_code string, error_message string"
+    "error_code string, error_message string, model_name string, threshold_used double"
 )
 # Fixed values written into result events.
-MODEL_VERSION = "cafa6_modal_ensemble"
+MODEL_PREFIX = "cafa6_modal_"
 FEATURE_VERSION = "sequence_v1"
 ROW_FIELDS = ("model", "protein_id", "go_term", "score", "aspect", "name")
 
 
-def score_batches(events: DataFrame, model: Model, order: list[str], batch: int = SCORING_BATCH) -> DataFrame:
+def score_batches(events: DataFrame, model: Model, order: list[str], batch: int = SCORING_BATCH,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """ST-04, ST-05: score events in chunks of at most ``batch`` with equal parameters.
 
     Chunks are numbered within (top_k, threshold), so a parameter pair shared by most events is
-    still many small groups. A chunk whose model call fails gives an error row per event.
+    still many small groups. A chunk whose model call fails gives an error row per event. The model's
+    answer may name itself and the threshold it used in ``attrs`` (``name``, ``threshold``). Columns
+    ``keep`` go along.
     """
     numbered = chunk(events, batch, order, ["top_k", "threshold"])
 
@@ -47,9 +52,10 @@ def score_batches(events: DataFrame, model: Model, order: list[str], batch: int
         threshold = None if pd.isna(first["threshold"]) else float(first["threshold"])
         started = time.perf_counter()
         found: dict[str, list[dict]] = {}
-        code = message = None
+        code = message = name = used = None
         try:
             answer = model(part[["protein_id", "sequence"]], int(first["top_k"]), threshold)
+            name, used = answer.attrs.get("name", "ensemble"), answer.attrs.get("threshold")
             for field in ROW_FIELDS:
                 if field not in answer:
                     answer[field] = "ensemble" if field == "model" else None
@@ -66,128 +72,202 @@ def score_batches(events: DataFrame, model: Model, order: list[str], batch: int
                 "latency_ms": elapsed,
                 "error_code": code,
                 "error_message": message,
+                "model_name": name,
+                "threshold_used": None if used is None else float(used),
+                **{c: part[c] for c in keep},
             }
         )
 
-    columns = ["request_id", "protein_id", "sequence", "top_k", "threshold", "chunk_index", "chunk_position"]
-    return numbered.select(*columns).groupBy("top_k", "threshold", "chunk_index").applyInPandas(run, SCORED)
+    columns = ["request_id", "protein_id", "sequence", "top_k", "threshold", "chunk_index", "chunk_position", *keep]
+    schema = SCORED + "".join(f", {c} {events.schema[c].dataType.simpleString()}" for c in keep)
+    return numbered.select(*columns).groupBy("top_k", "threshold", "chunk_index").applyInPandas(run, schema)
 
 
-def result_events(scored: DataFrame) -> DataFrame:
-    """Prediction result events of the chunks that succeeded."""
+def result_events(scored: DataFrame, keep: tuple[str, ...] = (), at: Column | None = None) -> DataFrame:
+    """Prediction result events of the chunks that succeeded, as of ``at`` (now)."""
     scores = P.score_map(F.col("predictions"))
     return (
         scored.filter("error_code is null")
         .withColumn("score_map", scores)
         .select(
-            "request_id", "protein_id", F.now().alias("predicted_at"),
-            F.lit(MODEL_VERSION).alias("model_version"),
+            "request_id", "protein_id", (F.now() if at is None else at).alias("predicted_at"),
+            F.concat(F.lit(MODEL_PREFIX), "model_name").alias("model_version"),
             F.lit(FEATURE_VERSION).alias("feature_version"),
             F.map_keys("score_map").alias("predicted_terms"),
-            "score_map", "predictions", "latency_ms",
+            "score_map", "predictions", "threshold_used", "latency_ms",
             S.confidence_summary(F.col("score_map")).alias("confidence_summary"),
+            *keep,
         )
     )
 
 
-@dataclass
+#: Topics of the events that the job emits.
+TOPICS = {"validated": "validated_input", "prediction": "prediction_result", "status": "request_status", "dead_letter": "dead_letter"}
+#: Batches after which what they added is folded.
+COMPACT_EVERY = 20
+COUNTERS = ("input_events", "valid_events", "duplicate_events", "predictions", "failures", "latency_ms")
+#: What the job carries from the message to its results.
+ORIGIN = ("event_time", "source", "username", "sequence_length", "position")
+
+
 class BatchSinks:
-    """Tables below ``root``, one folder per table, partitioned by batch.
+    """The job's tables below ``root``: logs, serving tables and outgoing events, committed batch by batch.
 
-    A batch that runs again overwrites its own partitions, so a restart changes nothing.
+    ``servers`` or ``events_path`` take the outgoing events; without either they stay in the ``events`` log.
     """
 
-    root: str
+    def __init__(self, root: str, servers: str | None = None, events_path: str | None = None):
+        self.root, self.servers, self.events_path = root, servers, events_path
 
-    def write(self, df: DataFrame, table: str, batch_id: int) -> None:
-        (
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite").partitionBy("batch_id")
-            .option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{table}")
-        )
+    def store(self, spark: SparkSession) -> Store:
+        return view_store(spark, self.root)
 
-    def write_all(self, tables: dict[str, DataFrame], batch_id: int) -> None:
-        """Write independent tables side by side, so a trigger waits for the slowest, not the sum."""
-        with ThreadPoolExecutor(len(tables)) as pool:
-            started = [pool.submit(self.write, df, table, batch_id) for table, df in tables.items()]
-            for write in started:
-                write.result()
+    def publish(self, spark: SparkSession, batch_id: int) -> None:
+        """SNK-05: hand out the events of a committed batch, once if nothing fails in between, at least
+        once if something does. A batch that was committed but not handed out is when it comes again."""
+        if self.servers is None and self.events_path is None:
+            return
+        store = self.store(spark)
+        if store.is_committed("publisher", batch_id):
+            return
+        found = store.added_in("events", "job", batch_id)
+        if found is not None:
+            send_messages(found.select("key", "topic", "value"), path=self.events_path, servers=self.servers)
+        store.commit({}, "publisher", batch_id)
 
 
 def _status(df: DataFrame, status: str, stage: str) -> DataFrame:
-    out = df.select("request_id", "protein_id", F.lit(status).alias("current_status"), F.lit(stage).alias("stage_name"))
     none = F.lit(None).cast("string")
-    return out.withColumn("error_code", none).withColumn("error_message", none)
+    return df.select(
+        "request_id", "protein_id", F.lit(status).alias("current_status"), F.lit(stage).alias("stage_name"),
+        none.alias("error_code"), none.alias("error_message"), *ORIGIN,
+    )
+
+
+def status_log(flagged: DataFrame, scored: DataFrame, stamp: Column) -> DataFrame:
+    """Every status a batch gives its requests; steps of a batch are a millisecond apart."""
+    failed = scored.filter("error_code is not null").select(
+        "request_id", "protein_id", F.lit("FAILED").alias("current_status"), F.lit("modal_inference").alias("stage_name"),
+        "error_code", "error_message", *ORIGIN,
+    )
+    skipped = skipped_status(flagged.filter("not kept"), ORIGIN)
+    steps = [
+        _status(flagged, "VALIDATED", "spark_validation"),
+        skipped,
+        _status(scored, "PROCESSING", "spark_modal_inference"),
+        _status(scored.filter("error_code is null"), "SUCCEEDED", "prediction_written"),
+        failed,
+    ]
+    rows = reduce(DataFrame.unionByName, [df.withColumn("step", F.lit(k)) for k, df in enumerate(steps)])
+    done = F.col("current_status") == "SUCCEEDED"
+    return rows.withColumns(
+        {
+            "updated_at": stamp + F.make_dt_interval(secs=F.col("step") / 1000),
+            "created_at": F.coalesce("event_time", stamp),
+            "model_version": F.lit(None).cast("string"),
+            "feature_version": F.when(done, F.lit(FEATURE_VERSION)),
+            "retry_count": F.lit(0),
+        }
+    ).drop("event_time")
+
+
+def outgoing(flagged: DataFrame, results: DataFrame, statuses: DataFrame, dead: DataFrame) -> DataFrame:
+    """Keyed JSON events of a batch: validated inputs, predictions, statuses and dead letters."""
+    inputs = flagged.select("request_id", "protein_id", "sequence", "source", "event_time", "metadata", "checksum")
+    values = {
+        "validated": event_messages(inputs, "protein_id", TOPICS["validated"]),
+        "prediction": event_messages(results.drop("position"), "protein_id", TOPICS["prediction"]),
+        "status": event_messages(statuses.drop("step", "position"), "request_id", TOPICS["status"]),
+        "dead_letter": event_messages(dead.drop("position"), "request_id", TOPICS["dead_letter"]),
+    }
+    return reduce(DataFrame.unionByName, values.values())
+
+
+def view_tables(flagged: DataFrame, results: DataFrame, statuses: DataFrame, dead: DataFrame) -> dict[str, DataFrame]:
+    """V-01: rows of every serving table of a batch."""
+    none = lambda kind: F.lit(None).cast(kind)
+    records = none("array<struct<protein_id:string,id:string,sequence_length:int,sequence:string,description:string>>")
+    status = statuses.withColumns({"latency_ms": none("int"), "input_records": records, "seq": F.col("step").cast("bigint")})
+    predictions = results.withColumns(
+        {"created_at": F.coalesce("event_time", "predicted_at"), "seq": F.col("position"), "prediction_rows": F.transform("predictions", lambda r: F.to_json(r))}
+    )
+    failures = dead.withColumns({"latency_ms": none("int"), "seq": F.col("position")})
+    raw = flagged.select(
+        F.to_date("event_time").alias("ingest_date"), S.shard(F.col("request_id"), 32).alias("shard_id"), F.col("event_time").alias("event_ts"),
+        "request_id", "protein_id", "sequence", "source", "metadata", "checksum", "event_time", F.col("position").alias("seq"),
+    )
+    features = feature_snapshots(flagged).withColumn("seq", F.lit(0).cast("bigint"))
+    return fan_out(status, predictions, failures) | {"raw_protein_events": raw, "feature_snapshot_by_request": features}
 
 
 def persist_batch(batch: DataFrame, batch_id: int, model: Model, sinks: BatchSinks, default_top_k: int = 20) -> None:
-    """SNK-06: one micro-batch to all sinks. Only plans are built here; rows stay on executors.
+    """SNK-06: one micro-batch to all tables in one commit, then its events to their topics.
 
     ``batch``: value and part, and position (arrival order inside a part) where the source has one.
-    Parsed messages and scored chunks are written once and read by every sink, so messages are
-    parsed once and the model is called once.
+    Parsed messages and scored chunks are written once and read by every table, so messages are
+    parsed once and the model is called once; counters are observed while these are written. A batch
+    that is cut short shows nothing, and one that comes again changes nothing.
     """
+    spark = batch.sparkSession
+    store = sinks.store(spark)
+    if not store.is_committed("job", batch_id):
+        with cuts_dropped(spark):
+            store.commit(_tables_of(batch, batch_id, model, default_top_k), "job", batch_id)
+    sinks.publish(spark, batch_id)
+    if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+        store.compact()
+        store.vacuum()
+
+
+def _tables_of(batch: DataFrame, batch_id: int, model: Model, default_top_k: int) -> dict[str, DataFrame]:
+    began, now = time.perf_counter(), datetime.now(UTC)
+    stamp = F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f") + "+00:00").cast("timestamp")
     order = ["part", "position"]
     if "position" not in batch.columns:
         batch = batch.withColumn("position", F.monotonically_increasing_id())
-    messages = cut_lineage(read_messages(batch.select("value", *order)))
-    good = messages.filter("error_message is null")
-    flagged = cut_lineage(flag_duplicates(good, order))
+    seen, deduped, answered = Observation(), Observation(), Observation()
+    count = lambda c: F.count(F.when(c, 1))
+
+    valid = F.col("error_message").isNull()
+    read = read_messages(batch.select("value", *order)).withColumn("username", F.coalesce(F.get_json_object("metadata", "$.username"), F.lit("system")))
+    messages = cut_lineage(read.observe(seen, F.count("*").alias("input_events"), count(valid).alias("valid_events")))
+    good = messages.filter("error_message is null").withColumn("sequence_length", F.length("sequence"))
+    flagged = cut_lineage(flag_duplicates(good, order).observe(deduped, count(~F.col("kept")).alias("duplicate_events")))
     kept = request_parameters(flagged.filter("kept"), default_top_k)
-    scored = cut_lineage(score_batches(kept, model, order))
-    results = result_events(scored)
-    failed = scored.filter("error_code is not null")
-
-    tables = {
-        "raw_protein_events": flagged.drop("kept", "error_message"),
+    ok = F.col("error_code").isNull()
+    scored = score_batches(kept, model, order, keep=ORIGIN)
+    scored = cut_lineage(scored.observe(answered, count(ok).alias("predictions"), count(~ok).alias("failures")))
+
+    results = result_events(scored, ORIGIN, stamp)
+    failures = scored.filter(~ok).join(flagged.filter("kept").select("request_id", "raw_value"), "request_id").select(
+        "request_id", "protein_id", stamp.alias("failed_at"), F.lit("modal_inference").alias("stage_name"),
+        "error_code", "error_message", F.lit(True).alias("retryable"), F.col("raw_value").alias("payload"), "position",
+    )
+    rejected = dead_letters(messages.filter(~valid), ["position"]).withColumn("failed_at", stamp)
+    dead = rejected.unionByName(failures)
+    statuses = status_log(flagged, scored, stamp)
+
+    counters = seen.get | deduped.get | answered.get
+    counters["latency_ms"] = int((time.perf_counter() - began) * 1000)
+    minute = now.replace(second=0, microsecond=0, tzinfo=None)
+    points = [(f"spark_batch_{n}", minute, minute + timedelta(minutes=1), float(counters[n]), {"job": "spark_streaming", "batch": str(batch_id)}) for n in COUNTERS]
+    metrics = batch.sparkSession.createDataFrame(points, "metric_name string, window_start timestamp, window_end timestamp, metric_value double, tags map<string,string>")
+    written = counters["valid_events"] * 4 + (counters["valid_events"] - counters["duplicate_events"]) * 4 + counters["input_events"]
+    stat = batch.sparkSession.createDataFrame([("materialized_writes", float(written), now)], "stat_name string, stat_value double, updated_at timestamp")
+
+    number = F.lit(batch_id).cast("bigint")
+    logs = {
         "feature_snapshots": feature_snapshots(flagged),
         "predictions": results,
+        "dead_letters": dead,
+        "request_status": statuses,
+        "pipeline_metrics": metrics,
+        "events": outgoing(flagged, results, statuses, dead),
     }
-
-    failures = failed.join(flagged.filter("kept").select("request_id", "raw_value"), "request_id").select(
-        "request_id", "protein_id", F.now().alias("failed_at"), F.lit("modal_inference").alias("stage_name"),
-        "error_code", "error_message", F.lit(True).alias("retryable"), F.col("raw_value").alias("payload"),
-    )
-    rejected = dead_letters(messages.filter("error_message is not null"))
-    tables["dead_letters"] = rejected.unionByName(failures)
-
-    failed_status = failed.select(
-        "request_id", "protein_id", F.lit("FAILED").alias("current_status"),
-        F.lit("modal_inference").alias("stage_name"), "error_code", "error_message",
-    )
-    steps = [
-        _status(flagged, "VALIDATED", "spark_validation"),
-        skipped_status(flagged.filter("not kept")),
-        _status(scored, "PROCESSING", "spark_modal_inference"),
-        _status(results, "SUCCEEDED", "prediction_written"),
-        failed_status,
-    ]
-    statuses = None
-    for step, frame in enumerate(steps):
-        frame = frame.withColumn("step", F.lit(step))
-        statuses = frame if statuses is None else statuses.unionByName(frame)
-    tables["request_status"] = statuses.withColumn("updated_at", F.now())
-
-    # one row per message, and one per scored event that carries only its outcome
-    none = F.lit(None).cast("boolean")
-    arrived = messages.select(
-        F.lit(True).alias("arrived"), F.col("error_message").isNull().alias("valid"), none.alias("kept"),
-        none.alias("scored"), none.alias("failed"), F.lit(0).alias("latency_ms"),
-    )
-    outcome = scored.select(
-        none.alias("arrived"), none.alias("valid"), F.lit(True).alias("kept"),
-        F.col("error_code").isNull().alias("scored"), F.col("error_code").isNotNull().alias("failed"), "latency_ms",
-    )
-    names = ["input_events", "valid_events", "duplicate_events", "predictions", "failures", "latency_ms"]
-    points = batch_metrics(arrived.unionByName(outcome)).unpivot([], names, "metric", "metric_value")
-    minute = F.date_trunc("minute", F.now())
-    tables["pipeline_metrics"] = points.select(
-        F.concat(F.lit("spark_batch_"), F.col("metric")).alias("metric_name"),
-        minute.alias("window_start"),
-        (minute + F.expr("interval 1 minute")).alias("window_end"),
-        F.col("metric_value").cast("double").alias("metric_value"),
-    )
-    sinks.write_all(tables, batch_id)
+    views = view_tables(flagged, results, statuses, dead)
+    views["pipeline_metrics_by_window"] = metrics.withColumns({"metric_date": F.to_date("window_start"), "seq": number})
+    views["cassandra_serving_stats_by_day"] = stat.withColumns({"stat_date": S.local_day(F.col("updated_at")), "seq": number})
+    return {name: df.withColumn("batch_id", number) for name, df in (logs | views).items()}
 
 
 def run_pipeline(
@@ -207,4 +287,5 @@ def run_pipeline(
 
 
 def read_sink(spark: SparkSession, sinks: BatchSinks, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sinks.root}/{table}")
+    """A log, a serving table or a request window as of the last commit."""
+    return read_view(sinks.store(spark), table)
