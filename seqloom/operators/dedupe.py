@@ -19,17 +19,47 @@ def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(side, same, "left_anti")
 
 
+def _first_two(df: DataFrame, keys: Sequence[str], names: tuple[str, str]) -> DataFrame:
+    """The two smallest ``_o`` per key; every task sends two rows per key at most."""
+    two = keep_first(df.select(*keys, "_o"), keys, [F.col("_o")], 2)
+    second = F.when(F.count("*") > 1, F.max("_o"))
+    return two.groupBy(*keys).agg(F.min("_o").alias(names[0]), second.alias(names[1]))
+
+
+def _run_ends(runs: DataFrame) -> DataFrame:
+    """(_o, _end, _odd): where each run of edges that hang on one earlier edge starts, and whether an odd
+    number of steps leads there. ``runs`` has (_o, _before). Each round doubles the reach of all pointers.
+    """
+    reach = cut_lineage(runs.select("_o", F.col("_before").alias("_end"), F.lit(True).alias("_odd")))
+    while True:
+        onward = reach.select(F.col("_o").alias("_end"), F.col("_end").alias("_next"), F.col("_odd").alias("_next_odd"))
+        moved = cut_lineage(
+            reach.join(onward, "_end", "left").select(
+                "_o",
+                F.coalesce("_next", "_end").alias("_end"),
+                (F.col("_odd") != F.coalesce("_next_odd", F.lit(False))).alias("_odd"),
+                F.col("_next").isNotNull().alias("_moved"),
+            )
+        )
+        if moved.filter("_moved").isEmpty():
+            return reach
+        reach = moved.drop("_moved")
+
+
 def kept_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Positions ``_o`` of the events a first-come pass over ``order`` would keep.
 
     Every event is an edge between its request id and its (protein, checksum) content; the pass
     keeps an edge when both ends are still free. An edge that comes first at both of its ends is
-    certainly kept, and everything touching it is certainly dropped, so each round settles all
-    such edges at once. Copies of one edge are folded before any join, ends are ranked by
-    partially aggregated minima rather than windows, and the joins against those minima have one
-    row per key, so a hot id is split by adaptive execution instead of landing in one task. Null
-    ids and contents are keys like others. Rounds go on until no edge is undecided; a chain of m
-    events that each block the next takes m / 2 of them.
+    certainly kept, and everything touching it is certainly dropped. An edge that has one earlier
+    neighbour in all is kept exactly if that one is not; such edges form runs, and along a run that
+    starts at a kept edge every other edge is kept. Starts of runs are found by pointer doubling, so a
+    chain of m events takes log2(m) rounds.
+
+    Copies of one edge are folded before any join; the first two edges of an end are found by
+    windows that Spark prunes on every task, and the joins against them have one row per end, so a hot
+    id is split by adaptive execution instead of landing in one task. Null ids and contents are keys
+    like others. Rounds go on until no edge is undecided.
     """
     edges = df.select(
         F.col("request_id").alias("_r"),
@@ -40,24 +70,31 @@ def kept_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     active = edges.groupBy("_r", "_p", "_c").agg(F.min("_o").alias("_o"))
     kept: list[DataFrame] = []
     while True:
-        at_request = active.groupBy("_r").agg(F.min("_o").alias("_first_r"))
-        at_content = active.groupBy("_p", "_c").agg(F.min("_o").alias("_first_c"))
-        ranked = cut_lineage(join_same(join_same(active, at_request, ["_r"]), at_content, ["_p", "_c"]))
-        sure = (F.col("_o") == F.col("_first_r")) & (F.col("_o") == F.col("_first_c"))
-        settled = ranked.filter(sure)
+        at_request = _first_two(active, ["_r"], ("_r1", "_r2"))
+        at_content = _first_two(active, ["_p", "_c"], ("_c1", "_c2"))
+        joined = join_same(join_same(active, at_request, ["_r"]), at_content, ["_p", "_c"])
+        o = F.col("_o")
+        before = F.when((o == F.col("_c1")) & (o == F.col("_r2")), F.col("_r1")).when((o == F.col("_r1")) & (o == F.col("_c2")), F.col("_c1"))
+        sure = (o == F.col("_r1")) & (o == F.col("_c1"))
+        ranked = cut_lineage(joined.select("_r", "_p", "_c", "_o", sure.alias("_sure"), before.alias("_before")))
+        if ranked.filter("NOT _sure").isEmpty():
+            kept.append(ranked.select("_o"))
+            break
+        first = ranked.filter("_sure").select("_o")
+        ends = _run_ends(ranked.filter("_before IS NOT NULL"))
+        along = ends.filter("NOT _odd").join(first.withColumnRenamed("_o", "_end"), "_end", "left_semi")
+        # edges of a run have the ends they were ranked with
+        more = ranked.filter("NOT _sure").join(along.select("_o"), "_o", "left_semi")
+        settled = cut_lineage(ranked.filter("_sure").unionByName(more).select("_r", "_p", "_c", "_o"))
         kept.append(settled.select("_o"))
         active = cut_lineage(
-            ranked.filter(~sure)
+            ranked.filter("NOT _sure").select("_r", "_p", "_c", "_o")
             .transform(lambda open_: _without(open_, settled, ["_r"]))
             .transform(lambda open_: _without(open_, settled, ["_p", "_c"]))
-            .select("_r", "_p", "_c", "_o")
         )
         if active.isEmpty():
             break
-    out = kept[0]
-    for more in kept[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, kept)
 
 
 def flag_duplicates(df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ LATENCY_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0
 RATE_WINDOW_MINUTES = 5
 FAILED_EXAMPLES = 5
 MIN_RATE = 0.001
+LATENCY_SAMPLES = 200_000
 
 
 def _rate(a: Column, b: Column) -> Column:
@@ -99,6 +100,18 @@ def approx_latency(results: DataFrame, c: str = "latency_ms", accuracy: int = 10
     )
 
 
+def sampled_latency(results: DataFrame, key: str, c: str = "latency_ms", size: int = LATENCY_SAMPLES, seed: int = 42) -> DataFrame:
+    """A-29: percentiles of a seeded sample of at most ``size`` values, and how many were seen.
+
+    The sample is the ``size`` rows with the smallest hashes of seed and ``key``: samples of parts merge
+    into the sample of the whole, so the result does not depend on order, tasks or retries.
+    """
+    values = results.filter(F.col(c).isNotNull()).select(c, F.sha2(F.concat_ws(":", F.lit(seed), key), 256).alias("_draw"))
+    sample = values.orderBy("_draw", c).limit(size)
+    ranks = nearest_ranks(sample, c, {"p50_est": 0.5, "p95_est": 0.95, "p99_est": 0.99})
+    return ranks.withColumn("seen", values.select(F.count("*")).scalar())
+
+
 def scale_table(summaries: DataFrame) -> DataFrame:
     """A-30: one rounded row per summary, by planned requests."""
     two = lambda c: F.round(F.col(c).cast("double"), 2)

@@ -243,6 +243,20 @@ def _(d):
     )
 
 
+@query(
+    "a29_sampled_latency",
+    """WITH s AS (SELECT latency_ms FROM load_results WHERE latency_ms IS NOT NULL ORDER BY sha256('42:' || seq), latency_ms LIMIT 2000),
+       v AS (SELECT latency_ms, row_number() OVER (ORDER BY latency_ms) - 1 AS i, count(*) OVER () AS n FROM s)
+       SELECT max(latency_ms) FILTER (WHERE i = CAST(round_even((n - 1) * 0.5, 0) AS BIGINT)) AS p50_est,
+              max(latency_ms) FILTER (WHERE i = CAST(round_even((n - 1) * 0.95, 0) AS BIGINT)) AS p95_est,
+              max(latency_ms) FILTER (WHERE i = CAST(round_even((n - 1) * 0.99, 0) AS BIGINT)) AS p99_est,
+              (SELECT count(latency_ms) FROM load_results) AS seen FROM v""",
+)
+def _(d):
+    # smaller than the default, so that the given tables are sampled and not taken whole
+    return loadtest.sampled_latency(d.load_results, "seq", size=2000)
+
+
 @query("a29_approx_latency")
 def _(d):
     return loadtest.approx_latency(d.load_results)

@@ -15,6 +15,7 @@ from seqloom.sources.store import Store
 from seqloom.streaming import events as E
 from seqloom.streaming import fanout
 from seqloom.streaming import pipeline as P
+from seqloom.streaming.sinks import stream_table
 
 _done: dict[tuple, object] = {}
 
@@ -329,3 +330,34 @@ def _(d):
     return store.read("t")
 
 
+
+
+# --- running figures ---------------------------------------------------------------------------
+
+
+@query(
+    "st09_status_histogram",
+    """SELECT current_status, count(*) AS n FROM (SELECT lower(current_status) AS current_status FROM status_log
+         QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY updated_at DESC, seq DESC) = 1) GROUP BY 1""",
+)
+def _(d):
+    store = Store(d.spark, scratch_path(d.spark))
+    rows = d.status_log.select("request_id", "updated_at", "current_status", "seq")
+    # batches in no order of time, so nothing may be too late
+    stream = stream_table(rows.repartition(4, "seq"), 2)
+    E.run_histogram(stream, store, scratch_path(d.spark), once=True, ttl="9999 days", delay="9999 days").awaitTermination()
+    return E.read_histogram(store)
+
+
+@query(
+    "st11_rolling_latency_stream",
+    """WITH l AS (SELECT latency_ms FROM status_log WHERE latency_ms IS NOT NULL ORDER BY updated_at DESC, seq DESC LIMIT 500),
+       v AS (SELECT latency_ms, row_number() OVER (ORDER BY latency_ms) - 1 AS i, count(*) OVER () AS n FROM l)
+       SELECT CAST(round_even(avg(latency_ms), 0) AS BIGINT) AS avg_latency_ms,
+              max(latency_ms) FILTER (WHERE i = CAST(round_even((n - 1) * 0.95, 0) AS BIGINT)) AS p95_latency_ms FROM v""",
+)
+def _(d):
+    store = Store(d.spark, scratch_path(d.spark), E.LATENCY_RING)
+    rows = d.status_log.select("latency_ms", "updated_at", "seq")
+    E.run_latency(stream_table(rows.repartition(4, "seq"), 1), store, scratch_path(d.spark), n=500, once=True).awaitTermination()
+    return E.rolling_latency(store.read("latency_ring"), [F.desc("updated_at"), F.desc("seq")], 500)

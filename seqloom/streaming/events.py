@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from seqloom.functions import scalars as S
 from seqloom.functions.validate import Parsed, parse_events
 from seqloom.operators.ordering import keep_first, number_rows
 from seqloom.operators.requests import latency_stats
+from seqloom.sources.store import Keyed, Store
 
 # Stage names, versions and the size of the rolling latency sample.
 FEATURE_VERSION = "sequence_v1"
 ROLLING_SAMPLES = 5000
+RING_COMPACT_EVERY = 20
 DEFAULT_EVENT_TYPE = "pipeline_event"
 
 
@@ -111,6 +116,64 @@ def live_status(stream: DataFrame) -> DataFrame:
     )
 
 
+CHANGES = "current_status string, change bigint"
+
+
+def status_changes(stream: DataFrame, ttl: str = "24 hours", delay: str = "10 minutes") -> DataFrame:
+    """ST-09: what each micro-batch changes in the number of requests per status: minus one for the status
+    a request leaves, plus one for the one it takes.
+
+    State is one row per request, the latest status. A request that has been silent for ``ttl`` of event
+    time leaves the state and its status is taken back, so the state is bounded by the requests of that
+    time. Rows later than ``delay`` are dropped.
+    """
+    ttl_ms = int(stream.sparkSession.range(1).select(F.expr(f"unix_millis(timestamp_seconds(0) + INTERVAL {ttl})")).first()[0])
+
+    def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            old = state.get[0]
+            state.remove()
+            yield pd.DataFrame({"current_status": [old], "change": [-1]})
+            return
+        held = state.get if state.exists else None
+        before = None if held is None else held[0]
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if held is None or (row.at, row.seq) >= held[1:]:
+                    held = (row.current_status, int(row.at), int(row.seq))
+        state.update(held)
+        state.setTimeoutTimestamp(max(held[1] // 1000 + ttl_ms, state.getCurrentWatermarkMs() + 1))
+        if before != held[0]:
+            names, changes = ([held[0]], [1]) if before is None else ([before, held[0]], [-1, 1])
+            yield pd.DataFrame({"current_status": names, "change": changes})
+
+    rows = stream.withWatermark("updated_at", delay).select(
+        "request_id", "updated_at", F.lower("current_status").alias("current_status"), F.unix_micros("updated_at").alias("at"), F.col("seq").cast("bigint").alias("seq")
+    )
+    return rows.groupBy("request_id").applyInPandasWithState(
+        follow, CHANGES, "current_status string, at bigint, seq bigint", "update", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def run_histogram(stream: DataFrame, store: Store, checkpoint: str, once: bool = False, ttl: str = "24 hours",
+                  delay: str = "10 minutes", interval: str = "10 seconds") -> StreamingQuery:
+    """ST-09: keep the live status histogram of :func:`read_histogram`; each batch counts once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        summed = batch.groupBy("current_status").agg(F.sum("change").alias("change"))
+        store.commit({"status_histogram": summed}, "histogram", batch_id)
+
+    writer = status_changes(stream, ttl, delay).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(write)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+
+
+def read_histogram(store: Store) -> DataFrame:
+    """Live requests per status."""
+    summed = store.read("status_histogram").groupBy("current_status").agg(F.sum("change").alias("n"))
+    return summed.filter("n <> 0")
+
+
 def events_per_minute(stream: DataFrame, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
     """ST-10: event-time counts per minute; rows later than ``delay`` are dropped and counted by
     ``numRowsDroppedByWatermark``.
@@ -129,6 +192,36 @@ def rolling_latency(samples: DataFrame, order: Sequence[Column], n: int = ROLLIN
     return latency_stats(samples.filter(F.col("latency_ms").isNotNull()).orderBy(*order).limit(n), positive_only=False)
 
 
+#: The ring of the newest latency samples, one row per place.
+LATENCY_RING = {"latency_ring": Keyed(("place",), buckets=1)}
+
+
+def run_latency(stream: DataFrame, store: Store, checkpoint: str, order: Sequence[str] = ("updated_at", "seq"),
+                n: int = ROLLING_SAMPLES, once: bool = False, interval: str = "10 seconds") -> StreamingQuery:
+    """ST-11 as a stream: keep the newest ``n`` latency samples in the table ``latency_ring``.
+
+    Each batch merges its newest ``n`` with those held, whatever order they arrive in; both are bounded, so
+    a batch costs its own rows and ``n`` more. ``rolling_latency`` of the ring equals that of all samples.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if store.is_committed("latency", batch_id):
+            return
+        newest_first = [F.desc(c) for c in order]
+        samples = batch.filter("latency_ms IS NOT NULL").select("latency_ms", *order)
+        if "latency_ring" in store.state()["tables"]:
+            samples = samples.unionByName(store.read("latency_ring").drop("place"))
+        ring = samples.orderBy(*newest_first).limit(n)  # at most n rows, which one task numbers
+        placed = ring.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*newest_first)))
+        store.commit({"latency_ring": placed}, "latency", batch_id)
+        if batch_id % RING_COMPACT_EVERY == RING_COMPACT_EVERY - 1:
+            store.compact("latency_ring")
+            store.vacuum()
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+
+
 def _pick(obj: Column, *paths: str) -> Column:
     return F.coalesce(*[F.nullif(F.get_json_object(obj, p), F.lit("")) for p in paths])
 

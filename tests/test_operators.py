@@ -79,6 +79,26 @@ def test_dedupe_alternating_chain(spark):
     check_first_come(data, kept)
 
 
+def test_dedupe_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Ten thousand events that each block the next, dealt in any order to tasks."""
+    cuts = []
+    monkeypatch.setattr(dedupe, "cut_lineage", lambda df, cut=dedupe.cut_lineage: cuts.append(1) or cut(df))
+    rows = [(f"r{(i + 1) // 2}", "p", f"c{i // 2}", i) for i in range(10_000)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "request_id string, protein_id string, checksum string, position int")
+    kept = sorted(r.position for r in dedupe.dedupe_events(df, ["position"]).collect())
+    assert kept == list(range(0, 10_000, 2))
+    assert len(cuts) < 20
+
+
+def test_sample_of_latencies_does_not_depend_on_tasks(spark):
+    df = spark.range(5000).selectExpr("id", "CAST(id % 977 AS bigint) AS latency_ms")
+    one = loadtest.sampled_latency(df.coalesce(1), "id", size=300).first()
+    assert one == loadtest.sampled_latency(df.repartition(7), "id", size=300).first() and one.seen == 5000
+    assert abs(one.p50_est - 488) < 100
+    assert loadtest.sampled_latency(df.filter("false"), "id").first().seen == 0
+
+
 def test_dedupe_with_two_part_order(spark):
     data = [(1, 0, "a", "p", "x"), (0, 5, "a", "p", "y"), (0, 6, "b", "p", "x")]
     df = spark.createDataFrame(data, "part int, position int, request_id string, protein_id string, checksum string")

@@ -1,13 +1,19 @@
 import json
 import sys
+import time
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pandas as pd
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from seqloom.operators import dedupe, requests
+from seqloom.operators.lineage import scratch_root
+from seqloom.sources.store import Store
 from seqloom.streaming import events as E
+from seqloom.streaming import fanout
 from seqloom.streaming import pipeline as P
 from seqloom.streaming.sinks import drain
 
@@ -85,6 +91,101 @@ def test_chunks_of_64_with_equal_parameters(spark):
     assert sizes == sorted([64] * 64 + [64] * 64 + [22] * 22 + [50] * 50)
 
 
+def test_a_crash_between_two_tables_shows_no_part_of_a_batch(spark, tmp_path, monkeypatch):
+    started_at = time.time()
+    sinks = P.BatchSinks(str(tmp_path / "out"), events_path=str(tmp_path / "events"))
+    put_ = lambda ids, n: P.persist_batch(spark.createDataFrame([(m, 0, i) for i, m in enumerate(messages(ids))], "value string, part long, position long"), n, model, sinks)
+    put_(range(4), 0)
+    names = [n for n in sinks.store(spark).names() if n != "pipeline_metrics_by_window"]
+    held = {n: P.read_sink(spark, sinks, n).count() for n in names}
+    whole = P._tables_of
+
+    def broken(*args):
+        tables = whole(*args)
+        lost = tables["request_timeline_by_id"]
+        return tables | {"request_timeline_by_id": lost.withColumn("status", F.raise_error(F.lit("lost executor")).cast("string"))}
+
+    monkeypatch.setattr(P, "_tables_of", broken)
+    with pytest.raises(Exception, match="lost executor"):
+        put_(range(10, 14), 1)
+    assert {n: P.read_sink(spark, sinks, n).count() for n in names} == held
+    sent = lambda: spark.read.json(str(tmp_path / "events")).count()
+    before = sent()
+    monkeypatch.setattr(P, "_tables_of", whole)
+    put_(range(10, 14), 1)
+    assert P.read_sink(spark, sinks, "request_status_by_id").count() == 8
+    assert P.read_sink(spark, sinks, "raw_protein_events").count() == 8
+    assert sent() == 2 * before
+    put_(range(10, 14), 1)  # comes again: nothing is written or sent twice
+    assert sent() == 2 * before and P.read_sink(spark, sinks, "request_status").count() == 24
+    left = [p for p in Path(scratch_root(spark)).rglob("*.parquet") if p.stat().st_mtime > started_at]
+    assert not left, "what a batch cuts is removed"
+
+
+def test_fan_out_whatever_the_order(spark, tmp_path):
+    """A dictionary per table against the stream, with late, repeated and unusable events."""
+    at = lambda m: (datetime(2024, 1, 1) + timedelta(minutes=m)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    status = [{"request_id": f"r{i % 5}", "protein_id": "p", "current_status": f"S{i}", "created_at": at(i), "updated_at": at((i * 7) % 40)} for i in range(40)]
+    result = [{"request_id": "r1", "protein_id": "P9", "predicted_at": at(60), "top_terms": [{"go_term": "GO:1", "score": 0.5}, "GO:2"], "threshold": 0.1}]
+    dead = [{"request_id": "r2", "failed_at": at(70), "message": "no"}, {"failed_at": at(71)}]
+    lines = [("request_status", s) for s in status] + [("prediction_result", r) for r in result] + [("dead_letter", x) for x in dead] + [("ping", {"request_id": "x"})]
+    rows = [(json.dumps(v), k) for k, v in lines] + [("{bad", "request_status")]
+    store = fanout.view_store(spark, str(tmp_path / "s"))
+    for n in range(4):
+        fanout.persist_events(spark.createDataFrame(rows[n::4], "value string, event_type string"), n, store)
+        fanout.persist_events(spark.createDataFrame(rows[n::4], "value string, event_type string"), n, store)
+        if n == 1:
+            store.compact()
+    want = {}
+    for s in status:
+        want[s["request_id"]] = max(want.get(s["request_id"], ("", "")), (s["updated_at"], s["current_status"].lower()))
+    want["r1"], want["r2"] = (at(60), "completed"), (at(70), "failed")
+    found = {r.request_id: r for r in store.read("request_status_by_id").collect()}
+    assert {k: r.current_status for k, r in found.items()} == {k: v for k, (_, v) in want.items()}
+    first = {k: min(s["created_at"] for s in status if s["request_id"] == k) for k in want}
+    assert {k: r.created_at.strftime("%Y-%m-%dT%H:%M:%SZ") for k, r in found.items()} == first
+    best = store.read("latest_prediction_by_protein").first()
+    assert (best.predicted_terms, best.score_map, best.prediction_rows) == (["GO:1", "GO:2"], {"GO:1": 0.5, "GO:2": 0.0}, ['{"go_term":"GO:1","score":0.5}'])
+    assert [tuple(r) for r in store.read("failed_requests_by_time").select("request_id", "status_code", "reason").collect()] == [("r2", "UNKNOWN", "no")]
+    assert fanout.read_view(store, "requests_by_status_window").count() == 5
+    assert store.read("request_timeline_by_id").count() == 40 + 2 + 2
+
+
+def test_histogram_with_expiring_state(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = [(f"r{i}", start + timedelta(hours=i), "Processing" if k == 0 else ["completed", "FAILED"][i % 2], 2 * i + k) for i in range(60) for k in range(2)]
+    rows.sort(key=lambda r: (r[1], r[3]))
+    kind = "request_id string, updated_at timestamp, current_status string, seq int"
+    path = tmp_path / "in"
+    for n in range(6):
+        spark.createDataFrame(rows[n * 20 : n * 20 + 20], kind).coalesce(1).write.mode("append").parquet(str(path))
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(path))
+    store = Store(spark, str(tmp_path / "s"))
+    query = E.run_histogram(stream, store, str(tmp_path / "cp"), once=True, ttl="5 hours", delay="1 hour")
+    query.awaitTermination()
+    got = {r.current_status: r.n for r in E.read_histogram(store).collect()}
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    # requests of the last six hours before the last watermark: what is older has left state and counts
+    assert sum(got.values()) == held[-1] <= 8 and set(got) == {"completed", "failed"}
+    assert max(held) <= 18 < 60
+    E.run_histogram(stream, store, str(tmp_path / "cp"), once=True, ttl="5 hours", delay="1 hour").awaitTermination()
+    assert {r.current_status: r.n for r in E.read_histogram(store).collect()} == got
+
+
+def test_latency_ring_equals_the_batch_form(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    data = [(i * 37 % 101 if i % 9 else None, start + timedelta(seconds=(i * 53) % 400), i) for i in range(400)]
+    kind = "latency_ms bigint, updated_at timestamp, seq int"
+    spark.createDataFrame(data, kind).repartition(5).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    store = Store(spark, str(tmp_path / "s"), E.LATENCY_RING)
+    E.run_latency(stream, store, str(tmp_path / "cp"), n=70, once=True).awaitTermination()
+    newest = [F.desc("updated_at"), F.desc("seq")]
+    assert store.read("latency_ring").count() == 70
+    ring = E.rolling_latency(store.read("latency_ring"), newest, 70).first()
+    assert ring == E.rolling_latency(spark.createDataFrame(data, kind), newest, 70).first()
+
+
 def status_rows(spark):
     start = datetime(2024, 1, 1)
     data = []
