@@ -15,7 +15,8 @@
    between groups is left unseen.
 
 A pair at the threshold shares no bucket with a chance of (1 - 0.75**4)**32 = 5e-6, and is ruled out
-by its sketches, whose estimate must fall a quarter short of it, with one of about 1e-7.
+by its sketches, whose estimate must fall below ``LEAST_ESTIMATE`` (more than 89 of 256 bits set), with
+one of 1.4e-7 more.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ SAMPLES = BANDS * ROWS_PER_BAND
 #: Percent of the union that the intersection of linked sets has at least.
 THRESHOLD = 75
 #: Pairs whose sketches estimate less than this similarity are not confirmed.
-LEAST_ESTIMATE = 0.5
+LEAST_ESTIMATE = 0.4
 ROUNDS = 1
 #: Buckets with at most so many pairs per member are joined to pairs.
 PAIRS_PER_MEMBER = 2

@@ -183,7 +183,7 @@ def find_spans(text: str, machine) -> list[tuple[str, int, int]]:
     for last, (what, size) in machine.iter(lower):
         at = last + 1 - size
         if what == "digit":
-            if at and text[at - 1] in _DIGITS and free["ip"] < at and free["card"] < at:
+            if at and text[at - 1] in _DIGITS and free["ip"] != at and free["card"] != at:
                 continue  # inside a run that was looked at from its first digit
             if at >= free["ip"]:
                 span = ip_at(text, at)

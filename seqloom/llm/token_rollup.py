@@ -19,7 +19,8 @@ from seqloom.llm.common import Scratch, ready_for_python
 from seqloom.llm.tokens import tokens
 
 VERSION = "byte_bpe_50k"
-ENTRY = "doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint, live boolean"
+ENTRY = "doc_id bigint, part string, source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, live boolean"
+KEY = ["doc_id", "part", "tokenizer"]
 DELTA = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 
 
@@ -65,8 +66,8 @@ class Rollup:
 
     def entries(self) -> DataFrame:
         """The last entry of each document and tokenizer, deleted ones included."""
-        last = F.max_by(F.struct("source", "lang", "n_tokens", "live"), "batch").alias("e")
-        return self._read("entries", ENTRY).groupBy("doc_id", "tokenizer").agg(last).select("doc_id", "tokenizer", "e.*")
+        last = F.max_by(F.struct("source", "lang", "n_docs", "n_tokens", "live"), "batch").alias("e")
+        return self._read("entries", ENTRY).groupBy(*KEY).agg(last).select(*KEY, "e.*")
 
     def totals(self) -> DataFrame:
         """Documents and tokens by source, language and tokenizer version."""
@@ -76,23 +77,29 @@ class Rollup:
     def apply(self, number: int, changes: DataFrame) -> bool:
         """Apply a batch of (doc_id, source, lang, tokenizer, n_tokens, live); false if it was before.
 
-        ``live`` false deletes: only its doc_id and tokenizer count then, and one that is not held
-        changes nothing. Of several changes of one document in a batch a deletion counts if there is
-        one, then the one with the most tokens, source and language. Null sources and languages are
-        keys like others; a change without a doc_id or tokenizer is dropped, as nothing could revise it.
+        Optional columns: ``part`` tells apart rows that share an id or have none (nothing by default), and
+        ``n_docs`` is the number of equal rows a change stands for (1), whose tokens ``n_tokens`` sums. An
+        entry is one id, part and tokenizer, nulls included. ``live`` false deletes: only its id, part and
+        tokenizer count then, and one that is not held changes nothing. Of several changes of one entry in a
+        batch a deletion counts if there is one, then the one with the most tokens, source and language.
+        Null sources, languages and tokenizers are keys like others.
         """
         if number in self.committed():
             return False
-        columns = ["doc_id", "source", "lang", "tokenizer", "n_tokens", "live"]
-        usable = changes.filter("doc_id IS NOT NULL AND tokenizer IS NOT NULL").withColumn("live", F.coalesce("live", F.lit(True)))
-        order = F.struct((~F.col("live")).alias("gone"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "source", "lang", "live")
-        one = usable.groupBy("doc_id", "tokenizer").agg(F.max(order).alias("c")).select("doc_id", "tokenizer", "c.source", "c.lang", "c.n_tokens", "c.live")
-        one.select(*columns).write.mode("overwrite").parquet(f"{self.folder}/entries/{number}")
+        values = ["source", "lang", "n_docs", "n_tokens", "live"]
+        given = lambda name, other, kind: F.coalesce(F.col(name) if name in changes.columns else F.lit(None), F.lit(other)).cast(kind)
+        usable = changes.withColumns({"part": given("part", "", "string"), "n_docs": given("n_docs", 1, "long"), "live": given("live", True, "boolean")})
+        order = F.struct((~F.col("live")).alias("gone"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "source", "lang", "n_docs", "live")
+        one = usable.groupBy(*KEY).agg(F.max(order).alias("c")).select(*KEY, *[f"c.{v}" for v in values])
+        names = [part.split(" ")[0] for part in ENTRY.split(", ")]
+        one.select(*names).write.mode("overwrite").parquet(f"{self.folder}/entries/{number}")
         now = self.spark.read.schema(ENTRY).parquet(f"{self.folder}/entries/{number}")
-        before = self.entries().filter("live").join(now.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"], "left_semi")
-        signed = now.filter("live").select(*columns[1:5], F.lit(1).alias("sign")).unionByName(before.select(*columns[1:5], F.lit(-1).alias("sign")))
+        touched = now.select(*[F.col(k).alias(f"_{k}") for k in KEY])
+        before = self.entries().filter("live").join(touched, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY], "left_semi")
+        told = ["source", "lang", "tokenizer", "n_docs", "n_tokens"]
+        signed = now.filter("live").select(*told, F.lit(1).alias("sign")).unionByName(before.select(*told, F.lit(-1).alias("sign")))
         deltas = signed.groupBy("source", "lang", "tokenizer").agg(
-            F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("n_tokens")
+            *[F.sum(F.col("sign") * F.col(c)).cast("long").alias(c) for c in ("n_docs", "n_tokens")]
         )
         deltas.write.mode("overwrite").parquet(f"{self.folder}/deltas/{number}")
         self._system().create(self._path("commits", number), True).close()
@@ -100,24 +107,38 @@ class Rollup:
 
 
 def corpus_rollup(docs: DataFrame, version: str = VERSION, folder: str | None = None) -> DataFrame:
-    """Totals of ``docs`` after three batches: all rows in, equal texts out but for the one with the
-    largest id, and texts with a licence line revised to be without it. The second batch is sent twice.
+    """Totals of ``docs`` after three batches: all rows in, equal texts out but for those of the largest
+    id, and texts with a licence line revised to be without it. The second batch is sent twice.
+
+    Every row counts: rows are told apart by id and by a digest of text, source and language, and rows
+    equal in all of these are one entry that counts them all. Of equal texts a row without an id goes if
+    another has one. A null text has no tokens and equals the empty one. An empty table gives no totals.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     rollup = Rollup(spark, scratch.path())
-    columns = ["doc_id", "source", "lang"]
+    text = F.coalesce("text", F.lit(""))
+    # nulls and field borders are told apart in the digest
+    named = F.sha2(F.to_json(F.struct("text", "source", "lang")), 256)
+    kept = ["doc_id", "source", "lang", "part"]
+    rows = docs.select("doc_id", "source", "lang", "text", named.alias("part"), F.sha2(text, 256).alias("digest"))
     told = [F.lit(version).alias("tokenizer"), F.lit(True).alias("live")]
-    rollup.apply(0, count_tokens(docs, columns, folder).select("*", *told))
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
-    digests = docs.select("doc_id", digest)
+
+    def summed(counted: DataFrame) -> DataFrame:
+        entries = counted.groupBy(*kept).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        return entries.select("*", *told)
+
+    rollup.apply(0, summed(count_tokens(rows, kept, folder)))
+    digests = rows.select("doc_id", "part", "digest")
     largest = digests.groupBy("digest").agg(F.max("doc_id").alias("stays"))
-    gone = digests.join(largest, "digest").filter("doc_id <> stays").select("doc_id")
-    deleted = gone.select("doc_id", F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"), F.lit(0).cast("long").alias("n_tokens"), F.lit(version).alias("tokenizer"), F.lit(False).alias("live"))
+    gone = digests.join(largest, "digest").filter("stays IS NOT NULL AND NOT doc_id <=> stays").select("doc_id", "part")
+    none = F.lit(None).cast("string")
+    deleted = gone.select("doc_id", "part", none.alias("source"), none.alias("lang"), F.lit(0).cast("long").alias("n_tokens"), F.lit(version).alias("tokenizer"), F.lit(False).alias("live"))
     for _ in range(2):
         rollup.apply(1, deleted)
-    shorter = F.regexp_replace("text", r"(?m)^.*(?i:licensed under|released under the).*$\n?", "")
-    revised = docs.withColumn("_shorter", shorter).filter("_shorter <> text").join(gone, "doc_id", "left_anti")
-    revised = count_tokens(revised.drop("text").withColumnRenamed("_shorter", "text"), columns, folder)
-    rollup.apply(2, revised.select("*", *told))
+    shorter = F.regexp_replace("text", r"(?m)^.*(?i:licensed under|released under).*$\n?", "")
+    out = gone.select(F.col("doc_id").alias("_id"), F.col("part").alias("_part"))
+    revised = rows.withColumn("_shorter", shorter).filter("_shorter <> text")
+    revised = revised.join(out, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("part") == F.col("_part")), "left_anti")
+    rollup.apply(2, summed(count_tokens(revised.drop("text").withColumnRenamed("_shorter", "text"), kept, folder)))
     return rollup.totals()

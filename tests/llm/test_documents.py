@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -411,13 +412,47 @@ def test_rollup(spark, tmp_path):
     assert rollup.apply(0, batch((1, "a", "en", "v", 10, True), (2, "a", None, "v", 5, True), (None, "a", "en", "v", 99, True), (1, "a", "en", "v", 10, True)))
     revised = batch((1, "b", "en", "v", 7, True), (2, None, None, "v", None, False), (8, None, None, "v", None, False), (1, "b", "en", "w", 3, True))
     assert rollup.apply(1, revised) and not rollup.apply(1, revised)
-    want = {("b", "en", "v", 1, 7), ("b", "en", "w", 1, 3)}
+    want = {("b", "en", "v", 1, 7), ("b", "en", "w", 1, 3), ("a", "en", "v", 1, 99)}
     assert {tuple(r) for r in rollup.totals().collect()} == want
     # a batch that broke off before its commit is written anew
     revised.write.parquet(str(tmp_path / "r" / "entries" / "2"))
     assert {tuple(r) for r in rollup.totals().collect()} == want
     assert rollup.apply(2, batch((2, "a", None, "v", 4, True)))
     assert {tuple(r) for r in rollup.totals().collect()} == want | {("a", None, "v", 1, 4)}
+    parts = spark.createDataFrame([(None, "p", "a", "en", "v", 2, 8), (None, "q", "a", "en", "v", 1, 1)], "doc_id bigint, part string, source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint")
+    assert rollup.apply(3, parts.withColumn("live", F.lit(True)))
+    assert ("a", "en", "v", 4, 108) in {tuple(r) for r in rollup.totals().collect()}
+
+
+def test_rollup_query_counts_every_row(spark, docs):
+    """A recount: null, shared and repeated ids, equal texts, revised licence lines."""
+    line = "Licensed under the MIT License."
+    rows = [(1, "one two", "s", "en"), (1, "one two", "s", "en"), (1, "other text", "s", "en"), (None, "alone here", "s", None), (None, "alone here", "s", None)]
+    rows += [(None, "one two", None, "en"), (2, "three", "s", "en"), (3, "three", "s", "de"), (3, "three", "t", "de"), (4, None, "s", "en"), (5, "", "s", "en")]
+    rows += [(6, f"words\n{line}\nmore words", "s", "en"), (6, f"words\n{line}\nmore words", "s", "en"), (None, f"x\n{line}", "t", "en"), (7, line, "t", "en")]
+    rows += [(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()]
+    largest = {}
+    for i, t, _, _ in rows:
+        largest[t or ""] = max(largest.get(t or "", -1), -1 if i is None else i)
+    want = Counter()
+    tokens_of = Counter()
+    for i, t, source, lang in rows:
+        if (-1 if i is None else i) == largest[t or ""]:
+            kept = re.sub("(?im)^.*(licensed under|released under).*$\n?", "", t or "")
+            want[source, lang] += 1
+            tokens_of[source, lang] += len(tokens().reference(kept)) if kept else 0
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string").repartition(3)
+    got = {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in token_rollup.corpus_rollup(frame).collect()}
+    assert got == {k: (n, tokens_of[k]) for k, n in want.items()}
+
+
+def test_pii_of_a_million_digits():
+    machine = pii.automaton()
+    for text in ("7" * 1_000_000, "12-" * 300_000, "1." * 300_000, ". ".join(["9" * 500_000] * 2), "a@b" + "1" * 500_000):
+        began = time.process_time()
+        pii.find_spans(text, machine)
+        assert time.process_time() - began < 4
+    assert pii.find_spans("x 4111111111111111, 1.2.3.4", machine) == [("ip", 20, 27), ("card", 2, 18)]
 
 
 def test_language(spark):
