@@ -103,6 +103,11 @@ def _list_array(values: np.ndarray, width: int) -> pa.Array:
 SIGNATURE = "doc_id bigint, n long, d1 long, d2 long, bands array<long>, sketch array<long>"
 
 
+def digest(made: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit sum that tells the sets of a node apart."""
+    return np.add.reduceat(bw.mix(made ^ _U(0x5851F42D4C957F2D)), starts).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.num_rows
@@ -117,7 +122,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(full):
                 continue
             starts = at[:-1][full]
-            d1[first + full] = np.add.reduceat(bw.mix(made ^ _U(0x5851F42D4C957F2D)), starts).view(np.int64)
+            d1[first + full] = digest(made, starts)
             d2[first + full] = np.add.reduceat(bw.mix(made + _U(0x14057B7EF767814F)), starts).view(np.int64)
             samples = minhash(made, starts)
             bands[first + full] = band_keys(samples)
@@ -133,7 +138,11 @@ def _list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, made, at in _sets(batch.column(1)):
             made, at = _distinct(made, at)
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(made.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(at) - 1), lists], names=["node", "items"])
+            full = np.flatnonzero(np.diff(at))
+            d1 = np.zeros(len(at) - 1, np.int64)
+            if len(full):
+                d1[full] = digest(made, at[:-1][full])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(at) - 1), pa.array(d1), lists], names=["node", "d1", "items"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +208,7 @@ def confirm(scratch: Scratch, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = scratch.cut(nodes.groupBy("node").agg(F.max("alike").alias("alike"))).filter(F.col("alike") >= LEAST_ESTIMATE)
     with pruned_by_bloom(docs.sparkSession):
         texts = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
-        sets = scratch.cut(texts.mapInArrow(_list_sets, "node long, items array<long>"))
+        sets = scratch.cut(texts.mapInArrow(_list_sets, "node long, d1 long, items array<long>"))
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     met = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
@@ -270,12 +279,13 @@ def confirm_in_blocks(scratch: Scratch, docs: DataFrame, member: DataFrame, plac
     nodes = scratch.cut(placed.groupBy("node").agg(F.lit(1.0).alias("alike"))).filter(F.col("alike") >= LEAST_ESTIMATE)
     with pruned_by_bloom(spark):
         texts = docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi")
-        sets = scratch.cut(texts.mapInArrow(_list_sets, "node long, items array<long>"))
+        sets = scratch.cut(texts.mapInArrow(_list_sets, "node long, d1 long, items array<long>"))
     top = F.col("group") == F.col("top")
     shares = placed.groupBy("band", "key", top.alias("is_top")).agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
     cut = placed.withColumn("is_top", top).join(shares, ["band", "key", "is_top"])
-    cut = cut.select("band", "key", "is_top", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "node", "group")
-    full = cut.join(member.select("node", "bands", "sketch").dropDuplicates(["node"]), "node").join(sets.dropDuplicates(["node"]), "node")
+    cut = cut.select("band", "key", "is_top", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "node", "group").distinct()
+    # a node stands for all texts of its id, as where pairs are joined
+    full = cut.join(member.select("node", "d1", "bands", "sketch"), "node").join(sets.dropDuplicates(["node", "d1"]), ["node", "d1"])
     listed = full.groupBy("band", "key", "is_top", "block").agg(
         F.collect_list(F.struct("node", "group", "bands", "sketch", "items")).alias("x")
     )
@@ -307,7 +317,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     classes = scratch.cut(classes)
     member = classes.join(usable.withColumnRenamed("doc_id", "node"), ["node", "n", "d1", "d2"]).dropDuplicates(["node", "n", "d1", "d2"])
-    member = scratch.cut(member.select("node", "n", "bands", "sketch"))
+    member = scratch.cut(member.select("node", "n", "d1", "bands", "sketch"))
     banded = member.select("node", "n", "sketch", F.posexplode("bands").alias("band", "key"))
 
     buckets = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")

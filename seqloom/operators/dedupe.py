@@ -46,20 +46,48 @@ def _run_ends(runs: DataFrame) -> DataFrame:
         reach = moved.drop("_moved")
 
 
+def _plain_round(active: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges that come first at both ends, the others)."""
+    at_request = active.groupBy("_r").agg(F.min("_o").alias("_r1"))
+    at_content = active.groupBy("_p", "_c").agg(F.min("_o").alias("_c1"))
+    ranked = join_same(join_same(active, at_request, ["_r"]), at_content, ["_p", "_c"])
+    sure = (F.col("_o") == F.col("_r1")) & (F.col("_o") == F.col("_c1"))
+    ranked = cut_lineage(ranked.select("_r", "_p", "_c", "_o", sure.alias("_sure")))
+    return ranked.filter("_sure").drop("_sure"), ranked.filter("NOT _sure").drop("_sure")
+
+
+def _run_round(active: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges that are first at both ends or an even number of steps along a run that starts at one,
+    the others)."""
+    at_request = _first_two(active, ["_r"], ("_r1", "_r2"))
+    at_content = _first_two(active, ["_p", "_c"], ("_c1", "_c2"))
+    joined = join_same(join_same(active, at_request, ["_r"]), at_content, ["_p", "_c"])
+    o = F.col("_o")
+    before = F.when((o == F.col("_c1")) & (o == F.col("_r2")), F.col("_r1")).when((o == F.col("_r1")) & (o == F.col("_c2")), F.col("_c1"))
+    sure = (o == F.col("_r1")) & (o == F.col("_c1"))
+    ranked = cut_lineage(joined.select("_r", "_p", "_c", "_o", sure.alias("_sure"), before.alias("_before")))
+    first = ranked.filter("_sure").select(F.col("_o").alias("_end"))
+    along = _run_ends(ranked.filter("_before IS NOT NULL")).filter("NOT _odd").join(first, "_end", "left_semi")
+    rest = ranked.filter("NOT _sure").select("_r", "_p", "_c", "_o")
+    settled = ranked.filter("_sure").select("_r", "_p", "_c", "_o").unionByName(rest.join(along.select("_o"), "_o", "left_semi"))
+    return cut_lineage(settled), rest
+
+
 def kept_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Positions ``_o`` of the events a first-come pass over ``order`` would keep.
 
     Every event is an edge between its request id and its (protein, checksum) content; the pass
     keeps an edge when both ends are still free. An edge that comes first at both of its ends is
-    certainly kept, and everything touching it is certainly dropped. An edge that has one earlier
-    neighbour in all is kept exactly if that one is not; such edges form runs, and along a run that
-    starts at a kept edge every other edge is kept. Starts of runs are found by pointer doubling, so a
-    chain of m events takes log2(m) rounds.
-
-    Copies of one edge are folded before any join; the first two edges of an end are found by
-    windows that Spark prunes on every task, and the joins against them have one row per end, so a hot
-    id is split by adaptive execution instead of landing in one task. Null ids and contents are keys
-    like others. Rounds go on until no edge is undecided.
+    certainly kept, and everything touching it is certainly dropped; a round settles all such edges at
+    once. Where a round leaves more than half of them open, the next one follows runs: an edge that has
+    one earlier neighbour in all is kept exactly if that one is not, so along a run that starts at a kept
+    edge every other edge is kept. Starts of runs are found by pointer doubling, so a chain of m events
+    takes log2(m) rounds.
+
+    Copies of one edge are folded before any join; the first edges of an end are partially aggregated
+    minima, or windows that Spark prunes on every task, and the joins against them have one row per
+    end, so a hot id is split by adaptive execution instead of landing in one task. Null ids and contents
+    are keys like others. Rounds go on until no edge is undecided.
     """
     edges = df.select(
         F.col("request_id").alias("_r"),
@@ -69,32 +97,16 @@ def kept_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     )
     active = edges.groupBy("_r", "_p", "_c").agg(F.min("_o").alias("_o"))
     kept: list[DataFrame] = []
+    rule, open_before = _plain_round, None
     while True:
-        at_request = _first_two(active, ["_r"], ("_r1", "_r2"))
-        at_content = _first_two(active, ["_p", "_c"], ("_c1", "_c2"))
-        joined = join_same(join_same(active, at_request, ["_r"]), at_content, ["_p", "_c"])
-        o = F.col("_o")
-        before = F.when((o == F.col("_c1")) & (o == F.col("_r2")), F.col("_r1")).when((o == F.col("_r1")) & (o == F.col("_c2")), F.col("_c1"))
-        sure = (o == F.col("_r1")) & (o == F.col("_c1"))
-        ranked = cut_lineage(joined.select("_r", "_p", "_c", "_o", sure.alias("_sure"), before.alias("_before")))
-        if ranked.filter("NOT _sure").isEmpty():
-            kept.append(ranked.select("_o"))
-            break
-        first = ranked.filter("_sure").select("_o")
-        ends = _run_ends(ranked.filter("_before IS NOT NULL"))
-        along = ends.filter("NOT _odd").join(first.withColumnRenamed("_o", "_end"), "_end", "left_semi")
-        # edges of a run have the ends they were ranked with
-        more = ranked.filter("NOT _sure").join(along.select("_o"), "_o", "left_semi")
-        settled = cut_lineage(ranked.filter("_sure").unionByName(more).select("_r", "_p", "_c", "_o"))
+        settled, rest = rule(active)
         kept.append(settled.select("_o"))
-        active = cut_lineage(
-            ranked.filter("NOT _sure").select("_r", "_p", "_c", "_o")
-            .transform(lambda open_: _without(open_, settled, ["_r"]))
-            .transform(lambda open_: _without(open_, settled, ["_p", "_c"]))
-        )
-        if active.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, kept)
+        active = cut_lineage(_without(_without(rest, settled, ["_r"]), settled, ["_p", "_c"]))
+        left = active.count()
+        if left == 0:
+            return reduce(DataFrame.unionByName, kept)
+        rule = _run_round if open_before is not None and 2 * left > open_before else _plain_round
+        open_before = left
 
 
 def flag_duplicates(df: DataFrame, order: Sequence[str]) -> DataFrame:

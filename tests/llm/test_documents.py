@@ -403,6 +403,27 @@ def test_language_of_many_labels(spark):
     assert (found == np.arange(230)).mean() > 0.5
 
 
+@pytest.mark.parametrize("pairs", [0, 10**9])
+def test_texts_that_share_an_id_link_alike_in_both_ways(spark, monkeypatch, pairs):
+    """Buckets compared in blocks (0 pairs allowed) and joined to pairs give the same groups."""
+    monkeypatch.setattr(odd_sketch, "PAIRS_PER_MEMBER", pairs)
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    base = [[word() for _ in range(80)] for _ in range(4)]
+    rows = []
+    for k in range(30):  # four families, ids 40 and 41 hold texts of two of them
+        own = list(base[k % 4])
+        own[int(rng.integers(0, 80))] = word()
+        rows.append((k, " ".join(own)))
+    rows += [(40, " ".join(base[0])), (40, " ".join(base[1][:79] + [word()])), (41, " ".join(base[2])), (41, "unlike all others " + word() + " " + word()), (41, " ".join(base[2]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in odd_sketch.near_groups(docs).collect()}
+    assert {c for (i, _), c in got.items() if i == 40} == {0}
+    assert {c for (i, _), c in got.items() if i % 4 in (0, 1) and i < 30} == {0}
+    assert {c for (i, _), c in got.items() if i % 4 == 2 or i == 41} == {2}
+    assert {c for (i, _), c in got.items() if i % 4 == 3} == {3}
+
+
 def test_rollup(spark, tmp_path):
     def batch(*rows):
         return spark.createDataFrame(rows, "doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint, live boolean")

@@ -88,7 +88,7 @@ def test_dedupe_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
     df = spark.createDataFrame(rows, "request_id string, protein_id string, checksum string, position int")
     kept = sorted(r.position for r in dedupe.dedupe_events(df, ["position"]).collect())
     assert kept == list(range(0, 10_000, 2))
-    assert len(cuts) < 20
+    assert len(cuts) < 30  # two for each of a few plain rounds, one for each of 14 doublings
 
 
 def test_sample_of_latencies_does_not_depend_on_tasks(spark):
