@@ -40,6 +40,11 @@ def is_json_object(c: Column) -> Column:
     return F.coalesce(F.ltrim(F.get_json_object(c, "$")).startswith("{"), F.lit(False))
 
 
+def decode_row(row: Column, schema: str = ROW_SCHEMA) -> Column:
+    """E-27 for a table with one JSON text a row: its struct, null where it is not a JSON object."""
+    return F.when(is_json_object(row), F.from_json(row, schema))
+
+
 def decode_rows(rows: Column, schema: str = ROW_SCHEMA) -> Column:
     """E-27: list of JSON texts to structs; items that are not JSON objects are skipped."""
     return F.transform(F.filter(rows, is_json_object), lambda x: F.from_json(x, schema))
@@ -50,6 +55,14 @@ def score_map(rows: Column) -> Column:
     return F.map_from_entries(F.transform(rows, lambda r: F.struct(r["go_term"], r["score"])))
 
 
+def score_rows(df: DataFrame, keys: Sequence[str], term: str, score: str, order: Sequence[str]) -> DataFrame:
+    """E-29 for a table of (keys, term, score) rows: one row per term, with the order columns of its
+    first row as ``first_place`` and the score of its last.
+    """
+    place = F.struct(*order)
+    return df.groupBy(*keys, term).agg(F.min(place).alias("first_place"), F.max_by(score, place).alias(score))
+
+
 ITEM_SCHEMA = ", ".join(
     f"{k} STRING" for k in (*TERM_KEYS, *SCORE_KEYS, "term_name", "name", "ontology", "aspect", "definition")
 )

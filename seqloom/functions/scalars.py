@@ -194,9 +194,13 @@ def map_aspect(c: Column) -> Column:
 
 
 def confidence_summary(score_map: Column) -> Column:
-    """E-16: ``top_terms=N;max_score=x``."""
-    top = F.coalesce(F.array_max(F.map_values(score_map)), F.lit(0.0))
-    return F.format_string("top_terms=%d;max_score=%.6f", F.size(score_map), top)
+    """E-16: ``top_terms=N;max_score=x`` of the score map of a message."""
+    return confidence_text(F.size(score_map), F.array_max(F.map_values(score_map)))
+
+
+def confidence_text(n_terms: Column, best: Column) -> Column:
+    """E-16 from a count and a maximum, which Spark aggregates without a list."""
+    return F.format_string("top_terms=%d;max_score=%.6f", n_terms, F.coalesce(best, F.lit(0.0)))
 
 
 def confidence_sentence(protein_id: Column, sequence: Column, top_term: Column, top_score: Column) -> Column:

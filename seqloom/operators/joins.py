@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions import scalars as S
+from seqloom.operators.lineage import cut_lineage
+from seqloom.operators.ordering import running_totals
 
 
 def annotate_sequences(sequences: DataFrame, terms: DataFrame, taxonomy: DataFrame, ia: DataFrame) -> DataFrame:
@@ -80,18 +82,28 @@ def term_aspects(ann: DataFrame, ontology: DataFrame) -> DataFrame:
 
 
 def attach_results(events: DataFrame, predictions: DataFrame) -> DataFrame:
-    """J-07: predictions of a scored chunk back to its events, by protein.
+    """J-07: predictions of a scored chunk back to its events, by protein, one row each.
 
-    An event without predictions gets an empty list and 0.0; two events of one protein both match.
-    Predictions are already limited to top-k per protein, so each list is bounded.
+    An event without predictions stays as one row without a term and with 0.0; two events of one
+    protein both match.
     """
-    rows = F.struct("model", "protein_id", "go_term", "score", "aspect", "name")
-    ranked = predictions.withColumn("_row", F.struct(F.col("rank"), rows.alias("row")))
-    per_protein = ranked.groupBy("protein_id").agg(F.array_sort(F.collect_list("_row")).alias("_rows"))
+    side = predictions.select("protein_id", "model", "go_term", "score", "aspect", "name", "rank")
+    return events.join(side, "protein_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+
+
+def attach_summary(events: DataFrame, predictions: DataFrame) -> DataFrame:
+    """J-07: number of terms, highest score and first term (by ``rank``) of each event's protein.
+
+    Predictions are aggregated per protein before the join, on every task first, so no list of them
+    is ever held.
+    """
+    per_protein = predictions.groupBy("protein_id").agg(
+        F.count("*").alias("n_terms"), F.max("score").alias("max_score"), F.min_by("go_term", "rank").alias("first_term")
+    )
     joined = events.join(per_protein, "protein_id", "left")
-    kind = "array<struct<model:string,protein_id:string,go_term:string,score:double,aspect:string,name:string>>"
-    lists = F.transform("_rows", lambda r: r["row"])
-    return joined.withColumn("predictions", F.coalesce(lists, F.array()).cast(kind)).drop("_rows")
+    return joined.withColumns(
+        {"n_terms": F.coalesce("n_terms", F.lit(0)), "max_score": F.coalesce("max_score", F.lit(0.0))}
+    )
 
 
 def enrich_terms(df: DataFrame, ontology: DataFrame) -> DataFrame:
@@ -126,7 +138,9 @@ def first_source(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame
 
 
 def request_protein_links(events: DataFrame) -> DataFrame:
-    """J-10: one row per (request, protein) link; a request without records links its own protein."""
+    """J-10: one row per (request, protein) link of events whose records are a list of the message
+    (a request may hold 400); a request without records links its own protein.
+    """
     kind = "array<struct<protein_id:string,sequence:string,sequence_length:int,description:string>>"
     single = F.array(
         F.struct(
@@ -146,6 +160,16 @@ def request_protein_links(events: DataFrame) -> DataFrame:
     return linked.filter(F.coalesce(F.col("protein_id"), F.lit("")) != "")
 
 
+def link_records(events: DataFrame, records: DataFrame, key: str = "request_id") -> DataFrame:
+    """J-10 where the records are a table of their own (key, protein_id, sequence_length): one row
+    per link; an event without records links its own protein. Links without an id go.
+    """
+    cols = [key, "protein_id", "sequence_length"]
+    alone = events.join(records.select(key), key, "left_anti").select(*cols)
+    linked = records.join(events.select(key), key, "left_semi").select(*cols).unionByName(alone)
+    return linked.withColumn("protein_id", F.trim("protein_id")).filter(F.coalesce("protein_id", F.lit("")) != "")
+
+
 def reconcile_status(bucket_rows: DataFrame, latest: DataFrame) -> DataFrame:
     """J-11: status-bucket rows whose request still has that status."""
     now = latest.select("request_id", F.col("current_status").alias("_now"))
@@ -160,6 +184,45 @@ def count_in_minutes(df: DataFrame, minutes: DataFrame, ts: str = "created_at")
     )
 
 
+def count_in_windows(df: DataFrame, windows: DataFrame, ts: str = "created_at") -> DataFrame:
+    """J-12 for windows of any start and length, which may overlap: ``windows`` with ``metric_value``,
+    the rows with ``window_start <= ts < window_end``.
+
+    Rows are counted per instant and summed up in time order; a window is the sum before its end
+    minus the sum before its start, so no row meets a window. Rows without a time count nowhere; a
+    window without a bound, or that ends before it starts, holds 0.
+    """
+    edges = windows.select(F.explode(F.array("window_start", "window_end")).alias("_at"))
+    instants = df.select(F.col(ts).alias("_at"), F.lit(1).alias("_n")).unionByName(edges.select("_at", F.lit(0).alias("_n")))
+    per_instant = instants.filter(F.col("_at").isNotNull()).groupBy("_at").agg(F.sum("_n").alias("_n"))
+    sums = running_totals(per_instant, ["_at"], {"_upto": F.col("_n")}).select("_at", (F.col("_upto") - F.col("_n")).alias("_before"))
+    sums = cut_lineage(sums.join(edges.distinct(), "_at", "left_semi"))
+    out = windows
+    for bound in ("start", "end"):
+        side = sums.select(F.col("_at").alias(f"_{bound}_at"), F.col("_before").alias(f"_{bound}"))
+        out = out.join(side, F.col(f"window_{bound}") == F.col(f"_{bound}_at"), "left")
+    inside = F.greatest(F.coalesce(F.col("_end") - F.col("_start"), F.lit(0)), F.lit(0))
+    return out.select(*windows.columns, inside.alias("metric_value"))
+
+
+def rows_in_windows(df: DataFrame, windows: DataFrame, ts: str = "created_at") -> DataFrame:
+    """J-12 as rows: every row of ``df`` with every window that holds its time.
+
+    Both sides are dealt to bins as wide as the mean window and meet by an equi-join on the bin; the
+    bounds are checked inside it. A row lies in one bin. Windows lie in all bins that they touch,
+    three each on average at most, whatever their lengths.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    fair = windows.filter(F.col("window_start") < F.col("window_end"))
+    mean = fair.agg(F.avg(micros("window_end") - micros("window_start"))).first()[0]
+    wide = max(1, int(mean or 1))
+    nth = lambda m: F.floor(m / wide)
+    bins = F.sequence(nth(micros("window_start")), nth(micros("window_end") - 1))
+    dealt = fair.withColumn("_bin", F.explode(bins))
+    inside = (F.col(ts) >= F.col("window_start")) & (F.col(ts) < F.col("window_end"))
+    return df.withColumn("_bin", nth(micros(ts))).join(dealt, "_bin").filter(inside).drop("_bin")
+
+
 def selected_edges(edges: DataFrame, terms: DataFrame) -> DataFrame:
     """J-13: edges with both ends selected."""
     chosen = terms.select("term")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import scalars as S
@@ -125,11 +125,49 @@ def latest_visible(predictions: DataFrame, requests: DataFrame, protein: str, us
 
 
 def page(df: DataFrame, page_number: int, size: int, order: Sequence[Column]) -> DataFrame:
-    """W-03: one page and ``has_next``, decided by one row beyond it. ``order`` must be unique."""
+    """W-03: one page and ``has_next``, decided by one row beyond it. ``order`` must be unique.
+
+    All rows before the page are sorted; walks over many pages use ``page_after``.
+    """
     start = (page_number - 1) * size
-    fetched = df.orderBy(*order).limit(start + size + 1)
-    more = fetched.agg(F.count("*") > start + size).scalar()
-    return fetched.orderBy(*order).offset(start).limit(size).withColumn("has_next", more)
+    return _cut_page(df.orderBy(*order).limit(start + size + 1), start, size, order)
+
+
+def _cut_page(fetched: DataFrame, start: int, size: int, order: Sequence[Column]) -> DataFrame:
+    """Rows ``start`` to ``start + size`` of the few ``fetched`` ones, in order, with ``has_next``."""
+    placed = fetched.withColumns(
+        {
+            "_place": F.row_number().over(Window.orderBy(*order)),
+            "has_next": F.count("*").over(Window.partitionBy()) > start + size,
+        }
+    )
+    inside = F.col("_place").between(start + 1, start + size)
+    return placed.filter(inside).orderBy("_place").drop("_place")
+
+
+def _beyond(col: str, down: bool, value) -> Column:
+    """Rows that come after ``value`` in an order where null is the lowest value."""
+    if value is None:
+        return F.lit(False) if down else F.col(col).isNotNull()
+    return (F.col(col) < F.lit(value)) | F.col(col).isNull() if down else F.col(col) > F.lit(value)
+
+
+def page_after(df: DataFrame, size: int, order: Sequence[tuple[str, bool]], last: Sequence | None = None) -> DataFrame:
+    """W-03 by seek key: the ``size`` rows after the row whose order columns are ``last``, and ``has_next``.
+
+    ``order`` names columns and whether they go down; together they must be unique. Rows before the
+    page are left out by a filter on the leading column, which reaches the scan, so a late page
+    costs no more than the first. Without ``last`` it is the first page.
+    """
+    sort = [F.desc(c) if down else F.asc(c) for c, down in order]
+    if last is not None:
+        same, after = F.lit(True), F.lit(False)
+        for (col, down), value in zip(order, last, strict=True):
+            after = after | (same & _beyond(col, down, value))
+            same = same & F.col(col).eqNullSafe(F.lit(value))
+        (lead, down), value = order[0], last[0]
+        df = df.filter(_beyond(lead, down, value) | F.col(lead).eqNullSafe(F.lit(value))).filter(after)
+    return _cut_page(df.orderBy(*sort).limit(size + 1), 0, size, sort)
 
 
 def latest_n(df: DataFrame, keys: Sequence[str], n: int, ts: str, tie: str = "request_id") -> DataFrame:

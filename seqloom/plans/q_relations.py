@@ -106,10 +106,24 @@ def _(d):
         F.col("term").cast("string").alias("go_term"), "score", none.alias("aspect"), none.alias("name"),
         F.struct(-F.col("score"), F.col("term")).alias("rank"),
     )
-    rows = joins.attach_results(d.inbound, predictions)
-    best = F.coalesce(F.array_max(F.transform("predictions", lambda p: p["score"])), F.lit(0.0))
-    first = F.get("predictions", F.lit(0))["go_term"]
-    return rows.select("position", big(F.size("predictions")).alias("n_terms"), r6(best).alias("max_score"), first.alias("first_term"))
+    rows = joins.attach_summary(d.inbound, predictions)
+    return rows.select("position", "n_terms", r6(F.col("max_score")).alias("max_score"), "first_term")
+
+
+@query(
+    "j07_attached_rows",
+    """SELECT i.position, CAST(s.term AS VARCHAR) AS go_term, round(coalesce(s.score, 0.0), 6) AS score
+       FROM inbound i LEFT JOIN scores s ON 'P' || s.protein_id = i.protein_id""",
+)
+def _(d):
+    none = F.lit(None).cast("string")
+    predictions = d.scores.select(
+        F.concat(F.lit("P"), "protein_id").alias("protein_id"), F.lit("ensemble").alias("model"),
+        F.col("term").cast("string").alias("go_term"), "score", none.alias("aspect"), none.alias("name"),
+        F.struct(-F.col("score"), F.col("term")).alias("rank"),
+    )
+    rows = joins.attach_results(d.inbound.select("position", "protein_id"), predictions)
+    return rows.select("position", "go_term", r6(F.col("score")).alias("score"))
 
 
 @query(
@@ -147,20 +161,15 @@ def _(d):
        UNION ALL SELECT o_orderkey, 'single' || o_custkey, 7 FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 )
 def _(d):
-    record = F.struct(
-        F.concat(F.lit(" P"), "l_partkey").alias("protein_id"), F.lit(None).cast("string").alias("sequence"),
-        F.col("l_quantity").cast("int").alias("sequence_length"), F.lit(None).cast("string").alias("description"),
+    records = d.table("lineitem").select(
+        F.col("l_orderkey").alias("request_id"), F.concat(F.lit(" P"), "l_partkey").alias("protein_id"),
+        F.col("l_quantity").cast("int").alias("sequence_length"),
     )
-    lists = d.table("lineitem").groupBy(F.col("l_orderkey").alias("request_id")).agg(F.collect_list(record).alias("input_records"))
-    events = (
-        d.table("orders")
-        .select(
-            F.col("o_orderkey").alias("request_id"), F.concat(F.lit("single"), "o_custkey").alias("protein_id"),
-            F.lit(7).alias("sequence_length"),
-        )
-        .join(lists, "request_id", "left")
+    events = d.table("orders").select(
+        F.col("o_orderkey").alias("request_id"), F.concat(F.lit("single"), "o_custkey").alias("protein_id"),
+        F.lit(7).alias("sequence_length"),
     )
-    rows = joins.request_protein_links(events)
+    rows = joins.link_records(events, records)
     return rows.select("request_id", "protein_id", big("sequence_length").alias("sequence_length"))
 
 
@@ -186,6 +195,38 @@ def _(d):
     return rows.select(stamp("window_start").alias("window_start"), "metric_value")
 
 
+WINDOWS = "(SELECT event_id, ts AS window_start, ts + to_seconds(5 + event_id % 600) AS window_end FROM events)"
+
+
+def _windows(d):
+    """A window from each event on, of 5 seconds to 10 minutes."""
+    seconds = 5 + F.col("event_id") % 600
+    end = F.timestamp_add("SECOND", seconds.cast("int"), "ts")
+    return d.table("events").select("event_id", F.col("ts").alias("window_start"), end.alias("window_end"))
+
+
+@query(
+    "j12_count_in_windows",
+    f"""SELECT event_id, count(s.request_id) AS metric_value FROM {WINDOWS} LEFT JOIN status_log s
+          ON s.created_at >= window_start AND s.created_at < window_end GROUP BY 1""",
+)
+def _(d):
+    return joins.count_in_windows(d.status_log, _windows(d)).select("event_id", "metric_value")
+
+
+@query(
+    "j12_rows_in_windows",
+    f"""SELECT s.current_status, event_id % 100 AS slot, count(*) AS n, count(DISTINCT event_id) AS windows FROM {WINDOWS}
+          JOIN status_log s ON s.created_at >= window_start AND s.created_at < window_end GROUP BY 1, 2""",
+)
+def _(d):
+    rows = joins.rows_in_windows(d.status_log, _windows(d))
+    slot = F.col("event_id") % 100
+    return rows.groupBy("current_status", slot.alias("slot")).agg(
+        F.count("*").alias("n"), F.count_distinct("event_id").alias("windows")
+    )
+
+
 @query(
     "j13_selected_edges",
     "SELECT child, parent FROM edges WHERE child IN (SELECT term FROM selected) AND parent IN (SELECT term FROM selected)",

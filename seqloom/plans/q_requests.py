@@ -6,7 +6,8 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from seqloom.operators import dedupe, requests
+from seqloom.operators import dedupe, joins, requests
+from seqloom.operators.lineage import cut_lineage
 from seqloom.operators.ordering import keep_first
 from seqloom.plans.domain import big, r4, r6, stamp
 from seqloom.plans.registry import query
@@ -206,6 +207,25 @@ def _(d):
     return rows.select("request_id", "current_status", "has_next")
 
 
+@query(
+    "w03_seek_pages",
+    f"""WITH o AS (SELECT *, row_number() OVER (ORDER BY updated_at DESC, request_id) AS rn, count(*) OVER () AS n FROM latest_log)
+        SELECT request_id, current_status, (rn - 1) // 25 + 1 AS page, (rn - 1) // 25 * 25 + 25 < n AS has_next FROM o WHERE rn <= 75""",
+)
+def _(d):
+    # three pages, each from the last row of the one before
+    latest = cut_lineage(dedupe.latest_requests(d.status_log))
+    order, last, pages = [("updated_at", True), ("request_id", False)], None, []
+    for number in (1, 2, 3):
+        rows = cut_lineage(requests.page_after(latest, 25, order, last))
+        pages.append(rows.select("request_id", "current_status", F.lit(number).cast("bigint").alias("page"), "has_next"))
+        end = rows.orderBy(F.asc("updated_at"), F.desc("request_id")).first()
+        if end is None or not end.has_next:
+            break
+        last = (end.updated_at, end.request_id)
+    return joins.union_all(pages)
+
+
 @query(
     "w04_latest_n",
     """SELECT lower(protein_id) AS protein, request_id, max_score FROM predictions

@@ -228,10 +228,8 @@ def _(d):
        FROM scores GROUP BY protein_id""",
 )
 def _(d):
-    maps = d.scores.groupBy("protein_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "score"))).alias("score_map")
-    )
-    return maps.select("protein_id", S.confidence_summary(F.col("score_map")).alias("summary"))
+    per_protein = d.scores.groupBy("protein_id").agg(F.count("*").alias("n"), F.max("score").alias("best"))
+    return per_protein.select("protein_id", S.confidence_text(F.col("n"), F.col("best")).alias("summary"))
 
 
 @query(
@@ -397,30 +395,29 @@ def _(d):
 def _(d):
     row = F.to_json(F.struct(F.col("term").cast("string").alias("go_term"), "score"))
     text = F.when(F.col("term") % 7 == 0, F.concat(F.lit("{"), row)).otherwise(row)
-    lists = d.scores.groupBy("protein_id").agg(F.collect_list(text).alias("rows"))
-    parsed = lists.withColumn("rows", P.decode_rows(F.col("rows")))
-    best = F.array_max(F.transform("rows", lambda r: r["score"]))
-    return parsed.select("protein_id", big(F.size("rows")).alias("n_rows"), r6(best).alias("best"))
+    parsed = d.scores.select("protein_id", P.decode_row(text).alias("row"))
+    return parsed.groupBy("protein_id").agg(F.count("row").alias("n_rows"), r6(F.max("row.score")).alias("best"))
 
 
 @query(
     "e28_terms_of",
-    """SELECT protein_id, string_agg(term || '=' || printf('%.2f', score), ',' ORDER BY score DESC, term) AS terms
-       FROM scores GROUP BY protein_id""",
+    """SELECT protein_id, term // 20 AS message, string_agg(term || '=' || printf('%.2f', score), ',' ORDER BY score DESC, term) AS terms
+       FROM scores GROUP BY 1, 2""",
 )
 def _(d):
-    # even terms come as objects with a score, odd ones as bare ids scored by the map
+    # a message holds 20 terms at most; even ones come as objects with a score, odd ones as bare ids scored by the map
     name = F.col("term").cast("string")
     item = F.when(F.col("term") % 2 == 0, F.to_json(F.struct(name.alias("go_term"), "score"))).otherwise(
         F.concat(F.lit('"'), name, F.lit('"'))
     )
     entry = F.struct(F.col("term"), item.alias("item"), F.concat(F.lit('"'), name, F.lit('":'), F.col("score")).alias("pair"))
-    lists = d.scores.groupBy("protein_id").agg(F.array_sort(F.collect_list(entry)).alias("x"))
+    message = F.floor(F.col("term") / 20).alias("message")
+    lists = d.scores.groupBy("protein_id", message).agg(F.array_sort(F.collect_list(entry)).alias("x"))
     join = lambda f: F.array_join(F.transform("x", lambda e: e[f]), ",")
     text = F.concat(F.lit('{"top_terms":['), join("item"), F.lit('],"score_map":{'), join("pair"), F.lit("}}"))
-    terms = lists.select("protein_id", P.terms_of(text).alias("t"))
+    terms = lists.select("protein_id", "message", P.terms_of(text).alias("t"))
     shown = F.transform("t", lambda t: F.format_string("%s=%.2f", t["term_id"], t["score"]))
-    return terms.select("protein_id", F.array_join(shown, ",").alias("terms"))
+    return terms.select("protein_id", "message", F.array_join(shown, ",").alias("terms"))
 
 
 @query(
@@ -428,19 +425,18 @@ def _(d):
     """WITH rows AS (SELECT l_orderkey AS protein_id, l_partkey % 5 AS term, l_quantity / 50 AS score,
                  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_suppkey) AS rn FROM lineitem),
        per AS (SELECT protein_id, term, min(rn) AS first_rn, arg_max(score, rn) AS score FROM rows GROUP BY 1, 2)
-       SELECT protein_id, string_agg(term || '=' || printf('%.2f', score), ',' ORDER BY first_rn) AS terms FROM per GROUP BY 1""",
+       SELECT p.protein_id, CAST(p.term AS VARCHAR) AS go_term, l_linenumber AS first_line, round(score, 6) AS score
+       FROM per p JOIN (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_extendedprice, l_suppkey) AS rn FROM lineitem) ON l_orderkey = protein_id AND rn = first_rn""",
 )
 def _(d):
-    entry = F.struct(
-        "l_linenumber", "l_partkey", "l_extendedprice", "l_suppkey",
-        (F.col("l_partkey") % 5).cast("string").alias("go_term"), (F.col("l_quantity") / 50).alias("score"),
+    order = ["l_linenumber", "l_partkey", "l_extendedprice", "l_suppkey"]
+    rows = d.table("lineitem").select(
+        F.col("l_orderkey").alias("protein_id"), (F.col("l_partkey") % 5).cast("string").alias("go_term"),
+        (F.col("l_quantity") / 50).alias("score"), *order,
     )
-    lists = d.table("lineitem").groupBy(F.col("l_orderkey").alias("protein_id")).agg(
-        F.array_sort(F.collect_list(entry)).alias("rows")
-    )
-    maps = lists.select("protein_id", P.score_map(F.col("rows")).alias("m"))
-    shown = F.transform(F.map_entries("m"), lambda e: F.format_string("%s=%.2f", e["key"], e["value"]))
-    return maps.select("protein_id", F.array_join(shown, ",").alias("terms"))
+    scored = P.score_rows(rows, ["protein_id"], "go_term", "score", order)
+    return scored.select("protein_id", "go_term", F.col("first_place.l_linenumber").alias("first_line"), r6("score").alias("score"))
 
 
 @query(

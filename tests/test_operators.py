@@ -1,5 +1,5 @@
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -422,3 +422,84 @@ def test_analysis_falls_back_to_all_rows(spark):
     found = spark.createDataFrame([(1, "p", "a", 0.2), (1, "x", "b", 0.9)], "batch_id int, protein_id string, term string, score double")
     got = E.analysis_from_batch(wanted, found, 1)
     assert rows(got.select("protein_id", "term")) == [("p", "a"), ("q", "b")]
+
+
+# --- names, windows and pages without lists ----------------------------------------------------
+
+
+def first_come_names(ids):
+    taken, out = set(), []
+    for i, given in enumerate(ids):
+        base = given or f"protein_{i + 1}"
+        name, k = base, 2
+        while name in taken:
+            name, k = f"{base}_{k}", k + 1
+        taken.add(name)
+        out.append(name)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_unique_ids_against_first_come(spark, seed):
+    rng = random.Random(seed)
+    pool = ["a"] * 6 + [f"a_{k}" for k in range(1, 9)] + ["a_2_2", "a_2_3", "a_2_2_2", "a_02", "b_2", "b", "b", "_2", None, "protein_9"]
+    ids = [rng.choice(pool) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(ids)), "position long, protein_id string").repartition(4)
+    got = [r.protein_id for r in sorted(naming.unique_ids(df, "position").collect(), key=lambda r: r.position)]
+    assert got == first_come_names(ids)
+
+
+def test_unique_ids_pass_many_taken_numbers_in_few_rounds(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(naming, "cut_lineage", lambda df, cut=naming.cut_lineage: cuts.append(1) or cut(df))
+    ids = ["a"] + [f"a_{k}" for k in range(2, 10_002)] + ["a"] * 5_000 + ["a_10002"]
+    df = spark.createDataFrame(list(enumerate(ids)), "position long, protein_id string")
+    got = [r.protein_id for r in sorted(naming.unique_ids(df, "position").collect(), key=lambda r: r.position)]
+    assert got[-1] == "a_10002_2" and got[10_001] == "a_10002" and got[15_000] == "a_15001"
+    assert len(set(got)) == len(ids) and len(cuts) < 20
+
+
+def test_windows_of_any_length(spark):
+    rng = random.Random(4)
+    start = datetime(2024, 1, 1)
+    at = lambda s: start + timedelta(seconds=s)
+    times = [rng.uniform(0, 5000) for _ in range(300)] + [100.0] * 50 + [None]
+    windows = [(i, s, s + rng.choice([0, 1, 30, 4000])) for i, s in enumerate(rng.uniform(-100, 5000) for _ in range(80))]
+    windows += [(900, 100.0, 101.0), (901, 99.0, 100.0), (902, 50.0, 20.0), (903, None, 20.0), (900, 100.0, 101.0)]
+    when = lambda s: None if s is None else at(s)
+    df = spark.createDataFrame([(i, when(t)) for i, t in enumerate(times)], "id int, created_at timestamp")
+    wins = spark.createDataFrame([(i, when(a), when(b)) for i, a, b in windows], "w int, window_start timestamp, window_end timestamp")
+    hits = lambda a, b: [i for i, t in enumerate(times) if None not in (t, a, b) and when(a) <= when(t) < when(b)]
+    assert rows(joins.count_in_windows(df, wins).select("w", "metric_value")) == sorted((w, len(hits(a, b))) for w, a, b in windows)
+    want = sorted((w, i) for w, a, b in windows for i in hits(a, b))
+    assert rows(joins.rows_in_windows(df, wins).select("w", "id")) == want
+    assert joins.rows_in_windows(df, wins.filter("false")).isEmpty() and joins.count_in_windows(df.filter("false"), wins).count() == len(windows)
+
+
+def test_pages_by_seek_walk_the_whole_order(spark, tmp_path):
+    rng = random.Random(2)
+    data = [(i, rng.choice([None, 1, 2, 3]), rng.choice(["x", None]), i) for i in range(60)]
+    spark.createDataFrame(data, "id int, a int, b string, c int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    order = [("a", True), ("b", False), ("c", True)]
+    whole = [r.id for r in df.orderBy(F.desc("a"), F.asc("b"), F.desc("c")).collect()]
+    seen, last, more = [], None, True
+    while more:
+        got = requests.page_after(df, 7, order, last).collect()
+        seen += [r.id for r in got]
+        more, last = got[-1].has_next, (got[-1].a, got[-1].b, got[-1].c)
+    assert seen == whole
+    assert "PushedFilters: [Or(" in requests.page_after(df, 7, order, (2, "x", 5))._jdf.queryExecution().toString()
+    assert [r.id for r in requests.page(df, 3, 7, [F.desc("a"), F.asc("b"), F.desc("c")]).collect()] == whole[14:21]
+
+
+def test_links_and_results_without_lists(spark):
+    events = spark.createDataFrame([("r1", "p1", 5), ("r2", " p2 ", 6), ("r3", " ", 7)], "request_id string, protein_id string, sequence_length int")
+    records = spark.createDataFrame([("r1", " q ", 1), ("r1", "", 2), ("r9", "z", 3)], "request_id string, protein_id string, sequence_length int")
+    assert rows(joins.link_records(events, records)) == [("r1", "q", 1), ("r2", "p2", 6)]
+    kind = "protein_id string, model string, go_term string, score double, aspect string, name string, rank int"
+    predictions = spark.createDataFrame([("p1", "m", "t1", 0.5, None, None, 2), ("p1", "m", "t2", 0.7, None, None, 1)], kind)
+    got = joins.attach_results(events, predictions).select("request_id", "go_term", "score")
+    assert sorted(map(tuple, got.collect()), key=str) == [("r1", "t1", 0.5), ("r1", "t2", 0.7), ("r2", None, 0.0), ("r3", None, 0.0)]
+    short = joins.attach_summary(events, predictions).select("request_id", "n_terms", "max_score", "first_term")
+    assert sorted(map(tuple, short.collect()), key=str) == [("r1", 2, 0.7, "t2"), ("r2", 0, 0.0, None), ("r3", 0, 0.0, None)]
