@@ -13,16 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.llm import bytewords as bw
-from seqloom.llm.common import ready_for_python, setting
+from seqloom.llm.common import ready_for_python
 
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 12
 #: Labelled rows a model is fitted on (one of each language at least), windows and number of steps.
 TRAINING_ROWS, WINDOWS_PER_STEP, STEPS, RATE = 2000, 128, 400, 0.02
+#: A longer text of the sample gives as many pieces of its own, from places drawn by hash.
+SAMPLE_CHARS, PIECE_CHARS = 1 << 16, 1 << 10
 #: Steps go on until every language was drawn as often.
 LEAST_DRAWS = 40
 WINDOWS_AT_ONCE = 1024
@@ -139,18 +141,29 @@ def predict(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def training_rows(docs: DataFrame, usable: Column, most: int = TRAINING_ROWS) -> tuple[list[str], list[str]]:
-    """A sample of labelled texts, alike for every language, in the order of a hash of the id.
+    """A sample of labelled texts, alike for every language, in the order of a hash of id and text.
 
-    Every language has ``most`` divided by their number, and one row at least.
+    Every language has ``most`` divided by their number, and one row at least. The hash is uniform,
+    so rows above a bound that follows from the number of rows are left out where they lie; the
+    bound leaves six deviations too many, and only the few rows below it are put in order. A long
+    text gives pieces from all over it, ``SAMPLE_CHARS`` characters at most.
     """
-    labelled = docs.filter(F.col("lang").isNotNull() & (F.col("text") != "") & usable)
-    each = max(1, most // max(1, labelled.select("lang").distinct().count()))
-    nth = F.expr("row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id), doc_id)")
-    chosen = labelled.select("doc_id", "lang").withColumn("nth", nth).filter(F.col("nth") <= each).drop("nth")
-    # tasks keep the first rows of each language before they are dealt out
-    with setting(docs.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold", str(most)):
-        found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "lang").collect()
-    rows = sorted((r.lang, r.text) for r in found if r.text)
+    spark = docs.sparkSession
+    labelled = docs.filter(F.col("lang").isNotNull() & (F.col("text") != "") & usable).select("doc_id", "text", "lang")
+    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return [], []
+    each = max(1, most // len(counts))
+    enough = each + 6 * each**0.5 + 20
+    bounds = spark.createDataFrame([(x, enough / n) for x, n in counts.items()], "lang string, below double")
+    drawn = labelled.withColumn("hash", F.xxhash64("doc_id", "text")).join(bounds, "lang")
+    few = drawn.filter(F.col("hash") / 2.0**64 + 0.5 < F.col("below"))
+    begin = lambda k: F.pmod(F.xxhash64("hash", k), F.length("text") - PIECE_CHARS) + 1
+    pieces = F.transform(F.sequence(F.lit(1), F.lit(SAMPLE_CHARS // PIECE_CHARS)), lambda k: F.substring("text", begin(k), PIECE_CHARS))
+    text = F.when(F.length("text") > SAMPLE_CHARS, F.array_join(pieces, " ")).otherwise(F.col("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id", "text"))
+    found = few.withColumn("nth", nth).filter(F.col("nth") <= each).select(text.alias("text"), "lang").collect()
+    rows = sorted((r.lang, r.text) for r in found)
     return [t for _, t in rows], [x for x, _ in rows]
 
 

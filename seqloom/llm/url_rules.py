@@ -1,9 +1,10 @@
 """Allow and block rules for URLs, by hashed host suffixes and path prefixes.
 
 A rule names a host and the start of a path. Each distinct URL is expanded into the expressions that
-a rule could have: every suffix of its host at a label boundary, with every prefix of its path whose
-length some rule has. Expressions meet rules in an equi-join on the first four bytes of their
-SHA-256; then full digests are compared, and the longest rule that fits decides.
+a rule could have: every suffix of its host at a label boundary, up to as many labels as some rule
+has, with every prefix of its path whose length some rule has. Expressions meet rules in an
+equi-join on the first four bytes of their SHA-256; then full digests are compared, and the longest
+rule that fits decides.
 """
 
 from __future__ import annotations
@@ -43,10 +44,18 @@ def rule_table(spark, rules=RULES) -> DataFrame:
     return given.select("rule", "rule_verdict", digest.alias("digest"), digest.substr(1, PREFIX_BYTES).alias("short"), length.alias("path_length"))
 
 
-def expressions(lengths: list[int]) -> Column:
-    """Host suffixes joined with the path prefixes of the given lengths, of columns host and path."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
+def labels_of(host: Column) -> Column:
+    return F.split(host, r"\.")
+
+
+def expressions(lengths: list[int], most_labels: int) -> Column:
+    """Host suffixes joined with the path prefixes of the given lengths, of columns host and path.
+
+    No rule's host has more than ``most_labels`` labels, so longer suffixes cannot fit one.
+    """
+    labels = labels_of(F.col("host"))
+    first = F.greatest(F.lit(1), F.size(labels) - most_labels + 1)
+    suffixes = F.transform(F.sequence(first, F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
     prefixes = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths])
     prefixes = F.filter(prefixes, lambda p: p.isNotNull())
     return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
@@ -61,9 +70,10 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     The lengths of rules' paths are collected: no more values than a URL has characters.
     """
     lengths = sorted(r.path_length for r in rules.select("path_length").distinct().collect())
+    most_labels = rules.agg(F.max(F.size(labels_of(F.substring_index("rule", "/", 1))))).first()[0]
     urls = pages.select(F.col(url_col).alias("_url")).distinct()
     parts = urls.select("_url", host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"))
-    made = parts.select("_url", F.explode(expressions(lengths)).alias("expression")) if lengths else parts.select("_url", F.col("host").alias("expression"))
+    made = parts.select("_url", F.explode(expressions(lengths, most_labels)).alias("expression")) if lengths else parts.select("_url", F.col("host").alias("expression"))
     hashed = made.select("_url", F.unhex(F.sha2("expression", 256)).alias("full"))
     met = hashed.withColumn("short", F.col("full").substr(1, PREFIX_BYTES)).join(rules, "short").filter("full = digest")
     order = F.struct(F.length("rule").alias("length"), "rule", F.when(F.col("rule_verdict") == "allow", 1).otherwise(0).alias("by"), "rule_verdict")

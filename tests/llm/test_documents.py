@@ -547,3 +547,103 @@ def test_empty_tables(spark, empty):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert licences.scan(licences.corpus_files(empty, pages)).count() == 0
     assert url_rules.judge(pages, url_rules.rule_table(spark)).count() == 0
+
+
+def test_url_of_very_many_labels(spark):
+    long = "a." * 50_000
+    urls = [(1, f"http://{long}com/fr/x"), (2, f"http://{long}example.org/es/{'p' * 100_000}"), (3, f"http://{long}net"), (4, "http://..org/")]
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    began = time.time()
+    got = {r.page_id: r.rule for r in url_rules.judge(pages, url_rules.rule_table(spark)).select("page_id", "rule").collect()}
+    assert got == {1: "com/fr/", 2: "example.org/es/", 3: None, 4: "org/"} and time.time() - began < 20
+
+
+def test_language_sample_is_the_lowest_hashes(spark):
+    rows = [(k, f"text {k}", "hot" if k % 3 else "rare" if k % 90 == 0 else "mid") for k in range(9000)] + [(None, "x", "hot"), (7, None, "hot"), (8, "", "hot")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    texts, langs = language.training_rows(docs.repartition(7), F.lit(True), most=300)
+    assert Counter(langs) == {"hot": 100, "mid": 100, "rare": 100}
+    order = docs.filter("text != ''").orderBy(F.xxhash64("doc_id", "text")).collect()
+    want = [[r.text for r in order if r.lang == x][:100] for x in ("hot", "mid", "rare")]
+    assert sorted(texts) == sorted(sum(want, []))
+    assert (texts, langs) == language.training_rows(docs.coalesce(1), F.lit(True), most=300)
+    long = spark.createDataFrame([(1, "abc " * 400_000, "l")], "doc_id bigint, text string, lang string")
+    assert len(language.training_rows(long, F.lit(True))[0][0]) <= language.SAMPLE_CHARS + 64
+
+
+def test_language_against_plain_convolution():
+    texts = ["abc abc " * 90, "xyz zyx", "éèà", "b"]
+    model = language.fit(["abc ab " * 20, "xyz zy " * 20] * 10, ["a", "x"] * 10)
+    got, sure = language.predict(model, pa.array(texts, pa.large_string()))
+    w = model.weights
+    for text, found, score in zip(texts, got, sure, strict=True):
+        raw, total = text.encode(), np.zeros(2)
+        for at in range(0, len(raw), language.WINDOW):
+            piece = raw[at : at + language.WINDOW]
+            cells = [*piece, *[0] * (language.WINDOW - len(piece))]
+            pooled = []
+            for width in language.WIDTHS:
+                sums = [sum(w[f"f{width}"][k][cells[p + k]] for k in range(width)) for p in range(len(cells) - width + 1)]
+                pooled.append(np.max(sums, axis=0))
+            z = np.maximum(np.concatenate(pooled) + w["fb"], 0) @ w["w"] + w["b"]
+            total += len(piece) * (z - np.log(np.exp(z - z.max()).sum()) - z.max())
+        p = np.exp(total / len(raw) - (total / len(raw)).max())
+        assert found == p.argmax() and abs(score - p.max() / p.sum()) < 1e-3
+
+
+def toxic_sample():
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(300)]
+    plain = lambda n: list(rng.choice(words, n))
+    texts = [plain(int(rng.integers(20, 150))) for _ in range(300)]
+    label = np.arange(300) % 2
+    for text, toxic in zip(texts, label, strict=True):
+        if toxic:
+            text.insert(int(rng.integers(0, len(text))), str(rng.choice(["zounds", "vermin", "wretch"])))
+    return [" ".join(t) for t in texts], label, plain
+
+
+def test_toxicity_does_not_depend_on_the_place_of_a_passage():
+    texts, label, plain = toxic_sample()
+    model = toxicity.fit(texts, label, 0.5)
+    before, passage, after = plain(48), plain(9) + ["vermin"] + plain(10), plain(48)
+    scores = toxicity.score_texts(model, pa.array([" ".join(before[:k] + passage + after) for k in range(48)], pa.large_string()))
+    assert scores.min() > 0.5 and scores.max() - scores.min() < 0.1
+    assert toxicity.score_texts(model, pa.array([" ".join(before + after)], pa.large_string()))[0] < 0.5
+
+
+def test_toxicity_against_a_plain_scorer():
+    """Each window word by word, one text at a time."""
+    texts, label, plain = toxic_sample()
+    model = toxicity.fit(texts, label, 0.1)
+    w, size = model.weights, toxicity.STATE
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    sample = [" ".join(plain(n)) for n in (1, 30, 48, 49, 72, 73, 200)] + ["", "12 !", "Vermin"]
+    got = toxicity.score_texts(model, pa.array(sample, pa.large_string()))
+    for text, score in zip(sample, got, strict=True):
+        vectors = []
+        for _, words, triples, at, _ in toxicity.featurise(pa.array([text], pa.large_string())):
+            for k, slot in enumerate(words):
+                vectors.append(np.concatenate((w["word"][slot], w["char"][triples[at[k] : at[k + 1]]].mean(0))))
+        best, start = -np.inf, 0
+        while True:
+            x, states = vectors[start : start + toxicity.WINDOW], []
+            for side, order in ((0, x), (1, x[::-1])):
+                h, trail = np.zeros(size), []
+                for v in order:
+                    g = v @ w[f"in{side}"] + w[f"b{side}"]
+                    gates = sig(g[: 2 * size] + h @ w[f"u{side}"][:, : 2 * size])
+                    c = np.tanh(g[2 * size :] + gates[size:] * (h @ w[f"u{side}"][:, 2 * size :]))
+                    h = h + gates[:size] * (c - h)
+                    trail.append(h)
+                states.append(trail if side == 0 else trail[::-1])
+            pooled = np.zeros(2 * size)
+            if x:
+                s = np.concatenate([np.array(t) for t in states], 1)
+                e = np.exp(np.tanh(s @ w["aw"]) @ w["av"])
+                pooled = (e / e.sum()) @ s
+            best = max(best, pooled @ w["ow"] + w["ob"][0])
+            if start + toxicity.WINDOW >= len(vectors):
+                break
+            start += toxicity.STRIDE
+        assert abs(score - sig(best + model.shift)) < 1e-3
