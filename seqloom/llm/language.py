@@ -155,7 +155,8 @@ def training_rows(docs: DataFrame, usable: Column, most: int = TRAINING_ROWS) ->
         return [], []
     each = max(1, most // len(counts))
     enough = each + 6 * each**0.5 + 20
-    bounds = spark.createDataFrame([(x, enough / n) for x, n in counts.items()], "lang string, below double")
+    # a table of known size, one row per label of the model, which Spark broadcasts by that size
+    bounds = spark.createDataFrame(pa.table({"lang": list(counts), "below": [enough / n for n in counts.values()]}))
     drawn = labelled.withColumn("hash", F.xxhash64("doc_id", "text")).join(bounds, "lang")
     few = drawn.filter(F.col("hash") / 2.0**64 + 0.5 < F.col("below"))
     begin = lambda k: F.pmod(F.xxhash64("hash", k), F.length("text") - PIECE_CHARS) + 1
