@@ -1,15 +1,15 @@
 """Passages of benchmark items in documents: SimHash of item-sized windows and Hamming blocks.
 
-A window of a document has as many 5-word shingles as an item. Two of n and m shingles that share s
-have similarity s / (n + m - s), so a window must hold a number of the item's shingles that follows
-from ``SIMILARITY``, six sevenths of them at 0.75, wherever they stand. Running counts find all such
-windows that begin at a shingle of the item or end with the document. Others need not be tried: from
-a start at another shingle the next of the item's, or the last start, gives a window with the same
-and perhaps more of them. Each window and item gets a 64-bit SimHash of its weighted shingles. The
-fingerprints are cut into 8 blocks; of two within 23 bits of each other some block differs in 2 bits
-at most, so items are listed under all values that near for each block, and an equi-join finds every
-pair within the radius. Pairs are then verified by the exact weighted Jaccard similarity of their
-shingles. Everything is DataFrame operations.
+A window of a document has as many 5-word shingles as an item, and one that is similar to the item
+holds at least ``SIMILARITY`` of the item's. So it holds one of any shingles that make up more than
+the rest of the item; windows are laid only around the ones that are rarest in the documents. What
+many items and many documents share, such as an instruction, is never looked up unless an item
+consists of little else. A window need not begin at a shingle that no item has, except at the end of
+the document: the next one shares as much and perhaps more. Each window and item gets a 64-bit
+SimHash of its weighted shingles. The fingerprints are cut into 8 blocks; of two within 23 bits of
+each other some block differs in 2 bits at most, so items are listed under all values that near for
+each block, and an equi-join finds every pair within the radius. Pairs are then verified by the exact
+weighted Jaccard similarity of their shingles. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -53,15 +53,14 @@ PRINT = f"""aggregate(sequence(0, 63), 0L, (a, b) -> a | shiftleft(
        > size(elements), 1L, 0L), b))"""
 
 
-def with_prints(scratch: Scratch, hashed: DataFrame) -> DataFrame:
-    """``hashed`` with its column ``own`` of shingle hashes turned into ``elements`` and ``print``.
+def with_elements(df: DataFrame) -> DataFrame:
+    """``df`` with its column ``own`` of shingle hashes turned into ``elements``."""
+    return settled(settled(df.withColumnRenamed("own", "_any"), own=F.sort_array("_any")), elements=F.expr(ELEMENTS)).drop("_any", "own")
 
-    The counts are written first: read back they are columns, not expressions to be worked out anew
-    for every bit.
-    """
-    ordered = hashed.withColumn("own", F.sort_array("own"))
-    counted = ordered.withColumn("elements", F.expr(ELEMENTS)).drop("own").withColumn("counts", F.expr(COUNTS))
-    return scratch.cut(scratch.cut(counted).withColumn("print", F.expr(PRINT)).drop("counts"))
+
+def with_prints(df: DataFrame) -> DataFrame:
+    """``df`` with its column ``own`` of shingle hashes turned into ``elements`` and ``print``."""
+    return settled(settled(with_elements(df), counts=F.expr(COUNTS)), print=F.expr(PRINT)).drop("counts")
 
 
 def blocks_of(print_: Column) -> Column:
@@ -80,47 +79,42 @@ def _key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), own)
 
 
-def _leaks(scratch: Scratch, docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """(key, item_id, start, m, similarity) for the items whose shingles have ``width`` words."""
-    spark = docs.sparkSession
-    items = with_prints(scratch, items.select("item_id", F.size("hashes").alias("m"), "hashes", F.col("hashes").alias("own")))
-    items = items.withColumnsRenamed({"elements": "item_elements", "print": "item_print"})
-    occurs = scratch.cut(items.select("item_id", "m", F.explode("hashes").alias("h")).distinct())
-    known = scratch.cut(occurs.select("h").distinct())
-    texts = settled(docs.select(_key().alias("key"), whole_text().alias("text")), words=words_of(F.col("text"))).drop("text")
-    hashed = settled(texts, hashes=shingle_hashes(width)).drop("words")
-    placed = hashed.select("key", F.size("hashes").alias("size"), F.posexplode("hashes").alias("pos", "h"))
-    hits = scratch.cut(placed.join(known, "h", "left_semi"))
-
-    # starts at a shared shingle from which a window holds enough of the item's, in whatever order
-    shared_at = hits.join(occurs, "h").select("key", "item_id", "m", "size", "pos").distinct()
-    same = "PARTITION BY key, item_id, m, size"
-    ranked = shared_at.withColumn("nth", F.expr(f"row_number() OVER ({same} ORDER BY pos)"))
-    ends = ranked.select("*", F.expr("inline(array(struct(pos AS at, 0 AS probe), struct(pos + m - 1 AS at, 1 AS probe)))"))
-    upto = F.expr(f"sum(1 - probe) OVER ({same} ORDER BY at, probe ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    held = ends.withColumn("held", upto - F.col("nth") + 1).filter("probe = 1")
-    enough = F.col("held") * (1 + SIMILARITY) >= (F.least("size", "m") + F.col("m")) * SIMILARITY
-    starts = held.filter(enough).withColumnRenamed("pos", "start")
-    last = F.greatest(F.col("size") - F.col("m"), F.lit(0))
-    windows = scratch.cut(starts.select("key", "m", F.greatest(F.lit(0), F.least("start", last)).alias("start")).distinct())
+def shingled(texts: DataFrame, widths: list[int]) -> DataFrame:
+    """A row of ``width`` and ``hashes`` for each width, in place of ``text``; a text is split once."""
+    by_width = [F.struct(F.lit(w).alias("width"), shingle_hashes(w).alias("hashes")) for w in widths]
+    rest = [c for c in texts.columns if c != "text"]
+    return settled(texts, words=words_of(F.col("text"))).select(*rest, F.inline(F.array(*by_width)))
+
+
+def rare_shingles(hits: DataFrame, occurs: DataFrame) -> DataFrame:
+    """(width, m, h): for each item its shingles that are rarest among ``hits``, as few as make up more
+    than ``1 - SIMILARITY`` of it. A window without any of them cannot be similar to the item.
+
+    ``hits`` has a row (width, h) for each place in the documents, ``occurs`` (item_id, width, m, h, n)
+    for each different shingle of an item. Shingles that stand in no document rank first and are left
+    out of the result.
+    """
+    often = hits.groupBy("width", "h").agg(F.count("*").alias("places"))
+    ranked = occurs.join(often, ["width", "h"], "left").fillna(0, ["places"])
+    before = F.expr("sum(n) OVER (PARTITION BY item_id ORDER BY places, h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n")
+    needed = ranked.withColumn("before", before).filter(F.col("before") <= (1 - SIMILARITY) * F.col("m"))
+    return needed.filter("places > 0").select("width", "m", "h").distinct()
 
-    with pruned_by_bloom(spark):
-        cut_out = hashed.join(windows.filter("m > 0"), "key").select("key", "m", "start", F.expr("slice(hashes, start + 1, m)").alias("own"))
-        printed = with_prints(scratch, cut_out)
-    listed = items.select("item_id", "m", "item_print")
-    listed = listed.select("*", F.posexplode(blocks_of(F.col("item_print"))).alias("block", "value"))
-    listed = listed.withColumn("flip", F.explode(F.array(*[F.lit(v).cast("long") for v in near_values()])))
-    listed = listed.select("item_id", "m", "item_print", "block", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
-    asked = printed.select("key", "m", "start", "print", F.posexplode(blocks_of(F.col("print"))).alias("block", "value"))
-    near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
-    found = asked.join(scratch.cut(listed), ["m", "block", "value"]).filter(near).select("key", "m", "start", "item_id").distinct()
-    pairs = found.join(printed.select("key", "m", "start", "elements"), ["key", "m", "start"])
-    pairs = pairs.join(items.select("item_id", "item_elements"), "item_id")
-    shared = F.size(F.array_intersect("elements", "item_elements"))
-    similarity = shared / (F.size("elements") + F.size("item_elements") - shared)
-    pairs = pairs.withColumn("similarity", similarity).filter(F.col("similarity") >= SIMILARITY)
-    best = pairs.groupBy("key", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), "m")).alias("b"))
-    return best.select("key", "item_id", (-F.col("b.before")).alias("start"), "b.m", "b.similarity")
+
+def windows_around(hits: DataFrame, rare: DataFrame) -> DataFrame:
+    """(key, width, m, start) of the windows that hold a rare shingle of an item of their length and
+    begin at a shingle of some item, or end with the document.
+
+    ``hits`` has (key, width, size, pos, h); a document of ``size`` shingles, fewer than ``m``, is one window.
+    """
+    near = hits.join(rare, ["width", "h"]).filter(F.col("size") >= SIMILARITY * F.col("m"))
+    before = F.expr("lag(pos, 1, -1) OVER (PARTITION BY key, width, m, size ORDER BY pos)")
+    last = F.greatest(F.col("size") - F.col("m"), F.lit(0))
+    spans = near.select("key", "width", "m", "size", "pos", before.alias("before"), last.alias("last"))
+    spans = spans.withColumns({"low": F.greatest(F.lit(0), F.expr("pos - m + 1"), F.expr("before + 1")), "high": F.least("pos", "last")})
+    laid = spans.filter("low <= high").select("key", "width", "m", "last", F.explode(F.sequence("low", "high")).alias("start"))
+    begun = laid.join(hits.select("key", "width", F.col("pos").alias("start")), ["key", "width", "start"], "left_semi")
+    return begun.unionByName(laid.filter("start = last")).select("key", "width", "m", "start").distinct()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -132,16 +126,44 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     that share an id are judged together. Repeated items are found each under its id; of items with
     a null id nothing is returned. Empty tables give an empty result; other columns are not read.
     """
-    scratch = Scratch(docs.sparkSession)
-    items = benchmark.filter("item_id IS NOT NULL").select("item_id", words_of(whole_text()).alias("words"))
-    items = scratch.cut(items.filter(F.size("words") > 0).withColumn("width", F.least(F.size("words"), F.lit(WIDTH))))
-    widths = sorted(r.width for r in items.select("width").distinct().collect())  # five at most
-    found = None
-    for width in widths or [WIDTH]:
-        own = items.filter(F.col("width") == width).select("item_id", shingle_hashes(width).alias("hashes"))
-        leaks = _leaks(scratch, docs, own, width)
-        found = leaks if found is None else found.unionByName(leaks)
-    return found
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    items = benchmark.filter("item_id IS NOT NULL").select("item_id", whole_text().alias("text"))
+    items = shingled(settled(items, own_width=F.least(F.size(words_of(F.col("text"))), F.lit(WIDTH))), list(range(1, WIDTH + 1)))
+    items = items.filter("width = own_width").withColumn("m", F.size("hashes")).drop("own_width").withColumnRenamed("hashes", "own")
+    items = scratch.cut(with_prints(items.withColumn("hashes", F.col("own"))))
+    widths = sorted(r.width for r in items.select("width").distinct().collect()) or [WIDTH]  # five at most
+    occurs = items.select("item_id", "width", "m", F.explode("hashes").alias("h"))
+    occurs = scratch.cut(occurs.groupBy("item_id", "width", "m", "h").agg(F.count("*").alias("n")))
+
+    texts = docs.select(_key().alias("key"), whole_text().alias("text"))
+    placed = shingled(texts, widths).select("key", "width", F.size("hashes").alias("size"), F.posexplode("hashes").alias("pos", "h"))
+    hits = scratch.cut(placed.join(occurs.select("width", "h").distinct(), ["width", "h"], "left_semi"))
+    windows = scratch.cut(windows_around(hits, scratch.cut(rare_shingles(hits, occurs))))
+    scratch.drop(hits)
+
+    with pruned_by_bloom(spark):
+        asked_for = texts.join(windows.filter("m > 0").select("key"), "key", "left_semi")
+        few = scratch.cut(shingled(asked_for.dropDuplicates(["key", "text"]), widths))
+    own = F.expr("slice(hashes, start + 1, m)").alias("own")
+    printed = with_prints(few.join(windows, ["key", "width"]).select("key", "width", "m", "start", own).filter("size(own) > 0"))
+    printed = scratch.cut(printed.select("key", "width", "m", "start", "print").distinct())
+    listed = items.select("item_id", "width", "m", F.col("print").alias("item_print"))
+    listed = listed.select("*", F.posexplode(blocks_of(F.col("item_print"))).alias("block", "value"))
+    listed = listed.withColumn("flip", F.explode(F.array(*[F.lit(v).cast("long") for v in near_values()])))
+    listed = listed.withColumn("value", F.col("value").bitwiseXOR(F.col("flip"))).drop("flip")
+    asked = printed.select("*", F.posexplode(blocks_of(F.col("print"))).alias("block", "value"))
+    near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
+    found = asked.join(scratch.cut(listed), ["width", "m", "block", "value"]).filter(near)
+    found = scratch.cut(found.select("key", "width", "m", "start", "item_id").distinct())
+
+    pairs = with_elements(few.join(found, ["key", "width"]).select("key", "item_id", "m", "start", own))
+    pairs = pairs.join(items.select("item_id", F.col("elements").alias("item_elements")), "item_id")
+    pairs = settled(pairs, shared=F.size(F.array_intersect("elements", "item_elements")))
+    similarity = F.col("shared") / (F.size("elements") + F.size("item_elements") - F.col("shared"))
+    pairs = pairs.withColumn("similarity", similarity).filter(F.col("similarity") >= SIMILARITY)
+    best = pairs.groupBy("key", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), "m")).alias("b"))
+    return best.select("key", "item_id", (-F.col("b.before")).alias("start"), "b.m", "b.similarity")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

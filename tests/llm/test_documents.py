@@ -1,6 +1,7 @@
 """Operators on documents against brute force, with nulls, empties, ties, repeats and clashing names."""
 
 import hashlib
+import random
 import re
 import time
 import zlib
@@ -208,6 +209,53 @@ def test_leaks_of_reordered_passages(spark):
     assert got == pytest.approx(want)
 
 
+def test_leaks_below_a_line_that_all_share(spark):
+    line = " ".join(f"i{k}" for k in range(24))
+    tail = lambda k: " ".join(f"t{k}x{j}" for j in range(16))
+    items = [(k, f"{line} {tail(k)}") for k in range(40)]
+    rows = [(k, f"p{k} {line} q{k} r{k} {' '.join(f'z{k}y{j}' for j in range(30))}") for k in range(200)]
+    rows += [(1000 + k, f"before it {line} {tail(k)} and after") for k in range(5)]
+    docs, asked = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.key, r.item_id): r.similarity for r in decontaminate.find_leaks(docs, asked).collect()}
+    assert got == pytest.approx(brute_leaks(rows, items)) and set(got) == {(1000 + k, k) for k in range(5)}
+
+    hits = decontaminate.shingled(docs.withColumnRenamed("doc_id", "key"), [5])
+    hits = hits.select("key", "width", F.size("hashes").alias("size"), F.posexplode("hashes").alias("pos", "h"))
+    occurs = decontaminate.shingled(asked, [5]).select("item_id", "width", F.size("hashes").alias("m"), F.explode("hashes").alias("h"))
+    occurs = occurs.groupBy("item_id", "width", "m", "h").agg(F.count("*").alias("n"))
+    rare = decontaminate.rare_shingles(hits, occurs)
+    assert rare.count() <= 5 * 10
+    held = {r.key for r in decontaminate.windows_around(hits, rare).select("key").distinct().collect()}
+    assert held == {1000 + k for k in range(5)}
+
+
+def test_leaks_of_repeated_shingles_and_short_documents(spark):
+    rng = random.Random(4)
+    items, rows = [], [(500, "x"), (500, "x y"), (501, None)]
+    for k in range(30):
+        own = [f"w{rng.randrange(6)}" for _ in range(rng.randrange(5, 40))] if k % 2 else [f"v{k}{j}" for j in range(rng.randrange(2, 40))]
+        items.append((k, " ".join(own)))
+        cut = own[rng.randrange(3) :]
+        if cut:
+            cut[rng.randrange(len(cut))] = "other"
+        rows += [(k, " ".join(cut)), (100 + k, " ".join(["out"] * rng.randrange(50) + cut * 3)), (200 + k, " ".join(own * 2))]
+        rows += [(300 + k % 3, " ".join(own)), (300 + k % 3, " ".join(own)), (None, " ".join(own))]
+    docs, asked = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {}
+    for r in decontaminate.find_leaks(docs, asked).collect():
+        key = (r.key if r.key >= 0 else None, r.item_id)
+        got[key] = max(got.get(key, 0), r.similarity)
+    assert got == pytest.approx(brute_leaks(rows, items))
+
+
+def test_leaks_in_a_very_long_text(spark):
+    words = [f"n{k % 9001}" for k in range(200_000)]
+    words[150_000:150_000] = BENCHMARK[0][1].split()
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "n1 " * 100_000)], "doc_id bigint, text string")
+    got = decontaminate.find_leaks(docs, spark.createDataFrame(BENCHMARK, "item_id bigint, text string")).collect()
+    assert [(r.key, r.item_id, r.start, r.similarity) for r in got] == [(1, 1, 150_000, 1.0)]
+
+
 def test_leak_plan_runs_no_python(spark):
     docs = spark.createDataFrame(leak_corpus(), "doc_id bigint, text string")
     items = spark.createDataFrame(BENCHMARK, "item_id bigint, text string")
