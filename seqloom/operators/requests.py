@@ -30,6 +30,16 @@ PREDICTION_TABLES = (
     "latest_prediction_by_protein", "prediction_history_by_protein", "request_proteins_by_request",
     "protein_requests_by_protein", "request_timeline_by_id",
 )
+#: Tables whose writes the dashboard counts, by what they have a row for (fixed values).
+WRITES_OF = {
+    "requests": (
+        "request_status_by_id", "requests_by_day", "requests_by_status_window",
+        "requests_by_user_window", "requests_by_protein_window",
+    ),
+    "proteins": ("request_proteins_by_request", "protein_requests_by_protein"),
+    "stages": ("request_timeline_by_id",),
+    "predictions": ("latest_prediction_by_protein", "prediction_history_by_protein", "prediction_by_request"),
+}
 
 
 # --- filters and projections -------------------------------------------------------------------
@@ -299,23 +309,50 @@ def dashboard_counts(requests: DataFrame, links: DataFrame, predictions: DataFra
     return proteins.select("protein_count", n.alias("prediction_count"))
 
 
-def dashboard_summary(status_log: DataFrame, user: str, admin: bool, day: date, now: datetime) -> DataFrame:
-    """A-26: the operations dashboard as (section, item, value) rows, from one day of the log.
+def dashboard_totals(rows: DataFrame, latest: DataFrame, predicted: DataFrame, links: DataFrame, day: date) -> DataFrame:
+    """A-25, A-26: one row of how many requests, proteins, stages and predictions a day has.
+
+    ``rows`` is the status log, ``latest`` its newest row per request, ``predicted`` has a row per
+    (request, protein), ``links`` one per record of a request; a request without records counts as one.
+    """
+    sizes = links.groupBy("request_id").agg(F.count("*").alias("_size"))
+    proteins = latest.join(sizes, "request_id", "left").agg(F.coalesce(F.sum(F.coalesce("_size", F.lit(1))), F.lit(0)).alias("proteins"))
+    requests = total_today(latest, day).scalar()
+    stages = F.greatest(requests, rows.agg(F.count("*")).scalar())
+    predictions = predicted.agg(F.count("*")).scalar()
+    return proteins.select(requests.alias("requests"), "proteins", stages.alias("stages"), predictions.alias("predictions"))
+
 
-    The day range reaches the scan; everything after it works on one row per request.
+def dashboard_summary(status_log: DataFrame, predictions: DataFrame, links: DataFrame, user: str, admin: bool, day: date,
+                      now: datetime) -> DataFrame:
+    """A-26: the operations dashboard as (section, item, value) rows, from one day of the logs.
+
+    The day range reaches both scans; everything after it works on one row per request or per
+    (request, protein). An admin sees all predictions of the day, a user those of own requests.
     """
     rows = visible_to(last_days(status_log, 1, day), user, admin)
     latest = cut_lineage(latest_requests(rows))  # read by every section below
     item = lambda df, section, name, value: df.select(
         F.lit(section).alias("section"), name.alias("item"), value.cast("double").alias("value")
     )
+    made = last_days(predictions, 1, day, "predicted_at")
+    if not admin:
+        made = made.join(latest, "request_id", "left_semi")
+    predicted = cut_lineage(made.groupBy("request_id", "protein_id").agg(F.max("predicted_at").alias("predicted_at")))
+    totals = cut_lineage(dashboard_totals(rows, latest, predicted, links, day))
+    writes = [F.struct(F.lit(t).alias("table"), F.col(of).alias("n")) for of, tables in WRITES_OF.items() for t in tables]
+    newest = predicted.orderBy(F.desc("predicted_at"), "request_id", "protein_id").limit(DASHBOARD_ROWS)
     stats = latency_stats(request_latency(rows))
     minute = F.date_format("window_start", "yyyy-MM-dd HH:mm")
     parts = [
         item(status_counts(latest), "status", F.col("current_status"), F.col("n")),
         item(error_counts(latest), "error", F.col("error_code"), F.col("n")),
         item(error_rate(latest), "rate", F.lit("error_rate"), F.col("error_rate")),
-        item(total_today(latest, day), "total", F.lit("total_today"), F.col("total_today")),
+        item(totals, "total", F.lit("total_today"), F.col("requests")),
+        item(totals, "total", F.lit("protein_count"), F.col("proteins")),
+        item(totals, "total", F.lit("prediction_count"), F.col("predictions")),
+        item(totals.select(F.inline(F.array(*writes))), "writes", F.col("table"), F.col("n")),
+        item(newest, "recent_prediction", F.concat_ws(" ", "request_id", "protein_id"), F.unix_timestamp("predicted_at")),
         item(stats, "latency", F.lit("avg_latency_ms"), F.col("avg_latency_ms")),
         item(stats, "latency", F.lit("p95_latency_ms"), F.col("p95_latency_ms")),
         item(throughput(latest, now), "throughput", minute, F.col("metric_value")),

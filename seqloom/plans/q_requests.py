@@ -416,8 +416,24 @@ def _(d):
     f"""WITH {DAY_LATEST},
       lat AS (SELECT request_id, max(latency_ms) AS v FROM day_log WHERE latency_ms > 0 GROUP BY 1),
       ranked AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n FROM lat),
-      minutes AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 09:23:00', TIMESTAMP '2024-01-15 09:30:00', INTERVAL 1 MINUTE)) AS m)
-      SELECT 'status' AS section, s AS item, CAST(count(l.request_id) AS DOUBLE) AS value
+      minutes AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 09:23:00', TIMESTAMP '2024-01-15 09:30:00', INTERVAL 1 MINUTE)) AS m),
+      predicted AS (SELECT request_id, protein_id, max(predicted_at) AS made FROM predictions
+        WHERE predicted_at >= TIMESTAMP '2024-01-14 17:00:00' AND predicted_at < TIMESTAMP '2024-01-15 17:00:00' GROUP BY 1, 2),
+      sizes AS (SELECT 'r' || request_id AS request_id, count(*) AS n FROM request_records GROUP BY 1),
+      counts AS (SELECT (SELECT count(*) FROM day_latest WHERE updated_at >= TIMESTAMP '2024-01-14 17:00:00' AND updated_at < TIMESTAMP '2024-01-15 17:00:00') AS requests,
+        (SELECT sum(coalesce(n, 1)) FROM day_latest LEFT JOIN sizes USING (request_id)) AS proteins,
+        (SELECT count(*) FROM day_log) AS stages, (SELECT count(*) FROM predicted) AS predictions)
+      SELECT 'total' AS section, 'protein_count' AS item, CAST(proteins AS DOUBLE) AS value FROM counts
+      UNION ALL SELECT 'total', 'prediction_count', CAST(predictions AS DOUBLE) FROM counts
+      UNION ALL SELECT 'writes', t, CAST(requests AS DOUBLE) FROM counts, (SELECT unnest(['request_status_by_id', 'requests_by_day',
+        'requests_by_status_window', 'requests_by_user_window', 'requests_by_protein_window']) AS t)
+      UNION ALL SELECT 'writes', t, CAST(proteins AS DOUBLE) FROM counts, (SELECT unnest(['request_proteins_by_request', 'protein_requests_by_protein']) AS t)
+      UNION ALL SELECT 'writes', 'request_timeline_by_id', CAST(greatest(requests, stages) AS DOUBLE) FROM counts
+      UNION ALL SELECT 'writes', t, CAST(predictions AS DOUBLE) FROM counts,
+        (SELECT unnest(['latest_prediction_by_protein', 'prediction_history_by_protein', 'prediction_by_request']) AS t)
+      UNION ALL SELECT * FROM (SELECT 'recent_prediction', request_id || ' ' || protein_id, CAST(floor(epoch(made)) AS DOUBLE) FROM predicted
+        ORDER BY made DESC, request_id, protein_id LIMIT 10)
+      UNION ALL SELECT 'status', s, CAST(count(l.request_id) AS DOUBLE)
         FROM (SELECT unnest(['pending','processing','completed','failed','retrying','cancelled']) AS s) k
         LEFT JOIN day_latest l ON l.current_status = k.s GROUP BY s
       UNION ALL SELECT * FROM (SELECT 'error', coalesce(error_code, 'UNKNOWN') AS c, CAST(count(*) AS DOUBLE) AS n
@@ -435,7 +451,8 @@ def _(d):
         WHERE current_status = 'failed' ORDER BY updated_at DESC, request_id LIMIT 10)""",
 )
 def _(d):
-    return requests.dashboard_summary(d.status_log, "admin", True, DAY, NOW)
+    links = d.request_records.select(F.concat(F.lit("r"), "request_id").alias("request_id"), "protein_id")
+    return requests.dashboard_summary(d.status_log, d.predictions, links, "admin", True, DAY, NOW)
 
 
 @query(

@@ -1,5 +1,5 @@
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
@@ -503,3 +503,25 @@ def test_links_and_results_without_lists(spark):
     assert sorted(map(tuple, got.collect()), key=str) == [("r1", "t1", 0.5), ("r1", "t2", 0.7), ("r2", None, 0.0), ("r3", None, 0.0)]
     short = joins.attach_summary(events, predictions).select("request_id", "n_terms", "max_score", "first_term")
     assert sorted(map(tuple, short.collect()), key=str) == [("r1", 2, 0.7, "t2"), ("r2", 0, 0.0, None), ("r3", 0, 0.0, None)]
+
+
+def test_dashboard_of_a_user_and_of_an_admin(spark):
+    at = datetime(2024, 1, 15, 9, 0)
+    log = [(f"r{k}", f"P{k}", "ann" if k < 2 else "bob", at, at, s, None, 10, 2 * k + n) for k in range(3) for n, s in enumerate(("pending", "completed"))]
+    log = spark.createDataFrame(
+        log, "request_id string, protein_id string, username string, created_at timestamp, updated_at timestamp,"
+        "current_status string, error_code string, latency_ms bigint, seq bigint"
+    )
+    made = [("r0", "P0", at), ("r0", "P0", at), ("r0", "P9", at), ("r2", "P2", at), ("other", "P5", at), ("r1", "P1", datetime(2024, 1, 17))]
+    made = spark.createDataFrame(made, "request_id string, protein_id string, predicted_at timestamp")
+    links = spark.createDataFrame([("r0", "P0"), ("r0", "P9"), ("r2", "P2")], "request_id string, protein_id string")
+    for user, admin, totals, writes, shown in (
+        ("ann", False, (2, 3, 2), (2, 3, 4, 2), ["r0 P0", "r0 P9"]),
+        ("root", True, (3, 4, 4), (3, 4, 6, 4), ["other P5", "r0 P0", "r0 P9", "r2 P2"]),
+    ):
+        rows = requests.dashboard_summary(log, made, links, user, admin, date(2024, 1, 15), datetime(2024, 1, 15, 9, 30)).collect()
+        of = lambda section, rows=rows: {r.item: r.value for r in rows if r.section == section}
+        assert tuple(of("total")[n] for n in ("total_today", "protein_count", "prediction_count")) == totals
+        names = ("requests_by_day", "request_proteins_by_request", "request_timeline_by_id", "prediction_by_request")
+        assert tuple(of("writes")[n] for n in names) == writes and len(of("writes")) == 11
+        assert sorted(of("recent_prediction")) == shown
