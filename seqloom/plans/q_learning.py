@@ -393,3 +393,69 @@ def _evaluation(d):
     return evaluate.cafa_eval(d.scores, d.truth, d.edges, terms, options=evaluate.EvalOptions(step=0.1))
 
 
+def option_sql(norm="cafa", best="max(score)", most=None, wanted="TRUE", known="FALSE"):
+    """The evaluation at steps of 0.01 under one option. ``wanted`` filters terms, ``known`` true answers."""
+    kept = "" if most is None else f"QUALIFY row_number() OVER (PARTITION BY protein_id, aspect ORDER BY score DESC, term) <= {most}"
+    by_pr, by_rc = {"cafa": ("c", "n_gt"), "pred": ("c", "c"), "gt": ("n_gt", "n_gt")}[norm]
+    ratio = lambda a, b: f"coalesce({a} / nullif({b}, 0), 0)"
+    f = lambda a, b: f"round(coalesce(2 * {a} * {b} / nullif({a} + {b}, 0), 0), 6)"
+    return f"""WITH w AS (SELECT o.term, o.aspect AS namespace, coalesce(ia.ia, 1.0) AS ia FROM ontology o LEFT JOIN ia ON ia.term = o.term WHERE {wanted}),
+    full_paths AS (SELECT term, ancestor AS target FROM closure UNION ALL SELECT term, term FROM ontology),
+    asked AS (SELECT s.* FROM scores s JOIN ontology USING (term) WHERE score > 0 AND protein_id IN (SELECT protein_id FROM truth) {kept}),
+    lab AS (SELECT DISTINCT protein_id, target AS term FROM truth JOIN full_paths USING (term)),
+    prd AS (SELECT protein_id, target, {best} AS score FROM asked JOIN full_paths USING (term) GROUP BY 1, 2),
+    cell AS (SELECT w.namespace, coalesce(l.protein_id, p.protein_id) AS protein_id, coalesce(p.score, 0) AS score, (l.term IS NOT NULL)::INT AS y, w.ia
+             FROM lab l FULL OUTER JOIN prd p ON l.protein_id = p.protein_id AND l.term = p.target JOIN w ON w.term = coalesce(l.term, p.target)
+             WHERE (coalesce(l.protein_id, p.protein_id), w.term) NOT IN (SELECT (t.protein_id, t.term) FROM truth t WHERE {known})),
+    tot AS (SELECT namespace, protein_id, sum(y) AS nt, sum(y * ia) AS wt FROM cell GROUP BY 1, 2 HAVING sum(y) > 0),
+    fold AS (SELECT namespace, protein_id, round(score * 50) AS lvl, sum(1) AS n, sum(y) AS tp, sum(ia) AS wn, sum(y * ia) AS wtp FROM cell WHERE score > 0 GROUP BY 1, 2, 3),
+    k AS (SELECT unnest(range(1, 100)) AS k),
+    at_tau AS (SELECT namespace, protein_id, k, sum(n) AS n, sum(tp) AS tp, sum(wn) AS wn, sum(wtp) AS wtp FROM fold, k WHERE lvl * 2 >= k GROUP BY 1, 2, 3),
+    g AS (SELECT namespace, count(*) AS n_gt, sum(wt) AS wt FROM tot GROUP BY 1),
+    agg AS (SELECT a.namespace, k, count(*) AS c, sum(a.tp / a.n) AS pr, sum(a.tp / t.nt) AS rc, sum({ratio("a.wtp", "a.wn")}) AS wpr, sum({ratio("a.wtp", "t.wt")}) AS wrc,
+              sum(a.wn - a.wtp) AS mi, sum(a.wtp) AS wtp FROM at_tau a JOIN tot t USING (namespace, protein_id) GROUP BY 1, 2),
+    r AS (SELECT namespace, k, coalesce(c, 0) / n_gt AS cov, {ratio("pr", by_pr)} AS pr, {ratio("rc", by_rc)} AS rc, {ratio("wpr", by_pr)} AS wpr, {ratio("wrc", by_rc)} AS wrc,
+            coalesce(mi, 0) / n_gt AS mi, (g.wt - coalesce(wtp, 0)) / n_gt AS ru FROM g CROSS JOIN k LEFT JOIN agg USING (namespace, k))
+    SELECT namespace, round(k / 100.0, 6) AS tau, round(cov, 6) AS cov, round(pr, 6) AS pr, round(rc, 6) AS rc, {f("pr", "rc")} AS f, {f("wpr", "wrc")} AS f_w,
+      round(sqrt(mi * mi + ru * ru), 5) AS s FROM r"""
+
+
+def under_option(d, toi=None, known=None, **options):
+    terms = joins.with_ia(d.ontology.select("term", F.col("aspect").alias("namespace")), d.ia)
+    rows = evaluate.cafa_eval(d.scores, d.truth, d.edges, terms, toi, known, evaluate.EvalOptions(**options))
+    return rows.select("namespace", "tau", *[r6(c).alias(c) for c in ("cov", "pr", "rc", "f", "f_w")], F.round("s", 5).alias("s"))
+
+
+@query("m17_norm_pred", option_sql(norm="pred"))
+def _(d):
+    return under_option(d, norm="pred")
+
+
+@query("m17_norm_gt", option_sql(norm="gt"))
+def _(d):
+    return under_option(d, norm="gt")
+
+
+@query("m17_fill", option_sql(best="coalesce(max(CASE WHEN term = target THEN score END), max(score))"))
+def _(d):
+    return under_option(d, fill=True)
+
+
+@query("m17_max_terms", option_sql(most=3))
+def _(d):
+    return under_option(d, max_terms=3)
+
+
+@query("m17_no_orphans", option_sql(wanted="o.term IN (SELECT child FROM edges)"))
+def _(d):
+    return under_option(d, no_orphans=True)
+
+
+@query("m17_terms_of_interest", option_sql(wanted="o.term % 5 <> 0"))
+def _(d):
+    return under_option(d, toi=d.ontology.filter("term % 5 <> 0"))
+
+
+@query("m17_known_annotations", option_sql(known="t.term % 4 = 0"))
+def _(d):
+    return under_option(d, known=d.truth.filter("term % 4 = 0"))
