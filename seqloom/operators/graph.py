@@ -12,24 +12,36 @@ from seqloom.operators.lineage import cut_lineage
 MAX_DOUBLINGS = 40
 
 
+def _climbed(exact: DataFrame, onward: DataFrame, reach: DataFrame) -> DataFrame:
+    """One row per term: what it reached so far and what its ``exact`` ancestors reach, without repeats."""
+    far = exact.join(onward, "_mid").select(F.col("_from").alias("term"), "near", "exact")
+    none = F.array().cast(reach.schema["exact"].dataType)
+    own = reach.select("term", F.concat("near", "exact").alias("near"), none.alias("exact"))
+    # dealt by term first, so that lists are joined where they arrive and not written twice
+    met = own.unionByName(far).repartition("term").groupBy("term")
+    lists = met.agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("near", "exact")])
+    return lists.select("term", F.array_except("near", "exact").alias("near"), F.array_distinct("exact").alias("exact"))
+
+
 def ancestors(edges: DataFrame) -> DataFrame:
     """G-01: all (term, ancestor) pairs of an acyclic child-to-parent edge table.
 
-    Round k holds the pairs at distance 1..2^k, flagged when one of their paths has exactly 2^k
-    steps. Joining flagged pairs with all pairs doubles the reach, and the flag of the second pair
-    tells which results are exact again, so one join and one aggregation per round suffice and a
-    graph of depth d takes log2(d) rounds.
+    Round k holds each term's ancestors at distance 1..2^k as two lists: those that one of the paths reaches
+    in exactly 2^k steps, and the others. Joining the exact ones with all lists doubles the reach, and the list
+    an ancestor comes from tells whether the result is exact again, so one join and one aggregation per
+    round suffice and a graph of depth d takes log2(d) rounds. Lists travel instead of pairs, so a term is
+    written once for all its ancestors; repeats are dropped inside the lists.
     """
     start = edges.select(F.col("child").alias("term"), F.col("parent").alias("ancestor")).distinct()
-    reach = cut_lineage(start.withColumn("_exact", F.lit(True)))
+    # a list of lists keeps null parents
+    first = start.groupBy("term").agg(F.flatten(F.collect_list(F.array("ancestor"))).alias("exact"))
+    none = F.array().cast(first.schema["exact"].dataType)
+    reach = cut_lineage(first.select("term", none.alias("near"), "exact"))
     for _ in range(MAX_DOUBLINGS):
-        exact = reach.filter("_exact").select(F.col("term").alias("_from"), F.col("ancestor").alias("_mid"))
-        if exact.isEmpty():
-            return reach.select("term", "ancestor")
-        onward = reach.select(F.col("term").alias("_mid"), "ancestor", "_exact")
-        longer = exact.join(onward, "_mid").select(F.col("_from").alias("term"), "ancestor", "_exact")
-        both = reach.withColumn("_exact", F.lit(False)).unionByName(longer)
-        reach = cut_lineage(both.groupBy("term", "ancestor").agg(F.max("_exact").alias("_exact")))
+        if reach.filter(F.size("exact") > 0).isEmpty():
+            return reach.select("term", F.explode("near").alias("ancestor"))
+        exact = reach.select(F.col("term").alias("_from"), F.explode("exact").alias("_mid"))
+        reach = cut_lineage(_climbed(exact, reach.withColumnRenamed("term", "_mid"), reach))
     raise ValueError("the edge table contains a cycle")
 
 
