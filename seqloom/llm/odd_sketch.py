@@ -11,8 +11,8 @@
    those only the ones outside the bucket's largest group against all. Buckets with few of them
    are joined to pairs; the others are cut into blocks of a bounded number of shingles, and a task
    compares two blocks at a time: sketches rule pairs out, full sets confirm the rest, and only
-   links leave the task. So a group of copies costs rows in proportion to its members, and no link
-   between groups is left unseen.
+   links that join groups which the task has not joined yet leave it. So a group of copies costs rows
+   in proportion to its members, and no two groups with a link between them stay apart.
 
 A pair at the threshold shares no bucket with a chance of (1 - 0.75**4)**32 = 5e-6, and is ruled out
 by its sketches, whose estimate must fall below ``LEAST_ESTIMATE`` (more than 89 of 256 bits set), with
@@ -172,26 +172,45 @@ def _linked(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * shared >= THRESHOLD * (len(both) - shared)
 
 
+def _label(parent: dict[int, int], group: int) -> int:
+    while group in parent:
+        group = parent[group]
+    return group
+
+
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between the members of two blocks, or inside one, found at the first band they share."""
+    """Links between the members of two blocks, or inside one, found at the first band they share.
+
+    Only links that join groups which no earlier link of the task joined leave it, and only members that are
+    still apart are compared: a task returns fewer links than it has seen groups.
+    """
     most = int((1 - np.exp((LEAST_ESTIMATE - 1) * 4 * SAMPLES / SKETCH_BITS)) * SKETCH_BITS / 2)
+    parent: dict[int, int] = {}
     for batch in batches:
         found: tuple[list, list] = ([], [])
         for k in range(batch.num_rows):
             band, xs = batch.column(0)[k].as_py(), _members(batch.column(1)[k].values)
             alone = not batch.column(2)[k].is_valid
             ys = xs if alone else _members(batch.column(2)[k].values)
+            labels = [np.array([_label(parent, g) for g in side[1].tolist()], np.int64) for side in ((xs,) if alone else (xs, ys))]
+            mine, theirs = labels[0], labels[-1]
             for i in range(len(xs[0])):
-                open_ = ys[1] != xs[1][i]
+                open_ = theirs != mine[i]
                 if alone:
                     open_[: i + 1] = False
                 at = np.flatnonzero(open_)
                 at = at[np.bitwise_count(ys[3][at] ^ xs[3][i]).sum(1) <= most]
                 if band:
                     at = at[~(ys[2][at, :band] == xs[2][i, :band]).any(1)]
-                for j in at[[_linked(xs[4][i], ys[4][j]) for j in at]] if len(at) else ():
+                for j in at.tolist():
+                    old, new = int(theirs[j]), int(mine[i])
+                    if old == new or not _linked(xs[4][i], ys[4][j]):
+                        continue
                     found[0].append(int(xs[0][i]))
                     found[1].append(int(ys[0][j]))
+                    parent[old] = new
+                    for side in labels:
+                        side[side == old] = new
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
 
 

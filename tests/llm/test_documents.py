@@ -100,6 +100,23 @@ def test_near_groups_in_blocks(docs, corpus, monkeypatch):
     assert near(docs) == linked_groups(corpus)
 
 
+def test_blocks_of_near_copies_return_fewer_links_than_members():
+    member = lambda k: {"node": k, "group": k, "bands": [0, k], "sketch": [0] * 4, "items": list(range(k % 7, 200))}
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("group", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("bands", "sketch", "items")]]))
+    far = [{**member(900 + k), "items": list(range(1000 * (k + 1), 1000 * (k + 1) + 50))} for k in range(3)]
+    one, two = [member(k) for k in range(60)] + far, [member(k) for k in range(60, 100)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0, 0, 0], pa.int32()), pa.array([one, two, one], kind), pa.array([None, None, two], kind)], names=["band", "x", "y"]
+    )
+    links = [p for b in odd_sketch._compare_blocks(iter([batch])) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    assert len(links) == 99
+    reached, before = {0}, 0
+    while len(reached) > before:
+        before = len(reached)
+        reached |= {x for p in links if reached & set(p) for x in p}
+    assert reached == set(range(100))
+
+
 def test_near_groups_without_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (9, "A B C D E F"), (9, "A B C D E F")], "doc_id bigint, text string")
     got = Counter((r.doc_id, r.component_id, r.kept) for r in odd_sketch.near_groups(docs).collect())
