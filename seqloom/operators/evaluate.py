@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from seqloom.operators import graph
 from seqloom.operators.lineage import cut_lineage
-from seqloom.operators.ordering import keep_first
+from seqloom.operators.ordering import MOST_RANGES, keep_first, number_rows
 
 NORMS = ("cafa", "pred", "gt")
+#: Cells of proteins, before repeats are folded, that a task gets about.
+TASK_CELLS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -27,47 +29,80 @@ def _ratio(a, b):
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def _prepare(pred, truth, edges, terms, toi, known, opt):
-    """(namespace, protein, level, is_true, ia) for every predicted or true cell of judged proteins.
-
-    Predictions and answers climb the ontology together: one join with the paths and one
-    aggregation. Paths are cut to the terms of interest before that join.
-    """
-    names = terms.select("term", "namespace", "ia")
-    wanted = terms.select("term")
+def _folded_terms(terms, edges, toi, opt):
+    """(target, namespace, code, copies, ia): the terms whose cells count, numbered; repeated rows are folded."""
+    wanted = terms.select("term", "namespace", "ia")
     if toi is not None:
         wanted = wanted.join(toi.select("term"), "term", "left_semi")
     if opt.no_orphans:
         wanted = wanted.join(edges.select(F.col("child").alias("term")), "term", "left_semi")
-    own = terms.select("term", F.col("term").alias("ancestor"))
-    paths = graph.ancestors(edges).unionByName(own).withColumnRenamed("ancestor", "target")
-    paths = paths.join(wanted.withColumnRenamed("term", "target"), "target", "left_semi")
+    weight = F.coalesce("ia", F.lit(1.0))
+    folded = wanted.groupBy(F.col("term").alias("target"), "namespace").agg(F.count("*").alias("copies"), F.sum(weight).alias("ia"))
+    return cut_lineage(number_rows(folded, ["target", "namespace"], name="code").withColumn("code", F.col("code").cast("int")))
+
+
+def _target_lists(wanted, terms, edges):
+    """(term, namespace, copies, codes, weights, own): what a term reaches, itself included, as sorted lists."""
+    own = terms.select("term", F.col("term").alias("target"))
+    paths = graph.ancestors(edges).withColumnRenamed("ancestor", "target").unionByName(own).join(wanted, "target")
+    entries = F.sort_array(F.collect_set(F.struct("code", "ia"))).alias("x")
+    itself = F.max(F.when(F.col("term") == F.col("target"), F.col("code"))).alias("own")
+    lists = paths.groupBy("term", "namespace", "copies").agg(entries, itself)
+    # each row is sent once for every protein that has the term
+    return cut_lineage(lists.select("term", "namespace", "copies", F.col("x.code").alias("codes"), F.col("x.ia").alias("weights"), "own"))
 
+
+def _prepare(pred, truth, edges, terms, toi, known, opt):
+    """(namespace, protein, level, copies, is_true, ia) for every predicted or true cell of judged proteins,
+    dealt by protein; ``ia`` is that of all copies of a term.
+
+    Predictions and answers climb the ontology together. What travels to a protein are its terms, each
+    with the list of all it reaches; lists are spread and folded to cells where the protein is, in as many tasks
+    as there are cells, so cells themselves are never sent or sorted. A protein meets in one task, where its
+    state is a row per term that it reaches. Paths are cut to the terms of interest before that.
+    """
+    wanted = _folded_terms(terms, edges, toi, opt)
+    lists = _target_lists(wanted, terms, edges)
     raw = pred.filter(F.col("score") > 0).join(truth.select("protein_id"), "protein_id", "left_semi")
-    raw = raw.join(names.select("term", "namespace"), "term")
+    raw = raw.join(terms.select("term", "namespace"), "term")
     if opt.max_terms is not None:
         raw = keep_first(raw, ["protein_id", "namespace"], [F.desc("score"), F.asc("term")], opt.max_terms)
     both = raw.select("protein_id", "term", "score", F.lit(0).alias("is_true")).unionByName(
         truth.select("protein_id", "term", F.lit(None).cast("double").alias("score"), F.lit(1).alias("is_true"))
     )
-    both = both.groupBy("protein_id", "term").agg(F.max("score").alias("score"), F.max("is_true").alias("is_true"))
-    spread = both.join(paths, "term").select(
-        "protein_id", F.col("target"), "score", "is_true",
-        F.when(F.col("term") == F.col("target"), F.col("score")).alias("_own"),
-    )
-    best = [F.max("score").alias("score"), F.max("is_true").alias("is_true")]
+    both = cut_lineage(both.groupBy("protein_id", "term").agg(F.max("score").alias("score"), F.max("is_true").alias("is_true")))
+    sizes = lists.groupBy("term").agg(F.sum(F.size("codes")).alias("cells"))
+    n_cells = both.groupBy("term").count().join(sizes, "term").agg(F.sum(F.col("count") * F.col("cells"))).first()[0]
+    shuffles = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(shuffles, min(MOST_RANGES, (n_cells or 0) // TASK_CELLS))
+
+    sent = both.join(lists, "term").select(
+        "protein_id", "namespace", "copies", "codes", "weights", "own", "score", "is_true", F.lit(0).alias("known")
+    )
+    if known is not None:
+        settled = known.select("protein_id", F.col("term").alias("target")).join(wanted, "target").select(
+            "protein_id", "namespace", "copies", F.array("code").alias("codes"), F.array("ia").alias("weights"), F.lit(None).cast("int").alias("own"),
+            F.lit(None).cast("double").alias("score"), F.lit(0).alias("is_true"), F.lit(1).alias("known"),
+        )
+        sent = sent.unionByName(settled.filter("protein_id IS NOT NULL"))
+    here = sent.repartition(tasks, "protein_id")
+    spread = here.select(
+        "protein_id", "namespace", "copies", "own", "score", "is_true", "known", F.inline(F.arrays_zip("codes", "weights"))
+    )
+    best = [F.max("score").alias("score"), F.max("is_true").alias("is_true"), F.max("weights").alias("ia")]
     if opt.fill:
-        best[0] = F.coalesce(F.max("_own"), F.max("score")).alias("score")
-    cells = spread.groupBy("protein_id", F.col("target").alias("term")).agg(*best)
+        of_itself = F.max(F.when(F.col("own") == F.col("codes"), F.col("score")))
+        best[0] = F.coalesce(of_itself, F.max("score")).alias("score")
     if known is not None:
-        cells = cells.join(known.select("protein_id", "term"), ["protein_id", "term"], "left_anti")
+        best.append(F.max("known").alias("known"))
+    cells = spread.groupBy("protein_id", "namespace", "copies", "codes").agg(*best)
+    if known is not None:
+        cells = cells.filter("known = 0")
     steps = F.lit(round(1 / opt.step))
     # least() skips nulls, so cells without a score are told apart first
     reached = F.least(F.floor(F.col("score") * steps + 1e-9), steps - 1).cast("int")
     level = F.when(F.col("score").isNull(), 0).otherwise(reached)
-    return cells.join(names, "term").select(
-        "namespace", "protein_id", level.alias("level"), "is_true", F.coalesce("ia", F.lit(1.0)).alias("ia")
-    )
+    return cells.select("namespace", "protein_id", level.alias("level"), "copies", "is_true", "ia")
 
 
 def cafa_eval(
@@ -84,31 +119,33 @@ def cafa_eval(
     ``terms`` has term, namespace, ia. Cells are folded to one row per (protein, level), at most
     one per threshold, so the per-protein running sums are bounded. Each protein then reports only
     how its ratios change from one of its levels to the next, and the changes are added up per
-    namespace, instead of every protein being repeated for every threshold.
+    namespace, instead of every protein being repeated for every threshold. Only those sums leave
+    the task that holds a protein.
     """
     opt = options or EvalOptions()
     if opt.norm not in NORMS:
         raise ValueError(f"norm must be one of {NORMS}")
     cells = _prepare(pred, truth, edges, terms, toi, known, opt)
     keys = ["namespace", "protein_id"]
-    true, w = F.col("is_true"), F.col("ia")
-    # read several times below, and far smaller than the cells
-    folded = cut_lineage(
-        cells.groupBy(*keys, "level").agg(
-            F.count("*").alias("n"), F.sum(true).alias("t"), F.sum(w).alias("wn"), F.sum(w * true).alias("wt")
-        )
+    true, w, copies = F.col("is_true"), F.col("ia"), F.col("copies")
+    # cells are dealt by protein, so all up to the sums per level happens where they are
+    folded = cells.groupBy(*keys, "level").agg(
+        F.sum(copies).alias("n"), F.sum(true * copies).alias("t"), F.sum(w).alias("wn"), F.sum(w * true).alias("wt")
     )
-    totals = folded.groupBy(*keys).agg(F.sum("t").alias("all_t"), F.sum("wt").alias("all_wt"))
-    judged = totals.filter("all_t > 0")  # proteins with a known answer in the namespace
     down = Window.partitionBy(*keys).orderBy(F.desc("level"))
     upto = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = folded.filter("level > 0").join(judged, keys)
-    state = reached.select(
-        *keys, "level", "all_t", "all_wt", *[F.sum(c).over(upto).alias(c) for c in ("n", "t", "wn", "wt")]
-    )
+    whole = Window.partitionBy(*keys)
+    state = folded.select(
+        *keys, "level", F.col("t").alias("own_t"), F.col("wt").alias("own_wt"),
+        F.sum("t").over(whole).alias("all_t"), F.sum("wt").over(whole).alias("all_wt"),
+        F.row_number().over(down).alias("place"), *[F.sum(c).over(upto).alias(c) for c in ("n", "t", "wn", "wt")],
+    ).filter("all_t > 0")  # fmt: skip  # proteins with a known answer in the namespace
     measured = state.select(
         *keys,
         "level",
+        "place",
+        "own_t",
+        "own_wt",
         F.lit(1.0).alias("covered"),
         _ratio(F.col("t").cast("double"), F.col("n").cast("double")).alias("pr"),
         _ratio(F.col("t").cast("double"), F.col("all_t").cast("double")).alias("rc"),
@@ -120,21 +157,31 @@ def cafa_eval(
         F.col("n").cast("double").alias("np"),
         F.col("wn").alias("wnp"),
     )
-    values = [c for c in measured.columns if c not in (*keys, "level")]
+    totals = ("place", "own_t", "own_wt")
+    values = [c for c in measured.columns if c not in (*keys, "level", *totals)]
     changes = measured.select(
-        "namespace", "level", *[(F.col(c) - F.coalesce(F.lag(c).over(down), F.lit(0.0))).alias(c) for c in values]
+        *keys, "level", *totals, *[(F.col(c) - F.coalesce(F.lag(c).over(down), F.lit(0.0))).alias(c) for c in values]
+    )
+    # at most a row per namespace and threshold, read twice below
+    scored = F.col("protein_id").isNotNull()
+    by_level = cut_lineage(
+        changes.groupBy("namespace", "level").agg(
+            *[F.sum(F.when(scored, F.col(c))).alias(c) for c in values],
+            F.count(F.when(F.col("place") == 1, 1)).alias("n_gt"),
+            F.sum("own_t").alias("own_t"),
+            F.sum("own_wt").alias("own_wt"),
+        )
     )
-    by_level = changes.groupBy("namespace", "level").agg(*[F.sum(c).alias(c) for c in values])
     n_levels = round(1 / opt.step) - 1
-    base = judged.groupBy("namespace").agg(
-        F.count("*").cast("double").alias("n_gt"),
-        F.sum("all_t").cast("double").alias("sum_t"),
-        F.sum("all_wt").alias("sum_wt"),
+    base = by_level.groupBy("namespace").agg(
+        F.sum("n_gt").cast("double").alias("n_gt"),
+        F.sum("own_t").cast("double").alias("sum_t"),
+        F.sum("own_wt").alias("sum_wt"),
     )
     grid = base.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(n_levels))))
     above = Window.partitionBy("namespace").orderBy(F.desc("level"))
     above = above.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = grid.join(by_level, ["namespace", "level"], "left").select(
+    at = grid.join(by_level.select("namespace", "level", *values), ["namespace", "level"], "left").select(
         "namespace", "level", "n_gt", "sum_t", "sum_wt",
         *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(c) for c in values],
     )

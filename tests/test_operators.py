@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import agg, dedupe, evaluate, graph, joins, loadtest, metrics, naming, prep, requests, scoring
+from seqloom.operators import agg, dedupe, evaluate, graph, joins, lineage, loadtest, metrics, naming, prep, requests, scoring
 from seqloom.operators.ordering import number_rows, running_totals
 from seqloom.sources import tables
 from seqloom.streaming import events as E
@@ -310,6 +310,33 @@ def test_metrics_match_the_dense_definition(spark):
     assert sum(r.is_best for r in got.values()) == 1
 
 
+def test_rounds_of_the_closure_write_a_row_per_term(spark, monkeypatch):
+    n = 24  # a ladder: every term has the next two as parents
+    pairs = [(t, p) for t in range(n) for p in (t + 1, t + 2) if p < n]
+    written = []
+
+    def cut(df):
+        written.append(lineage.cut_lineage(df))
+        return written[-1]
+
+    monkeypatch.setattr(graph, "cut_lineage", cut)
+    edges = spark.createDataFrame([*pairs, (0, None)], "child int, parent int")
+    got = {tuple(r) for r in graph.ancestors(edges).collect()}
+    assert got == {(t, a) for t in range(n) for a in range(t + 1, n)} | {(0, None)}
+    assert max(df.count() for df in written) <= n
+
+
+def test_cells_of_an_evaluation_stay_with_their_protein(spark):
+    edges, _ = small_graph(spark)
+    terms = spark.createDataFrame([(t, "ns", 1.0) for t in "ABCD"], "term string, namespace string, ia double")
+    truth = spark.createDataFrame([("p", "C")], "protein_id string, term string")
+    pred = spark.createDataFrame([("p", "C", 0.9), ("p", "D", 0.5)], "protein_id string, term string, score double")
+    known = truth.filter("term = 'B'")
+    cells = evaluate._prepare(pred, truth, edges, terms, None, known, evaluate.EvalOptions())
+    plan = cells.groupBy("namespace", "protein_id", "level").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[: plan.index("Generate")] and "Join" not in plan[: plan.index("Generate")]
+
+
 def test_cafa_eval_matches_a_dense_pass(spark):
     rng = np.random.default_rng(8)
     m, n, step = 10, 14, 0.1
