@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from seqloom.operators.ordering import MOST_RANGES, keep_first, number_rows
 NORMS = ("cafa", "pred", "gt")
 #: Cells of proteins, before repeats are folded, that a task gets about.
 TASK_CELLS = 1 << 20
+#: Such cells of one slice of the proteins. Slices follow each other, and a slice leaves the disks with its sums.
+SLICE_CELLS = 1 << 29
 
 
 @dataclass(frozen=True)
@@ -52,15 +55,8 @@ def _target_lists(wanted, terms, edges):
     return cut_lineage(lists.select("term", "namespace", "copies", F.col("x.code").alias("codes"), F.col("x.ia").alias("weights"), "own"))
 
 
-def _prepare(pred, truth, edges, terms, toi, known, opt):
-    """(namespace, protein, level, copies, is_true, ia) for every predicted or true cell of judged proteins,
-    dealt by protein; ``ia`` is that of all copies of a term.
-
-    Predictions and answers climb the ontology together. What travels to a protein are its terms, each
-    with the list of all it reaches; lists are spread and folded to cells where the protein is, in as many tasks
-    as there are cells, so cells themselves are never sent or sorted. A protein meets in one task, where its
-    state is a row per term that it reaches. Paths are cut to the terms of interest before that.
-    """
+def _sides(pred, truth, edges, terms, toi, opt):
+    """(terms of judged proteins with score and truth, lists of what a term reaches, wanted terms, number of cells)."""
     wanted = _folded_terms(terms, edges, toi, opt)
     lists = _target_lists(wanted, terms, edges)
     raw = pred.filter(F.col("score") > 0).join(truth.select("protein_id"), "protein_id", "left_semi")
@@ -73,9 +69,28 @@ def _prepare(pred, truth, edges, terms, toi, known, opt):
     both = cut_lineage(both.groupBy("protein_id", "term").agg(F.max("score").alias("score"), F.max("is_true").alias("is_true")))
     sizes = lists.groupBy("term").agg(F.sum(F.size("codes")).alias("cells"))
     n_cells = both.groupBy("term").count().join(sizes, "term").agg(F.sum(F.col("count") * F.col("cells"))).first()[0]
-    shuffles = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(shuffles, min(MOST_RANGES, (n_cells or 0) // TASK_CELLS))
+    return both, lists, wanted, n_cells or 0
 
+
+def _prepare(pred, truth, edges, terms, toi, known, opt):
+    """All cells as one table."""
+    return _cells(*_sides(pred, truth, edges, terms, toi, opt), known, opt)
+
+
+def _cells(both, lists, wanted, n_cells, known, opt, slices=1, number=0):
+    """(namespace, protein, level, copies, is_true, ia) for every predicted or true cell of the judged proteins of
+    slice ``number``, dealt by protein; ``ia`` is that of all copies of a term.
+
+    Predictions and answers climb the ontology together. What travels to a protein are its terms, each
+    with the list of all it reaches; lists are spread and folded to cells where the protein is, in as many tasks
+    as there are cells, so cells themselves are never sent or sorted. A protein meets in one task, where its
+    state is a row per term that it reaches. Paths are cut to the terms of interest before that.
+    """
+    shuffles = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(shuffles, min(MOST_RANGES, n_cells // slices // TASK_CELLS))
+    if slices > 1:
+        own = F.pmod(F.xxhash64("protein_id"), F.lit(slices)) == number
+        both, known = both.filter(own), None if known is None else known.filter(own)
     sent = both.join(lists, "term").select(
         "protein_id", "namespace", "copies", "codes", "weights", "own", "score", "is_true", F.lit(0).alias("known")
     )
@@ -105,27 +120,8 @@ def _prepare(pred, truth, edges, terms, toi, known, opt):
     return cells.select("namespace", "protein_id", level.alias("level"), "copies", "is_true", "ia")
 
 
-def cafa_eval(
-    pred: DataFrame,
-    truth: DataFrame,
-    edges: DataFrame,
-    terms: DataFrame,
-    toi: DataFrame | None = None,
-    known: DataFrame | None = None,
-    options: EvalOptions | None = None,
-) -> DataFrame:
-    """M-17: precision, recall, F, their weighted and micro forms, and S per (namespace, tau).
-
-    ``terms`` has term, namespace, ia. Cells are folded to one row per (protein, level), at most
-    one per threshold, so the per-protein running sums are bounded. Each protein then reports only
-    how its ratios change from one of its levels to the next, and the changes are added up per
-    namespace, instead of every protein being repeated for every threshold. Only those sums leave
-    the task that holds a protein.
-    """
-    opt = options or EvalOptions()
-    if opt.norm not in NORMS:
-        raise ValueError(f"norm must be one of {NORMS}")
-    cells = _prepare(pred, truth, edges, terms, toi, known, opt)
+def _changes(cells):
+    """Per namespace and level of one slice: how the ratios and sums of its proteins change there."""
     keys = ["namespace", "protein_id"]
     true, w, copies = F.col("is_true"), F.col("ia"), F.col("copies")
     # cells are dealt by protein, so all up to the sums per level happens where they are
@@ -162,16 +158,43 @@ def cafa_eval(
     changes = measured.select(
         *keys, "level", *totals, *[(F.col(c) - F.coalesce(F.lag(c).over(down), F.lit(0.0))).alias(c) for c in values]
     )
-    # at most a row per namespace and threshold, read twice below
     scored = F.col("protein_id").isNotNull()
-    by_level = cut_lineage(
-        changes.groupBy("namespace", "level").agg(
-            *[F.sum(F.when(scored, F.col(c))).alias(c) for c in values],
-            F.count(F.when(F.col("place") == 1, 1)).alias("n_gt"),
-            F.sum("own_t").alias("own_t"),
-            F.sum("own_wt").alias("own_wt"),
-        )
+    return changes.groupBy("namespace", "level").agg(
+        *[F.sum(F.when(scored, F.col(c))).alias(c) for c in values],
+        F.count(F.when(F.col("place") == 1, 1)).alias("n_gt"),
+        F.sum("own_t").alias("own_t"),
+        F.sum("own_wt").alias("own_wt"),
     )
+
+
+def cafa_eval(
+    pred: DataFrame,
+    truth: DataFrame,
+    edges: DataFrame,
+    terms: DataFrame,
+    toi: DataFrame | None = None,
+    known: DataFrame | None = None,
+    options: EvalOptions | None = None,
+) -> DataFrame:
+    """M-17: precision, recall, F, their weighted and micro forms, and S per (namespace, tau).
+
+    ``terms`` has term, namespace, ia. Cells are folded to one row per (protein, level), at most
+    one per threshold, so the per-protein running sums are bounded. Each protein then reports only
+    how its ratios change from one of its levels to the next, and the changes are added up per
+    namespace, instead of every protein being repeated for every threshold. Only those sums leave
+    the task that holds a protein. Proteins come in slices one after the other, so what is on its way to
+    them at a time is bounded, however many there are.
+    """
+    opt = options or EvalOptions()
+    if opt.norm not in NORMS:
+        raise ValueError(f"norm must be one of {NORMS}")
+    sides = _sides(pred, truth, edges, terms, toi, opt)
+    slices = max(1, -(-sides[-1] // SLICE_CELLS))
+    parts = [cut_lineage(_changes(_cells(*sides, known, opt, slices, k))) for k in range(slices)]
+    values = [c for c in parts[0].columns if c not in ("namespace", "level", "n_gt", "own_t", "own_wt")]
+    # at most a row per namespace, threshold and slice, read twice below
+    sums = [F.sum(c).alias(c) for c in (*values, "n_gt", "own_t", "own_wt")]
+    by_level = reduce(DataFrame.unionByName, parts).groupBy("namespace", "level").agg(*sums)
     n_levels = round(1 / opt.step) - 1
     base = by_level.groupBy("namespace").agg(
         F.sum("n_gt").cast("double").alias("n_gt"),

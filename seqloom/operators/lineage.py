@@ -10,6 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Lets Spark remove what an execution shuffled when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_roots: dict[str, str] = {}
 _scopes = threading.local()
 
@@ -41,13 +44,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back.
 
     The copy is columnar, so later readers prune columns, and its size is known, so joins on it
-    are planned from real statistics. It outlives lost executors.
+    are planned from real statistics. It outlives lost executors. What the write shuffled is read by
+    nothing else and leaves the disks with it, so a job of many cuts holds the shuffles of one at a time.
     """
     spark = df.sparkSession
     path = scratch_path(spark)
     for made in getattr(_scopes, "open", []):
         made.append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
