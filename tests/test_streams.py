@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from seqloom.operators import dedupe, requests
 from seqloom.operators.lineage import scratch_root
 from seqloom.sources.store import Store
+from seqloom.sources.writers import send_messages
 from seqloom.streaming import events as E
 from seqloom.streaming import fanout
 from seqloom.streaming import pipeline as P
@@ -91,6 +92,33 @@ def test_chunks_of_64_with_equal_parameters(spark):
     assert sizes == sorted([64] * 64 + [64] * 64 + [22] * 22 + [50] * 50)
 
 
+def test_chunks_that_reach_python_together_are_calls_of_their_own(spark):
+    def picky(frame, top_k, threshold):
+        if "p70" in set(frame["protein_id"]):
+            raise RuntimeError("no")
+        return pd.DataFrame({"protein_id": frame["protein_id"], "go_term": str(len(frame)), "score": 0.5, "model": str(list(frame.index) == list(range(len(frame))))})
+
+    df = spark.range(64 * 20).select(
+        F.concat(F.lit("r"), "id").alias("request_id"), F.concat(F.lit("p"), "id").alias("protein_id"), F.lit("MK").alias("sequence"),
+        F.lit(20).alias("top_k"), F.lit(None).cast("double").alias("threshold"), "id",
+    )
+    scored = P.score_batches(df, picky, ["id"])
+    out = scored.withColumn("task", F.spark_partition_id()).collect()
+    lost = {int(r.request_id[1:]) for r in out if r.error_code == "RuntimeError"}
+    assert lost == set(range(64, 128)) and len(out) == 64 * 20
+    assert {(r.predictions[0].go_term, r.predictions[0].model) for r in out if r.error_code is None} == {("64", "True")}
+    assert all(r.predictions is None for r in out if r.error_code is not None)
+    assert "_together" in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sent_messages_are_packed(spark, tmp_path):
+    rows = spark.range(500).select(F.col("id").cast("string").alias("key"), F.lit("t").alias("topic"), F.concat(F.lit('{"request_id":"r'), "id", F.lit('"}')).alias("value"))
+    send_messages(rows.coalesce(1), path=str(tmp_path / "e"))
+    files = [f for f in (tmp_path / "e").rglob("part-*") if f.is_file()]
+    assert files and sum(f.stat().st_size for f in files) < 500 * 20
+    assert sorted(spark.read.json(str(tmp_path / "e")).select("key", "topic", "value").collect()) == sorted(rows.select("key", "topic", "value").collect())
+
+
 def test_a_crash_between_two_tables_shows_no_part_of_a_batch(spark, tmp_path, monkeypatch):
     started_at = time.time()
     sinks = P.BatchSinks(str(tmp_path / "out"), events_path=str(tmp_path / "events"))
