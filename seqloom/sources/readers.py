@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import payload as P
 from seqloom.functions import scalars as S
+from seqloom.operators.lineage import cut_lineage
 from seqloom.operators.ordering import keep_first, number_rows
 
 # File suffixes taken as sequence files.
@@ -144,10 +145,11 @@ def read_sequence_dir(
 ) -> DataFrame:
     """SRC-05: all sequence files below a folder, in path order; plain and FASTA files may mix.
 
-    A file that does not start with ``>`` is one plain sequence named after the file.
+    A file that does not start with ``>`` is one plain sequence named after the file. Files are opened once:
+    pieces are written to one table, which the passes below read.
     """
     glob = "*.{" + ",".join(x for s in suffixes for x in (s.lower(), s.upper())) + "}"
-    raw = _records(spark, path, "\n>", recursiveFileLookup="true", pathGlobFilter=glob)
+    raw = cut_lineage(_records(spark, path, "\n>", recursiveFileLookup="true", pathGlobFilter=glob))
     # only the first piece of a file still carries its marker
     marked = F.col("value").rlike(r"^\s*>")
     is_fasta = raw.groupBy("source_file").agg(F.max(marked).alias("_fasta"))

@@ -121,3 +121,12 @@ def test_scratch_folder_follows_the_session(spark):
     if named:
         assert scratch_root(spark) == named.rstrip("/")
     assert cut_lineage(spark.range(3)).count() == 3
+
+
+def test_sequence_files_are_opened_once(spark, tmp_path):
+    for name, text in (("a.fasta", ">x\nMK\n>y\nML\n"), ("b.txt", "mk\nml\n")):
+        (tmp_path / name).write_text(text)
+    rows = readers.read_sequence_dir(spark, str(tmp_path))
+    for name in ("a.fasta", "b.txt"):
+        (tmp_path / name).unlink()
+    assert sorted((r.protein_id, r.sequence, r.record_index) for r in rows.collect()) == [("b", "MKML", 0), ("x", "MK", 0), ("y", "ML", 1)]
