@@ -107,7 +107,8 @@ def _scored_terms(p: Column) -> Column:
 
     main = listed(F.coalesce(p["top_terms"], p["predictions"], empty))
     spare = listed(F.coalesce(p["predicted_terms"], empty))
-    chosen = F.when(F.size(main) > 0, main).otherwise(spare)
+    # a one-element list names the parsed items, so they are parsed once and not for their number too
+    chosen = F.get(F.transform(F.array(main), lambda m: F.when(F.size(m) > 0, m).otherwise(spare)), F.lit(0))
     keyed = F.transform(chosen, lambda t: F.struct((-t["score"]).alias("k"), t["place"], t.alias("t")))
     return F.transform(
         F.array_sort(keyed),

@@ -137,3 +137,12 @@ def test_events_are_parsed_once(spark):
     parsed = V.parse_events(raw)
     for rows in parsed:
         assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_items_of_a_payload_are_parsed_once(spark):
+    texts = ['{"top_terms":["GO:1",{"go_term":"GO:2","score":0.5}],"score_map":{"GO:1":0.7}}', '{"predictions":[],"predicted_terms":["GO:3"]}', None]
+    rows = spark.createDataFrame([(t,) for t in texts], "value string").select("value", P.terms_of(F.col("value")).alias("t"))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert plan.count("from_json") == 3  # the payload, items of the main list, items of the spare one
+    got = {r.value: r.t and [(t.term_id, t.score) for t in r.t] for r in rows.collect()}
+    assert [got[t] for t in texts[:2]] == [[("GO:1", 0.7), ("GO:2", 0.5)], [("GO:3", 0.0)]]
