@@ -17,6 +17,10 @@ NORMS = ("cafa", "pred", "gt")
 TASK_CELLS = 1 << 20
 #: Such cells of one slice of the proteins. Slices follow each other, and a slice leaves the disks with its sums.
 SLICE_CELLS = 1 << 29
+#: Targets that most terms reach; lists of them that are sent by number, the entries of these in all and of one at most.
+SHARED_TARGETS, SHARED_LISTS, SHARED_ENTRIES, LONGEST_SHARED = 1 << 12, 1 << 15, 1 << 21, 1 << 9
+#: Terms, about, in whose paths targets are counted to find the common ones.
+COUNTED_TERMS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -45,20 +49,49 @@ def _folded_terms(terms, edges, toi, opt):
 
 
 def _target_lists(wanted, terms, edges):
-    """(term, namespace, copies, codes, weights, own): what a term reaches, itself included, as sorted lists."""
+    """(lists of what a term reaches, lists that many terms share).
+
+    The first has term, namespace, copies, codes, weights, own, cells, shared: a term's targets, itself included, as sorted
+    lists, and the number of a shared list (shared, upper_codes, upper_weights) with the rest of them. Terms mostly
+    differ in what is near them; what they reach among the targets most terms reach is the same for many.
+    What is shared is bounded; a term whose common targets are in no shared list has all in its own.
+    """
     own = terms.select("term", F.col("term").alias("target"))
-    paths = graph.ancestors(edges).withColumnRenamed("ancestor", "target").unionByName(own).join(wanted, "target")
-    entries = F.sort_array(F.collect_set(F.struct("code", "ia"))).alias("x")
+    reach = graph.ancestors(edges).withColumnRenamed("ancestor", "target").unionByName(own)
+    some = F.pmod(F.xxhash64("term"), F.lit(max(1, terms.count() // COUNTED_TERMS))) == 0
+    met = reach.filter(some).groupBy("target").count().join(wanted.select("target", "code"), "target")
+    common = cut_lineage(met.orderBy(F.desc("count"), "code").limit(SHARED_TARGETS).select("code", F.lit(True).alias("common")))
+    marked = wanted.join(common, "code", "left")
+    paths = reach.join(marked, "target")
+    entry = F.struct("code", "ia")
+    near = F.sort_array(F.collect_set(F.when(F.col("common").isNull(), entry))).alias("near")
+    upper = F.sort_array(F.collect_set(F.when(F.col("common"), entry))).alias("upper")
     itself = F.max(F.when(F.col("term") == F.col("target"), F.col("code"))).alias("own")
-    lists = paths.groupBy("term", "namespace", "copies").agg(entries, itself)
+    lists = cut_lineage(paths.groupBy("term", "namespace", "copies").agg(near, upper, itself))
+    upper_codes, n = F.col("upper.code").alias("upper_codes"), F.size("upper_codes")
+    sets = lists.select(upper_codes).filter((n > 0) & (n <= LONGEST_SHARED)).groupBy("upper_codes").agg((F.count("*") * n).alias("gain"))
+    order = [F.desc("gain"), F.asc("upper_codes")]
+    best = Window.partitionBy(F.lit(0)).orderBy(*order)  # at most SHARED_LISTS rows, which one task numbers
+    entries = F.sum(n).over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = sets.orderBy(*order).limit(SHARED_LISTS).select("upper_codes", F.row_number().over(best).alias("shared"), entries.alias("entries"))
+    numbers = cut_lineage(numbered.filter(F.col("entries") <= SHARED_ENTRIES).select("shared", "upper_codes"))
+    weighed = numbers.select("shared", F.explode("upper_codes").alias("code")).join(wanted.select("code", "ia"), "code")
+    whole = weighed.groupBy("shared").agg(F.sort_array(F.collect_list(entry)).alias("x"))
+    shared = cut_lineage(whole.select("shared", F.col("x.code").alias("upper_codes"), F.col("x.ia").alias("upper_weights")))
+    rest = F.when(F.col("shared").isNull(), F.concat("near", "upper")).otherwise(F.col("near"))
+    split = lists.withColumn("upper_codes", upper_codes).join(numbers, "upper_codes", "left").select(
+        "term", "namespace", "copies", "own", "shared", (F.size("near") + F.size("upper")).alias("cells"), rest.alias("x")
+    )
     # each row is sent once for every protein that has the term
-    return cut_lineage(lists.select("term", "namespace", "copies", F.col("x.code").alias("codes"), F.col("x.ia").alias("weights"), "own"))
+    mine = cut_lineage(split.select("term", "namespace", "copies", F.col("x.code").alias("codes"), F.col("x.ia").alias("weights"), "own", "cells", "shared"))
+    return mine, shared
 
 
 def _sides(pred, truth, edges, terms, toi, opt):
-    """(terms of judged proteins with score and truth, lists of what a term reaches, wanted terms, number of cells)."""
+    """(terms of judged proteins with score and truth, lists of what a term reaches, shared lists, wanted terms, number of
+    cells)."""
     wanted = _folded_terms(terms, edges, toi, opt)
-    lists = _target_lists(wanted, terms, edges)
+    lists, shared = _target_lists(wanted, terms, edges)
     raw = pred.filter(F.col("score") > 0).join(truth.select("protein_id"), "protein_id", "left_semi")
     raw = raw.join(terms.select("term", "namespace"), "term")
     if opt.max_terms is not None:
@@ -67,9 +100,9 @@ def _sides(pred, truth, edges, terms, toi, opt):
         truth.select("protein_id", "term", F.lit(None).cast("double").alias("score"), F.lit(1).alias("is_true"))
     )
     both = cut_lineage(both.groupBy("protein_id", "term").agg(F.max("score").alias("score"), F.max("is_true").alias("is_true")))
-    sizes = lists.groupBy("term").agg(F.sum(F.size("codes")).alias("cells"))
+    sizes = lists.groupBy("term").agg(F.sum("cells").alias("cells"))
     n_cells = both.groupBy("term").count().join(sizes, "term").agg(F.sum(F.col("count") * F.col("cells"))).first()[0]
-    return both, lists, wanted, n_cells or 0
+    return both, lists, shared, wanted, n_cells or 0
 
 
 def _prepare(pred, truth, edges, terms, toi, known, opt):
@@ -77,13 +110,13 @@ def _prepare(pred, truth, edges, terms, toi, known, opt):
     return _cells(*_sides(pred, truth, edges, terms, toi, opt), known, opt)
 
 
-def _cells(both, lists, wanted, n_cells, known, opt, slices=1, number=0):
+def _cells(both, lists, shared, wanted, n_cells, known, opt, slices=1, number=0):
     """(namespace, protein, level, copies, is_true, ia) for every predicted or true cell of the judged proteins of
     slice ``number``, dealt by protein; ``ia`` is that of all copies of a term.
 
     Predictions and answers climb the ontology together. What travels to a protein are its terms, each
-    with the list of all it reaches; lists are spread and folded to cells where the protein is, in as many tasks
-    as there are cells, so cells themselves are never sent or sorted. A protein meets in one task, where its
+    with the list of what it reaches, common parts by number; lists are spread and folded to cells where the protein
+    is, in as many tasks as there are cells, so cells themselves are never sent or sorted. A protein meets in one task, where its
     state is a row per term that it reaches. Paths are cut to the terms of interest before that.
     """
     shuffles = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -92,15 +125,18 @@ def _cells(both, lists, wanted, n_cells, known, opt, slices=1, number=0):
         own = F.pmod(F.xxhash64("protein_id"), F.lit(slices)) == number
         both, known = both.filter(own), None if known is None else known.filter(own)
     sent = both.join(lists, "term").select(
-        "protein_id", "namespace", "copies", "codes", "weights", "own", "score", "is_true", F.lit(0).alias("known")
+        "protein_id", "namespace", "copies", "codes", "weights", "own", "shared", "score", "is_true", F.lit(0).alias("known")
     )
     if known is not None:
         settled = known.select("protein_id", F.col("term").alias("target")).join(wanted, "target").select(
             "protein_id", "namespace", "copies", F.array("code").alias("codes"), F.array("ia").alias("weights"), F.lit(None).cast("int").alias("own"),
-            F.lit(None).cast("double").alias("score"), F.lit(0).alias("is_true"), F.lit(1).alias("known"),
+            F.lit(None).cast("int").alias("shared"), F.lit(None).cast("double").alias("score"), F.lit(0).alias("is_true"), F.lit(1).alias("known"),
         )
         sent = sent.unionByName(settled.filter("protein_id IS NOT NULL"))
-    here = sent.repartition(tasks, "protein_id")
+    # the shared lists are few and small, so this join leaves proteins where they are
+    here = sent.repartition(tasks, "protein_id").join(shared, "shared", "left").withColumns(
+        {c: F.when(F.col(f"upper_{c}").isNull(), F.col(c)).otherwise(F.concat(c, f"upper_{c}")) for c in ("codes", "weights")}
+    )
     spread = here.select(
         "protein_id", "namespace", "copies", "own", "score", "is_true", "known", F.inline(F.arrays_zip("codes", "weights"))
     )

@@ -418,6 +418,29 @@ def test_evaluation_in_slices_leaves_no_shuffles(spark, monkeypatch):
         assert a.namespace == b.namespace and list(a)[1:] == pytest.approx(list(b)[1:])
 
 
+def test_common_targets_are_sent_by_number(spark, monkeypatch):
+    pairs = [(f"t{i:02}", "m0") for i in range(40)] + [(f"m{k}", f"m{k + 1}") for k in range(3)]
+    edges = spark.createDataFrame(pairs, "child string, parent string")
+    terms = spark.createDataFrame([(t, "ns", 0.5 + k / 10) for k, t in enumerate(sorted({x for p in pairs for x in p}))], "term string, namespace string, ia double")
+    monkeypatch.setattr(evaluate, "SHARED_TARGETS", 4)
+    wanted = evaluate._folded_terms(terms, edges, None, evaluate.EvalOptions())
+    lists, shared = evaluate._target_lists(wanted, terms, edges)
+    leaves = lists.filter("term LIKE 't%'").join(shared, "shared").collect()
+    weight = {r.code: r.ia for r in wanted.collect()}
+    names = {r.code: r.target for r in wanted.collect()}
+    assert len(leaves) == 40 and {len(r.codes) for r in leaves} == {1} and {r.cells for r in leaves} == {5}
+    for r in leaves:
+        assert {names[c] for c in r.codes + r.upper_codes} == {r.term, *[f"m{k}" for k in range(4)]}
+        assert [weight[c] for c in r.codes + r.upper_codes] == r.weights + r.upper_weights
+    truth = spark.createDataFrame([(i, f"t{i % 40:02}") for i in range(50)], "protein_id int, term string")
+    pred = spark.createDataFrame([(i, f"t{(i * k) % 40:02}", k / 5) for i in range(50) for k in (1, 2, 3)], "protein_id int, term string, score double")
+    run = lambda: sorted(evaluate.cafa_eval(pred, truth, edges, terms, options=evaluate.EvalOptions(step=0.1, fill=True)).collect())
+    by_number = run()
+    monkeypatch.setattr(evaluate, "SHARED_ENTRIES", 0)
+    for a, b in zip(by_number, run(), strict=True):
+        assert a.namespace == b.namespace and list(a)[1:] == pytest.approx(list(b)[1:])
+
+
 def test_a_cut_frees_what_it_shuffled(spark):
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     before = blocks.getAllFiles().size()
