@@ -200,6 +200,29 @@ def test_histogram_with_expiring_state(spark, tmp_path):
     assert {r.current_status: r.n for r in E.read_histogram(store).collect()} == got
 
 
+def test_histogram_follows_requests_in_groups(spark, tmp_path, monkeypatch):
+    start = datetime(2024, 1, 1)
+    data = [(f"r{i * 7 % 30}" if i % 11 else None, start + timedelta(hours=i // 4), ["Processing", "completed", "FAILED"][i * i % 3], i) for i in range(200)]
+    kind = "request_id string, updated_at timestamp, current_status string, seq int"
+    for n in range(4):
+        spark.createDataFrame(data[n * 50 : n * 50 + 50], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run(groups, ttl):
+        monkeypatch.setattr(E, "FOLLOWED_TOGETHER", groups)
+        place = str(tmp_path / f"{groups}-{ttl[:4]}")
+        stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        store = Store(spark, f"{place}-s")
+        query = E.run_histogram(stream, store, f"{place}-cp", once=True, ttl=ttl, delay="1 hour")
+        query.awaitTermination()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return {r.current_status: r.n for r in E.read_histogram(store).collect()}, max(held)
+
+    last = {r[0]: r[2].lower() for r in data}
+    whole, held = run(2, "9999 days")
+    assert whole == {s: list(last.values()).count(s) for s in set(last.values())} and held <= 2
+    assert run(1, "5 hours")[0] == run(997, "5 hours")[0] != whole
+
+
 def test_latency_ring_equals_the_batch_form(spark, tmp_path):
     start = datetime(2024, 1, 1)
     data = [(i * 37 % 101 if i % 9 else None, start + timedelta(seconds=(i * 53) % 400), i) for i in range(400)]
