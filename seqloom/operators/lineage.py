@@ -60,11 +60,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_cuts(spark: SparkSession, made: list[str], but: int = 0) -> None:
+    """Remove the tables below the folders ``made``, except the last ``but``, which stay in it."""
+    gone = made[: len(made) - but]
+    del made[: len(gone)]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 @contextmanager
 def cuts_dropped(spark: SparkSession) -> Iterator[list[str]]:
     """Remove the tables that :func:`cut_lineage` writes inside this block when it ends, well or not.
 
-    For jobs that go on: what a batch cut is of no use once the batch is written.
+    For jobs that go on: what a batch cut is of no use once the batch is written. The block gets the folders,
+    in order; a table whose folder it takes out of them stays, until a block around it ends.
     """
     made: list[str] = []
     scopes = _scopes.__dict__.setdefault("open", [])
@@ -73,7 +84,4 @@ def cuts_dropped(spark: SparkSession) -> Iterator[list[str]]:
         yield made
     finally:
         scopes[:] = [s for s in scopes if s is not made]
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in made:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+        drop_cuts(spark, made)

@@ -1,5 +1,6 @@
 import random
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -418,6 +419,27 @@ def test_evaluation_in_slices_leaves_no_shuffles(spark, monkeypatch):
         assert a.namespace == b.namespace and list(a)[1:] == pytest.approx(list(b)[1:])
 
 
+def test_an_evaluation_drops_what_it_cut(spark, monkeypatch):
+    edges, _ = small_graph(spark)
+    terms = spark.createDataFrame([(t, "ns", 0.5 + k) for k, t in enumerate("ABCD")], "term string, namespace string, ia double")
+    truth = spark.createDataFrame([(f"p{i}", "BCD"[i % 3]) for i in range(20)], "protein_id string, term string")
+    pred = spark.createDataFrame([(f"p{i}", t, (i % 7 + k) / 10) for i in range(25) for k, t in enumerate("ABCD")], "protein_id string, term string, score double")
+    run = lambda: evaluate.cafa_eval(pred, truth, edges, terms, options=evaluate.EvalOptions(step=0.1))
+    whole = sorted(run().collect())
+    sums, inner = [], evaluate._changes
+    monkeypatch.setattr(evaluate, "_changes", lambda cells: sums.append(1) or inner(cells))
+    monkeypatch.setattr(evaluate, "SLICE_CELLS", 80)
+    monkeypatch.setattr(evaluate, "PIECE_PAIRS", 2)
+    monkeypatch.setattr(evaluate, "PIECE_PAIRS_A_TERM", 0)
+    with lineage.cuts_dropped(spark) as made:
+        found = run()
+        left = [path for path in made if Path(path).exists()]
+        sliced = sorted(found.collect())
+    assert len(left) == len(sums) > 1  # the sums of the slices
+    for a, b in zip(whole, sliced, strict=True):
+        assert a.namespace == b.namespace and list(a)[1:] == pytest.approx(list(b)[1:])
+
+
 def test_common_targets_are_sent_by_number(spark, monkeypatch):
     pairs = [(f"t{i:02}", "m0") for i in range(40)] + [(f"m{k}", f"m{k + 1}") for k in range(3)]
     edges = spark.createDataFrame(pairs, "child string, parent string")
