@@ -48,7 +48,9 @@ def _folded_terms(terms, edges, toi, opt):
         wanted = wanted.join(edges.select(F.col("child").alias("term")), "term", "left_semi")
     weight = F.coalesce("ia", F.lit(1.0))
     folded = wanted.groupBy(F.col("term").alias("target"), "namespace").agg(F.count("*").alias("copies"), F.sum(weight).alias("ia"))
-    return cut_lineage(number_rows(folded, ["target", "namespace"], name="code").withColumn("code", F.col("code").cast("int")))
+    # written first, so that the ranges follow its size and not a guess about the joins before it
+    numbered = number_rows(cut_lineage(folded), ["target", "namespace"], name="code")
+    return cut_lineage(numbered.withColumn("code", F.col("code").cast("int")))
 
 
 def _target_lists(wanted, terms, edges):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import agg, dedupe, evaluate, graph, joins, lineage, loadtest, metrics, naming, prep, requests, scoring
+from seqloom.operators import agg, dedupe, evaluate, graph, joins, lineage, loadtest, metrics, naming, ordering, prep, requests, scoring
 from seqloom.operators.ordering import number_rows, running_totals
 from seqloom.sources import tables
 from seqloom.streaming import events as E
@@ -440,6 +440,16 @@ def test_an_evaluation_drops_what_it_cut(spark, monkeypatch):
         assert a.namespace == b.namespace and list(a)[1:] == pytest.approx(list(b)[1:])
 
 
+def test_terms_of_an_evaluation_are_numbered_in_few_ranges(spark, monkeypatch):
+    edges, _ = small_graph(spark)
+    terms = spark.createDataFrame([(t, "ns", 1.0) for t in "ABCD"], "term string, namespace string, ia double")
+    ranges, inner = [], ordering._ranges
+    monkeypatch.setattr(ordering, "_ranges", lambda df: ranges.append(inner(df)) or ranges[-1])
+    wanted = evaluate._folded_terms(terms.join(terms.select("term"), "term"), edges, None, evaluate.EvalOptions(no_orphans=True))
+    assert {r.code: r.target for r in wanted.collect()} == {1: "B", 2: "C", 3: "D"}
+    assert ranges == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
 def test_common_targets_are_sent_by_number(spark, monkeypatch):
     pairs = [(f"t{i:02}", "m0") for i in range(40)] + [(f"m{k}", f"m{k + 1}") for k in range(3)]
     edges = spark.createDataFrame(pairs, "child string, parent string")
