@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.operators import lists as L
 from seqloom.operators.joins import selected_edges
-from seqloom.operators.lineage import cut_lineage
+from seqloom.operators.lineage import cut_lineage, cuts_dropped, drop_cuts
 
 # Enough doublings for any path in a graph of 2**40 terms; more means a cycle.
 MAX_DOUBLINGS = 40
@@ -45,6 +50,60 @@ def ancestors(edges: DataFrame) -> DataFrame:
     raise ValueError("the edge table contains a cycle")
 
 
+def _merge(batches):
+    """One row per node from all its rows: sorted codes, those reached in exactly so many steps negative and listed once more."""
+    for table, group in L.whole_groups(batches, "node"):
+        nodes, mine, lens = L.column(table, "node"), L.column(table, "mine").astype(bool), L.lengths(table, "codes")
+        codes, weights, before = L.entries(table, "codes"), L.entries(table, "weights"), np.r_[0, np.cumsum(lens)]
+        for lo, hi in L.blocks(group, lens):
+            here = slice(before[lo], before[hi])
+            signed, at = codes[here].astype(np.int64), group[lo:hi] - group[lo]
+            row, order, heads, owner = L.meet(at, lens[lo:hi], np.abs(signed))
+            # what a node reached before in exactly so many steps is nearer now
+            exact = np.logical_or.reduceat(((signed < 0) & ~mine[lo:hi][row])[order], heads)
+            found, n = np.abs(signed[order[heads]]).astype(np.int32), int(at[-1]) + 1
+            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(nodes[lo:hi][first].astype(np.int32)),
+                    L.list_array(np.where(exact, -found, found), np.bincount(owner, minlength=n)),
+                    L.list_array(weights[here][order[heads]], np.bincount(owner, minlength=n)),
+                    L.list_array(found[exact], np.bincount(owner[exact], minlength=n)),
+                ],
+                names=["node", "codes", "weights", "exact"],
+            )
+
+
+def ancestor_lists(edges: DataFrame, most: int, per_node: int) -> DataFrame:
+    """G-01 for numbered nodes as lists: (node, codes, weights), the ancestors of every child in order of their numbers.
+
+    ``edges`` has child, parent (from 1 on) and the weight of the parent, which travels with it. The rounds are those of
+    :func:`ancestors`; lists are merged by one sort per batch, and a round goes over the nodes in pieces, so that
+    about ``most`` entries, or ``per_node`` for every node, are on their way at a time.
+    """
+    schema = "node int, codes array<int>, weights array<double>, exact array<int>"
+    merged = lambda df: df.repartition("node").sortWithinPartitions("node").mapInArrow(_merge, schema)
+    signed = F.array((-F.col("parent")).cast("int")).alias("codes")
+    start = edges.select(F.col("child").cast("int").alias("node"), F.lit(False).alias("mine"), signed, F.array(F.col("weight").cast("double")).alias("weights"))
+    with cuts_dropped(edges.sparkSession) as made:
+        parts = [cut_lineage(merged(start))]
+        for _ in range(MAX_DOUBLINGS):
+            reach = reduce(DataFrame.unionByName, parts)
+            drop_cuts(edges.sparkSession, made, but=len(parts))
+            n_nodes, n_codes, n_exact = reach.agg(F.count("*"), F.sum(F.size("codes")), F.sum(F.size("exact"))).first()
+            if not n_exact:
+                made.clear()
+                return reach.select("node", "codes", "weights")
+            pieces = max(1, n_exact * n_codes // n_nodes // max(most, per_node * n_nodes))
+            mine = reach.select("node", F.lit(True).alias("mine"), "codes", "weights")
+            exact = reach.select(F.col("node").alias("_from"), F.explode("exact").alias("_mid"))
+            onward = reach.select(F.col("node").alias("_mid"), F.lit(False).alias("mine"), "codes", "weights")
+            far = exact.join(onward, "_mid").select(F.col("_from").alias("node"), "mine", "codes", "weights")
+            piece = F.pmod(F.xxhash64("node"), F.lit(pieces))
+            parts = [cut_lineage(merged(mine.unionByName(far).filter(piece == k))) for k in range(pieces)]
+    raise ValueError("the edge table contains a cycle")
+
+
 def propagate_labels(ann: DataFrame, closure: DataFrame, selected: DataFrame | None) -> DataFrame:
     """G-02: terms and all their ancestors per protein, then the selected ones only.
 

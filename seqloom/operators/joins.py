@@ -62,8 +62,11 @@ def invalid_ids(ids: DataFrame, known: DataFrame, key: str = "protein_id") -> Da
 
 
 def with_ia(df: DataFrame, ia: DataFrame, default: float = 1.0) -> DataFrame:
-    """J-05: information accretion by term, ``default`` where the table has none."""
-    return df.join(ia.select("term", "ia"), "term", "left").withColumn("ia", F.coalesce("ia", F.lit(default)))
+    """J-05: information accretion by term, ``default`` where the table has none.
+
+    Both sides hold a row per term, so they are sorted and merged: a file of ids is small for the rows in it.
+    """
+    return df.join(ia.select("term", "ia").hint("merge"), "term", "left").withColumn("ia", F.coalesce("ia", F.lit(default)))
 
 
 def term_aspects(ann: DataFrame, ontology: DataFrame) -> DataFrame:

@@ -3,10 +3,13 @@ from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from seqloom.operators import agg, dedupe, evaluate, graph, joins, lineage, loadtest, metrics, naming, ordering, prep, requests, scoring
+from seqloom.operators import agg, dedupe, evaluate, graph, joins, lineage, lists, loadtest, metrics, naming, ordering, prep, requests, scoring
 from seqloom.operators.ordering import number_rows, running_totals
 from seqloom.sources import tables
 from seqloom.streaming import events as E
@@ -473,6 +476,61 @@ def test_common_targets_are_sent_by_number(spark, monkeypatch):
         assert a.namespace == b.namespace and list(a)[1:] == pytest.approx(list(b)[1:])
 
 
+def test_closure_as_lists_in_pieces(spark, monkeypatch):
+    pairs = [(c + 1, p + 1) for c, p in random_dag(random.Random(5), 30)]
+    edges = spark.createDataFrame([(c, p, p / 2) for c, p in pairs], "child int, parent int, weight double")
+    want = rows(graph.ancestors(edges.select("child", "parent")))
+    got = graph.ancestor_lists(edges, 1, 3).collect()
+    assert sorted((r.node, a) for r in got for a in r.codes) == want and len({r.node for r in got}) == len(got)
+    assert all(r.codes == sorted(r.codes) and r.weights == [a / 2 for a in r.codes] for r in got)
+    monkeypatch.setattr(graph, "MAX_DOUBLINGS", 2)
+    loop = spark.createDataFrame([(1, 2, 1.0), (2, 1, 1.0)], "child int, parent int, weight double")
+    with pytest.raises(ValueError, match="cycle"):
+        graph.ancestor_lists(loop, 1, 3)
+
+
+def test_an_evaluation_broadcasts_no_terms(spark):
+    edges, _ = small_graph(spark)
+    terms = spark.createDataFrame([(t, "ns", 1.0) for t in "ABCD"], "term string, namespace string, ia double")
+    plans, cut = [], evaluate.cut_lineage
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(evaluate, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+        evaluate._folded_terms(terms, edges, terms.filter("term <> 'D'"), evaluate.EvalOptions(no_orphans=True))
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+    ia = joins.with_ia(terms.select("term"), terms)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in ia
+
+
+@pytest.mark.parametrize("fill", [False, True])
+def test_cells_fold_alike_in_batches_of_any_size(spark, monkeypatch, fill):
+    rng = random.Random(11)
+    data = []
+    for protein in [None, *range(12)]:
+        for _ in range(rng.randint(1, 9)):
+            codes = sorted(rng.sample(range(1, 41), rng.randint(0, 12)))
+            level = rng.randint(-1, 10)
+            data.append((protein, level, int(rng.random() < 0.4), int(rng.random() < 0.1), int(bool(codes) and rng.random() < 0.5), codes, [c / 7 for c in codes]))
+    schema = pa.schema([("protein_id", pa.int64()), *[(c, pa.int32()) for c in ("level", "is_true", "known", "n_own")], ("codes", pa.list_(pa.int32())), ("weights", pa.list_(pa.float64()))])
+    batch = pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*data, strict=True), schema, strict=True)], schema=schema)
+    spaces = [Row(namespace="a", copies=1, first_code=1), Row(namespace="a", copies=2, first_code=15), Row(namespace=None, copies=1, first_code=30)]
+    fold = evaluate._fold(spaces, StringType(), 10, fill)
+    sums = lambda batches: [[round(v, 9) if isinstance(v, float) else v for v in r.values()] for b in fold(batches) for r in b.to_pylist()]
+    whole = sums([batch])
+    # by hand: the sums of known answers per namespace, each distinct cell once for each copy of its term
+    true: dict = {}
+    for protein, _, is_true, known, _, codes, _ in data:
+        for c in codes:
+            was = true.get((protein, c), (0, 0))
+            true[protein, c] = (max(was[0], is_true), max(was[1], known))
+    count = lambda cs: sum((2 if 15 <= c < 30 else 1) for (_, c), (t, k) in true.items() if t and not k and c in cs)
+    for name, codes in (("a", range(1, 30)), (None, range(30, 41))):
+        assert sum(r[-2] for r in whole if r[0] == name) == count(codes) > 0
+    monkeypatch.setattr(lists, "BLOCK_ENTRIES", 16)
+    for most in (1 << 24, 30):
+        monkeypatch.setattr(lists, "MOST_HELD", most)
+        assert sums([batch.slice(i, 2) for i in range(0, len(data), 2)]) == whole
+
+
 def test_a_cut_frees_what_it_shuffled(spark):
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     before = blocks.getAllFiles().size()
