@@ -641,6 +641,17 @@ def test_windows_of_any_length(spark):
     assert joins.rows_in_windows(df, wins.filter("false")).isEmpty() and joins.count_in_windows(df.filter("false"), wins).count() == len(windows)
 
 
+def test_rows_meet_windows_in_sorted_bins(spark):
+    start = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(i, start + timedelta(seconds=i)) for i in range(100)], "id int, created_at timestamp")
+    wins = df.select(F.col("id"), F.col("created_at").alias("window_start"), (F.col("created_at") + F.expr("INTERVAL 8 SECONDS")).alias("window_end"))
+    met = joins.rows_in_windows(df, wins)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert met.columns == ["id", "created_at", "id", "window_start", "window_end"] and met.count() == 8 * 100 - 28
+    assert {(r[2], r[0]) for r in met.collect()} == {(w, i) for w in range(100) for i in range(w, min(100, w + 8))}
+
+
 def test_pages_by_seek_walk_the_whole_order(spark, tmp_path):
     rng = random.Random(2)
     data = [(i, rng.choice([None, 1, 2, 3]), rng.choice(["x", None]), i) for i in range(60)]
