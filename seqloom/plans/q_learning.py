@@ -389,7 +389,7 @@ def _(d):
 
 
 def _evaluation(d):
-    terms = joins.with_ia(d.ontology.select("term", F.col("aspect").alias("namespace")), d.ia)
+    terms = joins.with_ia(d.ontology.select("term", F.col("aspect").alias("namespace")), d.ia.hint("merge"))
     return evaluate.cafa_eval(d.scores, d.truth, d.edges, terms, options=evaluate.EvalOptions(step=0.1))
 
 
@@ -421,7 +421,7 @@ def option_sql(norm="cafa", best="max(score)", most=None, wanted="TRUE", known="
 
 
 def under_option(d, toi=None, known=None, **options):
-    terms = joins.with_ia(d.ontology.select("term", F.col("aspect").alias("namespace")), d.ia)
+    terms = joins.with_ia(d.ontology.select("term", F.col("aspect").alias("namespace")), d.ia.hint("merge"))
     rows = evaluate.cafa_eval(d.scores, d.truth, d.edges, terms, toi, known, evaluate.EvalOptions(**options))
     return rows.select("namespace", "tau", *[r6(c).alias(c) for c in ("cov", "pr", "rc", "f", "f_w")], F.round("s", 5).alias("s"))
 
